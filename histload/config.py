@@ -10,9 +10,8 @@ OPEN_ENDS = ("null", "sentinel", "horizon")
 MERGE_MODES = ("changed_only", "reversion_all")
 DEDUP_MODES = ("rows", "latest")
 
-# Rows up to which a delta's key list may be broadcast. A key list of this many rows stays well under
-# the 8 GB limit of a broadcast even for wide text keys.
-BROADCAST_ROWS = 2_000_000
+# Bytes up to which the summary of a delta may be broadcast.
+BROADCAST_BYTES = 256 << 20
 
 
 def _names(value) -> tuple[str, ...]:
@@ -87,7 +86,7 @@ class MergeConfig:
     open_end: str = "null"
     null_safe: bool = True
     trim: bool = False
-    broadcast_rows: int = BROADCAST_ROWS
+    broadcast_bytes: int = BROADCAST_BYTES
 
     def __post_init__(self):
         object.__setattr__(self, "key", _names(self.key))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,18 +61,23 @@ def closed_rows(hist: DataFrame, config: MergeConfig) -> DataFrame:
     return hist.where(F.col(config.end).isNotNull())
 
 
-# ---------------------------------------------------------------- summaries per key
+# ---------------------------------------------------------------- lookups by key
 
-# A hot key on the side that is looked up would gather all its rows in one task. Both lookups
-# therefore go against one row per key, which Spark aggregates before and after the shuffle.
+# Rows are looked up in a summary of the other side with one row per key, which Spark aggregates
+# before and after the shuffle. However often a key repeats, it is one row there, and no pairs of
+# equal keys are formed.
 
 
 def _key_names(config: MergeConfig) -> list[str]:
     return [f"__key_{c}" for c in config.key]
 
 
+def _renamed_keys(config: MergeConfig) -> list[Column]:
+    return [F.col(c).alias(n) for c, n in zip(config.key, _key_names(config))]
+
+
 def _keys_of(df: DataFrame, config: MergeConfig) -> DataFrame:
-    return df.select(*[F.col(c).alias(n) for c, n in zip(config.key, _key_names(config))]).distinct()
+    return df.select(*_renamed_keys(config)).distinct()
 
 
 def _value_ranges(df: DataFrame, config: MergeConfig) -> DataFrame:
@@ -82,7 +88,7 @@ def _value_ranges(df: DataFrame, config: MergeConfig) -> DataFrame:
         measures += [F.min(value).alias(f"__min_{c}"), F.max(value).alias(f"__max_{c}")]
         if config.null_safe:
             measures.append(F.count(value).alias(f"__set_{c}"))
-    return df.groupBy(*[F.col(c).alias(n) for c, n in zip(config.key, _key_names(config))]).agg(*measures)
+    return df.groupBy(*_renamed_keys(config)).agg(*measures)
 
 
 def _differs_from_some(config: MergeConfig) -> Column:
@@ -95,21 +101,37 @@ def _differs_from_some(config: MergeConfig) -> Column:
         if config.null_safe:
             some_set, some_null = F.col(f"__set_{c}") > 0, F.col(f"__set_{c}") < F.col("__rows")
             tests.append(F.when(value.isNull(), some_set).otherwise(some_null))
-    return reduce(Column.__or__, tests)
+    return reduce(or_, tests)
+
 
+def _lookup(
+    df: DataFrame, summary: DataFrame, config: MergeConfig, how: str, small: bool = False
+) -> DataFrame:
+    """Join each row to the summary row of its key.
 
-def _lookup(df: DataFrame, summary: DataFrame, config: MergeConfig, how: str) -> DataFrame:
+    A small summary is broadcast and the rows stay where they are. Otherwise a key with very many
+    rows must not end in one task. Spark splits such a partition at run time, but only in a join
+    whose sides both come straight from a shuffle made for it. A summary would be joined as its
+    aggregation left it; the hash, equal whenever the keys are, makes Spark shuffle it for the join.
+    """
     on = [F.col(c) == F.col(n) for c, n in zip(config.key, _key_names(config))]
-    return df.join(summary, on, how)
+    if small:
+        return df.join(F.broadcast(summary), on, how)
+    hashed = summary.withColumn("__hash", F.xxhash64(*_key_names(config)))
+    return df.join(hashed, [*on, F.xxhash64(*config.key) == F.col("__hash")], how)
 
 
-def _is_small(delta_rows: int | None, config: MergeConfig) -> bool:
-    """The delta was counted and is small enough for its key list to be broadcast."""
-    return delta_rows is not None and delta_rows <= config.broadcast_rows
+def lookup_bytes(delta: DataFrame, config: MergeConfig) -> int:
+    """Upper bound of the size of a delta's summary, from one pass over its key and tracked columns."""
+    text = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in config.key]
+    text += [2 * F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in config.tracked]
+    fixed = 64 + 32 * (len(config.key) + len(config.tracked))
+    return delta.agg(F.coalesce(F.sum(reduce(add, text) + fixed), F.lit(0))).first()[0]
 
 
-def _maybe_broadcast(summary: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(summary) if small else summary
+def _is_small(delta_bytes: int | None, config: MergeConfig) -> bool:
+    """The delta was measured, and its summary may be broadcast."""
+    return delta_bytes is not None and delta_bytes <= config.broadcast_bytes
 
 
 # ---------------------------------------------------------------- change detection
@@ -169,50 +191,49 @@ def _split(hist: DataFrame, config: MergeConfig) -> tuple[DataFrame, DataFrame]:
     return hist.where(meets), hist.where(~meets)
 
 
+def _close(judged: DataFrame, hit: Column, columns: list[str], config: MergeConfig) -> DataFrame:
+    end = F.when(hit, as_of_column(config.as_of)).otherwise(F.col(config.end))
+    return judged.withColumn(config.end, end).select(*columns)
+
+
 def merge_reversion_all(
-    hist: DataFrame, delta: DataFrame, config: MergeConfig, delta_rows: int | None = None
+    hist: DataFrame, delta: DataFrame, config: MergeConfig, delta_bytes: int | None = None
 ) -> DataFrame:
     """Close the open version of every key in the delta, changed or not, and add the whole delta.
 
     Only the distinct keys of the delta are looked up, so the delta itself is not shuffled, and with
-    a delta counted as small the history is not either.
+    a delta measured as small (``delta_bytes``, see ``lookup_bytes``) the history is not either.
     """
     current, beside = _split(hist, config)
     keys = _keys_of(delta.where(~any_null(config.key)), config).withColumn("__hit", F.lit(True))
-    judged = _lookup(current, _maybe_broadcast(keys, _is_small(delta_rows, config)), config, "left")
-    closed = _close(judged, F.col("__hit").isNotNull(), hist, config)
+    judged = _lookup(current, keys, config, "left", _is_small(delta_bytes, config))
+    closed = _close(judged, F.col("__hit").isNotNull(), hist.columns, config)
     return closed.unionByName(beside).unionByName(delta)
 
 
-def _close(judged: DataFrame, hit: Column, hist: DataFrame, config: MergeConfig) -> DataFrame:
-    end = F.when(hit, as_of_column(config.as_of)).otherwise(F.col(config.end))
-    return judged.withColumn(config.end, end).select(*hist.columns)
-
-
 def merge_changed_only(
     hist: DataFrame,
     delta: DataFrame,
     config: MergeConfig,
-    delta_rows: int | None = None,
-    unique_delta: bool = False,
+    delta_bytes: int | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Close the open versions that change in the delta, and add its changed and new rows.
 
     A key without an open version counts as new, so a key that had been closed comes back. Merging
     the same delta again changes nothing.
 
-    * A delta counted as small (``delta_rows``) is broadcast, and the history is read without a
-      shuffle.
-    * A larger one known to hold each key once (``unique_delta``) meets the history in a single
-      full outer join.
-    * Otherwise each side looks up one summary row per key of the other, which holds up when keys
-      repeat.
+    * A delta measured as small (``delta_bytes``, see ``lookup_bytes``) is broadcast, and the
+      history is read without a shuffle.
+    * Where a key is known to have one row in the delta and one open version at most
+      (``unique_keys``), a larger delta meets the history in a single full outer join.
+    * Otherwise each side looks up one summary row per key of the other, whatever the keys repeat.
     """
     current, beside = _split(hist, config)
     keyless = delta.where(any_null(config.key))
     keyed = delta.where(~any_null(config.key))
-    small = _is_small(delta_rows, config)
-    if unique_delta and not small:
+    small = _is_small(delta_bytes, config)
+    if unique_keys and not small:
         met = _meet_once(current, keyed, config)
     else:
         met = _meet_by_summary(current, keyed, config, small)
@@ -222,14 +243,13 @@ def merge_changed_only(
 def _meet_by_summary(
     current: DataFrame, delta: DataFrame, config: MergeConfig, small: bool
 ) -> DataFrame:
-    ranges = _maybe_broadcast(_value_ranges(delta, config), small)
-    judged = _lookup(current, ranges, config, "left")
+    judged = _lookup(current, _value_ranges(delta, config), config, "left", small)
     hit = F.col("__rows").isNotNull() & _differs_from_some(config)
-    closed = _close(judged, hit, current, config)
+    closed = _close(judged, hit, current.columns, config)
 
     touched = current
     if small:
-        touched = _lookup(current, F.broadcast(_keys_of(delta, config)), config, "left_semi")
+        touched = _lookup(current, _keys_of(delta, config), config, "left_semi", small)
     against = _lookup(delta, _value_ranges(touched, config), config, "left")
     added = against.where(F.col("__rows").isNull() | _differs_from_some(config))
     return closed.unionByName(added.select(*delta.columns))
@@ -246,9 +266,8 @@ def _meet_once(current: DataFrame, delta: DataFrame, config: MergeConfig) -> Dat
     differs = any_differs("h", "d", config.tracked, config.null_safe, config.trim)
     acts = has_new & (~has_old | differs)
     end = F.when(acts, as_of_column(config.as_of)).otherwise(F.col(f"h.{config.end}"))
-    old_version = [(end if c == config.end else F.col(f"h.{c}")).alias(c) for c in columns]
-    new_version = [F.col(f"d.{c}").alias(c) for c in columns]
-    old, new = F.struct(*old_version), F.struct(*new_version)
+    old = F.struct(*[(end if c == config.end else F.col(f"h.{c}")).alias(c) for c in columns])
+    new = F.struct(*[F.col(f"d.{c}").alias(c) for c in columns])
     versions = (
         F.when(has_old & acts, F.array(old, new)).when(has_old, F.array(old)).otherwise(F.array(new))
     )

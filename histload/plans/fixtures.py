@@ -49,11 +49,10 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's words with their count in it."""
-    tokens = table(spark, sf_dir, "documents").select(
-        "doc_id", F.explode(F.split("text", " ")).alias("word")
+    """The words of all documents, each occurrence counting one."""
+    return table(spark, sf_dir, "documents").select(
+        F.explode(F.split("text", " ")).alias("word"), F.lit(1).cast("long").alias("word_count")
     )
-    return tokens.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("word_count"))
 
 
 def _version(key: Column, seg: Column, nat: Column, start: Column, end: Column) -> list[Column]:

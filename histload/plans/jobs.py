@@ -13,6 +13,7 @@ from histload.config import LoadConfig, MergeConfig
 from histload.operators.dedup import dedup_rows, latest_per_key
 from histload.operators.history import (
     encode_open,
+    lookup_bytes,
     merge_changed_only,
     merge_reversion_all,
     stamp_open,
@@ -21,7 +22,6 @@ from histload.operators.quality import gate_chain, not_null_all
 from histload.sources.readers import read_parquet
 from histload.sources.workspace import work_folder
 from histload.sources.writers import (
-    Written,
     land_csv,
     publish,
     published_version,
@@ -44,7 +44,7 @@ def _cleansed(spark: SparkSession, csv: str, folder: str, config: LoadConfig) ->
 
 def _prepare(
     spark: SparkSession, csv: str, folder: str, config: LoadConfig, merge: MergeConfig
-) -> Written:
+) -> DataFrame:
     """An extract as open versions, one per key.
 
     It is written and read back: the merge reads it more than once, its size on disk lets Spark
@@ -54,14 +54,15 @@ def _prepare(
     latest = latest_per_key(_cleansed(spark, csv, folder, config), merge.key, order)
     versions = stamp_open(latest, merge)
     path = f"{folder}/prepared"
-    n_rows = write_snapshot(versions, path)
-    return Written(read_parquet(spark, path, versions.schema), n_rows)
+    write_snapshot(versions, path)
+    return read_parquet(spark, path, versions.schema)
 
 
-def _merge(hist: DataFrame, delta: Written, config: LoadConfig, merge: MergeConfig) -> DataFrame:
+def _merge(hist: DataFrame, delta: DataFrame, config: LoadConfig, merge: MergeConfig) -> DataFrame:
+    size = lookup_bytes(delta, merge)
     if config.mode == "reversion_all":
-        return merge_reversion_all(hist, delta.data, merge, delta.n_rows)
-    return merge_changed_only(hist, delta.data, merge, delta.n_rows, unique_delta=True)
+        return merge_reversion_all(hist, delta, merge, size)
+    return merge_changed_only(hist, delta, merge, size, unique_keys=True)
 
 
 def _history(spark: SparkSession, root: str, version: int, config: LoadConfig) -> DataFrame:
@@ -86,7 +87,7 @@ def first_history_load(
         folder = work_folder(spark)
         base = _prepare(spark, base_csv, f"{folder}/base", config, replace(merge, as_of=base_as_of))
         delta = _prepare(spark, delta_csv, f"{folder}/delta", config, merge)
-        publish(_merge(base.data, delta, config, merge), root, 1, merge.end)
+        publish(_merge(base, delta, config, merge), root, 1, merge.end)
     return encode_open(_history(spark, root, 1, config), config.merge)
 
 
@@ -104,7 +105,7 @@ def incremental_history_load(
         raise ValueError(f"version {version} follows {version - 1}, but {published} is published")
     if published < version:
         delta = _prepare(spark, delta_csv, work_folder(spark), config, merge)
-        current = read_published(spark, root, delta.data.schema, published, only_open=True)
+        current = read_published(spark, root, delta.schema, published, only_open=True)
         publish(_merge(current, delta, config, merge), root, version, merge.end)
     return encode_open(_history(spark, root, version, config), config.merge)
 

@@ -26,10 +26,7 @@ lines AS (
   FROM lineitem)"""
 
 WORDS = """
-words AS (
-  SELECT doc_id, word, count(*) AS word_count
-  FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents)
-  GROUP BY doc_id, word)"""
+words AS (SELECT unnest(string_split(text, ' ')) AS word, 1 AS word_count FROM documents)"""
 
 HIST = f"""
 hist AS (

@@ -127,7 +127,7 @@ def staged_republish(spark, sf_dir):
     first, delta = _hist(spark, sf_dir), _delta(spark, sf_dir)
     writers.publish(first, root, 1, MERGE.end)
     current = writers.read_published(spark, root, first.schema, 1, only_open=True)
-    merged = history.merge_changed_only(current, delta, MERGE, unique_delta=True)
+    merged = history.merge_changed_only(current, delta, MERGE, unique_keys=True)
     writers.publish(merged, root, 2, MERGE.end)
     return writers.read_published(spark, root, first.schema, writers.published_version(spark, root))
 
@@ -339,12 +339,12 @@ def history_order_hot_key(spark, sf_dir):
 
 def scd2_changed_only(spark, sf_dir):
     hist, delta = _hist(spark, sf_dir), _delta(spark, sf_dir)
-    return history.merge_changed_only(hist, delta, MERGE, unique_delta=True)
+    return history.merge_changed_only(hist, delta, MERGE, unique_keys=True)
 
 
 def scd2_changed_only_small_delta(spark, sf_dir):
     hist, delta = _hist(spark, sf_dir), _delta(spark, sf_dir)
-    return history.merge_changed_only(hist, delta, MERGE, delta_rows=delta.count())
+    return history.merge_changed_only(hist, delta, MERGE, delta_bytes=history.lookup_bytes(delta, MERGE))
 
 
 def scd2_changed_only_hot_key(spark, sf_dir):
