@@ -11,7 +11,7 @@ MERGE_MODES = ("changed_only", "reversion_all")
 DEDUP_MODES = ("rows", "latest")
 
 # Bytes up to which the summary of a delta may be broadcast.
-BROADCAST_BYTES = 256 << 20
+BROADCAST_BYTES = 128 << 20
 
 
 def _names(value) -> tuple[str, ...]:

@@ -11,6 +11,7 @@ from histload.functions.timestamps import (
     TIMESTAMP_FORMAT,
     as_of_column,
     horizon,
+    load_date,
     load_date_text,
     parse_timestamp,
     sentinel,
@@ -26,6 +27,7 @@ __all__ = [
     "as_of_column",
     "comparable",
     "horizon",
+    "load_date",
     "load_date_text",
     "none_blank",
     "parse_timestamp",

@@ -43,5 +43,9 @@ def parse_timestamp(column: str | Column, fmt: str | None = None, strict: bool =
     return parsed if strict else F.when(F.try_to_timestamp(value, F.lit(fmt)).isNotNull(), parsed)
 
 
+def load_date(as_of: datetime | str | None = None) -> Column:
+    return as_of_column(as_of).cast("date")
+
+
 def load_date_text(as_of: datetime | str | None = None, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.date_format(as_of_column(as_of).cast("date"), fmt)
+    return F.date_format(load_date(as_of), fmt)

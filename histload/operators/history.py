@@ -247,9 +247,8 @@ def _meet_by_summary(
     hit = F.col("__rows").isNotNull() & _differs_from_some(config)
     closed = _close(judged, hit, current.columns, config)
 
-    touched = current
-    if small:
-        touched = _lookup(current, _keys_of(delta, config), config, "left_semi", small)
+    # Most keys of a history are not in the delta; their summaries would be made for nothing.
+    touched = _lookup(current, _keys_of(delta, config), config, "left_semi", small)
     against = _lookup(delta, _value_ranges(touched, config), config, "left")
     added = against.where(F.col("__rows").isNull() | _differs_from_some(config))
     return closed.unionByName(added.select(*delta.columns))

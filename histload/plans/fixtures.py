@@ -98,11 +98,11 @@ def order_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     Pending orders are not loaded yet. A version without a key is there for each urgent order.
     """
     orders = table(spark, sf_dir, "orders")
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
     seg, nat, placed = F.col("o_orderpriority"), F.col("o_custkey"), F.col("o_orderdate")
     open_key = F.when(seg != "1-URGENT", key)
     current = orders.where(status != "P").select(*_version(open_key, seg, nat, placed, _no_end()))
-    past_key = F.when(status == "P", key).otherwise(0)
+    past_key = F.when(status == "P", key).otherwise("0")
     past = orders.select(
         *_version(past_key, seg, nat, placed - F.expr("INTERVAL '1' DAY"), placed)
     )
@@ -112,13 +112,12 @@ def order_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders, low-priority ones revised; key 0 comes again for a third of them, or without key."""
     orders = table(spark, sf_dir, "orders")
-    key, status, seg, nat = (
-        F.col(c) for c in ("o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey")
-    )
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    seg, nat = F.col("o_orderpriority"), F.col("o_custkey")
     starts = as_of_column(AS_OF)
     revised = F.when(seg != "5-LOW", seg)
     once = orders.select(*_version(key, revised, nat, starts, _no_end()))
-    again_key = F.when(seg != "1-URGENT", 0)
+    again_key = F.when(seg != "1-URGENT", "0")
     again = orders.where(status == "F").select(*_version(again_key, seg, nat, starts, _no_end()))
     return once.unionByName(again)
 

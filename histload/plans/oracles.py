@@ -51,19 +51,19 @@ BOTH = f"{HIST},{DELTA}"
 
 ORDERS = f"""
 hist AS (
-  SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderkey END AS k,
+  SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(o_orderkey AS VARCHAR) END AS k,
          o_orderpriority AS seg, o_custkey AS nat, o_orderdate AS start_date, {NO_END} AS end_date
   FROM orders WHERE o_orderstatus <> 'P'
   UNION ALL
-  SELECT CASE WHEN o_orderstatus = 'P' THEN o_orderkey ELSE 0 END, o_orderpriority, o_custkey,
+  SELECT CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderkey AS VARCHAR) ELSE '0' END, o_orderpriority, o_custkey,
          o_orderdate - INTERVAL 1 DAY, o_orderdate
   FROM orders),
 delta AS (
-  SELECT o_orderkey AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS seg,
+  SELECT CAST(o_orderkey AS VARCHAR) AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS seg,
          o_custkey AS nat, {AS_OF} AS start_date, {NO_END} AS end_date
   FROM orders
   UNION ALL
-  SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN 0 END, o_orderpriority, o_custkey, {AS_OF}, {NO_END}
+  SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN '0' END, o_orderpriority, o_custkey, {AS_OF}, {NO_END}
   FROM orders WHERE o_orderstatus = 'F')"""
 
 DIFFERS = "(h.seg IS DISTINCT FROM d.seg OR h.nat IS DISTINCT FROM d.nat)"
@@ -187,12 +187,13 @@ UNION ALL {profile('nat', blank=blank('nat'))} UNION ALL {profile('bal', nan='co
     "sum_by_key": f"WITH {WORDS} SELECT word, CAST(sum(word_count) AS BIGINT) AS word_count FROM words GROUP BY word",
     "sum_by_key_hot_key": f"WITH {LINES} SELECT k, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sum_qty FROM lines GROUP BY k",
     "fill_nulls": f"WITH {DIRTY} SELECT k, nm, coalesce(seg, 'UNKNOWN') AS seg, nat, coalesce(bal, 0.0) AS bal FROM dirty",
-    "load_date_text": "SELECT o_orderkey, '2022-02-01' AS load_date, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders",
+    "load_date_text": """
+SELECT o_orderkey, '01.02.2022' AS load_date, date_diff('day', CAST(o_orderdate AS DATE), DATE '2022-02-01') AS age_days,
+       strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders""",
     "parse_timestamp": """
 SELECT o_orderkey, o_orderdate AS parsed, true AS unchanged,
        CASE WHEN o_orderstatus NOT IN ('P', 'F') THEN o_orderdate END AS finite,
-       CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus = 'F' END AS is_open,
-       CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus <> 'F' END AS is_closed
+       o_orderstatus = 'F' AS is_open, o_orderstatus NOT IN ('P', 'F') AS is_closed
 FROM orders""",
     "current_rows": f"WITH {HIST} SELECT * FROM hist WHERE end_date IS NULL",
     "closed_rows": f"WITH {HIST} SELECT * FROM hist WHERE end_date IS NOT NULL",

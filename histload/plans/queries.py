@@ -12,6 +12,7 @@ from histload.config import GateConfig, LoadConfig, MergeConfig
 from histload.functions import (
     TIMESTAMP_FORMAT,
     all_not_null,
+    load_date,
     load_date_text,
     parse_timestamp,
     sentinel,
@@ -179,7 +180,8 @@ def fill_nulls(spark, sf_dir):
 def load_dates(spark, sf_dir):
     return fixtures.table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        load_date_text(fixtures.AS_OF).alias("load_date"),
+        load_date_text(fixtures.AS_OF, "dd.MM.yyyy").alias("load_date"),
+        F.datediff(load_date(fixtures.AS_OF), "o_orderdate").cast("long").alias("age_days"),
         F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd").alias("order_date"),
     )
 
@@ -199,8 +201,8 @@ def parse_timestamps(spark, sf_dir):
         strict.alias("parsed"),
         (strict == parse_timestamp("o_orderdate")).alias("unchanged"),
         F.nullif(lenient, sentinel()).alias("finite"),
-        (lenient == sentinel()).alias("is_open"),
-        (parse_timestamp("t", strict=False) < sentinel()).alias("is_closed"),
+        F.coalesce(lenient == sentinel(), F.lit(False)).alias("is_open"),
+        F.coalesce(parse_timestamp("t", strict=False) < sentinel(), F.lit(False)).alias("is_closed"),
     )
 
 

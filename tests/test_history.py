@@ -27,7 +27,7 @@ WAYS = {
 
 @pytest.fixture(scope="module")
 def inputs(spark, sf_dir):
-    return queries._hist(spark, sf_dir).cache(), queries._delta(spark, sf_dir).cache()
+    return queries._hist(spark, sf_dir), queries._delta(spark, sf_dir)
 
 
 def test_counts_of_the_fixture(inputs, sf_dir):
@@ -46,7 +46,7 @@ def test_counts_of_the_fixture(inputs, sf_dir):
 
 @pytest.mark.parametrize("merge", [history.merge_changed_only, history.merge_reversion_all])
 def test_at_most_one_open_version_and_no_overlap(inputs, merge):
-    merged = merge(*inputs, MERGE).cache()
+    merged = merge(*inputs, MERGE)
     assert history.open_key_violations(merged, MERGE).isEmpty()
     a, b = merged.alias("a"), merged.alias("b")
     overlap = a.join(b, "k").where(

@@ -90,9 +90,9 @@ def test_hot_key_is_split_at_run_time(spark, sf_dir):
     with settings(
         spark,
         spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__shuffle__partitions="32",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
+        spark__sql__shuffle__partitions="200",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4k",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2k",
     ):
         hist = fixtures.order_hist(spark, sf_dir).repartition(16)
         delta = fixtures.order_delta(spark, sf_dir).repartition(16)
