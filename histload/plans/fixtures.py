@@ -1,7 +1,7 @@
 """Inputs with dirt and history, derived from whole test tables.
 
 The tables are clean and hold no history, so nulls, blanks, copies, earlier versions and revisions
-are worked into them. The remainders of the key decide which customer gets which of these.
+are worked into them. A row's own values decide which of these it gets.
 """
 
 from __future__ import annotations
@@ -22,25 +22,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with null segments, blank nations, copied rows and a key that repeats."""
-    customer = table(spark, sf_dir, "customer")
-    nation = F.col("c_nationkey")
-    copies = F.when(F.col("c_custkey") % 7 == 0, 2).otherwise(1)
-    return customer.select(
-        (F.col("c_custkey") % 400).alias("k"),
-        F.col("c_name").alias("nm"),
-        F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("seg"),
-        F.when(nation % 5 == 0, "").otherwise(nation.cast("string")).alias("nat"),
-        F.col("c_acctbal").alias("bal"),
-        F.explode(F.array_repeat(F.lit(1), copies)).alias("copy"),
-    ).drop("copy")
+    """Customers by balance band, with null segments, blank nations and debtors listed twice."""
+    nation, balance = F.col("c_nationkey"), F.col("c_acctbal")
+    return (
+        table(spark, sf_dir, "customer")
+        .select(
+            F.floor(balance / 25).alias("k"),
+            F.col("c_name").alias("nm"),
+            F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("seg"),
+            F.when(nation < 5, "").otherwise(nation.cast("string")).alias("nat"),
+            balance.alias("bal"),
+            F.explode(F.array_repeat(F.lit(1), F.when(balance < 0, 2).otherwise(1))).alias("copy"),
+        )
+        .drop("copy")
+    )
 
 
 def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines of which a third share one key."""
-    order = F.col("l_orderkey")
     return table(spark, sf_dir, "lineitem").select(
-        F.when(order % 3 == 0, 0).otherwise(order).alias("k"),
+        F.when(F.col("l_returnflag") == "A", 0).otherwise(F.col("l_orderkey")).alias("k"),
         "l_partkey",
         "l_linenumber",
         "l_quantity",
@@ -62,29 +63,32 @@ def _version(key: Column, seg: Column, nat: Column, start: Column, end: Column)
 
 
 def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open versions, with the sentinel, and one earlier closed version for a quarter of the keys."""
+    """Open versions, with the sentinel, and an earlier closed one for the customers of six nations.
+
+    Debtors have no open version, so some keys have closed ones only and some are not there at all.
+    """
     customer = table(spark, sf_dir, "customer")
     key, seg, nat = F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")
-    current = customer.where(key % 10 != 9).select(
+    current = customer.where("c_acctbal >= 0").select(
         *_version(key, seg, nat, as_of_column(BASE_AS_OF), sentinel())
     )
-    earlier = customer.where(key % 4 == 1).select(
+    earlier = customer.where("c_nationkey < 6").select(
         *_version(key, F.lit("LEGACY"), nat, as_of_column(LEGACY_AS_OF), as_of_column(BASE_AS_OF))
     )
     return current.unionByName(earlier)
 
 
 def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revised, nulled, padded, unchanged and new rows, one per key."""
-    key, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    """Revised, nulled, padded, unchanged and new rows; households are not in the extract."""
+    seg, nat = F.col("c_mktsegment"), F.col("c_nationkey")
     revised = (
-        F.when(key % 3 == 0, "REVISED")
-        .when(key % 5 == 0, None)
-        .when(key % 11 == 0, F.concat(F.lit(" "), seg, F.lit(" ")))
+        F.when(F.col("c_acctbal") > 6500, "REVISED")
+        .when(nat == 3, None)
+        .when(nat.isin(7, 8), F.concat(F.lit(" "), seg, F.lit(" ")))
         .otherwise(seg)
     )
-    return table(spark, sf_dir, "customer").where(key % 2 == 1).select(
-        *_version(key, revised, F.col("c_nationkey"), as_of_column(AS_OF), sentinel())
+    return table(spark, sf_dir, "customer").where(seg != "HOUSEHOLD").select(
+        *_version(F.col("c_custkey"), revised, nat, as_of_column(AS_OF), sentinel())
     )
 
 

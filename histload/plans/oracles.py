@@ -10,18 +10,19 @@ NO_END = "CAST(NULL AS TIMESTAMP)"
 
 DIRTY = """
 dirty_once AS (
-  SELECT c_custkey, c_custkey % 400 AS k, c_name AS nm, nullif(c_mktsegment, 'MACHINERY') AS seg,
-         CASE WHEN c_nationkey % 5 = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS nat,
+  SELECT CAST(floor(c_acctbal / 25) AS BIGINT) AS k, c_name AS nm,
+         nullif(c_mktsegment, 'MACHINERY') AS seg,
+         CASE WHEN c_nationkey < 5 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS nat,
          c_acctbal AS bal
   FROM customer),
 dirty AS (
-  SELECT k, nm, seg, nat, bal FROM dirty_once
+  SELECT * FROM dirty_once
   UNION ALL
-  SELECT k, nm, seg, nat, bal FROM dirty_once WHERE c_custkey % 7 = 0)"""
+  SELECT * FROM dirty_once WHERE bal < 0)"""
 
 LINES = """
 lines AS (
-  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k,
+  SELECT CASE WHEN l_returnflag = 'A' THEN 0 ELSE l_orderkey END AS k,
          l_partkey, l_linenumber, l_quantity, l_shipdate
   FROM lineitem)"""
 
@@ -32,20 +33,20 @@ HIST = f"""
 hist AS (
   SELECT c_custkey AS k, c_mktsegment AS seg, c_nationkey AS nat,
          {BASE_AS_OF} AS start_date, {NO_END} AS end_date
-  FROM customer WHERE c_custkey % 10 <> 9
+  FROM customer WHERE c_acctbal >= 0
   UNION ALL
   SELECT c_custkey, 'LEGACY', c_nationkey, {LEGACY_AS_OF}, {BASE_AS_OF}
-  FROM customer WHERE c_custkey % 4 = 1)"""
+  FROM customer WHERE c_nationkey < 6)"""
 
 DELTA = f"""
 delta AS (
   SELECT c_custkey AS k,
-         CASE WHEN c_custkey % 3 = 0 THEN 'REVISED'
-              WHEN c_custkey % 5 = 0 THEN NULL
-              WHEN c_custkey % 11 = 0 THEN concat(' ', c_mktsegment, ' ')
+         CASE WHEN c_acctbal > 6500 THEN 'REVISED'
+              WHEN c_nationkey = 3 THEN NULL
+              WHEN c_nationkey IN (7, 8) THEN concat(' ', c_mktsegment, ' ')
               ELSE c_mktsegment END AS seg,
          c_nationkey AS nat, {AS_OF} AS start_date, {NO_END} AS end_date
-  FROM customer WHERE c_custkey % 2 = 1)"""
+  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')"""
 
 BOTH = f"{HIST},{DELTA}"
 

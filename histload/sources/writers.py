@@ -60,24 +60,33 @@ def land_csv(
 
 
 # A published history lies in three places below its root:
-#   data/version=N/is_open=1   the open versions as of load N
-#   data/version=N/is_open=0   the versions that load N closed
-#   published/                 one row per load that is complete
+#   loads/version=N/is_open=1   the open versions as of load N
+#   closed/version=N            the versions that load N closed
+#   published/                  one row per load that is complete
 # A load writes new folders only, so readers of the version before are not disturbed, and a load
 # that breaks off leaves nothing they would see. Closed versions are written once and never again.
+# One load at a time may write; once published, loads before it are needed by its late readers only.
 
 
 def publish(changes: DataFrame, root: str, version: int, end: str) -> int:
-    """Write open versions and those closed by this load, then name the load complete."""
+    """Write open versions and those closed by this load, then name the load complete.
+
+    One pass over the changes writes both. Every task may have closed a few versions, which makes as
+    many small files, so these are gathered into few before they join the closed ones for good.
+    """
     spark = changes.sparkSession
+    load = f"{root}/loads/version={version}"
     flagged = changes.withColumn("is_open", F.col(end).isNull().cast("int"))
     counted = Observation()
     (
         flagged.observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .partitionBy("is_open")
-        .parquet(f"{root}/data/version={version}")
+        .parquet(load)
     )
+    closed = spark.read.schema(flagged.schema).parquet(load).where("is_open = 0").drop("is_open")
+    closed.hint("rebalance").write.mode("overwrite").parquet(f"{root}/closed/version={version}")
+
     n = counted.get["rows"]
     mark = spark.range(1, numPartitions=1).select(F.lit(version).alias("version"), F.lit(n).alias("n_rows"))
     mark.write.mode("append").parquet(f"{root}/published")
@@ -100,11 +109,15 @@ def read_published(
 ) -> DataFrame:
     """The history as of one load: its open versions, and all versions closed up to it.
 
-    Both conditions are on partition folders, so Spark lists the files it needs and opens no other.
+    Openness and load are partition folders, so Spark opens only the files it needs.
     """
-    stored = StructType([*schema.fields]).add("version", IntegerType()).add("is_open", IntegerType())
-    data = spark.read.schema(stored).parquet(f"{root}/data")
-    wanted = (F.col("version") == version) & (F.col("is_open") == 1)
-    if not only_open:
-        wanted = wanted | ((F.col("version") <= version) & (F.col("is_open") == 0))
-    return data.where(wanted).drop("version", "is_open")
+
+    def stored(path: str, partition: str) -> DataFrame:
+        fields = StructType([*schema.fields]).add(partition, IntegerType())
+        return spark.read.schema(fields).parquet(path)
+
+    current = stored(f"{root}/loads/version={version}", "is_open").where("is_open = 1").drop("is_open")
+    if only_open:
+        return current
+    closed = stored(f"{root}/closed", "version").where(F.col("version") <= version).drop("version")
+    return current.unionByName(closed)

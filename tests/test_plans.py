@@ -111,20 +111,28 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, sf_dir, tmp_path
 
 
 def test_published_reads_only_the_folders_it_needs(spark, sf_dir, tmp_path):
-    root, hist = str(tmp_path / "h"), queries._hist(spark, sf_dir)
+    root, hist = tmp_path / "h", queries._hist(spark, sf_dir)
     for version in (1, 2, 3):
-        writers.publish(hist, root, version, "end_date")
-    only_open = writers.read_published(spark, root, hist.schema, 3, only_open=True)
-    whole = writers.read_published(spark, root, hist.schema, 2)
+        writers.publish(hist, str(root), version, "end_date")
+    only_open = writers.read_published(spark, str(root), hist.schema, 3, only_open=True)
+    whole = writers.read_published(spark, str(root), hist.schema, 2)
 
     def folders(df):
         names = df.select(F.input_file_name().alias("f")).distinct().collect()
-        return {"/".join(r.f.split("/data/")[1].split("/")[:2]) for r in names}
+        return {r.f.split(f"{root}/")[1].rsplit("/", 1)[0] for r in names}
 
-    assert folders(only_open) == {"version=3/is_open=1"}
-    assert folders(whole) == {"version=1/is_open=0", "version=2/is_open=0", "version=2/is_open=1"}
-    assert "PartitionFilters: [isnotnull(version" in plan(only_open)
-    assert "PartitionFilters: []" not in plan(whole)
+    current = "loads/version={}/is_open=1"
+    assert folders(only_open) == {current.format(3)}
+    assert folders(whole) == {current.format(2), "closed/version=1", "closed/version=2"}
+    assert "PartitionFilters: [isnotnull(is_open" in plan(only_open)
+    assert "PartitionFilters: [isnotnull(version" in plan(whole)
+
+
+def test_few_files_of_closed_versions(spark, sf_dir, tmp_path):
+    hist = queries._hist(spark, sf_dir).repartition(40)
+    writers.publish(hist, str(tmp_path), 1, "end_date")
+    assert len(list((tmp_path / "loads" / "version=1" / "is_open=0").glob("*.parquet"))) == 40
+    assert len(list((tmp_path / "closed" / "version=1").glob("*.parquet"))) == 1
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):

@@ -155,7 +155,8 @@ def test_load_that_broke_off_is_repeated(spark, tmp_path, monkeypatch):
 
     def data_only(changes, root, version, end):
         flagged = changes.withColumn("is_open", F.col(end).isNull().cast("int"))
-        flagged.write.partitionBy("is_open").parquet(f"{root}/data/version={version}")
+        flagged.drop("is_open").where("end_date IS NOT NULL").write.parquet(f"{root}/closed/version={version}")
+        flagged.write.partitionBy("is_open").parquet(f"{root}/loads/version={version}")
         raise RuntimeError("lost")
 
     with monkeypatch.context() as m:
