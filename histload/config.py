@@ -125,3 +125,5 @@ class LoadConfig:
             raise ValueError(f"dedup must be one of {DEDUP_MODES}")
         if self.merge and not self.merge.as_of:
             raise ValueError("a load runs several queries and needs one fixed as_of")
+        if self.merge and not set(self.merge.key) <= set(self.required):
+            raise ValueError("every key column must be required: rows without a key have no history")

@@ -105,18 +105,26 @@ def _differs_from_some(config: MergeConfig) -> Column:
 
 
 def _lookup(
-    df: DataFrame, summary: DataFrame, config: MergeConfig, how: str, small: bool = False
+    df: DataFrame,
+    summary: DataFrame,
+    config: MergeConfig,
+    how: str,
+    small: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Join each row to the summary row of its key.
 
-    A small summary is broadcast and the rows stay where they are. Otherwise a key with very many
-    rows must not end in one task. Spark splits such a partition at run time, but only in a join
-    whose sides both come straight from a shuffle made for it. A summary would be joined as its
-    aggregation left it; the hash, equal whenever the keys are, makes Spark shuffle it for the join.
+    A small summary is broadcast and the rows stay where they are. Otherwise, unless keys are known
+    to be unique, a key with very many rows must not end in one task. Spark splits such a partition
+    at run time, but only in a join whose sides both come straight from a shuffle made for it. A
+    summary would be joined as its aggregation left it; the hash, equal whenever the keys are, makes
+    Spark shuffle it for the join.
     """
     on = [F.col(c) == F.col(n) for c, n in zip(config.key, _key_names(config))]
     if small:
         return df.join(F.broadcast(summary), on, how)
+    if unique:
+        return df.join(summary, on, how)
     hashed = summary.withColumn("__hash", F.xxhash64(*_key_names(config)))
     return df.join(hashed, [*on, F.xxhash64(*config.key) == F.col("__hash")], how)
 
@@ -197,16 +205,22 @@ def _close(judged: DataFrame, hit: Column, columns: list[str], config: MergeConf
 
 
 def merge_reversion_all(
-    hist: DataFrame, delta: DataFrame, config: MergeConfig, delta_bytes: int | None = None
+    hist: DataFrame,
+    delta: DataFrame,
+    config: MergeConfig,
+    delta_bytes: int | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Close the open version of every key in the delta, changed or not, and add the whole delta.
 
     Only the distinct keys of the delta are looked up, so the delta itself is not shuffled, and with
     a delta measured as small (``delta_bytes``, see ``lookup_bytes``) the history is not either.
+    ``unique_keys`` says that no key has more than one open version.
     """
     current, beside = _split(hist, config)
     keys = _keys_of(delta.where(~any_null(config.key)), config).withColumn("__hit", F.lit(True))
-    judged = _lookup(current, keys, config, "left", _is_small(delta_bytes, config))
+    small = _is_small(delta_bytes, config)
+    judged = _lookup(current, keys, config, "left", small, unique_keys)
     closed = _close(judged, F.col("__hit").isNotNull(), hist.columns, config)
     return closed.unionByName(beside).unionByName(delta)
 

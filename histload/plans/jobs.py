@@ -42,27 +42,31 @@ def _cleansed(spark: SparkSession, csv: str, folder: str, config: LoadConfig) ->
     return not_null_all(landed, config.required)
 
 
-def _prepare(
+def _versions(
     spark: SparkSession, csv: str, folder: str, config: LoadConfig, merge: MergeConfig
 ) -> DataFrame:
-    """An extract as open versions, one per key.
-
-    It is written and read back: the merge reads it more than once, its size on disk lets Spark
-    choose the join, and a lost executor costs no more than a read.
-    """
+    """An extract as open versions, one per key."""
     order = config.latest_order or merge.tracked
     latest = latest_per_key(_cleansed(spark, csv, folder, config), merge.key, order)
-    versions = stamp_open(latest, merge)
-    path = f"{folder}/prepared"
-    write_snapshot(versions, path)
-    return read_parquet(spark, path, versions.schema)
+    return stamp_open(latest, merge)
 
 
-def _merge(hist: DataFrame, delta: DataFrame, config: LoadConfig, merge: MergeConfig) -> DataFrame:
-    size = lookup_bytes(delta, merge)
-    if config.mode == "reversion_all":
-        return merge_reversion_all(hist, delta, merge, size)
-    return merge_changed_only(hist, delta, merge, size, unique_keys=True)
+def _merge(
+    spark: SparkSession,
+    hist: DataFrame,
+    delta: DataFrame,
+    folder: str,
+    config: LoadConfig,
+    merge: MergeConfig,
+) -> DataFrame:
+    """Merge a delta that holds each key once.
+
+    It is written first: the merge reads it more than once, and its size decides how it is joined.
+    """
+    write_snapshot(delta, folder)
+    written = read_parquet(spark, folder, delta.schema)
+    operator = merge_reversion_all if config.mode == "reversion_all" else merge_changed_only
+    return operator(hist, written, merge, lookup_bytes(written, merge), unique_keys=True)
 
 
 def _history(spark: SparkSession, root: str, version: int, config: LoadConfig) -> DataFrame:
@@ -85,9 +89,11 @@ def first_history_load(
     merge = _internal(config.merge)
     if published_version(spark, root) is None:
         folder = work_folder(spark)
-        base = _prepare(spark, base_csv, f"{folder}/base", config, replace(merge, as_of=base_as_of))
-        delta = _prepare(spark, delta_csv, f"{folder}/delta", config, merge)
-        publish(_merge(base, delta, config, merge), root, 1, merge.end)
+        # The base is read once: its rows meet the delta where de-duplication has brought them.
+        base = _versions(spark, base_csv, f"{folder}/base", config, replace(merge, as_of=base_as_of))
+        delta = _versions(spark, delta_csv, f"{folder}/delta", config, merge)
+        merged = _merge(spark, base, delta, f"{folder}/prepared", config, merge)
+        publish(merged, root, 1, merge.end)
     return encode_open(_history(spark, root, 1, config), config.merge)
 
 
@@ -104,9 +110,11 @@ def incremental_history_load(
     if published is None or published < version - 1:
         raise ValueError(f"version {version} follows {version - 1}, but {published} is published")
     if published < version:
-        delta = _prepare(spark, delta_csv, work_folder(spark), config, merge)
+        folder = work_folder(spark)
+        delta = _versions(spark, delta_csv, folder, config, merge)
         current = read_published(spark, root, delta.schema, published, only_open=True)
-        publish(_merge(current, delta, config, merge), root, version, merge.end)
+        merged = _merge(spark, current, delta, f"{folder}/prepared", config, merge)
+        publish(merged, root, version, merge.end)
     return encode_open(_history(spark, root, version, config), config.merge)
 
 

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from histload.config import GateConfig, MergeConfig
+from histload.config import GateConfig, LoadConfig, MergeConfig
 from histload.operators import dedup, history, quality
 from histload.sources import readers
 
@@ -38,7 +38,8 @@ NEW_EMPLOYEES = [
     (6, "Brown", 2, "2011", "50", "", -1),
 ]
 EMPLOYEE = MergeConfig("emp_id", "name,superior,year,dept,gender,salary", datetime(2022, 2, 1))
-CODE = MergeConfig("code", "text", datetime(2022, 2, 1))
+AS_OF = datetime(2022, 2, 1)
+CODE = MergeConfig("code", "text", AS_OF)
 START = datetime(2021, 12, 31, 23, 59, 59)
 
 
@@ -173,3 +174,7 @@ def test_config_is_checked():
         MergeConfig("a", "a")
     with pytest.raises(ValueError):
         MergeConfig("a", "b", open_end="never")
+    with pytest.raises(ValueError, match="as_of"):
+        LoadConfig("a INT, b INT", "a", merge=MergeConfig("a", "b"))
+    with pytest.raises(ValueError, match="required"):
+        LoadConfig("a INT, b INT", "b", merge=MergeConfig("a", "b", AS_OF))

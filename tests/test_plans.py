@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from histload.operators import dedup, history, quality
-from histload.plans import fixtures, queries
+from histload.plans import fixtures, jobs, queries
 from histload.sources import writers
 
 
@@ -146,3 +146,25 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 def test_gate_reports_take_one_pass(gate, spark, sf_dir):
     text = plan(queries.QUERIES[gate](spark, sf_dir))
     assert text.count("FileScan") == 1
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("mode, join", [("changed_only", "FullOuter"), ("reversion_all", "LeftOuter")])
+def test_first_load_joins_the_base_where_it_was_deduplicated(mode, join, spark, sf_dir, tmp_path, monkeypatch):
+    plans = []
+
+    def publish(changes, *_):
+        plans.append(plan(changes))
+        raise Stop
+
+    monkeypatch.setattr(jobs, "publish", publish)
+    config = queries._load_config(mode)
+    config = queries.replace(config, merge=queries.replace(config.merge, broadcast_bytes=0))
+    with shuffle_joins(spark), pytest.raises(Stop):
+        queries._first_load(spark, sf_dir, str(tmp_path), config)
+    merged = plans[0].split(join)[1]
+    base = merged.split("Window [")[0]
+    assert "Exchange" not in base and "Sort " not in base
