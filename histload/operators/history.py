@@ -142,40 +142,69 @@ def _is_small(delta_bytes: int | None, config: MergeConfig) -> bool:
     return delta_bytes is not None and delta_bytes <= config.broadcast_bytes
 
 
+def _touched(
+    versions: DataFrame, delta: DataFrame, config: MergeConfig, small: bool
+) -> DataFrame:
+    """The versions whose key is in the delta.
+
+    Most keys of a history are not; summaries of them would be made for nothing.
+    """
+    return _lookup(versions, _keys_of(delta, config), config, "left_semi", small)
+
+
 # ---------------------------------------------------------------- change detection
 
+# ``delta_bytes`` is what ``lookup_bytes`` measured; a small delta is broadcast and the history
+# stays in place. Without it Spark decides by its own estimates.
+
 
-def new_keys(delta: DataFrame, hist: DataFrame, config: MergeConfig) -> DataFrame:
+def new_keys(
+    delta: DataFrame, hist: DataFrame, config: MergeConfig, delta_bytes: int | None = None
+) -> DataFrame:
     """Rows of the delta whose key is in no version of the history."""
+    if _is_small(delta_bytes, config):
+        hist = _touched(hist, delta, config, small=True)
     return _lookup(delta, _keys_of(hist, config), config, "left_anti")
 
 
-def changed_rows(delta: DataFrame, hist: DataFrame, config: MergeConfig) -> DataFrame:
+def changed_rows(
+    delta: DataFrame, hist: DataFrame, config: MergeConfig, delta_bytes: int | None = None
+) -> DataFrame:
     """Rows of the delta that differ from an open version of their key."""
-    return _changed(delta, current_rows(hist, config), config)
+    touched = _touched(current_rows(hist, config), delta, config, _is_small(delta_bytes, config))
+    return _changed(delta, touched, config)
 
 
-def _changed(rows: DataFrame, others: DataFrame, config: MergeConfig) -> DataFrame:
-    matched = _lookup(rows, _value_ranges(others, config), config, "inner")
+def _changed(
+    rows: DataFrame, others: DataFrame, config: MergeConfig, small: bool = False
+) -> DataFrame:
+    matched = _lookup(rows, _value_ranges(others, config), config, "inner", small)
     return matched.where(_differs_from_some(config)).select(*rows.columns)
 
 
 def rows_to_close(
-    hist: DataFrame, delta: DataFrame, config: MergeConfig, only_changed: bool = False
+    hist: DataFrame,
+    delta: DataFrame,
+    config: MergeConfig,
+    only_changed: bool = False,
+    delta_bytes: int | None = None,
 ) -> DataFrame:
     """Open versions whose key is in the delta (or changes in it), closed at the load time."""
-    current = current_rows(hist, config)
+    current, small = current_rows(hist, config), _is_small(delta_bytes, config)
     if only_changed:
-        found = _changed(current, delta, config)
+        found = _changed(current, delta, config, small)
     else:
-        found = _lookup(current, _keys_of(delta, config), config, "left_semi")
+        found = _touched(current, delta, config, small)
     return found.withColumn(config.end, as_of_column(config.as_of))
 
 
-def carry_forward(hist: DataFrame, delta: DataFrame, config: MergeConfig) -> DataFrame:
+def carry_forward(
+    hist: DataFrame, delta: DataFrame, config: MergeConfig, delta_bytes: int | None = None
+) -> DataFrame:
     """Every version the merge leaves as it is: closed ones, and open ones without a change."""
     current, beside = _split(hist, config)
-    judged = _lookup(current, _value_ranges(delta, config), config, "left")
+    ranges, small = _value_ranges(delta, config), _is_small(delta_bytes, config)
+    judged = _lookup(current, ranges, config, "left", small)
     kept = judged.where(F.col("__rows").isNull() | ~_differs_from_some(config))
     return kept.select(*hist.columns).unionByName(beside)
 
@@ -261,8 +290,7 @@ def _meet_by_summary(
     hit = F.col("__rows").isNotNull() & _differs_from_some(config)
     closed = _close(judged, hit, current.columns, config)
 
-    # Most keys of a history are not in the delta; their summaries would be made for nothing.
-    touched = _lookup(current, _keys_of(delta, config), config, "left_semi", small)
+    touched = _touched(current, delta, config, small)
     against = _lookup(delta, _value_ranges(touched, config), config, "left")
     added = against.where(F.col("__rows").isNull() | _differs_from_some(config))
     return closed.unionByName(added.select(*delta.columns))

@@ -97,6 +97,19 @@ def test_ways_to_merge_agree(inputs):
     assert results[0] == results[1] == results[2]
 
 
+def test_change_detection_with_a_small_delta_agrees(inputs):
+    hist, delta = inputs
+    size = history.lookup_bytes(delta, MERGE)
+    pairs = [
+        (history.new_keys(delta, hist, MERGE, b), history.changed_rows(delta, hist, MERGE, b),
+         history.rows_to_close(hist, delta, MERGE, False, b),
+         history.rows_to_close(hist, delta, MERGE, True, b), history.carry_forward(hist, delta, MERGE, b))
+        for b in (None, size)
+    ]
+    for plain, small in zip(*pairs):
+        assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, small.collect()))
+
+
 @pytest.mark.parametrize("way", WAYS)
 def test_replay_changes_nothing(inputs, way):
     hist, delta = inputs
