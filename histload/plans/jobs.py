@@ -57,16 +57,19 @@ def _merge(
     delta: DataFrame,
     folder: str,
     config: LoadConfig,
-    merge: MergeConfig,
+    stored: bool,
 ) -> DataFrame:
     """Merge a delta that holds each key once.
 
-    It is written first: the merge reads it more than once, and its size decides how it is joined.
+    The delta is written first, as the merge may read it more than once. Its size decides whether a
+    ``stored`` history stays in place; one that was just shuffled by key is best joined right there.
     """
+    merge = _internal(config.merge)
     write_snapshot(delta, folder)
     written = read_parquet(spark, folder, delta.schema)
+    size = lookup_bytes(written, merge) if stored else None
     operator = merge_reversion_all if config.mode == "reversion_all" else merge_changed_only
-    return operator(hist, written, merge, lookup_bytes(written, merge), unique_keys=True)
+    return operator(hist, written, merge, size, unique_keys=True)
 
 
 def _history(spark: SparkSession, root: str, version: int, config: LoadConfig) -> DataFrame:
@@ -89,10 +92,9 @@ def first_history_load(
     merge = _internal(config.merge)
     if published_version(spark, root) is None:
         folder = work_folder(spark)
-        # The base is read once: its rows meet the delta where de-duplication has brought them.
         base = _versions(spark, base_csv, f"{folder}/base", config, replace(merge, as_of=base_as_of))
         delta = _versions(spark, delta_csv, f"{folder}/delta", config, merge)
-        merged = _merge(spark, base, delta, f"{folder}/prepared", config, merge)
+        merged = _merge(spark, base, delta, f"{folder}/prepared", config, stored=False)
         publish(merged, root, 1, merge.end)
     return encode_open(_history(spark, root, 1, config), config.merge)
 
@@ -113,7 +115,7 @@ def incremental_history_load(
         folder = work_folder(spark)
         delta = _versions(spark, delta_csv, folder, config, merge)
         current = read_published(spark, root, delta.schema, published, only_open=True)
-        merged = _merge(spark, current, delta, f"{folder}/prepared", config, merge)
+        merged = _merge(spark, current, delta, f"{folder}/prepared", config, stored=True)
         publish(merged, root, version, merge.end)
     return encode_open(_history(spark, root, version, config), config.merge)
 

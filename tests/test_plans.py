@@ -161,10 +161,8 @@ def test_first_load_joins_the_base_where_it_was_deduplicated(mode, join, spark,
         raise Stop
 
     monkeypatch.setattr(jobs, "publish", publish)
-    config = queries._load_config(mode)
-    config = queries.replace(config, merge=queries.replace(config.merge, broadcast_bytes=0))
     with shuffle_joins(spark), pytest.raises(Stop):
-        queries._first_load(spark, sf_dir, str(tmp_path), config)
+        queries._first_load(spark, sf_dir, str(tmp_path), queries._load_config(mode))
     merged = plans[0].split(join)[1]
     base = merged.split("Window [")[0]
     assert "Exchange" not in base and "Sort " not in base
