@@ -117,16 +117,17 @@ def _lookup(
     A small summary is broadcast and the rows stay where they are. Otherwise, unless keys are known
     to be unique, a key with very many rows must not end in one task. Spark splits such a partition
     at run time, but only in a join whose sides both come straight from a shuffle made for it. A
-    summary would be joined as its aggregation left it; the hash, equal whenever the keys are, makes
-    Spark shuffle it for the join.
+    summary would be joined as its aggregation left it; a second equality, 0 = 0 for every row but
+    unknown to the optimizer, makes Spark shuffle it for the join.
     """
     on = [F.col(c) == F.col(n) for c, n in zip(config.key, _key_names(config))]
     if small:
         return df.join(F.broadcast(summary), on, how)
     if unique:
         return df.join(summary, on, how)
-    hashed = summary.withColumn("__hash", F.xxhash64(*_key_names(config)))
-    return df.join(hashed, [*on, F.xxhash64(*config.key) == F.col("__hash")], how)
+    zero = F.pmod(F.xxhash64(*_key_names(config)), F.lit(1))
+    also = F.pmod(F.xxhash64(*config.key), F.lit(1)) == F.col("__zero")
+    return df.join(summary.withColumn("__zero", zero), [*on, also], how)
 
 
 def lookup_bytes(delta: DataFrame, config: MergeConfig) -> int:

@@ -72,7 +72,7 @@ def rows_scan_codes(spark, sf_dir):
     known = quality.not_null_all(codes, ["code", "description"])
     orders = fixtures.table(spark, sf_dir, "orders")
     return (
-        orders.join(known, orders.o_orderpriority == known.code)
+        orders.join(F.broadcast(known), orders.o_orderpriority == known.code)  # five rows at most
         .groupBy("code", "description")
         .agg(F.count(F.lit(1)).alias("n_orders"))
     )

@@ -245,6 +245,21 @@ def test_two_part_key(spark):
         )
 
 
+def test_keys_and_values_of_other_integer_types(spark):
+    narrow = SCHEMA.replace("k BIGINT", "k INT").replace("nat INT", "nat SMALLINT")
+    hist_rows, delta_rows = [(1, "x", 1, OLD, None), (2, "x", 1, OLD, None)], [(1, "x", 2, AS_OF, None)]
+    expected = Counter(
+        [(1, "x", 1, OLD, AS_OF), (1, "x", 2, AS_OF, None), (2, "x", 1, OLD, None)]
+    )
+    for one, other in ((SCHEMA, narrow), (narrow, SCHEMA)):
+        hist, delta = readers.rows(spark, hist_rows, one), readers.rows(spark, delta_rows, other)
+        for way in WAYS.values():
+            merged = history.merge_changed_only(hist, delta, MERGE, **way)
+            assert Counter(map(tuple, merged.collect())) == expected
+            merged = history.merge_reversion_all(hist, delta, MERGE, **way)
+            assert Counter(map(tuple, merged.collect())) == expected
+
+
 def test_lookup_bytes_bounds_the_texts(spark, sf_dir):
     delta = fixtures.delta(spark, sf_dir)
     text = delta.agg(F.sum(F.octet_length("seg"))).first()[0]
