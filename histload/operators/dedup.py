@@ -32,5 +32,7 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str])
     before it shuffles, so a key with very many rows does not burden one task.
     """
     keys = list(keys)
+    if not keys:
+        raise ValueError("without keys, all rows would be one group in one task")
     window = Window.partitionBy(*keys).orderBy(*total_order(df, keys, order_by))
     return df.withColumn("__rn", F.row_number().over(window)).where("__rn = 1").drop("__rn")

@@ -140,6 +140,9 @@ def stamped(end_text: str) -> str:
 
 HORIZON = f"({AS_OF} + INTERVAL 999999999 SECOND)"
 ENCODED = f"WITH {HIST} SELECT {VERSION}, end_date IS NULL AS was_open FROM hist"
+KEPT = f"count(*) FILTER ({NOT_NULL})"
+WORD_SUMS = f"""WITH {WORDS}
+SELECT word, CAST(sum(word_count) AS BIGINT) AS word_count FROM words GROUP BY word"""
 DISTINCT_KEPT = f"(SELECT count(*) FROM (SELECT DISTINCT k FROM dirty WHERE {NOT_NULL}))"
 SCHEMA_DETAIL = "missing: nm; unexpected: end_date,start_date; mistyped: "
 
@@ -164,15 +167,17 @@ FROM orders JOIN (VALUES ('1-URGENT', 'due today'), ('2-HIGH', 'due this week'),
 GROUP BY code, description""",
     # A blank field of an extract is read as null.
     "csv_typed_landing": f"WITH {DIRTY} SELECT k, nm, seg, nullif(nat, '') AS nat, bal FROM dirty",
-    "csv_string_scan": f"WITH {DELTA} SELECT CAST(k AS VARCHAR) AS k, seg, CAST(nat AS VARCHAR) AS nat FROM delta",
+    "csv_string_scan": f"""WITH {DELTA}
+SELECT CAST(k AS VARCHAR) AS k, seg, CAST(nat AS VARCHAR) AS nat FROM delta""",
     "parquet_roundtrip": "SELECT * FROM events",
     "table_scan_view": "SELECT c.* FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey",
     "sink_partitioned_snapshot": f"WITH {DIRTY} SELECT * FROM dirty",
-    "sink_plain_snapshot": f"WITH {WORDS} SELECT word, CAST(sum(word_count) AS BIGINT) AS word_count FROM words GROUP BY word",
+    "sink_plain_snapshot": WORD_SUMS,
     "staged_republish": f"WITH {BOTH} {changed_only('hist', 'delta')}",
     "not_null_all": f"WITH {DIRTY} SELECT * FROM dirty WHERE {NOT_NULL}",
     "rejected_rows": f"WITH {DIRTY} SELECT * FROM dirty WHERE NOT ({NOT_NULL})",
-    "not_blank_all": f"WITH {DIRTY} SELECT * FROM dirty WHERE k IS NOT NULL AND trim(nm) <> '' AND trim(seg) <> '' AND trim(nat) <> ''",
+    "not_blank_all": f"""WITH {DIRTY} SELECT * FROM dirty
+WHERE k IS NOT NULL AND trim(nm) <> '' AND trim(seg) <> '' AND trim(nat) <> ''""",
     "drop_audit_columns": "SELECT *, 1 AS n_days FROM orders",
     "dedup_rows": f"WITH {DIRTY} SELECT DISTINCT * FROM dirty",
     "dedup_keys": f"WITH {DIRTY} SELECT DISTINCT k, seg FROM dirty",
@@ -184,12 +189,16 @@ GROUP BY code, description""",
 noisy AS (SELECT k, nm, seg, nat, CASE WHEN nat = '' THEN CAST('NaN' AS DOUBLE) ELSE bal END AS bal FROM dirty)
 {profile('k')} UNION ALL {profile('nm', blank=blank('nm'))} UNION ALL {profile('seg', blank=blank('seg'))}
 UNION ALL {profile('nat', blank=blank('nat'))} UNION ALL {profile('bal', nan='count(*) FILTER (isnan(bal))')}""",
-    "row_count_before_after": f"WITH {DIRTY} SELECT count(*) AS rows_before, count(*) FILTER ({NOT_NULL}) AS rows_after FROM dirty",
-    "sum_by_key": f"WITH {WORDS} SELECT word, CAST(sum(word_count) AS BIGINT) AS word_count FROM words GROUP BY word",
-    "sum_by_key_hot_key": f"WITH {LINES} SELECT k, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sum_qty FROM lines GROUP BY k",
-    "fill_nulls": f"WITH {DIRTY} SELECT k, nm, coalesce(seg, 'UNKNOWN') AS seg, nat, coalesce(bal, 0.0) AS bal FROM dirty",
+    "row_count_before_after": f"""WITH {DIRTY}
+SELECT count(*) AS rows_before, count(*) FILTER ({NOT_NULL}) AS rows_after FROM dirty""",
+    "sum_by_key": WORD_SUMS,
+    "sum_by_key_hot_key": f"""WITH {LINES}
+SELECT k, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sum_qty FROM lines GROUP BY k""",
+    "fill_nulls": f"""WITH {DIRTY}
+SELECT k, nm, coalesce(seg, 'UNKNOWN') AS seg, nat, coalesce(bal, 0.0) AS bal FROM dirty""",
     "load_date_text": """
-SELECT o_orderkey, '01.02.2022' AS load_date, date_diff('day', CAST(o_orderdate AS DATE), DATE '2022-02-01') AS age_days,
+SELECT o_orderkey, '01.02.2022' AS load_date,
+       date_diff('day', CAST(o_orderdate AS DATE), DATE '2022-02-01') AS age_days,
        strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders""",
     "parse_timestamp": """
 SELECT o_orderkey, o_orderdate AS parsed, true AS unchanged,
@@ -226,15 +235,16 @@ SELECT k, count(*) AS n_open FROM merged WHERE end_date IS NULL GROUP BY k HAVIN
     "gate_count": f"WITH {DIRTY} {gate('count', 'count(*) > 0', 'count(*)', 'count(*)', 'on', 'dirty')}",
     "gate_schema": f"WITH {DIRTY} {gate('schema', 'false', 'count(*)', 'count(*)', SCHEMA_DETAIL, 'dirty')}",
     "gate_nulls": f"""WITH {DIRTY} {gate(
-        'nulls', f'count(*) FILTER ({NOT_NULL}) > 0', 'count(*)', f'count(*) FILTER ({NOT_NULL})', 'k,seg,nat', 'dirty')}""",
-    "gate_duplicates": f"WITH {DIRTY} {gate('duplicates', 'count(*) > 0', 'count(*)', 'count(DISTINCT k)', 'k', 'dirty')}",
+        'nulls', f'{KEPT} > 0', 'count(*)', KEPT, 'k,seg,nat', 'dirty')}""",
+    "gate_duplicates": f"""WITH {DIRTY}
+{gate('duplicates', 'count(*) > 0', 'count(*)', 'count(DISTINCT k)', 'k', 'dirty')}""",
     "gate_chain": f"""WITH {DIRTY}, kept AS (SELECT * FROM dirty WHERE {NOT_NULL})
 {latest('kept', DIRTY_COLUMNS, 'k', LATEST_DIRTY)}""",
     "gate_chain_report": f"""WITH {DIRTY}
 {gate('count', 'true', 'count(*)', 'count(*)', 'on', 'dirty')} UNION ALL
 {gate('schema', 'true', 'count(*)', 'count(*)', 'missing: ; unexpected: ; mistyped: ', 'dirty')} UNION ALL
-{gate('nulls', 'true', 'count(*)', f'count(*) FILTER ({NOT_NULL})', 'k,seg,nat', 'dirty')} UNION ALL
-{gate('duplicates', 'true', f'count(*) FILTER ({NOT_NULL})', DISTINCT_KEPT, 'k', 'dirty')}""",
+{gate('nulls', 'true', 'count(*)', KEPT, 'k,seg,nat', 'dirty')} UNION ALL
+{gate('duplicates', 'true', KEPT, DISTINCT_KEPT, 'k', 'dirty')}""",
     "airline_style_load": f"""WITH {DIRTY}
 SELECT DISTINCT k, nm, seg, nat, bal, {AS_OF} AS start_date, {HORIZON} AS end_date
 FROM dirty WHERE {NOT_NULL} AND nm IS NOT NULL AND nat <> ''""",

@@ -18,18 +18,19 @@ def read_csv_typed(
     path: str,
     schema: StructType | str | None = None,
     delimiter: str = ",",
-    mode: str = "FAILFAST",
+    mode: str | None = None,
 ) -> DataFrame:
     """Delimited text with a header line.
 
     An empty field is null, quoted or not. With a schema, the header must match it and a value that
     does not parse stops the read. Without one, Spark infers it, which reads the whole input once
-    more.
+    more, and fills short lines with nulls. ``mode`` overrides how bad lines are treated.
     """
-    reader = spark.read.options(header=True, delimiter=delimiter, mode=mode)
+    reader = spark.read.options(header=True, delimiter=delimiter)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+        return reader.options(inferSchema=True, mode=mode or "PERMISSIVE").csv(path)
+    reader = reader.options(enforceSchema=False, mode=mode or "FAILFAST")
+    return reader.schema(schema).csv(path)
 
 
 def read_csv_text(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:

@@ -70,6 +70,11 @@ def test_people(people):
     ]
 
 
+def test_latest_needs_keys(people):
+    with pytest.raises(ValueError):
+        dedup.latest_per_key(people, [], ["born"])
+
+
 def test_staff(spark):
     hist = history.stamp_open(readers.rows(spark, OLD_STAFF, STAFF_SCHEMA), STAFF)
     delta = history.stamp_open(readers.rows(spark, NEW_STAFF, STAFF_SCHEMA), STAFF)

@@ -260,6 +260,30 @@ def test_keys_and_values_of_other_integer_types(spark):
             assert Counter(map(tuple, merged.collect())) == expected
 
 
+def test_zoned_timestamps_with_the_sentinel(spark):
+    zoned = SCHEMA.replace("TIMESTAMP_NTZ", "TIMESTAMP")
+    config = replace(MERGE, open_end="sentinel")
+    ends = "TIMESTAMP '9999-12-31 23:59:59'"
+    hist = readers.rows(spark, [(1, "x", 1, OLD, None), (2, "x", 1, OLDER, OLD)], zoned)
+    hist = hist.withColumn("end_date", F.coalesce("end_date", F.expr(ends)))
+    delta = readers.rows(spark, [(1, "y", 1, None, None)], SCHEMA).select("k", "seg", "nat")
+    decoded = history.decode_open(hist, config)
+    assert [r.k for r in history.current_rows(decoded, config).collect()] == [1]
+    opened = history.decode_open(history.stamp_open(delta, config), config)
+    for way in WAYS.values():
+        merged = history.merge_changed_only(decoded, opened, config, **way)
+        assert dict(merged.dtypes)["end_date"] == "timestamp"
+        encoded = history.encode_open(merged, config)
+        found = encoded.select("k", "seg", F.col("end_date").cast("string").alias("e")).collect()
+        assert Counter(map(tuple, found)) == Counter(
+            [
+                (1, "x", "2022-02-01 00:00:00"),
+                (1, "y", "9999-12-31 23:59:59"),
+                (2, "x", "2021-12-31 00:00:00"),
+            ]
+        )
+
+
 def test_lookup_bytes_bounds_the_texts(spark, sf_dir):
     delta = fixtures.delta(spark, sf_dir)
     text = delta.agg(F.sum(F.octet_length("seg"))).first()[0]

@@ -55,6 +55,15 @@ def test_typed_csv_refuses_bad_input(spark, tmp_path):
         readers.read_csv_typed(spark, swapped, "a STRING, b STRING").collect()
 
 
+def test_short_lines(spark, tmp_path):
+    path = write_lines(tmp_path / "in", "a,b", "1,x", "2")
+    assert [tuple(r) for r in readers.read_csv_typed(spark, path).collect()] == [(1, "x"), (2, None)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_csv_typed(spark, path, "a INT, b STRING").collect()
+    kept = readers.read_csv_typed(spark, path, "a INT, b STRING", mode="DROPMALFORMED")
+    assert [tuple(r) for r in kept.collect()] == [(1, "x")]
+
+
 def test_delimiter(spark, tmp_path):
     path = write_lines(tmp_path / "in", "a|b", "1|x")
     assert readers.read_csv_typed(spark, path, "a INT, b STRING", delimiter="|").first().b == "x"
