@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, row for row."""
+"""Every load query against its SQL, row for row."""
 
 from collections import Counter
 from pathlib import Path
@@ -6,7 +6,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as registry
+from histload.plans.oracles import ORACLES
+from histload.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -23,13 +24,13 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(name, spark, sf_dir, duck):
-    got = registry.queries()[name](spark, sf_dir)
-    want = duck.execute(registry.oracle_sql()[name])
+    got = QUERIES[name](spark, sf_dir)
+    want = duck.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(columns)
     rows = Counter(tuple(r) for r in got.select(*columns).collect())
