@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from histload.llm import jaccard_join
+from histload.llm import bpe, jaccard_join, packing, simhash
 from histload.llm.tables import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -20,6 +24,24 @@ def query(name: str) -> Callable:
     return register
 
 
+@query("op3_bpe")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.decode(tokens, TOKENIZER).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
+@query("op6_simhash")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op8_packing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @query("op10_jaccard_join")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
