@@ -7,21 +7,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import jaccard_join
+import public_tokenizers
+
+from histload.llm import jaccard_join, line_dedup, packing, quality, secrets
 from histload.llm.tables import stored, table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go. It learns from the labelled documents among those given."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.good_documents(docs, model, F.col("source"), F.col("lang")).select(*COLUMNS)
+
+
+def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go, and documents that had nothing else; what goes stays in an earlier document."""
+    return _measured(line_dedup.dedup(docs).where("n_removed = 0 or text is null or text rlike '[^ \\t-\\r]'"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id."""
-    groups = jaccard_join.near_components(docs).select("doc_id", "component_id").distinct()
-    first = groups.where("doc_id is null or doc_id = component_id").select("doc_id")
-    return docs.join(first.withColumnRenamed("doc_id", "kept"), F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(*COLUMNS)
+    """One document of each group of near copies stays, the one with the smallest doc_id; documents without
+    doc_id stay."""
+    groups = jaccard_join.near_components(docs)
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    named = docs.join(first, F.col("doc_id") == F.col("kept"), "left_semi")
+    return named.union(docs.where("doc_id is null")).select(*COLUMNS)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets give way to a mark."""
+    return _measured(secrets.mask(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All that is left, as pieces in sequences of 1024 tokens."""
+    return packing.pack(docs, TOKENIZER)
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("near_duplicates", near_duplicates),
+    ("quality_classifier", good_quality),
+    ("line_dedup", without_boilerplate),
+    ("jaccard_join", near_duplicates),
+    ("secret_scans", without_secrets),
+    ("best_fit_packing", packed),
 ]
 
 #: No SQL: the stages hold a trained model and a genetic search.

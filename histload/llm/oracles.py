@@ -3,3 +3,58 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_line_dedup"] = r"""
+WITH lines AS (
+  SELECT *, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents
+), keyed AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM lines
+), boilerplate AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE key <> ''
+  GROUP BY key HAVING count(DISTINCT coalesce(source, chr(1))) >= 10
+), marked AS (
+  SELECT k.*, b.key IS NOT NULL AND (k.doc_id IS NULL OR k.doc_id > b.first) AS gone FROM keyed k LEFT JOIN boilerplate b USING (key)
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, lang, source, n_chars,
+  count(*) AS n_lines, count(*) FILTER (gone) AS n_removed
+FROM marked GROUP BY doc_id, lang, source, n_chars
+"""
+
+ORACLES["op2_top_k"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES["op4_tool_calls"] = """
+WITH calls AS (
+  SELECT conv_id, turn, conv_id || ':' || turn AS call_id, text, CASE role WHEN 'user' THEN 'answer' ELSE 'configure' END AS name
+  FROM conversations WHERE role IN ('user', 'system')
+), results AS (
+  SELECT conv_id, turn AS result_turn, conv_id || ':' || (turn - 1) AS call_id, text AS content
+  FROM conversations WHERE role = 'assistant'
+), both_sides AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, c.turn, c.name, c.text,
+    r.result_turn, r.content
+  FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+)
+SELECT b.conv_id, b.call_id, b.turn, b.name,
+  CASE WHEN b.turn IS NULL THEN 'orphan' WHEN b.result_turn IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+  b.result_turn, b.turn AS at, CASE WHEN b.turn IS NOT NULL THEN 0::BIGINT END AS step,
+  (b.name = 'answer' AND b.turn >= 2 AND NOT EXISTS (
+    SELECT 1 FROM calls e WHERE e.conv_id = b.conv_id AND e.turn = b.turn - 2))::BIGINT AS n_unresolved,
+  false AS cyclic, '' AS errors, (b.turn IS NOT NULL)::BIGINT AS n_calls, (b.result_turn IS NOT NULL)::BIGINT AS n_results,
+  '{' || concat_ws(',',
+    CASE b.name WHEN 'answer' THEN '"arguments":' || to_json({'prompt': b.text, 'turn': b.turn})
+                WHEN 'configure' THEN '"arguments":' || to_json({'instructions': b.text}) END,
+    '"id":' || to_json(b.call_id), '"name":' || to_json(b.name), '"result":' || to_json(b.content),
+    '"result_turn":' || b.result_turn, '"turn":' || b.turn) || '}' AS json
+FROM both_sides b
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import bpe, jaccard_join, packing, simhash
+from histload.llm import bpe, jaccard_join, language_model, line_dedup, packing, quality, secrets, simhash, tool_calls, top_k
 from histload.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,17 @@ def query(name: str) -> Callable:
     return register
 
 
+@query("op1_line_dedup")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op2_top_k")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long"), top_k.scaled(F.col("embedding")).alias("v"))
+    return top_k.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 @query("op3_bpe")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -32,16 +43,47 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_tool_calls")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schemas = {
+        "answer": {"prompt": ("string", True), "turn": ("integer", True)},
+        "configure": {"instructions": ("string", True)},
+    }
+    return tool_calls.linked(*tool_calls.exchanges(table(spark, sf_dir, "conversations")), schemas)
+
+
+@query("op5_quality")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.posteriors(docs, model, F.col("source"), F.col("lang"))
+
+
 @query("op6_simhash")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query("op7_secrets")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    of = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter(spans, lambda s: s["kind"] != "random")
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans")
+    )
+
+
 @query("op8_packing")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query("op9_language_model")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 @query("op10_jaccard_join")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
