@@ -41,11 +41,11 @@ GATHERED = 2_000_000
 #: Bits of the sketch that a join compares; sets of any size have it beside the sketch that fits their size.
 PARITY = 512
 #: Single comparisons within groups go on until the pairs that are left number no more than this for each row.
-PAIRS_PER_ROW = 3
+PAIRS_PER_ROW = 30
 #: They also end when a turn finds fewer links than one for so many sets.
 FEW = 50
 
-SET_SCHEMA = "doc_id long, n_shingles long, vertex long, sketch binary, parity array<long>"
+SET_SCHEMA = "doc_id long, n_shingles long, vertex long"
 GROUP_SCHEMA = "sig long, vertex long"
 
 
@@ -158,7 +158,7 @@ def _vertex(values: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, words: int) -> DataFrame:
-    """Per document the size of its shingle set, the set's hash (null for an empty set) and its sketch."""
+    """Per document the size of its shingle set and the set's hash, null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -169,10 +169,8 @@ def shingled(docs: DataFrame, words: int) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array(sizes),
                     pa.array(_vertex(values, place), mask=sizes == 0),
-                    pa.array([sketch(values[a:b]) for a, b in zip(place[:-1], place[1:])], pa.binary()),
-                    pa.array([_parity(values[a:b], PARITY).view(np.int64) for a, b in zip(place[:-1], place[1:])], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "vertex", "sketch", "parity"],
+                ["doc_id", "n_shingles", "vertex"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SET_SCHEMA)
@@ -293,22 +291,33 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """The pairs whose sets link, compared shingle by shingle. ``chosen`` names a document for each vertex."""
-    wanted = chosen.join(pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct(), "vertex")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
+def _compared(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
+    """What comparisons need of each vertex, (vertex, doc_id, n_shingles, sketch, parity, shingles), from one of its
+    documents, which ``chosen`` names."""
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             values, place = shingle_sets(batch.column("text"), words)
-            same = (_vertex(values, place) == batch.column("vertex").to_numpy()) & (np.diff(place) > 0)
-            at = np.flatnonzero(same)
+            at = np.flatnonzero((_vertex(values, place) == batch.column("vertex").to_numpy()) & (np.diff(place) > 0))
+            own = [values[place[i] : place[i + 1]] for i in at]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vertex").take(pa.array(at)), pa.array([values[place[i] : place[i + 1]].tobytes() for i in at], pa.binary())],
-                ["vertex", "shingles"],
+                [
+                    batch.column("vertex").take(pa.array(at)),
+                    pa.array([len(v) for v in own], pa.int64()),
+                    pa.array([sketch(v) for v in own], pa.binary()),
+                    pa.array([_parity(v, PARITY).view(np.int64) for v in own], pa.list_(pa.int64())),
+                    pa.array([v.tobytes() for v in own], pa.binary()),
+                ],
+                ["vertex", "n_shingles", "sketch", "parity", "shingles"],
             )
 
-    sets = stored(texts.mapInArrow(cut, "vertex long, shingles binary").dropDuplicates(["vertex"]), "sets")
+    # a doc_id may come again, with another text or the same
+    return texts.mapInArrow(run, "vertex long, n_shingles long, sketch binary, parity array<long>, shingles binary").dropDuplicates(["vertex"])
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets link, compared shingle by shingle."""
     both = pairs.join(sets.select(F.col("vertex").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("vertex").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -365,21 +374,15 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     sets = stored(shingled(docs, words), "shingled")
     full = sets.where("n_shingles > 0")
     groups = stored(signature_groups(docs, words, num, den).distinct(), "groups")
-    known = stored(
-        full.join(groups.select("vertex").distinct(), "vertex")
-        .groupBy("vertex")
-        .agg(F.min("doc_id").alias("doc_id"), *(F.any_value(c).alias(c) for c in ("n_shingles", "sketch", "parity"))),
-        "known",
-    )
-    chosen = known.select("vertex", "doc_id")
-
+    chosen = full.join(groups.select("vertex").distinct(), "vertex").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"))
+    known = stored(_compared(docs, chosen, words), "known")
     distinct = known.count()
     rest, links, labels = groups.withColumn("label", F.col("vertex")), None, None
     for turn in range(1_000_000):
         star = _possible(_star(rest, turn), known, num, den)
         if not turn:  # one comparison for each set to begin with
             star = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        found = stored(_linked(stored(star, "star"), docs, chosen, words, num, den), "links_star")
+        found = stored(_linked(stored(star, "star"), known, num, den), "links_star")
         links = found if links is None else links.union(found)
         labels = stored(components(links), "labels")
         rest = stored(_open(groups, labels), "rest")
@@ -393,7 +396,7 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         .select(F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b"))
         .distinct()
     )
-    links = links.union(_linked(stored(_possible(pairs, known, num, den), "pairs"), docs, chosen, words, num, den))
+    links = links.union(_linked(stored(_possible(pairs, known, num, den), "pairs"), known, num, den))
 
     labels = components(links)
     named = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from histload.sources.workspace import work_folder
@@ -31,23 +31,19 @@ def components(links: DataFrame) -> DataFrame:
     path. A hub's links are rows, never one list; its lookup has one row on one side, so that a skewed
     join can be split.
     """
-    edges = stored(
-        links.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links"
-    )
+    def written(edges: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        edges = edges.distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("of"))
+        return stored(edges, "links"), seen.get
+
+    edges, state = written(links.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")))
     before = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if state == before:
-            return edges.select("v", F.col("u").alias("label")).union(edges.select("u", "u").distinct())
-        before = state
+    while state != before:
         both = edges.select("v", "u").union(edges.select("u", "v"))
         least = both.groupBy("v").agg(F.least("v", F.min("u")).alias("m"))
-        up = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+        up = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
         least = up.groupBy("v").agg(F.min("u").alias("m"))
         down = up.join(least, "v")
-        edges = stored(
-            down.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-            .union(down.select("v", F.col("m").alias("u")))
-            .distinct(),
-            "links",
-        )
+        down = down.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).union(down.select("v", F.col("m").alias("u")))
+        before, (edges, state) = state, written(down)
+    return edges.select("v", F.col("u").alias("label")).union(edges.select("u", "u").distinct())
