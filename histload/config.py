@@ -6,11 +6,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from histload.functions.timestamps import load_time
+
 OPEN_ENDS = ("null", "sentinel", "horizon")
 MERGE_MODES = ("changed_only", "reversion_all")
 DEDUP_MODES = ("rows", "latest")
 
-# Bytes up to which the summary of a delta may be broadcast.
+# Bytes up to which a delta may be broadcast.
 BROADCAST_BYTES = 128 << 20
 
 
@@ -28,6 +30,11 @@ def _flag(value) -> bool:
     return str(value).strip().upper() == "Y"
 
 
+def _all_names(config, *fields: str) -> None:
+    for name in fields:
+        object.__setattr__(config, name, _names(getattr(config, name)))
+
+
 @dataclass(frozen=True)
 class GateConfig:
     """Which quality gates run, and on which columns."""
@@ -43,8 +50,7 @@ class GateConfig:
     duplicate_order: tuple[str, ...] = ()
 
     def __post_init__(self):
-        for name in ("columns", "null_columns", "duplicate_columns", "duplicate_order"):
-            object.__setattr__(self, name, _names(getattr(self, name)))
+        _all_names(self, "columns", "null_columns", "duplicate_columns", "duplicate_order")
         if self.schema_check and not self.columns:
             raise ValueError("the schema gate needs the expected columns")
         if self.null_check and not self.null_columns:
@@ -71,13 +77,31 @@ class GateConfig:
 
 
 @dataclass(frozen=True)
-class MergeConfig:
-    """How versions of a key are compared, closed and opened.
+class StampConfig:
+    """The effective range of a version: its columns, the load time, and how an open end is written.
 
-    ``as_of`` both closes old versions and starts new ones. Without it the time of the query is used,
-    which is only right when a single query does the whole work.
+    Without ``as_of`` the time of the query is used, which is only right when one query does all the work.
     """
 
+    as_of: datetime | None = None
+    start: str = "start_date"
+    end: str = "end_date"
+    open_end: str = "null"
+
+    def __post_init__(self):
+        if self.as_of is not None:
+            object.__setattr__(self, "as_of", load_time(self.as_of))
+        if self.open_end not in OPEN_ENDS:
+            raise ValueError(f"open_end must be one of {OPEN_ENDS}")
+        if self.start == self.end:
+            raise ValueError("start and end are two columns")
+
+
+@dataclass(frozen=True)
+class MergeConfig:
+    """How versions of a key are compared, closed and opened. ``as_of`` both closes old versions and
+    starts new ones."""
+
     key: tuple[str, ...]
     tracked: tuple[str, ...]
     as_of: datetime | None = None
@@ -89,41 +113,91 @@ class MergeConfig:
     broadcast_bytes: int = BROADCAST_BYTES
 
     def __post_init__(self):
-        object.__setattr__(self, "key", _names(self.key))
-        object.__setattr__(self, "tracked", _names(self.tracked))
+        _all_names(self, "key", "tracked")
         if not self.key or not self.tracked:
             raise ValueError("key and tracked columns must be named")
         if set(self.key) & set(self.tracked):
             raise ValueError("a column cannot be both key and tracked")
-        if self.open_end not in OPEN_ENDS:
-            raise ValueError(f"open_end must be one of {OPEN_ENDS}")
+        stamp = StampConfig(self.as_of, self.start, self.end, self.open_end)
+        object.__setattr__(self, "as_of", stamp.as_of)
 
 
 @dataclass(frozen=True)
-class LoadConfig:
-    """One load job: what the extract holds, how it is cleaned, how it meets the history."""
+class ExtractConfig:
+    """A delimited extract: its columns, how it is read, which rows are whole, what is left out at the end.
+
+    Without a ``schema`` it is inferred. ``csv`` goes to the reader: delimiter, quote, escape, multiLine, mode.
+    ``audit`` columns can be used to order rows and are dropped after that.
+    """
 
-    schema: str
     required: tuple[str, ...]
+    schema: str | None = None
     audit: tuple[str, ...] = ()
     gates: GateConfig | None = None
-    merge: MergeConfig | None = None
-    mode: str = "changed_only"
-    dedup: str = "latest"
-    latest_key: tuple[str, ...] = ()
-    latest_order: tuple[str, ...] = ()
+    csv: Mapping[str, str] = field(default_factory=dict)
+
+    def __post_init__(self):
+        _all_names(self, "required", "audit")
+
+
+@dataclass(frozen=True)
+class Sink:
+    """A table that a job overwrites: parquet at a path, or any format with a connector."""
+
+    path: str | None = None
+    fmt: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
-    open_end: str = "horizon"
-    as_of: datetime | None = None
 
     def __post_init__(self):
-        for name in ("required", "audit", "latest_key", "latest_order", "partition_by"):
-            object.__setattr__(self, name, _names(getattr(self, name)))
+        _all_names(self, "partition_by")
+
+
+@dataclass(frozen=True)
+class HistoryLoadConfig:
+    """A load that meets a history. Of rows that share a key, the last by ``latest_order`` is loaded.
+
+    Open versions are kept in ``buckets`` by key; a load reads and writes those that its delta touches. The number is
+    fixed with the first load. The history is also written to ``sink``, if there is one.
+    """
+
+    extract: ExtractConfig
+    merge: MergeConfig
+    latest_order: tuple[str, ...]
+    mode: str = "changed_only"
+    buckets: int = 64
+    sink: Sink | None = None
+
+    def __post_init__(self):
+        _all_names(self, "latest_order")
         if self.mode not in MERGE_MODES:
             raise ValueError(f"mode must be one of {MERGE_MODES}")
+        if not self.merge.as_of:
+            raise ValueError("a load runs several queries and needs one fixed as_of")
+        if not self.latest_order:
+            raise ValueError("latest_order must say which row of a key is the newest")
+        if self.buckets < 1:
+            raise ValueError("there is at least one bucket")
+        if not set(self.merge.key) <= set(self.extract.required):
+            raise ValueError("every key column must be required: rows without a key have no history")
+
+
+@dataclass(frozen=True)
+class DimensionLoadConfig:
+    """A load without history: the rows of the extract, stamped with an open range, replace a table."""
+
+    extract: ExtractConfig
+    stamp: StampConfig
+    sink: Sink
+    dedup: str = "rows"
+    latest_key: tuple[str, ...] = ()
+    latest_order: tuple[str, ...] = ()
+
+    def __post_init__(self):
+        _all_names(self, "latest_key", "latest_order")
         if self.dedup not in DEDUP_MODES:
             raise ValueError(f"dedup must be one of {DEDUP_MODES}")
-        if self.merge and not self.merge.as_of:
+        if not self.stamp.as_of:
             raise ValueError("a load runs several queries and needs one fixed as_of")
-        if self.merge and not set(self.merge.key) <= set(self.required):
-            raise ValueError("every key column must be required: rows without a key have no history")
+        if (self.dedup == "latest") != bool(self.latest_key and self.latest_order):
+            raise ValueError("latest_key and latest_order go with dedup='latest', both of them")

@@ -1,8 +1,8 @@
+from histload.functions.names import all_named, named, quoted
 from histload.functions.predicates import (
     all_not_null,
     any_differs,
     any_null,
-    comparable,
     none_blank,
 )
 from histload.functions.timestamps import (
@@ -13,6 +13,7 @@ from histload.functions.timestamps import (
     horizon,
     load_date,
     load_date_text,
+    load_time,
     parse_timestamp,
     sentinel,
 )
@@ -21,15 +22,18 @@ __all__ = [
     "HORIZON_SECONDS",
     "SENTINEL",
     "TIMESTAMP_FORMAT",
+    "all_named",
     "all_not_null",
     "any_differs",
     "any_null",
     "as_of_column",
-    "comparable",
     "horizon",
     "load_date",
     "load_date_text",
+    "load_time",
+    "named",
     "none_blank",
     "parse_timestamp",
+    "quoted",
     "sentinel",
 ]

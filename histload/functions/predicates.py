@@ -9,25 +9,21 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from histload.functions.names import named
+
 
 def all_not_null(columns: Iterable[str]) -> Column:
     """Every column holds a value. Empty text counts as a value."""
-    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+    return reduce(and_, [named(c).isNotNull() for c in columns])
 
 
 def any_null(columns: Iterable[str]) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in columns])
+    return reduce(or_, [named(c).isNull() for c in columns])
 
 
 def none_blank(columns: Iterable[str]) -> Column:
     """Every column holds a value that is not empty or spaces only."""
-    return reduce(and_, [F.trim(F.col(c).cast("string")) != "" for c in columns])
-
-
-def comparable(column: str | Column, trim: bool = False) -> Column:
-    """The value under which two versions are compared."""
-    value = F.col(column) if isinstance(column, str) else column
-    return F.trim(value) if trim else value
+    return reduce(and_, [F.trim(named(c).cast("string")) != "" for c in columns])
 
 
 def any_differs(
@@ -39,6 +35,8 @@ def any_differs(
     """
     tests = []
     for c in columns:
-        a, b = comparable(f"{left}.{c}", trim), comparable(f"{right}.{c}", trim)
+        a, b = named(c, left), named(c, right)
+        if trim:
+            a, b = F.trim(a), F.trim(b)
         tests.append(~a.eqNullSafe(b) if null_safe else F.coalesce(a != b, F.lit(False)))
     return reduce(or_, tests)

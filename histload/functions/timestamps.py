@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from histload.functions.names import named
+
 # How extracts write timestamps, the end date that marks an open version, and the
 # seconds added to the load time where a far horizon marks it.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -14,11 +16,19 @@ SENTINEL = "9999-12-31 23:59:59"
 HORIZON_SECONDS = 999999999
 
 
+def load_time(as_of: datetime | str) -> datetime:
+    """A load time as a datetime. One with a time zone is refused, as its offset would be lost."""
+    value = datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    if value.tzinfo is not None:
+        raise ValueError(f"a load time has no time zone, but this one has: {as_of}")
+    return value
+
+
 def as_of_column(as_of: datetime | str | None = None) -> Column:
     """The load time as a literal; without one, the start of the query."""
     if as_of is None:
         return F.localtimestamp()
-    return F.lit(str(as_of)).cast("timestamp_ntz")
+    return F.lit(str(load_time(as_of))).cast("timestamp_ntz")
 
 
 def sentinel() -> Column:
@@ -34,7 +44,7 @@ def parse_timestamp(column: str | Column, fmt: str | None = None, strict: bool =
 
     Timestamps pass through unchanged.
     """
-    value = F.col(column) if isinstance(column, str) else column
+    value = named(column) if isinstance(column, str) else column
     if fmt is None:
         return value.cast("timestamp_ntz") if strict else value.try_cast("timestamp_ntz")
     parsed = F.to_timestamp_ntz(value, F.lit(fmt))

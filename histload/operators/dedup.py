@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histload.functions import all_named, named
+
 
 def dedup_rows(df: DataFrame) -> DataFrame:
     """Keep one of each set of equal rows; nulls are equal. Copies collapse before the shuffle."""
@@ -15,14 +17,14 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 def dedup_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """The distinct keys. Other columns are left out, as the row they came from would be arbitrary."""
-    return df.select(*keys).distinct()
+    return df.select(*all_named(keys)).distinct()
 
 
 def total_order(df: DataFrame, keys: Iterable[str], order_by: Iterable[str]) -> list[Column]:
     """``order_by`` descending, then every other column, so that only equal rows can tie."""
     keys, order_by = list(keys), list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    return [F.col(c).desc_nulls_last() for c in order_by] + [F.col(c).asc_nulls_last() for c in rest]
+    return [named(c).desc_nulls_last() for c in order_by] + [named(c).asc_nulls_last() for c in rest]
 
 
 def latest_per_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str]) -> DataFrame:
@@ -34,5 +36,5 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str])
     keys = list(keys)
     if not keys:
         raise ValueError("without keys, all rows would be one group in one task")
-    window = Window.partitionBy(*keys).orderBy(*total_order(df, keys, order_by))
+    window = Window.partitionBy(*all_named(keys)).orderBy(*total_order(df, keys, order_by))
     return df.withColumn("__rn", F.row_number().over(window)).where("__rn = 1").drop("__rn")

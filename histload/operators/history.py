@@ -4,33 +4,36 @@ A version is valid in the half-open range [start, end); a null end marks the ope
 sentinel and the horizon are other ways to write that, see ``decode_open`` and ``encode_open``.
 All functions below those two expect null ends.
 
-A key has at most one open version, and any number of closed ones. Only open versions with a whole
-key meet the delta; everything else passes by the joins, so a key with a long past costs nothing.
+A sound history has at most one open version of a key, and any number of closed ones. Only open versions
+with a whole key meet the delta; everything else passes by the joins, so a key with a long past costs nothing.
+A merge takes a sound history and a delta with one row per key: ``settle`` makes the second,
+``check_one_row_per_key`` tells of either. Its result is then sound, and the same whatever the delta's size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from operator import add, or_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histload.config import MergeConfig
-from histload.functions import any_differs, any_null, as_of_column, comparable, horizon, sentinel
+from histload.config import MergeConfig, StampConfig
+from histload.functions import all_named, any_differs, any_null, as_of_column, horizon, named, sentinel
+from histload.operators.dedup import latest_per_key
 
 # ---------------------------------------------------------------- stamps and encodings
 
 
-def stamp_open(df: DataFrame, config: MergeConfig) -> DataFrame:
+def stamp_open(df: DataFrame, config: MergeConfig | StampConfig) -> DataFrame:
     """Turn plain rows into open versions that start at the load time, in the configured encoding."""
     return df.withColumns(
         {config.start: as_of_column(config.as_of), config.end: _open_end(config)}
     )
 
 
-def _open_end(config: MergeConfig) -> Column:
+def _open_end(config: MergeConfig | StampConfig) -> Column:
     if config.open_end == "sentinel":
         return sentinel()
     if config.open_end == "horizon":
@@ -38,9 +41,9 @@ def _open_end(config: MergeConfig) -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
-def decode_open(df: DataFrame, config: MergeConfig) -> DataFrame:
+def decode_open(df: DataFrame, config: MergeConfig | StampConfig) -> DataFrame:
     """Write the end of open versions as null. A null end is open in every encoding."""
-    end = F.col(config.end)
+    end = named(config.end)
     if config.open_end == "sentinel":
         return df.withColumn(config.end, F.nullif(end, sentinel()))
     if config.open_end == "horizon":
@@ -48,114 +51,94 @@ def decode_open(df: DataFrame, config: MergeConfig) -> DataFrame:
     return df
 
 
-def encode_open(df: DataFrame, config: MergeConfig) -> DataFrame:
+def encode_open(df: DataFrame, config: MergeConfig | StampConfig) -> DataFrame:
     """Write the end of open versions in the configured encoding."""
-    return df.withColumn(config.end, F.coalesce(F.col(config.end), _open_end(config)))
+    return df.withColumn(config.end, F.coalesce(named(config.end), _open_end(config)))
 
 
 def current_rows(hist: DataFrame, config: MergeConfig) -> DataFrame:
-    return hist.where(F.col(config.end).isNull())
+    return hist.where(named(config.end).isNull())
 
 
 def closed_rows(hist: DataFrame, config: MergeConfig) -> DataFrame:
-    return hist.where(F.col(config.end).isNotNull())
+    return hist.where(named(config.end).isNotNull())
 
 
-# ---------------------------------------------------------------- lookups by key
+# ---------------------------------------------------------------- soundness
 
-# Rows are looked up in a summary of the other side with one row per key, which Spark aggregates
-# before and after the shuffle. However often a key repeats, it is one row there, and no pairs of
-# equal keys are formed.
 
+class Unsound(ValueError):
+    """A history or delta holds a key more often than a merge allows."""
 
-def _key_names(config: MergeConfig) -> list[str]:
-    return [f"__key_{c}" for c in config.key]
 
+def open_key_violations(hist: DataFrame, config: MergeConfig) -> DataFrame:
+    """Keys with more than one open version; a sound history has none."""
+    return _repeated(current_rows(hist, config), config, "n_open")
 
-def _renamed_keys(config: MergeConfig) -> list[Column]:
-    return [F.col(c).alias(n) for c, n in zip(config.key, _key_names(config))]
 
+def _repeated(rows: DataFrame, config: MergeConfig, name: str) -> DataFrame:
+    counts = rows.groupBy(*all_named(config.key)).agg(F.count(F.lit(1)).alias(name))
+    return counts.where(F.col(name) > 1)
 
-def _keys_of(df: DataFrame, config: MergeConfig) -> DataFrame:
-    return df.select(*_renamed_keys(config)).distinct()
 
+def check_one_row_per_key(rows: DataFrame, config: MergeConfig, what: str) -> None:
+    """Raise if a whole key comes more than once."""
+    found = _repeated(rows.where(~any_null(config.key)), config, "n_rows").limit(3).collect()
+    if found:
+        raise Unsound(f"{what}: " + "; ".join(str(r.asDict()) for r in found))
 
-def _value_ranges(df: DataFrame, config: MergeConfig) -> DataFrame:
-    """Per key, the least and greatest value of each tracked column and how many rows have one."""
-    measures = [F.count(F.lit(1)).alias("__rows")]
-    for c in config.tracked:
-        value = comparable(c, config.trim)
-        measures += [F.min(value).alias(f"__min_{c}"), F.max(value).alias(f"__max_{c}")]
-        if config.null_safe:
-            measures.append(F.count(value).alias(f"__set_{c}"))
-    return df.groupBy(*_renamed_keys(config)).agg(*measures)
 
+def settle(delta: DataFrame, config: MergeConfig, order_by: Iterable[str]) -> DataFrame:
+    """A delta with the last row of each whole key by ``order_by``; rows without a whole key stay."""
+    whole = ~any_null(config.key)
+    return latest_per_key(delta.where(whole), config.key, order_by).unionByName(delta.where(~whole))
 
-def _differs_from_some(config: MergeConfig) -> Column:
-    """The row differs from at least one of the rows summed up in the value ranges beside it."""
-    tests = []
-    for c in config.tracked:
-        value = comparable(c, config.trim)
-        outside = (value != F.col(f"__min_{c}")) | (value != F.col(f"__max_{c}"))
-        tests.append(F.coalesce(outside, F.lit(False)))
-        if config.null_safe:
-            some_set, some_null = F.col(f"__set_{c}") > 0, F.col(f"__set_{c}") < F.col("__rows")
-            tests.append(F.when(value.isNull(), some_set).otherwise(some_null))
-    return reduce(or_, tests)
 
+# ---------------------------------------------------------------- joins by key
 
-def _lookup(
-    df: DataFrame,
-    summary: DataFrame,
-    config: MergeConfig,
-    how: str,
-    small: bool = False,
-    unique: bool = False,
-) -> DataFrame:
-    """Join each row to the summary row of its key.
 
-    A small summary is broadcast and the rows stay where they are. Otherwise, unless keys are known
-    to be unique, a key with very many rows must not end in one task. Spark splits such a partition
-    at run time, but only in a join whose sides both come straight from a shuffle made for it. A
-    summary would be joined as its aggregation left it; a second equality, 0 = 0 for every row but
-    unknown to the optimizer, makes Spark shuffle it for the join.
-    """
-    on = [F.col(c) == F.col(n) for c, n in zip(config.key, _key_names(config))]
-    if small:
-        return df.join(F.broadcast(summary), on, how)
-    if unique:
-        return df.join(summary, on, how)
-    zero = F.pmod(F.xxhash64(*_key_names(config)), F.lit(1))
-    also = F.pmod(F.xxhash64(*config.key), F.lit(1)) == F.col("__zero")
-    return df.join(summary.withColumn("__zero", zero), [*on, also], how)
+def _same_key(config: MergeConfig) -> Column:
+    return reduce(and_, [named(c, "x") == named(c, "y") for c in config.key])
 
 
-def lookup_bytes(delta: DataFrame, config: MergeConfig) -> int:
-    """Upper bound of the size of a delta's summary, from one pass over its key and tracked columns."""
-    text = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in config.key]
-    text += [2 * F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in config.tracked]
-    fixed = 64 + 32 * (len(config.key) + len(config.tracked))
-    return delta.agg(F.coalesce(F.sum(reduce(add, text) + fixed), F.lit(0))).first()[0]
+def _differs(config: MergeConfig) -> Column:
+    return any_differs("x", "y", config.tracked, config.null_safe, config.trim)
 
 
-def _is_small(delta_bytes: int | None, config: MergeConfig) -> bool:
-    """The delta was measured, and its summary may be broadcast."""
-    return delta_bytes is not None and delta_bytes <= config.broadcast_bytes
+def _small(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
-def _touched(
-    versions: DataFrame, delta: DataFrame, config: MergeConfig, small: bool
-) -> DataFrame:
-    """The versions whose key is in the delta.
+def _met(rows: DataFrame, others: DataFrame, config: MergeConfig, how: str = "left_semi", small: bool = False, differing: bool = False) -> DataFrame:
+    """The rows for which there is (``left_anti``: is not) a row of the same key on the other side. No
+    pairs are made, however often a key repeats."""
+    on = _same_key(config) & _differs(config) if differing else _same_key(config)
+    return rows.alias("x").join(_small(others, small).alias("y"), on, how)
+
+
+def _keys(df: DataFrame, config: MergeConfig) -> DataFrame:
+    return df.select(*all_named(config.key)).distinct()
+
+
+def text_bytes(columns: Iterable[str]) -> Column:
+    """Upper bound of the size of a delta with these columns, as an aggregate."""
+    text = [F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)).cast("long") for c in columns]
+    return F.coalesce(F.sum(reduce(add, text) + 64 + 16 * len(text)), F.lit(0))
 
-    Most keys of a history are not; summaries of them would be made for nothing.
-    """
-    return _lookup(versions, _keys_of(delta, config), config, "left_semi", small)
+
+def delta_size(delta: DataFrame) -> int:
+    """Upper bound of the size of a delta, from one pass over it."""
+    return delta.agg(text_bytes(delta.columns)).first()[0]
+
+
+def _is_small(delta_bytes: int | None, config: MergeConfig) -> bool:
+    """The delta was measured, and may be broadcast."""
+    return delta_bytes is not None and delta_bytes <= config.broadcast_bytes
 
 
 # ---------------------------------------------------------------- change detection
 
-# ``delta_bytes`` is what ``lookup_bytes`` measured; a small delta is broadcast and the history
+# ``delta_bytes`` is what ``delta_size`` measured; a small delta is broadcast and the history
 # stays in place. Without it Spark decides by its own estimates.
 
 
@@ -164,23 +147,18 @@ def new_keys(
 ) -> DataFrame:
     """Rows of the delta whose key is in no version of the history."""
     if _is_small(delta_bytes, config):
-        hist = _touched(hist, delta, config, small=True)
-    return _lookup(delta, _keys_of(hist, config), config, "left_anti")
+        hist = _met(hist, _keys(delta, config), config, small=True)
+    return _met(delta, _keys(hist, config), config, "left_anti")
 
 
 def changed_rows(
     delta: DataFrame, hist: DataFrame, config: MergeConfig, delta_bytes: int | None = None
 ) -> DataFrame:
     """Rows of the delta that differ from an open version of their key."""
-    touched = _touched(current_rows(hist, config), delta, config, _is_small(delta_bytes, config))
-    return _changed(delta, touched, config)
-
-
-def _changed(
-    rows: DataFrame, others: DataFrame, config: MergeConfig, small: bool = False
-) -> DataFrame:
-    matched = _lookup(rows, _value_ranges(others, config), config, "inner", small)
-    return matched.where(_differs_from_some(config)).select(*rows.columns)
+    current = current_rows(hist, config)
+    if _is_small(delta_bytes, config):
+        current = _met(current, _keys(delta, config), config, small=True)
+    return _met(delta, current, config, differing=True)
 
 
 def rows_to_close(
@@ -191,11 +169,8 @@ def rows_to_close(
     delta_bytes: int | None = None,
 ) -> DataFrame:
     """Open versions whose key is in the delta (or changes in it), closed at the load time."""
-    current, small = current_rows(hist, config), _is_small(delta_bytes, config)
-    if only_changed:
-        found = _changed(current, delta, config, small)
-    else:
-        found = _touched(current, delta, config, small)
+    small = _is_small(delta_bytes, config)
+    found = _met(current_rows(hist, config), delta, config, small=small, differing=only_changed)
     return found.withColumn(config.end, as_of_column(config.as_of))
 
 
@@ -204,16 +179,8 @@ def carry_forward(
 ) -> DataFrame:
     """Every version the merge leaves as it is: closed ones, and open ones without a change."""
     current, beside = _split(hist, config)
-    ranges, small = _value_ranges(delta, config), _is_small(delta_bytes, config)
-    judged = _lookup(current, ranges, config, "left", small)
-    kept = judged.where(F.col("__rows").isNull() | ~_differs_from_some(config))
-    return kept.select(*hist.columns).unionByName(beside)
-
-
-def open_key_violations(hist: DataFrame, config: MergeConfig) -> DataFrame:
-    """Keys with more than one open version; a sound history has none."""
-    counts = current_rows(hist, config).groupBy(*config.key).agg(F.count(F.lit(1)).alias("n_open"))
-    return counts.where("n_open > 1")
+    small = _is_small(delta_bytes, config)
+    return _met(current, delta, config, "left_anti", small, differing=True).unionByName(beside)
 
 
 # ---------------------------------------------------------------- merges
@@ -225,91 +192,58 @@ def _split(hist: DataFrame, config: MergeConfig) -> tuple[DataFrame, DataFrame]:
     The two filters exclude each other, so on a history partitioned by openness each reads its own
     files. Rows with a null key match nothing; in a join they would all land in one task.
     """
-    meets = F.col(config.end).isNull() & ~any_null(config.key)
+    meets = named(config.end).isNull() & ~any_null(config.key)
     return hist.where(meets), hist.where(~meets)
 
 
-def _close(judged: DataFrame, hit: Column, columns: list[str], config: MergeConfig) -> DataFrame:
-    end = F.when(hit, as_of_column(config.as_of)).otherwise(F.col(config.end))
-    return judged.withColumn(config.end, end).select(*columns)
-
-
 def merge_reversion_all(
-    hist: DataFrame,
-    delta: DataFrame,
-    config: MergeConfig,
-    delta_bytes: int | None = None,
-    unique_keys: bool = False,
+    hist: DataFrame, delta: DataFrame, config: MergeConfig, delta_bytes: int | None = None
 ) -> DataFrame:
     """Close the open version of every key in the delta, changed or not, and add the whole delta.
 
     Only the distinct keys of the delta are looked up, so the delta itself is not shuffled, and with
-    a delta measured as small (``delta_bytes``, see ``lookup_bytes``) the history is not either.
-    ``unique_keys`` says that no key has more than one open version.
+    a delta measured as small (``delta_bytes``, see ``delta_size``) the history is not either.
     """
     current, beside = _split(hist, config)
-    keys = _keys_of(delta.where(~any_null(config.key)), config).withColumn("__hit", F.lit(True))
-    small = _is_small(delta_bytes, config)
-    judged = _lookup(current, keys, config, "left", small, unique_keys)
-    closed = _close(judged, F.col("__hit").isNotNull(), hist.columns, config)
+    keys = _keys(delta.where(~any_null(config.key)), config).withColumn("__hit", F.lit(True))
+    judged = current.alias("x").join(_small(keys, _is_small(delta_bytes, config)).alias("y"), _same_key(config), "left")
+    end = F.when(F.col("__hit").isNotNull(), as_of_column(config.as_of)).otherwise(named(config.end, "x"))
+    closed = judged.select(*[(end if c == config.end else named(c, "x")).alias(c) for c in hist.columns])
     return closed.unionByName(beside).unionByName(delta)
 
 
 def merge_changed_only(
-    hist: DataFrame,
-    delta: DataFrame,
-    config: MergeConfig,
-    delta_bytes: int | None = None,
-    unique_keys: bool = False,
+    hist: DataFrame, delta: DataFrame, config: MergeConfig, delta_bytes: int | None = None
 ) -> DataFrame:
     """Close the open versions that change in the delta, and add its changed and new rows.
 
     A key without an open version counts as new, so a key that had been closed comes back. Merging
-    the same delta again changes nothing.
-
-    * A delta measured as small (``delta_bytes``, see ``lookup_bytes``) is broadcast, and the
-      history is read without a shuffle.
-    * Where a key is known to have one row in the delta and one open version at most
-      (``unique_keys``), a larger delta meets the history in a single full outer join.
-    * Otherwise each side looks up one summary row per key of the other, whatever the keys repeat.
+    the same delta again changes nothing. History and delta meet in one full outer join. A delta measured as
+    small (``delta_bytes``, see ``delta_size``) is broadcast instead, and the history is not shuffled; only its
+    keys are read once more, to tell which rows of the delta are new.
     """
     current, beside = _split(hist, config)
-    keyless = delta.where(any_null(config.key))
-    keyed = delta.where(~any_null(config.key))
-    small = _is_small(delta_bytes, config)
-    if unique_keys and not small:
-        met = _meet_once(current, keyed, config)
+    whole = ~any_null(config.key)
+    keyed, keyless = delta.where(whole), delta.where(~whole)
+    if _is_small(delta_bytes, config):
+        known = _met(current.select(*all_named(config.key)), _keys(keyed, config), config, small=True)
+        new = _met(keyed, known, config, "left_anti")
+        met = _meet(current, keyed, config, "left", small=True).unionByName(new)
     else:
-        met = _meet_by_summary(current, keyed, config, small)
+        met = _meet(current, keyed, config, "full_outer")
     return met.unionByName(beside).unionByName(keyless)
 
 
-def _meet_by_summary(
-    current: DataFrame, delta: DataFrame, config: MergeConfig, small: bool
-) -> DataFrame:
-    judged = _lookup(current, _value_ranges(delta, config), config, "left", small)
-    hit = F.col("__rows").isNotNull() & _differs_from_some(config)
-    closed = _close(judged, hit, current.columns, config)
-
-    touched = _touched(current, delta, config, small)
-    against = _lookup(delta, _value_ranges(touched, config), config, "left")
-    added = against.where(F.col("__rows").isNull() | _differs_from_some(config))
-    return closed.unionByName(added.select(*delta.columns))
-
-
-def _meet_once(current: DataFrame, delta: DataFrame, config: MergeConfig) -> DataFrame:
-    """One full outer join; each pair yields the old version, the new one, or both."""
-    columns = current.columns
-    h = current.withColumn("__old", F.lit(True)).alias("h")
-    d = delta.withColumn("__new", F.lit(True)).alias("d")
-    pairs = h.join(d, [F.col(f"h.{c}") == F.col(f"d.{c}") for c in config.key], "full_outer")
-
+def _meet(current: DataFrame, delta: DataFrame, config: MergeConfig, how: str, small: bool = False) -> DataFrame:
+    """Each pair yields the old version, the new one, or both."""
+    old_side = current.withColumn("__old", F.lit(True)).alias("x")
+    new_side = _small(delta.withColumn("__new", F.lit(True)), small).alias("y")
+    pairs = old_side.join(new_side, _same_key(config), how)
     has_old, has_new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
-    differs = any_differs("h", "d", config.tracked, config.null_safe, config.trim)
-    acts = has_new & (~has_old | differs)
-    end = F.when(acts, as_of_column(config.as_of)).otherwise(F.col(f"h.{config.end}"))
-    old = F.struct(*[(end if c == config.end else F.col(f"h.{c}")).alias(c) for c in columns])
-    new = F.struct(*[F.col(f"d.{c}").alias(c) for c in columns])
+    acts = has_new & (~has_old | _differs(config))
+    end = F.when(acts, as_of_column(config.as_of)).otherwise(named(config.end, "x"))
+    old = F.struct(*[(end if c == config.end else named(c, "x")).alias(c) for c in current.columns])
+    new = F.struct(*[named(c, "y").alias(c) for c in current.columns])
     versions = (
         F.when(has_old & acts, F.array(old, new)).when(has_old, F.array(old)).otherwise(F.array(new))
     )
@@ -334,6 +268,6 @@ def order_history(hist: DataFrame, config: MergeConfig) -> DataFrame:
     The remaining columns break ties, which also lets Spark cut a key with many versions into
     several sort ranges.
     """
-    named = [*config.key, config.end, config.start]
-    rest = [c for c in hist.columns if c not in named]
-    return hist.orderBy(*[F.col(c).asc_nulls_last() for c in named + rest])
+    first = [*config.key, config.end, config.start]
+    rest = [c for c in hist.columns if c not in first]
+    return hist.orderBy(*[named(c).asc_nulls_last() for c in first + rest])

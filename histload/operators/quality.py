@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from histload.config import GateConfig
-from histload.functions import all_not_null, none_blank
+from histload.functions import all_named, all_not_null, named, none_blank
 from histload.operators.dedup import latest_per_key
 
 
@@ -44,14 +43,14 @@ def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def sum_by_key(df: DataFrame, keys: Iterable[str], value: str, name: str) -> DataFrame:
     """Sum per key; each input partition adds up its own rows first."""
-    return df.groupBy(*keys).agg(F.sum(value).alias(name))
+    return df.groupBy(*all_named(keys)).agg(F.sum(named(value)).alias(name))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Nulls, NaNs and blanks of every column, from one pass over the table."""
 
     def counts(field: T.StructField) -> Column:
-        c = F.col(field.name)
+        c = named(field.name)
         floating = isinstance(field.dataType, (T.FloatType, T.DoubleType))
         text = isinstance(field.dataType, T.StringType)
         return F.struct(
@@ -74,19 +73,40 @@ def row_counts(df: DataFrame, kept: Column) -> DataFrame:
     )
 
 
-def _report(df: DataFrame, gate: str, passed: Column, rows_in: Column, rows_out: Column, detail: Column):
+# ---------------------------------------------------------------- gates
+
+
+class GateFailure(Exception):
+    """The input must not be loaded."""
+
+
+_REPORT = "gate STRING, passed BOOLEAN, rows_in BIGINT, rows_out BIGINT, detail STRING"
+
+
+def _report(df: DataFrame, gate: str, passed: Column, rows_in: Column, rows_out: Column, detail: str):
     return df.agg(
         F.lit(gate).alias("gate"),
         passed.alias("passed"),
         rows_in.alias("rows_in"),
         rows_out.alias("rows_out"),
-        detail.alias("detail"),
+        F.lit(detail).alias("detail"),
     )
 
 
 def _all_rows(df: DataFrame, gate: str, passed: Column, detail: str) -> DataFrame:
     n = F.count(F.lit(1))
-    return _report(df, gate, passed, n, n, F.lit(detail))
+    return _report(df, gate, passed, n, n, detail)
+
+
+def _resolved(df: DataFrame, columns: Iterable[str], gate: str) -> list[str]:
+    """The columns' names as the table writes them; upper and lower case are the same unless the session
+    says otherwise. A name that is not there is a setting that checks nothing, so it stops the gate."""
+    strict = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    known = {c if strict else c.lower(): c for c in df.columns}
+    missing = [c for c in columns if (c if strict else c.lower()) not in known]
+    if missing:
+        raise GateFailure(f"{gate}: no such column: {', '.join(missing)}")
+    return [known[c if strict else c.lower()] for c in columns]
 
 
 def gate_count(df: DataFrame, config: GateConfig) -> Gated:
@@ -96,13 +116,12 @@ def gate_count(df: DataFrame, config: GateConfig) -> Gated:
     return Gated(df, _all_rows(df, "count", F.count(F.lit(1)) > 0, "on"))
 
 
-def schema_differences(df: DataFrame, config: GateConfig) -> dict[str, list[str]]:
+def schema_differences(types: Mapping[str, str], config: GateConfig) -> dict[str, list[str]]:
     """Columns that are missing, not expected, or of another type than expected."""
-    actual = dict(df.dtypes)
     return {
-        "missing": sorted(set(config.columns) - set(actual)),
-        "unexpected": sorted(set(actual) - set(config.columns)),
-        "mistyped": sorted(c for c, t in config.types.items() if c in actual and actual[c] != t),
+        "missing": sorted(set(config.columns) - set(types)),
+        "unexpected": sorted(set(types) - set(config.columns)),
+        "mistyped": sorted(c for c, t in config.types.items() if c in types and types[c] != t),
     }
 
 
@@ -111,64 +130,69 @@ def _schema_passes(differences: Mapping[str, list[str]]) -> bool:
     return not differences["missing"] and not differences["mistyped"]
 
 
+def _schema_detail(differences: Mapping[str, list[str]]) -> str:
+    return "; ".join(f"{kind}: {','.join(names)}" for kind, names in differences.items())
+
+
+def check_schema(types: Mapping[str, str], config: GateConfig) -> None:
+    """Raise unless every expected column is there with its type."""
+    found = schema_differences(types, config)
+    if config.schema_check and not _schema_passes(found):
+        raise GateFailure(f"schema: {_schema_detail(found)}")
+
+
 def gate_schema(df: DataFrame, config: GateConfig) -> Gated:
     """Pass when every expected column is there with its type."""
     if not config.schema_check:
         return Gated(df, _all_rows(df, "schema", F.lit(True), "off"))
-    found = schema_differences(df, config)
-    detail = "; ".join(f"{kind}: {','.join(names)}" for kind, names in found.items())
-    return Gated(df, _all_rows(df, "schema", F.lit(_schema_passes(found)), detail))
-
-
-def _present(df: DataFrame, columns: Iterable[str]) -> bool:
-    return set(columns) <= set(df.columns)
+    found = schema_differences(dict(df.dtypes), config)
+    return Gated(df, _all_rows(df, "schema", F.lit(_schema_passes(found)), _schema_detail(found)))
 
 
 def gate_nulls(df: DataFrame, config: GateConfig) -> Gated:
-    """Leave out rows with a null in any configured column; without those columns, leave all."""
-    columns = config.null_columns
-    if not config.null_check or not _present(df, columns):
+    """Leave out rows with a null in any configured column. Fails if no row is left of some."""
+    if not config.null_check:
         return Gated(df, _all_rows(df, "nulls", F.lit(True), "off"))
-    kept = F.count_if(all_not_null(columns))
-    report = _report(df, "nulls", kept > 0, F.count(F.lit(1)), kept, F.lit(",".join(columns)))
+    columns = _resolved(df, config.null_columns, "nulls")
+    n, kept = F.count(F.lit(1)), F.count_if(all_not_null(columns))
+    report = _report(df, "nulls", (kept > 0) | (n == 0), n, kept, ",".join(config.null_columns))
     return Gated(not_null_all(df, columns), report)
 
 
 def gate_duplicates(df: DataFrame, config: GateConfig) -> Gated:
-    """Keep the latest row of each configured key; without those columns, keep all."""
-    keys, order_by = config.duplicate_columns, config.duplicate_order
-    if not config.duplicate_check or not _present(df, keys + order_by):
+    """Keep the latest row of each configured key."""
+    if not config.duplicate_check:
         return Gated(df, _all_rows(df, "duplicates", F.lit(True), "off"))
+    keys = _resolved(df, config.duplicate_columns, "duplicates")
+    order_by = _resolved(df, config.duplicate_order, "duplicates")
     # One row per key with its count: both totals come from one shuffle of partial counts.
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = df.groupBy(*all_named(keys)).agg(F.count(F.lit(1)).alias("__n"))
     rows_in = F.coalesce(F.sum("__n"), F.lit(0).cast("long"))
-    report = _report(
-        sizes, "duplicates", F.count(F.lit(1)) > 0, rows_in, F.count(F.lit(1)), F.lit(",".join(keys))
-    )
+    report = _report(sizes, "duplicates", F.lit(True), rows_in, F.count(F.lit(1)), ",".join(config.duplicate_columns))
     return Gated(latest_per_key(df, keys, order_by), report)
 
 
-GATES = (gate_count, gate_schema, gate_nulls, gate_duplicates)
-
-
-class GateFailure(Exception):
-    """The input must not be loaded."""
-
-
 def gate_chain(df: DataFrame, config: GateConfig) -> Gated:
     """Count, schema, null and duplicate gate, each on what the one before let through.
 
-    An empty table or a wrong schema stops the chain with an error. The reports are computed only
-    when they are read.
+    A gate that fails stops the chain with an error: no rows, a wrong schema, no row without nulls, a
+    configured column that is not there. One pass counts rows for the first three; the report of the fourth is
+    computed when it is read.
     """
-    if config.count_check and df.isEmpty():
+    check_schema(dict(df.dtypes), config)
+    null_columns = _resolved(df, config.null_columns, "nulls") if config.null_check else []
+    kept = F.count_if(all_not_null(null_columns)) if null_columns else F.count(F.lit(1))
+    n, n_kept = df.agg(F.count(F.lit(1)), kept).first()
+    if config.count_check and not n:
         raise GateFailure("count: no rows")
-    if config.schema_check:
-        found = schema_differences(df, config)
-        if not _schema_passes(found):
-            raise GateFailure(f"schema: {found}")
-    reports = []
-    for gate in GATES:
-        df, report = gate(df, config)
-        reports.append(report)
-    return Gated(df, reduce(DataFrame.unionByName, reports))
+    if n and not n_kept:
+        raise GateFailure(f"nulls: none of {n} rows has all of {', '.join(config.null_columns)}")
+    schema_detail = _schema_detail(schema_differences(dict(df.dtypes), config)) if config.schema_check else "off"
+    rows = [
+        ("count", True, n, n, "on" if config.count_check else "off"),
+        ("schema", True, n, n, schema_detail),
+        ("nulls", True, n, n_kept, ",".join(config.null_columns) if config.null_check else "off"),
+    ]
+    last = gate_duplicates(not_null_all(df, null_columns) if null_columns else df, config)
+    report = df.sparkSession.createDataFrame(rows, _REPORT).unionByName(last.report)
+    return Gated(last.data, report)

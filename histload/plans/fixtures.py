@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from histload.functions import as_of_column, sentinel
 
 AS_OF = "2022-02-01 00:00:00"
-BASE_AS_OF = "2021-12-31 23:59:59"
-LEGACY_AS_OF = "2020-12-31 23:59:59"
+BASE_AS_OF = "2021-11-15 08:30:00"
+LEGACY_AS_OF = "2020-05-20 06:00:00"
+# The audit columns that extracts have.
 AUDIT = ("CreatedTimestamp", "UpdatedTimestamp")
 
 
@@ -78,6 +79,13 @@ def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.unionByName(earlier)
 
 
+def whole_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``hist``, with an open version for every customer."""
+    key, seg, nat = F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")
+    debtors = table(spark, sf_dir, "customer").where("c_acctbal < 0 or c_acctbal is null")
+    return hist(spark, sf_dir).unionByName(debtors.select(*_version(key, seg, nat, as_of_column(BASE_AS_OF), sentinel())))
+
+
 def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revised, nulled, padded, unchanged and new rows; households are not in the extract."""
     seg, nat = F.col("c_mktsegment"), F.col("c_nationkey")
@@ -97,7 +105,7 @@ def _no_end() -> Column:
 
 
 def order_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as open versions, and a past in which key 0 has a version for most of the orders.
+    """Orders as open versions, and a past in which key 0, open too, has a version for most of the orders.
 
     Pending orders are not loaded yet. A version without a key is there for each urgent order.
     """
@@ -110,7 +118,9 @@ def order_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     past = orders.select(
         *_version(past_key, seg, nat, placed - F.expr("INTERVAL '1' DAY"), placed)
     )
-    return current.unionByName(past)
+    hot = orders.agg(F.min("o_orderdate").alias("o_orderdate"))
+    hot = hot.select(*_version(F.lit("0"), F.lit("HOT"), F.lit(0).cast("long"), placed, _no_end()))
+    return current.unionByName(past).unionByName(hot)
 
 
 def order_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,10 +138,11 @@ def order_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_extract(df: DataFrame, path: str) -> str:
     """Write rows as a delimited extract with audit columns, as a source system would deliver it."""
-    stamped = df.withColumns({c: as_of_column(AS_OF) for c in AUDIT})
-    # The CSV writer strips padding unless told not to.
+    stamped = df.withColumns({c: as_of_column(AS_OF) for c in AUDIT if c not in df.columns})
+    # The CSV writer strips padding unless told not to. Quotes in a field are doubled.
     stamped.write.mode("overwrite").options(
         header=True,
+        escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path)

@@ -7,77 +7,136 @@ from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType, TimestampNTZType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from histload.config import LoadConfig, MergeConfig
+from histload.config import DimensionLoadConfig, ExtractConfig, HistoryLoadConfig, MergeConfig
+from histload.functions import any_null, load_time, named
 from histload.operators.dedup import dedup_rows, latest_per_key
 from histload.operators.history import (
+    check_one_row_per_key,
+    decode_open,
     encode_open,
-    lookup_bytes,
     merge_changed_only,
     merge_reversion_all,
     stamp_open,
+    text_bytes,
 )
-from histload.operators.quality import gate_chain, not_null_all
-from histload.sources.readers import read_parquet
-from histload.sources.workspace import work_folder
+from histload.operators.quality import check_schema, gate_chain, not_null_all
+from histload.sources.readers import csv_header, read_parquet
+from histload.sources.workspace import identity, remove, work_folder
 from histload.sources.writers import (
+    Mark,
     land_csv,
     publish,
-    published_version,
+    publish_table,
+    published,
+    read_open,
     read_published,
+    read_table_published,
+    touched_buckets,
+    write_sink,
     write_snapshot,
 )
 
 
+class Loaded(NamedTuple):
+    """What a load did. ``table`` is the result; ``reports`` the gates' reports, one row each, of every extract;
+    ``left_out`` the landed rows that were not loaded, because a required column is null or a newer row of the key
+    or an equal row is there. A load that had been done before has no reports and counts nothing."""
+
+    table: DataFrame
+    rows_landed: int = 0
+    rows_loaded: int = 0
+    reports: DataFrame | None = None
+    left_out: DataFrame | None = None
+
+
+class _Prepared(NamedTuple):
+    rows: DataFrame
+    rows_landed: int
+    rows_loaded: int
+    bytes: int
+    reports: DataFrame | None
+    left_out: DataFrame
+
+
 def _internal(merge: MergeConfig) -> MergeConfig:
     """Inside a job an open version ends with null; the configured encoding is for its result."""
     return replace(merge, open_end="null")
 
 
-def _cleansed(spark: SparkSession, csv: str, folder: str, config: LoadConfig) -> DataFrame:
-    landed = land_csv(spark, csv, f"{folder}/landed", config.schema, config.audit).data
-    if config.gates:
-        landed = gate_chain(landed, config.gates).data
-    return not_null_all(landed, config.required)
+def _land(spark: SparkSession, csv: str, folder: str, config: ExtractConfig):
+    """The extract as parquet. Its header is held against the schema and the schema gate before that."""
+    if config.schema is not None:
+        declared = StructType.fromDDL(config.schema)
+        header = csv_header(spark, csv, config.csv)
+        if config.gates:
+            types = {f.name: f.dataType.simpleString() for f in declared.fields}
+            check_schema({c: types.get(c, "string") for c in header}, config.gates)
+        if header != declared.names:
+            raise ValueError(f"the extract has the columns {header}, the schema {declared.names}")
+    return land_csv(spark, csv, folder, config.schema, (), config.csv)
+
+
+def _prepare(spark: SparkSession, csv: str, folder: str, config: ExtractConfig, keep) -> _Prepared:
+    """Land, gate and de-duplicate an extract, and write what is left, without its audit columns.
+
+    The gates see all columns; ``keep`` chooses rows and may order them by the audit columns. Size and number of
+    the rows come with the write."""
+    landed = _land(spark, csv, f"{folder}/landed", config)
+    gated = gate_chain(landed.data, config.gates) if config.gates else None
+    whole = not_null_all(gated.data if gated else landed.data, config.required)
+    kept = keep(whole)
+    stored = kept.drop(*config.audit)
+    seen = write_snapshot(stored, f"{folder}/prepared", measures={"bytes": text_bytes(stored.columns)})
+    # audit columns tell rows apart that are otherwise equal
+    left_out = landed.data.exceptAll(kept.select(*landed.data.columns))
+    return _Prepared(
+        read_parquet(spark, f"{folder}/prepared", stored.schema), landed.n_rows, seen["rows"], seen["bytes"], gated.report if gated else None, left_out
+    )
 
 
-def _versions(
-    spark: SparkSession, csv: str, folder: str, config: LoadConfig, merge: MergeConfig
-) -> DataFrame:
+def _versions(spark: SparkSession, csv: str, folder: str, config: HistoryLoadConfig, as_of: datetime) -> _Prepared:
     """An extract as open versions, one per key."""
-    order = config.latest_order or merge.tracked
-    latest = latest_per_key(_cleansed(spark, csv, folder, config), merge.key, order)
-    return stamp_open(latest, merge)
+    merge = _internal(config.merge)
+    prepared = _prepare(spark, csv, folder, config.extract, lambda rows: latest_per_key(rows, merge.key, config.latest_order))
+    return prepared._replace(rows=stamp_open(prepared.rows, replace(merge, as_of=as_of)))
 
 
-def _merge(
-    spark: SparkSession,
-    hist: DataFrame,
-    delta: DataFrame,
-    folder: str,
-    config: LoadConfig,
-    stored: bool,
-) -> DataFrame:
-    """Merge a delta that holds each key once.
-
-    The delta is written first, as the merge may read it more than once. Its size decides whether a
-    ``stored`` history stays in place; one that was just shuffled by key is best joined right there.
-    """
-    merge = _internal(config.merge)
-    write_snapshot(delta, folder)
-    written = read_parquet(spark, folder, delta.schema)
-    size = lookup_bytes(written, merge) if stored else None
+def _merged(hist: DataFrame, delta: _Prepared, config: HistoryLoadConfig) -> DataFrame:
     operator = merge_reversion_all if config.mode == "reversion_all" else merge_changed_only
-    return operator(hist, written, merge, size, unique_keys=True)
+    return operator(hist, delta.rows, _internal(config.merge), delta.bytes)
+
+
+def _result(spark: SparkSession, root: str, version: int, config: HistoryLoadConfig) -> DataFrame:
+    return encode_open(read_published(spark, root, version), config.merge)
+
 
+def _done(spark: SparkSession, root: str, mark: Mark, config: HistoryLoadConfig, loads: list[_Prepared]) -> Loaded:
+    """Writes the sink, and leaves the rows left out where they can be read."""
+    table = _result(spark, root, mark.version, config)
+    if config.sink:
+        write_sink(table, config.sink)
+    left_out = loads[0].left_out
+    for other in loads[1:]:
+        left_out = left_out.unionByName(other.left_out)
+    folder = f"{root}/left_out/version={mark.version}"
+    write_snapshot(left_out, folder)
+    reports = [p.reports for p in loads if p.reports is not None]
+    joined = reports[0] if reports else None
+    for other in reports[1:]:
+        joined = joined.unionByName(other)
+    if joined is not None:
+        write_snapshot(joined, f"{root}/reports/version={mark.version}")
+        joined = read_parquet(spark, f"{root}/reports/version={mark.version}", joined.schema)
+    return Loaded(table, sum(p.rows_landed for p in loads), sum(p.rows_loaded for p in loads), joined, read_parquet(spark, folder, left_out.schema))
 
-def _history(spark: SparkSession, root: str, version: int, config: LoadConfig) -> DataFrame:
-    kept = [f for f in StructType.fromDDL(config.schema).fields if f.name not in config.audit]
-    stored = StructType(kept)
-    for name in (config.merge.start, config.merge.end):
-        stored.add(name, TimestampNTZType())
-    return read_published(spark, root, stored, version)
+
+def _again(spark: SparkSession, root: str, mark: Mark, extract: str, config: HistoryLoadConfig) -> Loaded:
+    if mark.extract != extract:
+        raise ValueError(f"version {mark.version} is published from another extract: {mark.extract}, not {extract}")
+    return Loaded(_result(spark, root, mark.version, config))
 
 
 def first_history_load(
@@ -85,59 +144,106 @@ def first_history_load(
     base_csv: str,
     delta_csv: str,
     root: str,
-    config: LoadConfig,
+    config: HistoryLoadConfig,
     base_as_of: datetime,
-) -> DataFrame:
-    """Start a history from a base extract, merge the first delta into it, and publish version 1."""
-    merge = _internal(config.merge)
-    if published_version(spark, root) is None:
-        folder = work_folder(spark)
-        base = _versions(spark, base_csv, f"{folder}/base", config, replace(merge, as_of=base_as_of))
-        delta = _versions(spark, delta_csv, f"{folder}/delta", config, merge)
-        merged = _merge(spark, base, delta, f"{folder}/prepared", config, stored=False)
-        publish(merged, root, 1, merge.end)
-    return encode_open(_history(spark, root, 1, config), config.merge)
+) -> Loaded:
+    """Start a history from a base extract, merge the first delta into it, and publish version 1.
+
+    The same extracts again return what is published; others raise. So does a base not before its delta.
+    """
+    base_as_of = load_time(base_as_of)
+    if base_as_of >= config.merge.as_of:
+        raise ValueError(f"the base ({base_as_of}) must be before its delta ({config.merge.as_of})")
+    extract = f"{identity(spark, base_csv)}, {identity(spark, delta_csv)}"
+    before = published(spark, root, 1)
+    if before:
+        return _again(spark, root, before, extract, config)
+    folder = work_folder(spark)
+    try:
+        base = _versions(spark, base_csv, f"{folder}/base", config, base_as_of)
+        delta = _versions(spark, delta_csv, f"{folder}/delta", config, config.merge.as_of)
+        mark = publish(_merged(base.rows, delta, config), root, 1, _internal(config.merge), config.buckets, extract=extract)
+        return _done(spark, root, mark, config, [base, delta])
+    finally:
+        remove(spark, folder)
 
 
 def incremental_history_load(
-    spark: SparkSession, delta_csv: str, root: str, config: LoadConfig, version: int
-) -> DataFrame:
+    spark: SparkSession, delta_csv: str, root: str, config: HistoryLoadConfig, version: int
+) -> Loaded:
     """Merge a delta into the published history and publish the result as ``version``.
 
-    Only open versions are read and rewritten. A version that is already published is returned as
-    it is, so a load may be repeated after a failure at any point.
+    Only the buckets of open versions that the delta touches are read and rewritten. A version that is already
+    published from the same extract is returned as it is, so a load may be repeated after a failure at any
+    point; from another extract it raises. So does a load time that is not after every open version's start.
+    """
+    last, extract = published(spark, root), identity(spark, delta_csv)
+    if last is None or last.version < version - 1:
+        raise ValueError(f"version {version} follows {version - 1}, but {last and last.version} is published")
+    if last.version >= version:
+        return _again(spark, root, published(spark, root, version), extract, config)
+    if last.greatest_start and config.merge.as_of <= last.greatest_start:
+        raise ValueError(f"the load time {config.merge.as_of} is not after {last.greatest_start}, when an open version starts")
+    folder, merge = work_folder(spark), _internal(config.merge)
+    try:
+        delta = _versions(spark, delta_csv, folder, config, merge.as_of)
+        touched = touched_buckets(delta.rows, merge, len(last.buckets))
+        merged = _merged(read_open(spark, root, last, touched), delta, config)
+        mark = publish(merged, root, version, merge, len(last.buckets), touched, extract)
+        return _done(spark, root, mark, config, [delta])
+    finally:
+        remove(spark, folder)
+
+
+def adopt_history(table: DataFrame, root: str, config: HistoryLoadConfig) -> Mark:
+    """Take over an existing history, with its ends in the configured encoding, as version 0.
+
+    Refused if a key has two open versions, if an open version has no whole key, or if a version ends
+    before it starts. Loads go on with version 1, incremental.
     """
     merge = _internal(config.merge)
-    published = published_version(spark, root)
-    if published is None or published < version - 1:
-        raise ValueError(f"version {version} follows {version - 1}, but {published} is published")
-    if published < version:
-        folder = work_folder(spark)
-        delta = _versions(spark, delta_csv, folder, config, merge)
-        current = read_published(spark, root, delta.schema, published, only_open=True)
-        merged = _merge(spark, current, delta, f"{folder}/prepared", config, stored=True)
-        publish(merged, root, version, merge.end)
-    return encode_open(_history(spark, root, version, config), config.merge)
-
-
-class Loaded(NamedTuple):
-    table: DataFrame
-    rows_landed: int
-    rows_loaded: int
-
-
-def dimension_load(spark: SparkSession, csv: str, target: str, config: LoadConfig) -> Loaded:
-    """Cleanse an extract, stamp it with an open range and overwrite a table. No history is kept."""
+    if published(table.sparkSession, root):
+        raise ValueError(f"{root} holds a published history")
+    rows = decode_open(table, config.merge)
+    is_open = named(merge.end).isNull()
+    keyless, reversed_ = rows.agg(
+        F.count_if(is_open & any_null(merge.key)), F.count_if(named(merge.end) < named(merge.start))
+    ).first()
+    if keyless or reversed_:
+        raise ValueError(f"{keyless} open versions have no whole key, {reversed_} versions end before they start")
+    check_one_row_per_key(rows.where(is_open), merge, "several open versions of a key")
+    return publish(rows, root, 0, merge, config.buckets, extract="adopted")
+
+
+def dimension_load(spark: SparkSession, csv: str, config: DimensionLoadConfig) -> Loaded:
+    """Gate and cleanse an extract, stamp it with an open range and replace a table. No history is kept.
+
+    ``left_out`` is readable until the next load into the same table.
+    """
     folder = work_folder(spark)
-    landed = land_csv(spark, csv, f"{folder}/landed", config.schema, config.audit)
-    kept = not_null_all(landed.data, config.required)
-    if config.dedup == "rows":
-        kept = dedup_rows(kept)
-    else:
-        kept = latest_per_key(kept, config.latest_key, config.latest_order)
-    stamp = MergeConfig(
-        key=kept.columns[:1], tracked=kept.columns[1:], as_of=config.as_of, open_end=config.open_end
-    )
-    stamped = stamp_open(kept, stamp)
-    n_loaded = write_snapshot(stamped, target, config.partition_by)
-    return Loaded(read_parquet(spark, target, stamped.schema), landed.n_rows, n_loaded)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        if config.dedup == "latest":
+            return latest_per_key(rows, config.latest_key, config.latest_order)
+        audit = [c for c in config.extract.audit if c in rows.columns]
+        if not audit:
+            return dedup_rows(rows)
+        # equal rows but for their audit columns; which one is kept must not depend on their order
+        return latest_per_key(rows, [c for c in rows.columns if c not in audit], audit)
+
+    try:
+        prepared = _prepare(spark, csv, folder, config.extract, keep)
+        stamped = stamp_open(prepared.rows, config.stamp)
+        n = publish_table(stamped, config.sink)
+        if config.sink.fmt != "parquet":
+            return Loaded(stamped.limit(0), prepared.rows_landed, n)
+        aside = f"{config.sink.path}/left_out"
+        write_snapshot(prepared.left_out, aside)
+        table = read_table_published(spark, config.sink.path, stamped.schema)
+        reports = prepared.reports
+        if reports is not None:
+            write_snapshot(reports, f"{config.sink.path}/reports")
+            reports = read_parquet(spark, f"{config.sink.path}/reports", reports.schema)
+        return Loaded(table, prepared.rows_landed, n, reports, read_parquet(spark, aside, prepared.left_out.schema))
+    finally:
+        remove(spark, folder)

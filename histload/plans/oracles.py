@@ -4,8 +4,8 @@ from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2022-02-01 00:00:00'"
 SECOND_AS_OF = "TIMESTAMP '2022-03-01 00:00:00'"
-BASE_AS_OF = "TIMESTAMP '2021-12-31 23:59:59'"
-LEGACY_AS_OF = "TIMESTAMP '2020-12-31 23:59:59'"
+BASE_AS_OF = "TIMESTAMP '2021-11-15 08:30:00'"
+LEGACY_AS_OF = "TIMESTAMP '2020-05-20 06:00:00'"
 NO_END = "CAST(NULL AS TIMESTAMP)"
 
 DIRTY = """
@@ -38,6 +38,7 @@ hist AS (
   SELECT c_custkey, 'LEGACY', c_nationkey, {LEGACY_AS_OF}, {BASE_AS_OF}
   FROM customer WHERE c_nationkey < 6)"""
 
+WHOLE = HIST.replace("WHERE c_acctbal >= 0", "")
 DELTA = f"""
 delta AS (
   SELECT c_custkey AS k,
@@ -58,14 +59,22 @@ hist AS (
   UNION ALL
   SELECT CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderkey AS VARCHAR) ELSE '0' END, o_orderpriority, o_custkey,
          o_orderdate - INTERVAL 1 DAY, o_orderdate
-  FROM orders),
-delta AS (
+  FROM orders
+  UNION ALL
+  SELECT '0', 'HOT', 0, min(o_orderdate), {NO_END} FROM orders),
+delta_rows AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS seg,
          o_custkey AS nat, {AS_OF} AS start_date, {NO_END} AS end_date
   FROM orders
   UNION ALL
   SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN '0' END, o_orderpriority, o_custkey, {AS_OF}, {NO_END}
-  FROM orders WHERE o_orderstatus = 'F')"""
+  FROM orders WHERE o_orderstatus = 'F'),
+delta AS (
+  SELECT k, seg, nat, start_date, end_date FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY start_date DESC, seg NULLS LAST, nat NULLS LAST) AS rn
+    FROM delta_rows WHERE k IS NOT NULL) WHERE rn = 1
+  UNION ALL
+  SELECT * FROM delta_rows WHERE k IS NULL)"""
 
 DIFFERS = "(h.seg IS DISTINCT FROM d.seg OR h.nat IS DISTINCT FROM d.nat)"
 VERSION = "k, seg, nat, start_date, end_date"
@@ -139,21 +148,17 @@ def stamped(end_text: str) -> str:
 
 
 HORIZON = f"({AS_OF} + INTERVAL 999999999 SECOND)"
-ENCODED = f"WITH {HIST} SELECT {VERSION}, end_date IS NULL AS was_open FROM hist"
+ENCODED = f"WITH {WHOLE} SELECT {VERSION}, end_date IS NULL AS was_open FROM hist"
 KEPT = f"count(*) FILTER ({NOT_NULL})"
 WORD_SUMS = f"""WITH {WORDS}
 SELECT word, CAST(sum(word_count) AS BIGINT) AS word_count FROM words GROUP BY word"""
 DISTINCT_KEPT = f"(SELECT count(*) FROM (SELECT DISTINCT k FROM dirty WHERE {NOT_NULL}))"
 SCHEMA_DETAIL = "missing: nm; unexpected: end_date,start_date; mistyped: "
 
-# What the load jobs read: extracts, from which they keep the last row of each key by segment.
+# What the load jobs read: extracts, from which they keep the newest row of each key. Older rows are left out.
 EXTRACTS = f"""{BOTH},
 base AS (SELECT {VERSION} FROM hist WHERE end_date IS NULL),
-first_rows AS (
-  SELECT {VERSION} FROM delta
-  UNION ALL
-  SELECT k, 'AAA', nat, start_date, end_date FROM delta WHERE nat = 7),
-first_delta AS ({latest('first_rows', VERSION, 'k', 'seg DESC NULLS LAST, nat')}),
+first_delta AS (SELECT {VERSION} FROM delta),
 second_delta AS (
   SELECT c_custkey AS k, CASE WHEN c_nationkey < 12 THEN 'SECOND' ELSE c_mktsegment END AS seg,
          c_nationkey AS nat, {SECOND_AS_OF} AS start_date, {NO_END} AS end_date
@@ -165,10 +170,15 @@ SELECT code, description, count(*) AS n_orders
 FROM orders JOIN (VALUES ('1-URGENT', 'due today'), ('2-HIGH', 'due this week'), ('3-MEDIUM', ''),
                          ('5-LOW', 'no date')) AS codes(code, description) ON o_orderpriority = code
 GROUP BY code, description""",
+    "csv_typed_landing": "SELECT * FROM documents",
+    "csv_inferred_landing": "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",
     # A blank field of an extract is read as null.
-    "csv_typed_landing": f"WITH {DIRTY} SELECT k, nm, seg, nullif(nat, '') AS nat, bal FROM dirty",
-    "csv_string_scan": f"""WITH {DELTA}
-SELECT CAST(k AS VARCHAR) AS k, seg, CAST(nat AS VARCHAR) AS nat FROM delta""",
+    "csv_blank_fields": f"WITH {DIRTY} SELECT k, nm, seg, nullif(nat, '') AS nat, bal FROM dirty",
+    "csv_string_scan": """
+SELECT CAST(c_custkey AS VARCHAR) AS k,
+       CASE WHEN c_nationkey IN (7, 8) THEN concat(' ', c_mktsegment, ' ')
+            WHEN c_nationkey <> 3 THEN c_mktsegment END AS seg,
+       CAST(c_nationkey AS VARCHAR) AS nat FROM customer""",
     "parquet_roundtrip": "SELECT * FROM events",
     "table_scan_view": "SELECT c.* FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey",
     "sink_partitioned_snapshot": f"WITH {DIRTY} SELECT * FROM dirty",
@@ -205,8 +215,8 @@ SELECT o_orderkey, o_orderdate AS parsed, true AS unchanged,
        CASE WHEN o_orderstatus NOT IN ('P', 'F') THEN o_orderdate END AS finite,
        o_orderstatus = 'F' AS is_open, o_orderstatus NOT IN ('P', 'F') AS is_closed
 FROM orders""",
-    "current_rows": f"WITH {HIST} SELECT * FROM hist WHERE end_date IS NULL",
-    "closed_rows": f"WITH {HIST} SELECT * FROM hist WHERE end_date IS NOT NULL",
+    "current_rows": f"WITH {WHOLE} SELECT * FROM hist WHERE end_date IS NULL",
+    "closed_rows": f"WITH {WHOLE} SELECT * FROM hist WHERE end_date IS NOT NULL",
     "new_keys": f"WITH {BOTH} SELECT * FROM delta d WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.k = d.k)",
     "changed_rows_strict": differing("h.seg <> d.seg OR h.nat <> d.nat"),
     "changed_rows_null_safe": differing(DIFFERS),
@@ -220,18 +230,19 @@ WHERE h.end_date IS NULL AND EXISTS (SELECT 1 FROM delta d WHERE d.k = h.k AND {
     "carry_forward": f"""WITH {BOTH}
 SELECT * FROM hist h WHERE h.end_date IS NOT NULL
    OR NOT EXISTS (SELECT 1 FROM delta d WHERE d.k = h.k AND {DIFFERS})""",
-    "union_by_position": f"""WITH {BOTH} SELECT * FROM hist UNION ALL SELECT * FROM delta
+    "union_by_position": f"""WITH {BOTH}, {WHOLE.replace("hist AS", "whole AS")}
+SELECT * FROM whole UNION ALL SELECT * FROM delta
 UNION ALL SELECT * FROM delta d WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.k = d.k)""",
-    "union_by_name": f"WITH {BOTH} SELECT * FROM hist UNION ALL SELECT * FROM delta",
-    "history_order": f"WITH {HIST} SELECT {VERSION}, {POSITION} FROM hist",
+    "union_by_name": f"WITH {WHOLE},{DELTA} SELECT * FROM hist UNION ALL SELECT * FROM delta",
+    "history_order": f"WITH {WHOLE} SELECT {VERSION}, {POSITION} FROM hist",
     "history_order_hot_key": f"WITH {ORDERS} SELECT {VERSION}, {POSITION} FROM hist",
     "scd2_changed_only": f"WITH {BOTH} {changed_only('hist', 'delta')}",
     "scd2_changed_only_small_delta": f"WITH {BOTH} {changed_only('hist', 'delta')}",
     "scd2_changed_only_hot_key": f"WITH {ORDERS} {changed_only('hist', 'delta')}",
     "scd2_reversion_all": f"WITH {BOTH} {reversion_all('hist', 'delta')}",
     "scd2_reversion_all_hot_key": f"WITH {ORDERS} {reversion_all('hist', 'delta')}",
-    "open_key_violations": f"""WITH {ORDERS}, merged AS ({reversion_all('hist', 'delta')})
-SELECT k, count(*) AS n_open FROM merged WHERE end_date IS NULL GROUP BY k HAVING count(*) > 1""",
+    "open_key_violations": f"""WITH {ORDERS}, added AS (SELECT * FROM hist UNION ALL SELECT * FROM delta_rows)
+SELECT k, count(*) AS n_open FROM added WHERE end_date IS NULL GROUP BY k HAVING count(*) > 1""",
     "gate_count": f"WITH {DIRTY} {gate('count', 'count(*) > 0', 'count(*)', 'count(*)', 'on', 'dirty')}",
     "gate_schema": f"WITH {DIRTY} {gate('schema', 'false', 'count(*)', 'count(*)', SCHEMA_DETAIL, 'dirty')}",
     "gate_nulls": f"""WITH {DIRTY} {gate(
@@ -239,6 +250,8 @@ SELECT k, count(*) AS n_open FROM merged WHERE end_date IS NULL GROUP BY k HAVIN
     "gate_duplicates": f"""WITH {DIRTY}
 {gate('duplicates', 'count(*) > 0', 'count(*)', 'count(DISTINCT k)', 'k', 'dirty')}""",
     "gate_chain": f"""WITH {DIRTY}, kept AS (SELECT * FROM dirty WHERE {NOT_NULL})
+{latest('kept', DIRTY_COLUMNS, 'k', LATEST_DIRTY)}""",
+    "gate_chain_from_options": f"""WITH {DIRTY}, kept AS (SELECT * FROM dirty WHERE {NOT_NULL})
 {latest('kept', DIRTY_COLUMNS, 'k', LATEST_DIRTY)}""",
     "gate_chain_report": f"""WITH {DIRTY}
 {gate('count', 'true', 'count(*)', 'count(*)', 'on', 'dirty')} UNION ALL
@@ -248,6 +261,10 @@ SELECT k, count(*) AS n_open FROM merged WHERE end_date IS NULL GROUP BY k HAVIN
     "airline_style_load": f"""WITH {DIRTY}
 SELECT DISTINCT k, nm, seg, nat, bal, {AS_OF} AS start_date, {HORIZON} AS end_date
 FROM dirty WHERE {NOT_NULL} AND nm IS NOT NULL AND nat <> ''""",
+    "first_changed_only_load": f"WITH {EXTRACTS} {changed_only('base', 'first_delta')}",
+    "incremental_reversion_load": f"""WITH {EXTRACTS},
+first_history AS ({reversion_all('base', 'first_delta')})
+{reversion_all('first_history', 'second_delta', SECOND_AS_OF)}""",
     "first_history_load": f"WITH {EXTRACTS} {reversion_all('base', 'first_delta')}",
     "incremental_history_load": f"""WITH {EXTRACTS},
 first_history AS ({changed_only('base', 'first_delta')})

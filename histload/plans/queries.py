@@ -8,7 +8,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.config import GateConfig, LoadConfig, MergeConfig
+from histload.config import (
+    DimensionLoadConfig,
+    ExtractConfig,
+    GateConfig,
+    HistoryLoadConfig,
+    MergeConfig,
+    Sink,
+    StampConfig,
+)
 from histload.functions import (
     TIMESTAMP_FORMAT,
     all_not_null,
@@ -34,7 +42,19 @@ GATES = GateConfig(
     duplicate_columns="k",
     duplicate_order="bal",
 )
+OPTIONS = {
+    # The option names users have in their settings files.
+    "count_check": "Y",
+    "ccColumns_schema_validation_flag": "Y",
+    "ccColumns_schema_validation": "k,nm,seg,nat,bal",
+    "null_check": "Y",
+    "null_check_columns": "k, seg, nat",
+    "duplicate_check": "Y",
+    "duplicate_check_columns": "k",
+    "duplicate_check_columns_order_by_column": "bal",
+}
 DIRTY_SCHEMA = "k BIGINT, nm STRING, seg STRING, nat STRING, bal DOUBLE"
+# The audit columns that extracts have.
 AUDIT_SCHEMA = "CreatedTimestamp TIMESTAMP_NTZ, UpdatedTimestamp TIMESTAMP_NTZ"
 VERSION = "k BIGINT, seg STRING, nat INT"
 SECOND_AS_OF = datetime(2022, 3, 1)
@@ -44,6 +64,10 @@ def _hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.decode_open(fixtures.hist(spark, sf_dir), STORED)
 
 
+def _whole_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.decode_open(fixtures.whole_hist(spark, sf_dir), STORED)
+
+
 def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.decode_open(fixtures.delta(spark, sf_dir), STORED)
 
@@ -79,15 +103,34 @@ def rows_scan_codes(spark, sf_dir):
 
 
 def csv_typed_landing(spark, sf_dir):
+    """Texts with line breaks and quotes."""
+    folder = work_folder(spark)
+    documents = fixtures.table(spark, sf_dir, "documents")
+    extract = fixtures.write_extract(documents, f"{folder}/extract")
+    schema = f"doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, {AUDIT_SCHEMA}"
+    return writers.land_csv(spark, extract, f"{folder}/landed", schema, fixtures.AUDIT, {"multiLine": "true"}).data
+
+
+def csv_blank_fields(spark, sf_dir):
     folder = work_folder(spark)
     extract = fixtures.write_extract(fixtures.dirty(spark, sf_dir), f"{folder}/extract")
     schema = f"{DIRTY_SCHEMA}, {AUDIT_SCHEMA}"
     return writers.land_csv(spark, extract, f"{folder}/landed", schema, fixtures.AUDIT).data
 
 
+def csv_inferred_landing(spark, sf_dir):
+    folder = work_folder(spark)
+    orders = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    extract = fixtures.write_extract(orders, f"{folder}/extract")
+    landed = writers.land_csv(spark, extract, f"{folder}/landed", None, fixtures.AUDIT).data
+    return landed.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_totalprice", "o_orderpriority")
+
+
 def csv_string_scan(spark, sf_dir):
-    padded = fixtures.delta(spark, sf_dir).select("k", "seg", "nat")
-    extract = fixtures.write_extract(padded, f"{work_folder(spark)}/extract")
+    seg, nat = F.col("seg"), F.col("nat")
+    padded = F.when(nat.isin(7, 8), F.concat(F.lit(" "), seg, F.lit(" "))).when(nat != 3, seg)
+    rows = _customers(spark, sf_dir).withColumn("seg", padded)
+    extract = fixtures.write_extract(rows, f"{work_folder(spark)}/extract")
     return readers.read_csv_text(spark, extract).drop(*fixtures.AUDIT)
 
 
@@ -112,8 +155,8 @@ def table_scan_view(spark, sf_dir):
 def sink_partitioned_snapshot(spark, sf_dir):
     rows = fixtures.dirty(spark, sf_dir)
     path = f"{work_folder(spark)}/dirty"
-    writers.write_snapshot(rows, path, partition_by=["seg"], sort_by=["k"], options={"compression": "zstd"})
-    return readers.read_parquet(spark, path, rows.schema)
+    writers.write_snapshot(rows, path, partition_by=["seg", "nat"], sort_by=["k"], options={"compression": "zstd"})
+    return writers.read_snapshot(spark, path, rows.schema)
 
 
 def sink_plain_snapshot(spark, sf_dir):
@@ -126,11 +169,11 @@ def sink_plain_snapshot(spark, sf_dir):
 def staged_republish(spark, sf_dir):
     root = f"{work_folder(spark)}/history"
     first, delta = _hist(spark, sf_dir), _delta(spark, sf_dir)
-    writers.publish(first, root, 1, MERGE.end)
-    current = writers.read_published(spark, root, first.schema, 1, only_open=True)
-    merged = history.merge_changed_only(current, delta, MERGE, unique_keys=True)
-    writers.publish(merged, root, 2, MERGE.end)
-    return writers.read_published(spark, root, first.schema, writers.published_version(spark, root))
+    mark = writers.publish(first, root, 1, MERGE, 16)
+    touched = writers.touched_buckets(delta, MERGE, 16)
+    merged = history.merge_changed_only(writers.read_open(spark, root, mark, touched), delta, MERGE)
+    writers.publish(merged, root, 2, MERGE, 16, touched)
+    return writers.read_published(spark, root)
 
 
 # ---------------------------------------------------------------- filters, profiles, scalars
@@ -253,6 +296,10 @@ def gate_chain_report(spark, sf_dir):
     return quality.gate_chain(fixtures.dirty(spark, sf_dir), GATES).report
 
 
+def gate_chain_from_options(spark, sf_dir):
+    return quality.gate_chain(fixtures.dirty(spark, sf_dir), GateConfig.from_options(OPTIONS)).data
+
+
 # ---------------------------------------------------------------- versioned rows
 
 
@@ -269,7 +316,7 @@ def _stamp(open_end):
 def _encode(open_end):
     def query(spark, sf_dir):
         config = replace(MERGE, open_end=open_end)
-        encoded = history.encode_open(_hist(spark, sf_dir), config)
+        encoded = history.encode_open(_whole_hist(spark, sf_dir), config)
         decoded = history.decode_open(encoded, config)
         return decoded.withColumn("was_open", F.col("end_date").isNull())
 
@@ -277,11 +324,11 @@ def _encode(open_end):
 
 
 def current_rows(spark, sf_dir):
-    return history.current_rows(_hist(spark, sf_dir), MERGE)
+    return history.current_rows(_whole_hist(spark, sf_dir), MERGE)
 
 
 def closed_rows(spark, sf_dir):
-    return history.closed_rows(_hist(spark, sf_dir), MERGE)
+    return history.closed_rows(_whole_hist(spark, sf_dir), MERGE)
 
 
 def new_keys(spark, sf_dir):
@@ -315,13 +362,13 @@ def carry_forward(spark, sf_dir):
 
 
 def union_by_position(spark, sf_dir):
-    hist = _hist(spark, sf_dir)
+    hist = _whole_hist(spark, sf_dir)
     current, closed = history.current_rows(hist, MERGE), history.closed_rows(hist, MERGE)
     return history.union_by_position([current, closed, _delta(spark, sf_dir), new_keys(spark, sf_dir)])
 
 
 def union_by_name(spark, sf_dir):
-    hist, delta = _hist(spark, sf_dir), _delta(spark, sf_dir)
+    hist, delta = _whole_hist(spark, sf_dir), _delta(spark, sf_dir)
     current, closed = history.current_rows(hist, MERGE), history.closed_rows(hist, MERGE)
     return history.union_by_name([current, closed, delta.select(*reversed(delta.columns))])
 
@@ -332,7 +379,7 @@ def _numbered(spark, hist):
 
 
 def history_order(spark, sf_dir):
-    return _numbered(spark, _hist(spark, sf_dir))
+    return _numbered(spark, _whole_hist(spark, sf_dir))
 
 
 def history_order_hot_key(spark, sf_dir):
@@ -341,16 +388,20 @@ def history_order_hot_key(spark, sf_dir):
 
 def scd2_changed_only(spark, sf_dir):
     hist, delta = _hist(spark, sf_dir), _delta(spark, sf_dir)
-    return history.merge_changed_only(hist, delta, MERGE, unique_keys=True)
+    return history.merge_changed_only(hist, delta, MERGE)
 
 
 def scd2_changed_only_small_delta(spark, sf_dir):
     hist, delta = _hist(spark, sf_dir), _delta(spark, sf_dir)
-    return history.merge_changed_only(hist, delta, MERGE, delta_bytes=history.lookup_bytes(delta, MERGE))
+    return history.merge_changed_only(hist, delta, MERGE, delta_bytes=history.delta_size(delta))
+
+
+def _settled_orders(spark, sf_dir):
+    return history.settle(fixtures.order_delta(spark, sf_dir), MERGE, ["start_date"])
 
 
 def scd2_changed_only_hot_key(spark, sf_dir):
-    hist, delta = fixtures.order_hist(spark, sf_dir), fixtures.order_delta(spark, sf_dir)
+    hist, delta = fixtures.order_hist(spark, sf_dir), _settled_orders(spark, sf_dir)
     return history.merge_changed_only(hist, delta, MERGE)
 
 
@@ -359,12 +410,13 @@ def scd2_reversion_all(spark, sf_dir):
 
 
 def scd2_reversion_all_hot_key(spark, sf_dir):
-    hist, delta = fixtures.order_hist(spark, sf_dir), fixtures.order_delta(spark, sf_dir)
+    hist, delta = fixtures.order_hist(spark, sf_dir), _settled_orders(spark, sf_dir)
     return history.merge_reversion_all(hist, delta, MERGE)
 
 
 def open_key_violations(spark, sf_dir):
-    return history.open_key_violations(scd2_reversion_all_hot_key(spark, sf_dir), MERGE)
+    added = fixtures.order_hist(spark, sf_dir).unionByName(fixtures.order_delta(spark, sf_dir))
+    return history.open_key_violations(added, MERGE)
 
 
 # ---------------------------------------------------------------- jobs
@@ -373,15 +425,12 @@ def open_key_violations(spark, sf_dir):
 def airline_style_load(spark, sf_dir):
     folder = work_folder(spark)
     extract = fixtures.write_extract(fixtures.dirty(spark, sf_dir), f"{folder}/extract")
-    config = LoadConfig(
-        schema=f"{DIRTY_SCHEMA}, {AUDIT_SCHEMA}",
-        required="k,nm,seg,nat",
-        audit=fixtures.AUDIT,
-        dedup="rows",
-        partition_by="seg",
-        as_of=fixtures.AS_OF,
+    config = DimensionLoadConfig(
+        extract=ExtractConfig("k,nm,seg,nat", f"{DIRTY_SCHEMA}, {AUDIT_SCHEMA}", fixtures.AUDIT),
+        stamp=StampConfig(fixtures.AS_OF, open_end="horizon"),
+        sink=Sink(f"{folder}/customer", partition_by="seg"),
     )
-    return jobs.dimension_load(spark, extract, f"{folder}/customer", config).table
+    return jobs.dimension_load(spark, extract, config).table
 
 
 def _base_extract(spark, sf_dir):
@@ -389,9 +438,11 @@ def _base_extract(spark, sf_dir):
 
 
 def _first_extract(spark, sf_dir):
-    """The delta, and an earlier row for one nation's customers, which the load must leave out."""
-    rows = fixtures.delta(spark, sf_dir).select("k", "seg", "nat")
-    return rows.unionByName(rows.where("nat = 7").withColumn("seg", F.lit("AAA")))
+    """The delta, and an older row for one nation's customers, which the load must leave out."""
+    updated = F.to_timestamp_ntz(F.lit(fixtures.AS_OF))
+    rows = fixtures.delta(spark, sf_dir).select("k", "seg", "nat").withColumn(fixtures.AUDIT[1], updated)
+    older = rows.where("nat = 7").withColumns({"seg": F.lit("ZZZ"), fixtures.AUDIT[1]: updated - F.expr("INTERVAL '1' DAY")})
+    return rows.unionByName(older).withColumn(fixtures.AUDIT[0], updated).select("k", "seg", "nat", *fixtures.AUDIT)
 
 
 def _second_extract(spark, sf_dir):
@@ -400,14 +451,13 @@ def _second_extract(spark, sf_dir):
 
 
 def _load_config(mode):
-    return LoadConfig(
-        schema=f"{VERSION}, {AUDIT_SCHEMA}",
-        required="k,nat",
-        audit=fixtures.AUDIT,
-        gates=GateConfig(columns="k,seg,nat", schema_check=True),
+    gates = GateConfig(columns="k,seg,nat", schema_check=True)
+    return HistoryLoadConfig(
+        extract=ExtractConfig("k,nat", f"{VERSION}, {AUDIT_SCHEMA}", fixtures.AUDIT, gates),
         merge=MERGE,
+        latest_order=fixtures.AUDIT[1],
         mode=mode,
-        latest_order="seg",
+        buckets=16,
     )
 
 
@@ -415,22 +465,34 @@ def _first_load(spark, sf_dir, folder, config):
     base = fixtures.write_extract(_base_extract(spark, sf_dir), f"{folder}/base")
     delta = fixtures.write_extract(_first_extract(spark, sf_dir), f"{folder}/first")
     base_as_of = datetime.fromisoformat(fixtures.BASE_AS_OF)
-    return jobs.first_history_load(spark, base, delta, f"{folder}/history", config, base_as_of)
+    return jobs.first_history_load(spark, base, delta, f"{folder}/history", config, base_as_of).table
 
 
 def first_history_load(spark, sf_dir):
     return _first_load(spark, sf_dir, work_folder(spark), _load_config("reversion_all"))
 
 
-def incremental_history_load(spark, sf_dir):
-    folder, config = work_folder(spark), _load_config("changed_only")
+def first_changed_only_load(spark, sf_dir):
+    return _first_load(spark, sf_dir, work_folder(spark), _load_config("changed_only"))
+
+
+def _both_loads(spark, sf_dir, mode):
+    folder, config = work_folder(spark), _load_config(mode)
     _first_load(spark, sf_dir, folder, config)
     second = fixtures.write_extract(_second_extract(spark, sf_dir), f"{folder}/second")
     later = replace(config, merge=replace(MERGE, as_of=SECOND_AS_OF))
     root = f"{folder}/history"
     jobs.incremental_history_load(spark, second, root, later, 2)
     # The same load again finds its version published and changes nothing.
-    return jobs.incremental_history_load(spark, second, root, later, 2)
+    return jobs.incremental_history_load(spark, second, root, later, 2).table
+
+
+def incremental_history_load(spark, sf_dir):
+    return _both_loads(spark, sf_dir, "changed_only")
+
+
+def incremental_reversion_load(spark, sf_dir):
+    return _both_loads(spark, sf_dir, "reversion_all")
 
 
 QUERIES = {
@@ -438,6 +500,8 @@ QUERIES = {
     for q in (
         rows_scan_codes,
         csv_typed_landing,
+        csv_blank_fields,
+        csv_inferred_landing,
         csv_string_scan,
         parquet_roundtrip,
         table_scan_view,
@@ -482,9 +546,12 @@ QUERIES = {
         gate_duplicates,
         gate_chain,
         gate_chain_report,
+        gate_chain_from_options,
         airline_style_load,
         first_history_load,
+        first_changed_only_load,
         incremental_history_load,
+        incremental_reversion_load,
     )
 }
 QUERIES["load_date_text"] = load_dates

@@ -11,12 +11,12 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder.
+    A local session without that setting, which has no other machines, gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.conf.get("spark.master", "").split("[")[0] == "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="histload-")
 
@@ -24,3 +24,29 @@ def shared_folder(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/histload-{uuid4().hex}"
+
+
+def _located(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on any filesystem; whether there was one."""
+    files, where = _located(spark, path)
+    return files.delete(where, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if it is not there."""
+    files, where = _located(spark, path)
+    if not files.exists(where):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
+
+
+def identity(spark: SparkSession, path: str) -> str:
+    """What tells an extract from another: its path, bytes and files."""
+    files, where = _located(spark, path)
+    size = files.getContentSummary(where)
+    return f"{path} ({size.getLength()} bytes, {size.getFileCount()} files)"

@@ -1,16 +1,23 @@
-"""Sinks: snapshots, landing of text extracts, and published versions of a history."""
+"""Sinks: snapshots, landing of text extracts, published tables and published histories."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
+from datetime import datetime
 from typing import NamedTuple
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
+from histload.config import MergeConfig, Sink
+from histload.functions import all_named, named
+from histload.operators.history import check_one_row_per_key
 from histload.sources.readers import read_csv_typed, read_parquet
+from histload.sources.workspace import folders, remove
 
 
 class Written(NamedTuple):
@@ -18,6 +25,11 @@ class Written(NamedTuple):
     n_rows: int
 
 
+#: A partition folder cannot tell empty text from null, so text is partitioned by a copy named like this, and
+#: the value itself is in the files.
+_COPY = "__folder_{}"
+
+
 def write_snapshot(
     df: DataFrame,
     path: str | None = None,
@@ -25,25 +37,41 @@ def write_snapshot(
     sort_by: Iterable[str] = (),
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
-) -> int:
-    """Overwrite a table, and return how many rows were written.
+    measures: Mapping[str, Column] | None = None,
+) -> dict[str, object]:
+    """Overwrite a table, and return how many ``rows`` were written, with the aggregates in ``measures``.
 
     Rows are gathered by partition value before the write, so that each value gets few files. Spark
     splits a value that holds much of the table over several tasks again. Partition only by columns
-    with few values. Connector settings, such as a staging area, go in ``options``.
+    with few values. Parquet partitioned by text is read back with ``read_snapshot``. Connector settings, such as a
+    staging area, go in ``options``.
     """
     partition_by, sort_by = list(partition_by), list(sort_by)
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    if partition_by or sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    by = list(partition_by)
+    if fmt == "parquet":
+        text = [c for c in partition_by if isinstance(df.schema[c].dataType, StringType)]
+        df = df.withColumns({_COPY.format(c): F.concat(F.lit("="), named(c)) for c in text})
+        by = [_COPY.format(c) if c in text else c for c in partition_by]
+    if by:
+        df = df.hint("rebalance", *all_named(by))
+    if by or sort_by:
+        df = df.sortWithinPartitions(*all_named(by + sort_by))
     counted = Observation()
-    df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    df = df.observe(counted, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (measures or {}).items()])
     writer = df.write.format(fmt).options(**(options or {})).mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if by:
+        writer = writer.partitionBy(*by)
     writer.save(path)
-    return counted.get["rows"]
+    return counted.get
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Parquet that ``write_snapshot`` wrote, empty text and nulls in partition columns included."""
+    return read_parquet(spark, path, schema).select(*all_named(schema.names))
+
+
+def write_sink(df: DataFrame, sink: Sink, **how) -> dict[str, object]:
+    return write_snapshot(df, sink.path, sink.partition_by, fmt=sink.fmt, options=sink.options, **how)
 
 
 def land_csv(
@@ -52,72 +80,182 @@ def land_csv(
     parquet_path: str,
     schema: StructType | str | None = None,
     audit: Iterable[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> Written:
     """Copy a text extract to parquet, and read it back without its audit columns."""
-    extract = read_csv_typed(spark, csv_path, schema)
-    n_rows = write_snapshot(extract, parquet_path)
+    extract = read_csv_typed(spark, csv_path, schema, options)
+    n_rows = write_snapshot(extract, parquet_path)["rows"]
     return Written(read_parquet(spark, parquet_path, extract.schema).drop(*audit), n_rows)
 
 
-# A published history lies in three places below its root:
-#   loads/version=N/is_open=1   the open versions as of load N
-#   closed/version=N            the versions that load N closed
-#   published/                  one row per load that is complete
-# A load writes new folders only, so readers of the version before are not disturbed, and a load
-# that breaks off leaves nothing they would see. Closed versions are written once and never again.
-# One load at a time may write; once published, loads before it are needed by its late readers only.
+# ---------------------------------------------------------------- published tables
 
+# A table that is replaced as a whole: each load writes a folder of its own, and becomes visible with its mark.
 
-def publish(changes: DataFrame, root: str, version: int, end: str) -> int:
-    """Write open versions and those closed by this load, then name the load complete.
 
-    One pass over the changes writes both. Every task may have closed a few versions, which makes as
-    many small files, so these are gathered into few before they join the closed ones for good.
-    """
-    spark = changes.sparkSession
-    load = f"{root}/loads/version={version}"
-    flagged = changes.withColumn("is_open", F.col(end).isNull().cast("int"))
-    counted = Observation()
-    (
-        flagged.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .partitionBy("is_open")
-        .parquet(load)
-    )
-    closed = spark.read.schema(flagged.schema).parquet(load).where("is_open = 0").drop("is_open")
-    closed.hint("rebalance").write.mode("overwrite").parquet(f"{root}/closed/version={version}")
-
-    n = counted.get["rows"]
-    mark = spark.range(1, numPartitions=1).select(F.lit(version).alias("version"), F.lit(n).alias("n_rows"))
-    mark.write.mode("append").parquet(f"{root}/published")
+def publish_table(df: DataFrame, sink: Sink) -> int:
+    """Replace a table. Parquet is written beside the old rows, which stay until the new ones are whole;
+    other formats are overwritten by their connector."""
+    if sink.fmt != "parquet":
+        return write_sink(df, sink)["rows"]
+    spark = df.sparkSession
+    before = _marks(spark, sink.path, _TABLE_MARK)
+    number = 1 + (before[-1].number if before else 0)
+    name = f"rows-{number}-{uuid4().hex}"
+    n = write_snapshot(df, f"{sink.path}/{name}", sink.partition_by, options=sink.options)["rows"]
+    _mark(spark, sink.path, [(number, name, n)], _TABLE_MARK)
+    for old in folders(spark, sink.path):
+        if old.startswith("rows-") and old not in {name, *(m.name for m in before[-1:])}:
+            remove(spark, f"{sink.path}/{old}")  # the rows before stay for their readers
     return n
 
 
-def published_version(spark: SparkSession, root: str) -> int | None:
-    """The last complete load, or None before the first."""
+def read_table_published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    marks = _marks(spark, path, _TABLE_MARK)
+    if not marks:
+        raise ValueError(f"nothing is published in {path}")
+    return read_snapshot(spark, f"{path}/{marks[-1].name}", schema)
+
+
+_TABLE_MARK = "number int, name string, n_rows bigint"
+
+
+def _mark(spark: SparkSession, root: str, rows: list[tuple], schema: str) -> None:
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/published")
+
+
+def _marks(spark: SparkSession, root: str, schema: str) -> list:
+    """The loads that are complete, in order; one row each."""
     try:
-        marks = spark.read.schema("version int, n_rows bigint").parquet(f"{root}/published")
+        marks = spark.read.schema(schema).parquet(f"{root}/published").collect()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return []
         raise
-    return marks.agg(F.max("version")).first()[0]
+    return sorted(marks, key=lambda m: m[0])
+
+
+# ---------------------------------------------------------------- published histories
+
+# A published history lies in two places below its root:
+#   loads/version=N/is_open=1/bucket=B   the open versions of a bucket of keys, as of load N
+#   loads/version=N/is_open=0/bucket=-1  the versions that load N closed
+#   published/                           one row per load that is complete; it names the load that last wrote
+#                                        each bucket
+# A load reads and writes the buckets that its delta touches. It writes new folders only, so readers of the
+# version before are not disturbed, and a load that breaks off leaves nothing they would see. Closed versions
+# are written once and never again. One load at a time may write.
+
+
+class Mark(NamedTuple):
+    """A complete load: the load that last wrote each bucket (-1: it is empty), the greatest start of an
+    open version, the columns, and what was loaded."""
+
+    version: int
+    n_rows: int
+    buckets: list[int]
+    greatest_start: datetime | None
+    schema: str
+    extract: str
+
+
+_HISTORY_MARK = "version int, n_rows bigint, buckets array<int>, greatest_start timestamp_ntz, schema string, extract string"
+
+
+def bucket_of(key: Iterable[str], n_buckets: int) -> Column:
+    """The bucket of a key, from its text, so that integer types don't matter."""
+    return F.pmod(F.xxhash64(*[named(c).cast("string") for c in key]), F.lit(n_buckets)).cast("int")
 
 
-def read_published(
-    spark: SparkSession, root: str, schema: StructType, version: int, only_open: bool = False
-) -> DataFrame:
-    """The history as of one load: its open versions, and all versions closed up to it.
+def touched_buckets(delta: DataFrame, config: MergeConfig, n_buckets: int) -> list[int]:
+    found = delta.select(bucket_of(config.key, n_buckets).alias("b")).distinct().collect()  # n_buckets rows at most
+    return sorted(r["b"] for r in found)
+
+
+def published(spark: SparkSession, root: str, version: int | None = None) -> Mark | None:
+    """The last complete load, or the one asked for; None if there is none."""
+    marks = [Mark(*m) for m in _marks(spark, root, _HISTORY_MARK) if version in (None, m.version)]
+    return marks[-1] if marks else None
+
+
+def published_version(spark: SparkSession, root: str) -> int | None:
+    mark = published(spark, root)
+    return mark.version if mark else None
 
-    Openness and load are partition folders, so Spark opens only the files it needs.
+
+def publish(
+    changes: DataFrame,
+    root: str,
+    version: int,
+    config: MergeConfig,
+    n_buckets: int = 64,
+    touched: list[int] | None = None,
+    extract: str = "",
+) -> Mark:
+    """Write open versions and those closed by this load, check them, then name the load complete.
+
+    ``changes`` holds all open versions of the ``touched`` buckets (all buckets without it) and what this load
+    closes. One pass writes both; rows are gathered by bucket before it. If a key then has two open versions, the
+    load is not named complete, and an error tells the key.
     """
+    spark, load = changes.sparkSession, f"{root}/loads/version={version}"
+    before = published(spark, root)
+    if before and (before.version != version - 1 or len(before.buckets) != n_buckets):
+        raise ValueError(f"version {version} with {n_buckets} buckets cannot follow {before.version} with {len(before.buckets)}")
+    is_open = named(config.end).isNull()
+    bucket = F.when(is_open, bucket_of(config.key, n_buckets)).otherwise(-1)
+    flagged = changes.withColumns({"is_open": is_open.cast("int"), "bucket": bucket}).hint("rebalance", "is_open", "bucket")
+    seen = Observation()
+    start = F.max(F.when(F.col("is_open") == 1, named(config.start)))
+    flagged.observe(seen, F.count(F.lit(1)).alias("rows"), start.alias("start")).write.mode("overwrite").partitionBy("is_open", "bucket").parquet(load)
+
+    written = spark.read.schema(_with(changes.schema, "is_open", "bucket")).parquet(load).where("is_open = 1")
+    check_one_row_per_key(written, config, "several open versions of a key")
+    filled = {r.bucket for r in written.select("bucket").distinct().collect()}  # n_buckets rows at most
+    buckets = list(before.buckets) if before else [-1] * n_buckets
+    for b in range(n_buckets) if touched is None else touched:
+        buckets[b] = version if b in filled else -1
+    if not filled <= set(range(n_buckets) if touched is None else touched):
+        raise ValueError("the changes hold open versions of other buckets than those named")
+    starts = [s for s in (seen.get["start"], before.greatest_start if before else None) if s]
+    mark = Mark(version, seen.get["rows"], buckets, max(starts, default=None), changes.schema.json(), extract)
+    _mark(spark, root, [tuple(mark)], _HISTORY_MARK)
+    return mark
+
+
+def _with(schema: StructType, *partitions: str) -> StructType:
+    fields = StructType([*schema.fields])
+    for p in partitions:
+        fields = fields.add(p, IntegerType())
+    return fields
 
-    def stored(path: str, partition: str) -> DataFrame:
-        fields = StructType([*schema.fields]).add(partition, IntegerType())
-        return spark.read.schema(fields).parquet(path)
 
-    current = stored(f"{root}/loads/version={version}", "is_open").where("is_open = 1").drop("is_open")
-    if only_open:
-        return current
-    closed = stored(f"{root}/closed", "version").where(F.col("version") <= version).drop("version")
-    return current.unionByName(closed)
+def read_open(spark: SparkSession, root: str, mark: Mark, buckets: Iterable[int] | None = None) -> DataFrame:
+    """The open versions as of one load, of some buckets or all; only their folders are opened."""
+    wanted = range(len(mark.buckets)) if buckets is None else buckets
+    paths = [f"{root}/loads/version={mark.buckets[b]}/is_open=1/bucket={b}" for b in wanted if mark.buckets[b] >= 0]
+    schema = StructType.fromJson(json.loads(mark.schema))
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def read_published(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The history as of one load, the last without a number: its open versions, and all closed up to it."""
+    mark = published(spark, root, version)
+    if mark is None:
+        raise ValueError(f"no such load is published in {root}: {version}")
+    current = read_open(spark, root, mark)
+    stored = spark.read.schema(_with(current.schema, "version", "is_open", "bucket")).parquet(f"{root}/loads")
+    closed = stored.where((F.col("is_open") == 0) & (F.col("version") <= mark.version))
+    return current.unionByName(closed.select(*all_named(current.columns)))
+
+
+def drop_superseded(spark: SparkSession, root: str) -> int:
+    """Delete the open versions that only loads before the last complete one name; their readers must be done.
+    Closed versions stay. Returns how many folders went."""
+    mark, n = published(spark, root), 0
+    for name in folders(spark, f"{root}/loads"):
+        load = int(name.removeprefix("version="))
+        for bucket in folders(spark, f"{root}/loads/{name}/is_open=1") if mark and load <= mark.version else []:
+            if mark.buckets[int(bucket.removeprefix("bucket="))] != load:
+                n += remove(spark, f"{root}/loads/{name}/is_open=1/{bucket}")
+    return n

@@ -1,183 +1,199 @@
-"""Small cases whose results are worked out by hand."""
+"""Small cases whose results are worked out by hand: berths of harbours, the ships in them and their dues."""
 
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from histload.config import GateConfig, LoadConfig, MergeConfig
+from histload.config import (
+    DimensionLoadConfig,
+    ExtractConfig,
+    GateConfig,
+    HistoryLoadConfig,
+    MergeConfig,
+    Sink,
+    StampConfig,
+)
 from histload.operators import dedup, history, quality
 from histload.sources import readers
 
-# First names, middle names and last names, of which some are null or empty; birthday; points.
-PEOPLE = [
-    ("Ada", "", None, "1990-01-02", 10),
-    ("Bo", "Li", "", "1991-02-03", 20),
-    ("Cy", "", "Moss", None, 30),
-    ("Di", "Ann", "Park", "1960-05-06", 40),
-    ("Di", "Ann", "Park", "1960-05-07", 40),
-    ("Ed", "Lee", "Quill", "1975-07-08", 50),
+CALLS = "ship STRING, flag STRING, tons BIGINT, eta STRING"
+# Every pattern of a null, a blank or neither in flag and eta, and a tie that tons must break.
+EXPECTED_CALLS = [
+    ("Auk", "NO", 900, "06:10"),
+    ("Brent", None, 40, "06:10"),
+    ("Coot", "", 40, "07:00"),
+    ("Dunlin", "DK", 310, None),
+    ("Eider", None, 75, None),
+    ("Fulmar", "  ", None, "23:59"),
+    ("Gannet", "IS", 12, "11:45"),
+    ("Gannet", "IS", 15, "11:45"),
+    ("Gannet", "IS", 15, "11:45"),
 ]
-PEOPLE_SCHEMA = "first STRING, middle STRING, last STRING, born STRING, points BIGINT"
-
-STAFF_SCHEMA = "id BIGINT, name STRING, boss BIGINT, since STRING, unit STRING, pay BIGINT"
-OLD_STAFF = [
-    (1, "Fay", 0, "2015", "a", 100),
-    (2, "Gus", 1, "2016", "b", 90),
-    (3, "Hal", 1, "2017", "a", 80),
-    (4, "Ivy", 2, "2018", "", 70),
-    (5, "Jo", 2, "2019", "c", -1),
-]
-NEW_STAFF = [
-    (1, "Faye", 0, "2015", "a", 100),
-    (4, "Ivy", 2, "2018", "", 70),
-    (5, "Jo", 2, "2020", "c", -1),
-    (22, "Gus", 1, "2016", "b", 90),
-    (23, "Hal", 1, "2017", "a", 80),
-]
-STAFF = MergeConfig("id", "name,boss,since,unit,pay", datetime(2022, 2, 1))
-AS_OF = datetime(2022, 2, 1)
-CODE = MergeConfig("code", "text", AS_OF)
-START = datetime(2021, 12, 31, 23, 59, 59)
 
+BERTHS = "harbour STRING, berth INT, ship STRING, dues INT, start_date TIMESTAMP_NTZ, end_date TIMESTAMP_NTZ"
+MAY, JUNE, JULY = datetime(2019, 5, 4, 6), datetime(2019, 6, 1, 18, 30), datetime(2019, 7, 9, 12)
+BERTH = MergeConfig("harbour,berth", "ship,dues", JULY)
 
-@pytest.fixture(scope="module")
-def people(spark):
-    return readers.rows(spark, PEOPLE, PEOPLE_SCHEMA)
 
-
-def codes(spark, *pairs, start=START):
-    rows = [(c, t, start, None) for c, t in pairs]
-    return readers.rows(
-        spark, rows, "code STRING, text STRING, start_date TIMESTAMP_NTZ, end_date TIMESTAMP_NTZ"
-    )
+@pytest.fixture(scope="module")
+def calls(spark):
+    return readers.rows(spark, EXPECTED_CALLS, CALLS)
+
+
+def test_null_and_blank_filters(calls):
+    whole = quality.not_null_all(calls, ["flag", "eta"])
+    assert sorted(r.ship for r in whole.collect()) == ["Auk", "Coot", "Fulmar", "Gannet", "Gannet", "Gannet"]
+    assert sorted(r.ship for r in quality.rejected_rows(calls, ["flag", "eta"]).collect()) == ["Brent", "Dunlin", "Eider"]
+    written = quality.not_blank_all(calls, ["flag", "eta"])
+    assert sorted(r.ship for r in written.collect()) == ["Auk", "Gannet", "Gannet", "Gannet"]
+
+
+def test_three_ways_to_drop_copies(calls):
+    assert dedup.dedup_rows(calls).count() == 8
+    assert dedup.dedup_keys(calls, ["flag", "eta"]).count() == 7
+    latest = {(r.eta, r.ship, r.tons) for r in dedup.latest_per_key(calls, ["eta"], ["tons"]).collect()}
+    assert latest == {
+        ("06:10", "Auk", 900),
+        ("07:00", "Coot", 40),
+        (None, "Dunlin", 310),
+        ("23:59", "Fulmar", None),
+        ("11:45", "Gannet", 15),
+    }
+    with pytest.raises(ValueError):
+        dedup.latest_per_key(calls, [], ["tons"])
 
 
-def test_people(people):
-    whole = quality.not_null_all(people, ["first", "middle", "last", "born"])
-    assert sorted((r.first, r.born) for r in whole.collect()) == [
-        ("Bo", "1991-02-03"),
-        ("Di", "1960-05-06"),
-        ("Di", "1960-05-07"),
-        ("Ed", "1975-07-08"),
-    ]
-    assert dedup.dedup_rows(whole).count() == 4
-    latest = dedup.latest_per_key(whole, ["first", "middle", "last"], ["born"])
-    assert sorted((r.first, r.born) for r in latest.collect()) == [
-        ("Bo", "1991-02-03"),
-        ("Di", "1960-05-07"),
-        ("Ed", "1975-07-08"),
-    ]
+def berths(spark, *rows):
+    return readers.rows(spark, rows, BERTHS)
 
 
-def test_latest_needs_keys(people):
-    with pytest.raises(ValueError):
-        dedup.latest_per_key(people, [], ["born"])
-
-
-def test_staff(spark):
-    hist = history.stamp_open(readers.rows(spark, OLD_STAFF, STAFF_SCHEMA), STAFF)
-    delta = history.stamp_open(readers.rows(spark, NEW_STAFF, STAFF_SCHEMA), STAFF)
-    new = history.new_keys(delta, hist, STAFF)
-    assert sorted((r.id, r.name) for r in new.collect()) == [(22, "Gus"), (23, "Hal")]
-    changed = history.changed_rows(delta, hist, STAFF)
-    assert sorted((r.id, r.name, r.since) for r in changed.collect()) == [
-        (1, "Faye", "2015"),
-        (5, "Jo", "2020"),
-    ]
-    closing = history.rows_to_close(hist, delta, STAFF, only_changed=True)
-    assert sorted((r.id, r.name, r.since, r.end_date) for r in closing.collect()) == [
-        (1, "Fay", "2015", STAFF.as_of),
-        (5, "Jo", "2019", STAFF.as_of),
-    ]
+@pytest.fixture
+def history_and_delta(spark):
+    hist = berths(
+        spark,
+        ("Leith", 1, "Auk", 50, MAY, None),
+        ("Leith", 2, "Brent", 20, MAY, JUNE),
+        ("Leith", 2, "Coot", 20, JUNE, None),
+        ("Leith", 3, "Dunlin", None, JUNE, None),
+        ("Oban", 1, "Eider", 35, MAY, None),
+        ("Oban", 2, "Fulmar", 5, MAY, JUNE),  # closed only
+        ("Oban", None, "Gannet", 9, MAY, None),
+    )
+    delta = berths(
+        spark,
+        ("Leith", 1, "Auk", 50, JULY, None),  # as it was
+        ("Leith", 2, "Coot", None, JULY, None),  # dues become null
+        ("Leith", 3, "Dunlin", 8, JULY, None),  # and appear
+        ("Oban", 2, "Fulmar", 5, JULY, None),  # comes back
+        ("Wick", 2, "Heron", 7, JULY, None),
+        (None, 2, "Ibis", 7, JULY, None),
+    )
+    return hist, delta
 
 
-def _versions(df):
-    ordered = history.order_history(df, CODE)
-    return [(r.code, r.text, r.end_date is None) for r in ordered.collect()]
+def places(df):
+    return sorted(((r.harbour or "", r.berth or 0, r.ship) for r in df.collect()))
 
 
-@pytest.mark.parametrize("how", [{}, {"unique_keys": True}, {"delta_bytes": 1000}])
-def test_codes_changed_only(spark, how):
-    hist = codes(spark, ("A", "rain"), ("B", "snow"), ("C", "technical"))
-    delta = codes(spark, ("A", "rain"), ("B", "sky"), ("D", "weather"), start=CODE.as_of)
-    assert _versions(history.merge_changed_only(hist, delta, CODE, **how)) == [
-        ("A", "rain", True),
-        ("B", "snow", False),
-        ("B", "sky", True),
-        ("C", "technical", True),
-        ("D", "weather", True),
-    ]
+def test_change_detection(history_and_delta):
+    hist, delta = history_and_delta
+    assert places(history.new_keys(delta, hist, BERTH)) == [("", 2, "Ibis"), ("Wick", 2, "Heron")]
+    assert places(history.changed_rows(delta, hist, BERTH)) == [("Leith", 2, "Coot"), ("Leith", 3, "Dunlin")]
+    strict = MergeConfig("harbour,berth", "ship,dues", JULY, null_safe=False)
+    assert places(history.changed_rows(delta, hist, strict)) == []
+    closing = history.rows_to_close(hist, delta, BERTH)
+    assert places(closing) == [("Leith", 1, "Auk"), ("Leith", 2, "Coot"), ("Leith", 3, "Dunlin")]
+    assert {r.end_date for r in closing.collect()} == {JULY}
+    assert len(places(history.carry_forward(hist, delta, BERTH))) == 5
 
 
 @pytest.mark.parametrize("how", [{}, {"delta_bytes": 1000}])
-def test_codes_reversion_all(spark, how):
-    hist = codes(spark, ("A", "rain"), ("B", "snow"), ("C", "technical"), ("D", "weather"))
-    delta = codes(spark, ("A", "rain"), ("B", "sky"), ("E", "radio"), start=CODE.as_of)
-    assert _versions(history.merge_reversion_all(hist, delta, CODE, **how)) == [
-        ("A", "rain", False),
-        ("A", "rain", True),
-        ("B", "snow", False),
-        ("B", "sky", True),
-        ("C", "technical", True),
-        ("D", "weather", True),
-        ("E", "radio", True),
+def test_merges(history_and_delta, how):
+    hist, delta = history_and_delta
+    merged = history.merge_changed_only(hist, delta, BERTH, **how)
+    found = [(r.harbour, r.berth, r.ship, r.dues, r.start_date, r.end_date) for r in history.order_history(merged, BERTH).collect()]
+    assert found == [
+        ("Leith", 1, "Auk", 50, MAY, None),
+        ("Leith", 2, "Brent", 20, MAY, JUNE),
+        ("Leith", 2, "Coot", 20, JUNE, JULY),
+        ("Leith", 2, "Coot", None, JULY, None),
+        ("Leith", 3, "Dunlin", None, JUNE, JULY),
+        ("Leith", 3, "Dunlin", 8, JULY, None),
+        ("Oban", 1, "Eider", 35, MAY, None),
+        ("Oban", 2, "Fulmar", 5, MAY, JUNE),
+        ("Oban", 2, "Fulmar", 5, JULY, None),
+        ("Oban", None, "Gannet", 9, MAY, None),
+        ("Wick", 2, "Heron", 7, JULY, None),
+        (None, 2, "Ibis", 7, JULY, None),
     ]
+    everything = history.merge_reversion_all(hist, delta, BERTH, **how)
+    assert everything.count() == 13
+    assert places(everything.where(F.col("end_date") == JULY)) == [("Leith", 1, "Auk"), ("Leith", 2, "Coot"), ("Leith", 3, "Dunlin")]
 
 
 SETTINGS = {
-    "ccColumns": "code,text",
+    # The option names users have in their settings files.
     "count_check": "Y",
-    "ccColumns_schema_validation_flag": "Y",
-    "ccColumns_schema_validation": "code,text",
+    "ccColumns_schema_validation_flag": "y",
+    "ccColumns_schema_validation": "ship,flag,tons,eta",
+    "null_check": "Y",
+    "null_check_columns": "FLAG, eta",
     "duplicate_check": "Y",
-    "duplicate_check_columns": "code,text",
-    "duplicate_check_columns_order_by_column": "code",
-    "null_check": "y",
-    "null_check_columns": "code,text",
+    "duplicate_check_columns": "eta",
+    "duplicate_check_columns_order_by_column": "tons",
 }
 
 
-def test_gate_chain(spark):
-    config = GateConfig.from_options(SETTINGS)
-    rows = codes(spark, ("A", "rain"), ("B", "snow"), ("C", "technical"), ("D", "weather"))
-    assert quality.gate_chain(rows, config).data.count() == 4
-    dirty = rows.unionByName(codes(spark, ("A", "rain"), ("E", None), (None, "x")))
-    gated = quality.gate_chain(dirty, config)
-    assert sorted(r.code for r in gated.data.collect()) == ["A", "B", "C", "D"]
+def test_gate_chain(calls):
+    gated = quality.gate_chain(calls, GateConfig.from_options(SETTINGS))
+    assert sorted(r.ship for r in gated.data.collect()) == ["Auk", "Coot", "Fulmar", "Gannet"]
     assert [(r.gate, r.passed, r.rows_in, r.rows_out) for r in gated.report.collect()] == [
-        ("count", True, 7, 7),
-        ("schema", True, 7, 7),
-        ("nulls", True, 7, 5),
-        ("duplicates", True, 5, 4),
+        ("count", True, 9, 9),
+        ("schema", True, 9, 9),
+        ("nulls", True, 9, 6),
+        ("duplicates", True, 6, 4),
     ]
 
 
-def test_gate_chain_stops(spark):
-    config = GateConfig.from_options(SETTINGS)
-    rows = codes(spark, ("A", "rain"))
+def test_each_failed_gate_stops(calls):
+    def run(df, **other):
+        return quality.gate_chain(df, GateConfig.from_options(SETTINGS | other))
+
     with pytest.raises(quality.GateFailure, match="count"):
-        quality.gate_chain(rows.where(F.lit(False)), config)
-    with pytest.raises(quality.GateFailure, match="text"):
-        quality.gate_chain(rows.drop("text"), config)
+        run(calls.where(F.lit(False)))
+    with pytest.raises(quality.GateFailure, match="schema: missing: tons"):
+        run(calls.drop("tons"))
+    with pytest.raises(quality.GateFailure, match="nulls: none of 2 rows"):
+        run(calls.where("ship in ('Brent', 'Eider')"))
+    for setting in ("null_check_columns", "duplicate_check_columns", "duplicate_check_columns_order_by_column"):
+        with pytest.raises(quality.GateFailure, match="no such column: flagg"):
+            run(calls, **{setting: "flagg"})
 
 
-def test_gates_off(spark):
-    config = GateConfig.from_options({"count_check": "N"})
-    rows = codes(spark, ("A", None), ("A", None)).where("code = 'none'")
-    assert quality.gate_chain(rows, config).data.count() == 0
+def test_gates_off(calls):
+    off = GateConfig.from_options({"count_check": "N"})
+    assert quality.gate_chain(calls.where(F.lit(False)), off).data.isEmpty()
+    assert [r.detail for r in quality.gate_chain(calls, off).report.collect()] == ["off"] * 4
 
 
 def test_config_is_checked():
-    with pytest.raises(ValueError):
-        GateConfig(null_check=True)
-    with pytest.raises(ValueError):
-        MergeConfig("", "a")
-    with pytest.raises(ValueError):
-        MergeConfig("a", "a")
-    with pytest.raises(ValueError):
-        MergeConfig("a", "b", open_end="never")
-    with pytest.raises(ValueError, match="as_of"):
-        LoadConfig("a INT, b INT", "a", merge=MergeConfig("a", "b"))
-    with pytest.raises(ValueError, match="required"):
-        LoadConfig("a INT, b INT", "b", merge=MergeConfig("a", "b", AS_OF))
+    extract = ExtractConfig("a", "a INT, b INT")
+    merge = MergeConfig("a", "b", JULY)
+    for wrong in (
+        lambda: GateConfig(null_check=True),
+        lambda: MergeConfig("", "a"),
+        lambda: MergeConfig("a", "a"),
+        lambda: MergeConfig("a", "b", open_end="never"),
+        lambda: StampConfig(JULY, start="x", end="x"),
+        lambda: HistoryLoadConfig(extract, MergeConfig("a", "b"), "a"),  # no as_of
+        lambda: HistoryLoadConfig(ExtractConfig("b", "a INT, b INT"), merge, "a"),  # key may be null
+        lambda: HistoryLoadConfig(extract, merge, ""),  # no order
+        lambda: HistoryLoadConfig(extract, merge, "a", mode="all"),
+        lambda: HistoryLoadConfig(extract, merge, "a", buckets=0),
+        lambda: DimensionLoadConfig(extract, StampConfig(), Sink("x")),  # no as_of
+        lambda: DimensionLoadConfig(extract, StampConfig(JULY), Sink("x"), dedup="latest"),
+        lambda: DimensionLoadConfig(extract, StampConfig(JULY), Sink("x"), latest_key="a", latest_order="b"),
+    ):
+        with pytest.raises(ValueError):
+            wrong()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from histload.operators import dedup, history, quality
-from histload.plans import fixtures, jobs, queries
+from histload.plans import fixtures, queries
 from histload.sources import writers
 
 
@@ -37,9 +37,14 @@ def shuffle_joins(spark):
     return settings(spark, spark__sql__autoBroadcastJoinThreshold="-1")
 
 
-@pytest.fixture
-def merge_inputs(spark, sf_dir):
-    return queries._hist(spark, sf_dir), queries._delta(spark, sf_dir)
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir, tmp_path_factory):
+    """A published history's open versions, its whole, and a delta, all on disk."""
+    folder = tmp_path_factory.mktemp("stored")
+    root = str(folder / "h")
+    mark = writers.publish(queries._hist(spark, sf_dir), root, 1, queries.MERGE, 4)
+    writers.write_snapshot(queries._delta(spark, sf_dir), str(folder / "delta"))
+    return writers.read_open(spark, root, mark), spark.read.parquet(str(folder / "delta"))
 
 
 NO_PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "NestedLoop")
@@ -51,31 +56,40 @@ def test_no_python_and_no_cross_join(name, spark, sf_dir):
     assert not [word for word in NO_PYTHON if word in text]
 
 
-def test_unique_keys_meet_in_one_join(spark, merge_inputs):
+def counted(text: str) -> tuple[int, int, int]:
+    """Scans, hash exchanges, and joins."""
+    return text.count("FileScan"), text.count("Exchange hashpartitioning"), text.count("Join")
+
+
+def test_merges_and_change_detection_read_and_move_little(spark, stored):
+    hist, delta = stored
     with shuffle_joins(spark):
-        text = plan(history.merge_changed_only(*merge_inputs, queries.MERGE, unique_keys=True))
-    assert text.count("FullOuter") == 1 and text.count("Join") == 1
-    assert text.count("Exchange") == 2
+        # the filters on openness and on whole keys make two scans of each side, with other folders or few rows
+        assert counted(plan(history.merge_changed_only(hist, delta, queries.MERGE))) == (4, 2, 1)
+        assert counted(plan(history.merge_reversion_all(hist, delta, queries.MERGE)))[1:] == (2, 1)
+        assert counted(plan(history.changed_rows(delta, hist, queries.MERGE))) == (2, 2, 1)
+        assert counted(plan(history.rows_to_close(hist, delta, queries.MERGE, True))) == (2, 2, 1)
+        assert counted(plan(history.new_keys(delta, hist, queries.MERGE))) == (2, 2, 1)
 
 
-def test_small_delta_leaves_history_in_place(spark, merge_inputs):
-    size = history.lookup_bytes(merge_inputs[1], queries.MERGE)
+def test_small_delta_leaves_history_in_place(spark, stored):
+    hist, delta = stored
+    size = history.delta_size(delta)
     with shuffle_joins(spark):
-        merged = history.merge_changed_only(*merge_inputs, queries.MERGE, size)
-        again = history.merge_reversion_all(*merge_inputs, queries.MERGE, size)
-        first = plan(merged).split("Union")[1].split("\n   :- Project")[1]
-    assert "BroadcastHashJoin" in first and "LeftOuter" in first
-    # Only the delta's summary, below the broadcast, is shuffled.
-    assert first.index("BroadcastExchange") < first.index("Exchange hashpartitioning")
-    assert "SortMergeJoin" not in plan(again)
+        merged = plan(history.merge_changed_only(hist, delta, queries.MERGE, size))
+        again = plan(history.merge_reversion_all(hist, delta, queries.MERGE, size))
+    assert "BroadcastHashJoin" in merged and "LeftOuter" in merged
+    assert "SortMergeJoin" not in again
+    # the second look at the history reads its keys only
+    assert "ReadSchema: struct<k:bigint,end_date:timestamp_ntz>" in merged
 
 
-def test_large_delta_is_not_broadcast(spark, merge_inputs):
+def test_large_delta_is_not_broadcast(spark, stored):
     config = queries.replace(queries.MERGE, broadcast_bytes=10)
-    size = history.lookup_bytes(merge_inputs[1], config)
+    size = history.delta_size(stored[1])
     with shuffle_joins(spark):
         for merge in (history.merge_changed_only, history.merge_reversion_all):
-            assert "Broadcast" not in plan(merge(*merge_inputs, config, size))
+            assert "Broadcast" not in plan(merge(*stored, config, size))
 
 
 def test_latest_per_key_keeps_one_row_before_the_shuffle(spark, sf_dir):
@@ -96,10 +110,15 @@ def test_hot_key_is_split_at_run_time(spark, sf_dir):
     ):
         hist = fixtures.order_hist(spark, sf_dir).repartition(16)
         delta = fixtures.order_delta(spark, sf_dir).repartition(16)
-        changed = history.changed_rows(delta, hist, queries.MERGE)
-        merged = history.merge_changed_only(hist, delta, queries.MERGE)
-        assert "SortMergeJoin(skew=true)" in final_plan(changed)
-        assert "SortMergeJoin(skew=true)" in final_plan(merged)
+        assert "SortMergeJoin(skew=true)" in final_plan(history.changed_rows(delta, hist, queries.MERGE))
+
+
+def test_hot_key_meets_an_open_version(spark, sf_dir):
+    hist = fixtures.order_hist(spark, sf_dir)
+    delta = queries._settled_orders(spark, sf_dir)
+    merged = history.merge_changed_only(hist, delta, queries.MERGE).where("k = '0'")
+    closed_now = merged.where(F.col("end_date") == F.lit(fixtures.AS_OF).cast("timestamp_ntz"))
+    assert closed_now.count() == 1 and merged.where("end_date is null").count() == 1
 
 
 def test_hot_partition_value_is_written_by_several_tasks(spark, sf_dir, tmp_path):
@@ -113,26 +132,23 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, sf_dir, tmp_path
 def test_published_reads_only_the_folders_it_needs(spark, sf_dir, tmp_path):
     root, hist = tmp_path / "h", queries._hist(spark, sf_dir)
     for version in (1, 2, 3):
-        writers.publish(hist, str(root), version, "end_date")
-    only_open = writers.read_published(spark, str(root), hist.schema, 3, only_open=True)
-    whole = writers.read_published(spark, str(root), hist.schema, 2)
+        mark = writers.publish(hist, str(root), version, queries.MERGE, 2)
 
     def folders(df):
         names = df.select(F.input_file_name().alias("f")).distinct().collect()
-        return {r.f.split(f"{root}/")[1].rsplit("/", 1)[0] for r in names}
+        return {r.f.split(f"{root}/loads/")[1].rsplit("/", 1)[0] for r in names}
 
-    current = "loads/version={}/is_open=1"
-    assert folders(only_open) == {current.format(3)}
-    assert folders(whole) == {current.format(2), "closed/version=1", "closed/version=2"}
-    assert "PartitionFilters: [isnotnull(is_open" in plan(only_open)
-    assert "PartitionFilters: [isnotnull(version" in plan(whole)
+    assert folders(writers.read_open(spark, str(root), mark)) == {f"version=3/is_open=1/bucket={b}" for b in (0, 1)}
+    whole = writers.read_published(spark, str(root), 2)
+    closed = {f"version={v}/is_open=0/bucket=-1" for v in (1, 2)}
+    assert folders(whole) == closed | {f"version=2/is_open=1/bucket={b}" for b in (0, 1)}
+    assert "PartitionFilters: [isnotnull(is_open" in plan(whole)
 
 
-def test_few_files_of_closed_versions(spark, sf_dir, tmp_path):
+def test_few_files_however_many_tasks(spark, sf_dir, tmp_path):
     hist = queries._hist(spark, sf_dir).repartition(40)
-    writers.publish(hist, str(tmp_path), 1, "end_date")
-    assert len(list((tmp_path / "loads" / "version=1" / "is_open=0").glob("*.parquet"))) == 40
-    assert len(list((tmp_path / "closed" / "version=1").glob("*.parquet"))) == 1
+    writers.publish(hist, str(tmp_path), 1, queries.MERGE, 2)
+    assert len(list((tmp_path / "loads").rglob("*.parquet"))) == 3
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
@@ -142,27 +158,8 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
 
 
-@pytest.mark.parametrize("gate", ["gate_count", "gate_schema", "gate_nulls"])
+@pytest.mark.parametrize("gate", ["gate_count", "gate_schema", "gate_nulls", "gate_chain_report"])
 def test_gate_reports_take_one_pass(gate, spark, sf_dir):
+    # the chain has counted its rows by then; the report reads them once more, for duplicates
     text = plan(queries.QUERIES[gate](spark, sf_dir))
     assert text.count("FileScan") == 1
-
-
-class Stop(Exception):
-    pass
-
-
-@pytest.mark.parametrize("mode, join", [("changed_only", "FullOuter"), ("reversion_all", "LeftOuter")])
-def test_first_load_joins_the_base_where_it_was_deduplicated(mode, join, spark, sf_dir, tmp_path, monkeypatch):
-    plans = []
-
-    def publish(changes, *_):
-        plans.append(plan(changes))
-        raise Stop
-
-    monkeypatch.setattr(jobs, "publish", publish)
-    with shuffle_joins(spark), pytest.raises(Stop):
-        queries._first_load(spark, sf_dir, str(tmp_path), queries._load_config(mode))
-    merged = plans[0].split(join)[1]
-    base = merged.split("Window [")[0]
-    assert "Exchange" not in base and "Sort " not in base
