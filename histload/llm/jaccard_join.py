@@ -36,6 +36,8 @@ from histload.llm.words import mixed, shingle_sets, steps
 
 #: Characters of text for which one more bucket of signatures is opened.
 BUCKET_CHARS = 16_000_000
+#: Characters of text for which one more task writes intermediate tables.
+TASK_CHARS = 4_000_000
 #: Signatures that a task gathers before it hands them on, so that buckets get few large pieces.
 GATHERED = 2_000_000
 #: Bits of the sketch that a join compares; sets of any size have it beside the sketch that fits their size.
@@ -257,9 +259,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows(sig[shared], vertex[shared])
 
 
-def signature_groups(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Rows (sig, vertex) of every signature that more than one set has; rows may repeat."""
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+def signature_groups(docs: DataFrame, words: int, num: int, den: int, chars: int) -> DataFrame:
+    """Rows (sig, vertex) of every signature that more than one set has; rows may repeat. The texts have
+    ``chars`` characters."""
     buckets = 1 + chars // BUCKET_CHARS
     blobs = docs.select("text").mapInArrow(_gather(words, num, den, buckets), "bucket int, sigs binary, vertices binary")
     key = F.coalesce("bucket", (F.rand(7) * buckets).cast("int"))
@@ -373,19 +375,21 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     """
     sets = stored(shingled(docs, words), "shingled")
     full = sets.where("n_shingles > 0")
-    groups = stored(signature_groups(docs, words, num, den).distinct(), "groups")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    tasks = 1 + chars // TASK_CHARS
+    groups = stored(signature_groups(docs, words, num, den, chars).distinct(), "groups", tasks)
     chosen = full.join(groups.select("vertex").distinct(), "vertex").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"))
-    known = stored(_compared(docs, chosen, words), "known")
+    known = stored(_compared(docs, chosen, words), "known", tasks)
     distinct = known.count()
     rest, links, labels = groups.withColumn("label", F.col("vertex")), None, None
     for turn in range(1_000_000):
         star = _possible(_star(rest, turn), known, num, den)
         if not turn:  # one comparison for each set to begin with
             star = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        found = stored(_linked(stored(star, "star"), known, num, den), "links_star")
+        found = stored(_linked(stored(star, "star", tasks), known, num, den), "links_star", tasks)
         links = found if links is None else links.union(found)
-        labels = stored(components(links), "labels")
-        rest = stored(_open(groups, labels), "rest")
+        labels = stored(components(links, tasks=tasks), "labels", tasks)
+        rest = stored(_open(groups, labels), "rest", tasks)
         rows, left = _cross_pairs(rest)
         if left <= PAIRS_PER_ROW * rows or found.count() * FEW < distinct:
             break
@@ -396,9 +400,9 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         .select(F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b"))
         .distinct()
     )
-    links = links.union(_linked(stored(_possible(pairs, known, num, den), "pairs"), known, num, den))
+    links = links.union(_linked(stored(_possible(pairs, known, num, den), "pairs", tasks), known, num, den))
 
-    labels = components(links)
+    labels = components(links, tasks=tasks)
     named = (
         full.groupBy("vertex")
         .agg(F.min("doc_id").alias("doc_id"))

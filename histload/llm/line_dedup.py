@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histload.llm.tables import stored
+from histload.llm.tables import stored, tasks_after
 
 #: Logarithm of the registers of a sketch. Its estimates stray by 1.04 / sqrt(2^LG), 3.3 %.
 LG = 10
@@ -40,12 +40,13 @@ def _row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), "text")
 
 
-def spread(lines: DataFrame, least: int) -> DataFrame:
-    """The lines on at least ``least`` sites: (h, g, first), first the smallest doc_id that has the line."""
+def spread(lines: DataFrame, least: int, tasks: int | None = None) -> DataFrame:
+    """The lines on at least ``least`` sites: (h, g, first), first the smallest doc_id that has the line. ``tasks`` goes
+    to `stored`."""
     sketched = lines.groupBy("h", "g").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG))).alias("sites"), F.min("doc_id").alias("first")
     )
-    likely = stored(sketched.where(F.col("sites") >= least * (1 - NEAR)), "likely")
+    likely = stored(sketched.where(F.col("sites") >= least * (1 - NEAR)), "likely", tasks)
     near = likely.where(F.col("sites") <= least * (1 + NEAR))
     sites = lines.join(near.select("h", "g"), ["h", "g"], "left_semi").groupBy("h", "g", "site").agg(F.lit(1).alias("one"))
     exact = sites.groupBy("h", "g").agg(F.count("*").alias("exact"))
@@ -64,7 +65,8 @@ def dedup(docs: DataFrame, least: int = 10, site: str = "source") -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_removed")
     lines = stored(_lines(docs, site), "lines")
-    boilerplate = stored(spread(lines, least), "boilerplate")
+    tasks = tasks_after(lines)
+    boilerplate = stored(spread(lines, least, tasks), "boilerplate", tasks)
     hit = lines.join(boilerplate, ["h", "g"]).where("doc_id is null or doc_id > first")
     # of a row, its own boilerplate lines; never more than it has lines
     gone = hit.groupBy("row").agg(F.collect_set(F.struct("h", "g")).alias("gone")).withColumnRenamed("row", "gone_row")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from histload.llm.bpe import Finish, encode_rows
-from histload.llm.tables import stored
+from histload.llm.tables import stored, tasks_after
 
 Bin = tuple[int, ...]
 Solution = dict[Bin, int]
@@ -208,7 +208,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, **ho
     """
     spark = docs.sparkSession
     items = stored(pieces(docs, path, capacity, end_id), "pieces")
-    per_part = stored(items.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")
+    per_part = stored(items.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths", tasks_after(items))
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     best = search(spark, {x: n for x, n in counts.items() if x < capacity}, capacity, **how) if set(counts) - {capacity} else {}
     if capacity in counts:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histload.llm.tables import stored
+from histload.llm.tables import stored, tasks_after
 from histload.llm.words import split_words, steps, text_bytes
 
 #: The model is fitted to at most so many labelled documents, those whose id has the smallest hash.
@@ -177,7 +177,7 @@ def _judged(docs: DataFrame, model: Model, host: Column, path: Column, least: fl
     each = each.withColumn("own", 1 / (1 + F.exp(-(F.col("evidence") + prior))))
 
     # sums are taken before rows are moved, so that a host with most of the documents is a few rows
-    paths = stored(each.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("own").alias("good")), "paths")
+    paths = stored(each.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("own").alias("good")), "paths", tasks_after(each))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     mean = hosts.agg(F.sum("good") / F.sum("n")).first()[0]
     hosts = hosts.withColumn("mean", F.lit(mean if mean is not None else model.share))
