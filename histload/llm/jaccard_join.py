@@ -15,8 +15,10 @@ one subset untouched; the shingles in a subset, hashed, are a signature. Linked
 Sets with a signature in common are candidates. They are not all paired: each first meets the smallest of
 its group, the links found are joined into components, and only sets of different components that still
 share a signature are paired after that. So no link between components is lost, and a group of near
-copies needs about one comparison for each. A parity sketch, a lower bound of the difference, drops
-most pairs of unlike sets before their shingles are fetched. What remains is compared exactly.
+copies needs about one comparison for each. Where many unlike sets share a signature, for the sake of a passage
+that all of them have, pairs are not made by signature: linked sets have one of their rarest shingles in
+common. A parity sketch, a lower bound of the difference, drops most pairs of unlike sets before their
+shingles are fetched. What remains is compared exactly.
 """
 
 from __future__ import annotations
@@ -44,8 +46,10 @@ GATHERED = 2_000_000
 PARITY = 512
 #: Single comparisons within groups go on until the pairs that are left number no more than this for each row.
 PAIRS_PER_ROW = 30
-#: They also end when a turn finds fewer links than one for so many sets.
+#: They also end when a turn finds fewer links than one for so many sets; the pairs then come by rare shingles.
 FEW = 50
+#: Classes of shingles that are counted, by the first bits of their hash, to tell rare ones from frequent ones.
+CLASS_BITS = 18
 
 SET_SCHEMA = "doc_id long, n_shingles long, vertex long"
 GROUP_SCHEMA = "sig long, vertex long"
@@ -107,7 +111,8 @@ def signatures(values: np.ndarray, size: int, num: int, den: int) -> np.ndarray:
             heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             sums = np.add.reduceat(elements, heads) + np.diff(np.append(heads, size)).astype(np.uint64)
             out.append(mixed(mixed(sums) + tag + part[heads].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
-            if first - len(heads) > first - left_out - 1:  # more empty parts than e
+            # so few parts hold something that a linked set may differ in all of them
+            if len(heads) <= min(left_out, size * (den - num) // num):
                 out.append(mixed(np.array([tag ^ np.uint64(0xABCD)], np.uint64)))
             continue
         cells = first * second
@@ -363,6 +368,55 @@ def _cross_pairs(rest: DataFrame) -> tuple[int, int]:
     return rows or 0, int(pairs or 0)
 
 
+def _pairs_within(rest: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components that share a signature, if sizes and parities don't rule them out."""
+    return _unlike(rest.join(known.select("vertex", "n_shingles", "parity"), "vertex"), "sig", num, den)
+
+
+def _pairs_by_rare(rest: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components, among them all that link, by rare shingles.
+
+    Put in one order, the same for all sets, each set's first ones, all but ``num / den`` of it and one more, hold a
+    shingle of every linked set's first ones. The order is by the count of a shingle's class over the sets of
+    ``rest``, so that a passage that many of them have comes last.
+    """
+    sets = known.join(rest.select("vertex", "label").distinct(), "vertex").select("vertex", "label", "n_shingles", "parity", "shingles")
+    shift = np.uint64(64 - CLASS_BITS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << CLASS_BITS, np.int64)
+        for batch in batches:
+            for blob in batch.column("shingles"):
+                total += np.bincount((np.frombuffer(blob.as_buffer(), np.uint64) >> shift).astype(np.int64), minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["class", "n"])
+
+    # as many rows as there are classes, at most
+    counted = sets.select("shingles").mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(1 << CLASS_BITS, np.int64)
+    frequency[counted["class"].to_numpy()] = counted["n"].to_numpy()
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "shingles"):
+            chosen = []
+            for blob in batch.column("shingles"):
+                values = np.frombuffer(blob.as_buffer(), np.uint64)
+                order = np.lexsort((values, frequency[(values >> shift).astype(np.int64)]))
+                chosen.append(values[order[: len(values) + num * len(values) // -den + 1]].view(np.int64))
+            rows = pa.array(np.repeat(np.arange(len(chosen)), [len(c) for c in chosen]))
+            key = pa.array(np.concatenate(chosen) if chosen else np.zeros(0, np.int64))
+            yield batch.select(["vertex", "label", "n_shingles", "parity"]).take(rows).append_column("key", key)
+
+    keyed = sets.mapInArrow(first, "vertex long, label long, n_shingles long, parity array<long>, key long")
+    return _unlike(keyed, "key", num, den)
+
+
+def _unlike(sets: DataFrame, key: str, num: int, den: int) -> DataFrame:
+    met = F.expr(f"x.{key} = y.{key} and x.label < y.label and {_not_apart('x', 'y', num, den)}")
+    vertices = F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b")
+    return sets.alias("x").join(sets.alias("y"), met).select(*vertices).distinct()
+
+
 def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Documents linked by shingle sets with a Jaccard similarity of ``num / den`` or more.
 
@@ -391,15 +445,10 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         labels = stored(components(links, tasks=tasks), "labels", tasks)
         rest = stored(_open(groups, labels), "rest", tasks)
         rows, left = _cross_pairs(rest)
-        if left <= PAIRS_PER_ROW * rows or found.count() * FEW < distinct:
+        pairs_of = _pairs_within if left <= PAIRS_PER_ROW * rows else _pairs_by_rare
+        if pairs_of is _pairs_within or found.count() * FEW < distinct:
             break
-    rest = rest.join(known.select("vertex", "n_shingles", "parity"), "vertex")
-    pairs = (
-        rest.alias("x")
-        .join(rest.alias("y"), F.expr(f"x.sig = y.sig and x.label < y.label and {_not_apart('x', 'y', num, den)}"))
-        .select(F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b"))
-        .distinct()
-    )
+    pairs = pairs_of(rest, known, num, den)
     links = links.union(_linked(stored(_possible(pairs, known, num, den), "pairs", tasks), known, num, den))
 
     labels = components(links, tasks=tasks)

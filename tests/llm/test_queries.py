@@ -1,6 +1,7 @@
 """The registered queries against SQL, or against brute force on the whole tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,10 +10,13 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
 import corpus_pipeline
+from histload.llm import jaccard_join
 from histload.llm.oracles import ORACLES
 from histload.llm.queries import QUERIES, TOKENIZER
 from histload.llm.tables import table
@@ -176,6 +180,44 @@ def test_jaccard_join(spark, sf_dir, texts):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {d: (len(s), want[d]) for d, s in sets.items()}
 
 
+@pytest.mark.parametrize("rare", [False, True])
+def test_jaccard_join_of_shared_passages(spark, monkeypatch, rare):
+    """Texts that share passages without linking, and some that just do, by either way to pairs."""
+    rng = random.Random(4)
+    passages = [" ".join(f"p{i}w{j}" for j in range(25)) for i in range(5)]
+    docs = {}
+    for d in range(0, 400, 2):
+        parts = rng.sample(passages, rng.randint(0, 5)) + [" ".join(f"d{d}w{j}" for j in range(rng.randint(0, 60)))]
+        docs[d] = " ".join(parts)
+        found = docs[d].split()
+        for _ in range(rng.randint(0, 3)):
+            if found:
+                found[rng.randrange(len(found))] = f"x{rng.randrange(9)}"
+        docs[d + 1] = " ".join(found)
+    if rare:
+        monkeypatch.setattr(jaccard_join, "PAIRS_PER_ROW", 0)
+        monkeypatch.setattr(jaccard_join, "FEW", 10**9)
+        monkeypatch.setattr(jaccard_join, "_pairs_within", None)
+    sets = shingle_sets(docs, 4)
+    want = brute_components(sets, 85, 100)
+    assert len(set(want.values())) < 0.8 * len(docs)
+    rows = jaccard_join.near_components(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), 4, 85, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {d: (len(s), want[d]) for d, s in sets.items()}
+
+
+@settings(max_examples=300, deadline=None)
+@given(common=st.integers(1, 400), room=st.integers(0, 120), in_a=st.integers(0, 120), num=st.sampled_from([80, 85, 95]))
+def test_linked_sets_share_a_rare_shingle(common, room, in_a, num):
+    """In one order of all shingles, the first of two linked sets meet."""
+    in_a = min(in_a, room)
+    if 100 * common < num * (common + room):
+        return
+    ranks = random.Random(common * 1000 + room).sample(range(10000), common + room)
+    both, only = ranks[:common], ranks[common:]
+    first = [set(sorted(s)[: len(s) + num * len(s) // -100 + 1]) for s in (both + only[:in_a], both + only[in_a:])]
+    assert first[0] & first[1]
+
+
 def test_pipeline(spark, sf_dir, texts):
     docs, before = table(spark, sf_dir, "documents"), dict(texts)
     labels = {r.doc_id: r.quality for r in table(spark, sf_dir, "labels").collect()}
