@@ -432,7 +432,9 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     tasks = 1 + chars // TASK_CHARS
     groups = stored(signature_groups(docs, words, num, den, chars).distinct(), "groups", tasks)
-    chosen = full.join(groups.select("vertex").distinct(), "vertex").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"))
+    # a set's copies are a few rows before they are moved
+    firsts = full.groupBy("vertex").agg(F.min("doc_id").alias("doc_id"))
+    chosen = firsts.join(groups.select("vertex").distinct(), "vertex")
     known = stored(_compared(docs, chosen, words), "known", tasks)
     distinct = known.count()
     rest, links, labels = groups.withColumn("label", F.col("vertex")), None, None
@@ -452,12 +454,7 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     links = links.union(_linked(stored(_possible(pairs, known, num, den), "pairs", tasks), known, num, den))
 
     labels = components(links, tasks=tasks)
-    named = (
-        full.groupBy("vertex")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .join(labels.withColumnRenamed("v", "vertex"), "vertex", "left")
-        .withColumn("label", F.coalesce("label", "vertex"))
-    )
+    named = firsts.join(labels.withColumnRenamed("v", "vertex"), "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "label").select("vertex", "component_id")
     return sets.join(named, "vertex", "left").select(
