@@ -4,16 +4,20 @@ Words are classes: the most frequent words of the corpus one each, all others by
 the two words before and the two after a place, not the word itself, and predicts it in two steps: its group of
 classes, then its class within the group. It is trained in numpy on every word of every document: each task trains
 on its own documents, the results are averaged by the words they have seen, and the next round goes on from
-there. A document's score is the sum of the log-probabilities of all its words.
+there. Within its class a word has a share, from the counts of all words of the corpus: a table that grows with it
+and stays in Spark. Words of documents and their counts meet in buckets by hash. A document's score is the sum of the
+log-probabilities of all its words, each that of its class given the words around it times the word's share.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +33,10 @@ REACH, WIDTH, HIDDEN = 2, 8, 24
 #: Words in a step of training.
 BATCH = 4096
 RATE = 0.15
+#: Characters of text, or counted words, for which one more bucket of words is opened.
+BUCKET_CHARS, BUCKET_WORDS = 16_000_000, 2_000_000
+#: Words that a task gathers before it hands them on, so that buckets get few large pieces.
+GATHERED = 2_000_000
 
 _SHAPES = {
     "embedding": (CLASSES + 1, WIDTH),
@@ -42,6 +50,16 @@ _SHAPES = {
 Net = dict[str, np.ndarray]
 
 
+@dataclass
+class Vocabulary:
+    """The words of a corpus: hashes of the frequent ones, sorted; counts (word, n) of all others, a table; and of each
+    class of others, how often its words come plus one for each and one for words that are not counted."""
+
+    frequent: np.ndarray
+    counts: DataFrame
+    totals: np.ndarray
+
+
 def fresh(seed: int = 5) -> Net:
     rng = np.random.default_rng(seed)
     return {n: (0.1 * rng.standard_normal(s) if "bias" not in n else np.zeros(s)).astype(np.float32) for n, s in _SHAPES.items()}
@@ -118,7 +136,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def classes(hashes: np.ndarray, endings: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """``frequent`` holds the hashes of frequent words, sorted; a word's class is its place, or that of its ending."""
-    rest = FREQUENT + (endings % np.uint64(CLASSES - FREQUENT)).astype(np.int64)
+    rest = FREQUENT + _ending_class(endings)
     if not len(frequent):
         return rest
     at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
@@ -138,40 +156,55 @@ def contexts(target: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """The hashes of the most frequent words, counted over all documents; ties to smaller hashes."""
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    """The words of all documents, each counted; of the frequent ones, ties to smaller hashes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_n, size = [], [], 0
+        held, held_n, held_class, size = [], [], [], 0
         for batch in steps(batches):
-            words, n = np.unique(word_hashes(batch.column("text"))[0], return_counts=True)
+            hashes, endings, _ = word_hashes(batch.column("text"))
+            words, at, n = np.unique(hashes, return_index=True, return_counts=True)
             held.append(words)
             held_n.append(n)
+            held_class.append(_ending_class(endings[at]))
             size += len(words)
             if size > 2_000_000:  # a task hands on what it has before it grows
-                yield _counted(held, held_n)
-                held, held_n, size = [], [], 0
+                yield _counted(held, held_n, held_class)
+                held, held_n, held_class, size = [], [], [], 0
         if held:
-            yield _counted(held, held_n)
+            yield _counted(held, held_n, held_class)
 
-    counted = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(count, "word long, class int, n long").groupBy("word")
+    counted = stored(counted.agg(F.sum("n").alias("n"), F.min("class").alias("class")), "words")
     rows = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    return np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
+    spark = docs.sparkSession
+    frequent = spark.createDataFrame([(r["word"],) for r in rows], "word long")
+    others = counted.join(F.broadcast(frequent), "word", "left_anti")
+    totals = np.ones(CLASSES - FREQUENT)
+    for r in others.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        totals[r["class"]] += r["n"] + r["words"]
+    hashes = np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
+    return Vocabulary(hashes, others.select("word", "n"), totals)
+
+
+def _ending_class(endings: np.ndarray) -> np.ndarray:
+    return (endings % np.uint64(CLASSES - FREQUENT)).astype(np.int64)
 
 
-def _counted(words: list[np.ndarray], n: list[np.ndarray]) -> pa.RecordBatch:
-    every, place = np.unique(np.concatenate(words), return_inverse=True)
+def _counted(words: list[np.ndarray], n: list[np.ndarray], ending: list[np.ndarray]) -> pa.RecordBatch:
+    every, at, place = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
     total = np.bincount(place, np.concatenate(n)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(total)], ["word", "n"])
+    of_class = np.concatenate(ending)[at].astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(of_class), pa.array(total)], ["word", "class", "n"])
 
 
-def train(docs: DataFrame, rounds: int = 2) -> tuple[np.ndarray, Net]:
+def train(docs: DataFrame, rounds: int = 2) -> tuple[Vocabulary, Net]:
     """The vocabulary and the net, after one pass over all documents; each round takes those of its hash."""
-    frequent, net = vocabulary(docs), fresh()
+    known, net = vocabulary(docs), fresh()
     for turn in range(rounds):
         part = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn) if rounds > 1 else docs
-        net = _averaged(_trained(part.select("text"), frequent, net), net)
-    return frequent, net
+        net = _averaged(_trained(part.select("text"), known.frequent, net), net)
+    return known, net
 
 
 def _trained(docs: DataFrame, frequent: np.ndarray, start: Net) -> DataFrame:
@@ -217,23 +250,157 @@ def _averaged(nets: DataFrame, otherwise: Net) -> Net:
     return _shaped(sum(np.frombuffer(r["net"]) * (r["n"] / total) for r in rows))
 
 
-def score(docs: DataFrame, frequent: np.ndarray, net: Net) -> DataFrame:
-    """The score of every whole text: (doc_id, n_words, log_probability, per_word).
+_BLOB = "id long, bucket int, words binary, ids binary, lengths binary"
+_SCORED = "id long, doc_id long, n_words long, log_probability double, log_share double"
+_CLASSED = ["id", "doc_id", "n_words", "log_probability", "log_share", "bucket", "words", "ids", "lengths"]
+
+
+def _by_bucket(buckets: int, words: np.ndarray, other: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Words and what goes with them, by bucket, in their order."""
+    bucket = ((words >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(ends)).tolist():
+        at = order[ends[b] : ends[b + 1]]
+        yield b, words[at], other[at]
 
-    Takes doc_id and text; other columns are ignored. One row for each input row, repeated ones too. A text without
-    words, null or empty, scores 0 and has a null per_word.
-    """
+
+def _classed(frequent: np.ndarray, totals: np.ndarray, net: Net, buckets: int) -> Callable:
+    """Map side: a row with an id for each document, scored without the counts of words; and by bucket the words whose
+    counts are to be added, with the ids of their documents, each once with its number of words. The id of such a row
+    is the first of its piece: the documents gathered together."""
+    of_class = np.log(totals)
+
+    def blobs(piece: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        words, ids = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        for b, some, own in _by_bucket(buckets, words, ids):
+            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            lengths = np.diff(np.append(heads, len(own)))
+            parts = [some.tobytes(), own[heads].tobytes(), lengths.tobytes()]
+            arrays = [pa.array([piece], pa.int64()), *(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            arrays += [pa.array([b], pa.int32()), *(pa.array([p], pa.binary()) for p in parts)]
+            yield pa.RecordBatch.from_arrays(arrays, _CLASSED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, size = TaskContext.get().partitionId() << 40, [], 0
+        piece = at
         for batch in steps(batches):
             hashes, endings, first = word_hashes(batch.column("text"))
             target = classes(hashes, endings, frequent)
             each = log_probabilities(net, contexts(target, first).astype(np.int32), target).astype(float)
-            sums = np.diff(np.concatenate([[0.0], np.cumsum(each)])[first])
-            n = np.diff(first)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_words", "log_probability", "per_word"])
+            other, share = np.flatnonzero(target >= FREQUENT), np.zeros(len(target))
+            share[other] = -of_class[target[other] - FREQUENT]
+            sums, shares = (np.diff(np.concatenate([[0.0], np.cumsum(x)])[first]) for x in (each, share))
+            n, ids = np.diff(first), np.arange(at, at + batch.num_rows)
+            at += batch.num_rows
+            none = [pa.nulls(len(n), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), pa.array(n), pa.array(sums), pa.array(shares), *none], _CLASSED)
+            held.append((hashes[other], np.repeat(ids, n)[other]))
+            size += len(other)
+            if size > GATHERED:
+                yield from blobs(piece, held)
+                piece, held, size = at, [], 0
+        if size:
+            yield from blobs(piece, held)
+
+    return run
+
+
+def _gathered(buckets: int) -> Callable:
+    """Counts of words by bucket; null ids tell them from words of documents."""
+
+    def blobs(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        words, n = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        for b, some, own in _by_bucket(buckets, words, n):
+            arrays = [pa.nulls(1, pa.int64()), pa.array([b], pa.int32()), pa.array([some.tobytes()], pa.binary()), pa.nulls(1, pa.binary()), pa.array([own.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "bucket", "words", "ids", "lengths"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column("word").to_numpy().view(np.uint64), batch.column("n").to_numpy()))
+            size += batch.num_rows
+            if size > GATHERED:
+                yield from blobs(held)
+                held, size = [], 0
+        if size:
+            yield from blobs(held)
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reduce side: of each piece, what the counts of a bucket's words add to the scores of its documents."""
+    counted: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    asked: dict[int, list[tuple[int, np.ndarray, bytes, np.ndarray]]] = {}
+    for batch in batches:
+        for piece, b, words, ids, lengths in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            words, lengths = np.frombuffer(words, np.uint64), np.frombuffer(lengths, np.int64)
+            if ids is None:
+                counted.setdefault(b, []).append((words, lengths))
+            else:
+                asked.setdefault(b, []).append((piece, words, ids, lengths))
+    for b in sorted(asked):
+        pieces = counted.pop(b, []) + [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        known, n = (np.concatenate([p[i] for p in pieces]) for i in (0, 1))
+        order = np.argsort(known)
+        known, logs = known[order], np.log1p(n[order])
+        for piece, words, ids, lengths in asked.pop(b):
+            each = np.zeros(len(words))  # a word that is not counted counts as one more
+            if len(known):
+                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                each = np.where(known[at] == words, logs[at], 0.0)
+            sums = np.add.reduceat(each, np.cumsum(lengths) - lengths)
+            yield pa.RecordBatch.from_arrays([pa.array([piece]), pa.array([ids], pa.binary()), pa.array([sums.tobytes()], pa.binary())], ["piece", "ids", "sums"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, log_share) of the documents of a piece, whose ids follow one another, over all buckets."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, ids, sums in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            at = np.frombuffer(ids, np.int64) - piece
+            total = totals.get(piece, np.zeros(0))
+            if at[-1] >= len(total):
+                total = totals[piece] = np.concatenate([total, np.zeros(at[-1] + 1 - len(total))])
+            total[at] += np.frombuffer(sums)
+    for piece, total in totals.items():
+        yield pa.RecordBatch.from_arrays([pa.array(piece + np.arange(len(total))), pa.array(total)], ["id", "log_share"])
+
+
+def score(docs: DataFrame, known: Vocabulary, net: Net) -> DataFrame:
+    """The score of every whole text: (doc_id, n_words, log_probability, per_word, pseudo_log_likelihood,
+    pseudo_log_likelihood_per_word). ``log_probability`` is that of the classes of its words, given those around;
+    ``pseudo_log_likelihood`` that of the words themselves, their shares of their classes included.
+
+    Takes doc_id and text; other columns are ignored. One row for each input row, repeated ones too. A text without
+    words, null or empty, scores 0 and has null means per word.
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, log_probability double, per_word double")
+    A frequent word is all of its class. Another that comes n times has the share (n + 1) / (N + V + 1) of its class, whose
+    V words come N times; words that were not counted have 1 / (N + V + 1), all those of a class together.
+    """
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = 1 + max(chars // BUCKET_CHARS, known.counts.count() // BUCKET_WORDS)
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    # written, so that a document's id is the same for its row and its words
+    classed = stored(docs.mapInArrow(_classed(known.frequent, known.totals, net, buckets), f"{_SCORED}, {_BLOB.removeprefix('id long, ')}"), "classed")
+    blobs = classed.where("bucket is not null").select("id", "bucket", "words", "ids", "lengths")
+    blobs = blobs.union(known.counts.mapInArrow(_gathered(buckets), _BLOB))
+    shares = blobs.repartition(buckets, "bucket").mapInArrow(_meet, "piece long, ids binary, sums binary")
+    shares = shares.repartition("piece").mapInArrow(_summed, "id long, log_share double")
+    whole = classed.where("bucket is null").drop("bucket", "words", "ids", "lengths").unionByName(shares, allowMissingColumns=True)
+    # all but the shares is in one row of an id
+    whole = whole.groupBy("id").agg(*(F.max(c).alias(c) for c in ("doc_id", "n_words", "log_probability")), F.sum("log_share").alias("log_share"))
+    likelihood = F.col("log_probability") + F.col("log_share")
+    mean = lambda x: x / F.nullif("n_words", F.lit(0))
+    return whole.select(
+        "doc_id",
+        "n_words",
+        "log_probability",
+        mean(F.col("log_probability")).alias("per_word"),
+        likelihood.alias("pseudo_log_likelihood"),
+        mean(likelihood).alias("pseudo_log_likelihood_per_word"),
+    )
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = 2) -> DataFrame:

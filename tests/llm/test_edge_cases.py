@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -343,6 +344,38 @@ def test_language_model(spark, docs, nothing):
     assert ordered > mixed + 0.5 and ordered > np.log(1 / 30) + 0.5
 
 
+def test_words_of_a_class_have_shares(spark, monkeypatch):
+    """Against counts of all words, over several buckets."""
+    monkeypatch.setattr(language_model, "BUCKET_WORDS", 100)
+    monkeypatch.setattr(language_model, "GATHERED", 500)
+    # each rare word 1 to 3 times; endings come again, so that classes have several words
+    rare = [f"r{i}x{i % 300}" for i in range(900) for _ in range(1 + i % 3)]
+    common = [f"c{i}" for i in range(language_model.FREQUENT)]
+    random.Random(7).shuffle(rare)
+    texts = [" ".join(common * 4)] + [" ".join(["c1", "c2", *rare[i : i + 90], "c3"]) for i in range(0, len(rare), 90)]
+    schema = "doc_id long, text string"
+    known, net = language_model.train(spark.createDataFrame(list(enumerate(texts)), schema).repartition(3))
+    assert {r.n for r in known.counts.collect()} == {1, 2, 3} and known.counts.count() == 900
+
+    n = Counter(w for t in texts for w in t.split())
+    _, endings, _ = language_model.word_hashes(pa.array([" ".join([*n, "qq7x7"])]))
+    of = dict(zip([*n, "qq7x7"], (endings % np.uint64(language_model.CLASSES - language_model.FREQUENT)).tolist()))
+    size = Counter()
+    for w in set(rare):
+        size[of[w]] += n[w] + 1
+    share = lambda w: 0.0 if w in common else np.log((n[w] + 1) / (size[of[w]] + 1))
+    # r7x7 and r307x7 are of a class, with qq7x7, which no document has
+    scored = [*texts, "c1 r7x7 c2", "c1 r307x7 c2", "c1 qq7x7 c2", ""]
+    out = {r.doc_id: r for r in language_model.score(spark.createDataFrame(list(enumerate(scored)), schema).repartition(3), known, net).collect()}
+    assert len(out) == len(scored)
+    for i, text in enumerate(scored):
+        assert out[i].pseudo_log_likelihood - out[i].log_probability == pytest.approx(sum(map(share, text.split())), abs=1e-6)
+    a, b, unseen = (out[len(texts) + i] for i in range(3))
+    assert a.log_probability == pytest.approx(b.log_probability) and b.log_probability == pytest.approx(unseen.log_probability)
+    assert a.pseudo_log_likelihood - unseen.pseudo_log_likelihood == pytest.approx(np.log(n["r7x7"] + 1), abs=1e-6)
+    assert (out[len(scored) - 1].pseudo_log_likelihood, out[len(scored) - 1].pseudo_log_likelihood_per_word) == (0.0, None)
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     net = {n: v.astype(np.float64) for n, v in language_model.fresh().items()}
