@@ -51,7 +51,7 @@ FEW = 50
 #: Classes of shingles that are counted, by the first bits of their hash, to tell rare ones from frequent ones.
 CLASS_BITS = 18
 
-SET_SCHEMA = "doc_id long, n_shingles long, vertex long"
+SET_SCHEMA = "doc_id long, text_hash long, n_shingles long, vertex long"
 GROUP_SCHEMA = "sig long, vertex long"
 
 
@@ -165,7 +165,7 @@ def _vertex(values: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, words: int) -> DataFrame:
-    """Per document the size of its shingle set and the set's hash, null for an empty set."""
+    """Per document the hash of its text, the size of its shingle set and the set's hash, null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -174,13 +174,14 @@ def shingled(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array(sizes),
                     pa.array(_vertex(values, place), mask=sizes == 0),
                 ],
-                ["doc_id", "n_shingles", "vertex"],
+                ["doc_id", "text_hash", "n_shingles", "vertex"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SET_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, SET_SCHEMA)
 
 
 def _gather(words: int, num: int, den: int, buckets: int) -> Callable:
@@ -299,9 +300,10 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _compared(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """What comparisons need of each vertex, (vertex, doc_id, n_shingles, sketch, parity, shingles), from one of its
-    documents, which ``chosen`` names."""
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id")
+    """What comparisons need of each vertex, (vertex, n_shingles, sketch, parity, shingles), from one of its documents,
+    which ``chosen`` names by doc_id, null or not, and the hash of its text."""
+    chosen = chosen.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"})
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, F.expr("doc_id <=> id and xxhash64(text) = hash")).select("text", "vertex")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -319,7 +321,7 @@ def _compared(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
                 ["vertex", "n_shingles", "sketch", "parity", "shingles"],
             )
 
-    # a doc_id may come again, with another text or the same
+    # a row may come again
     return texts.mapInArrow(run, "vertex long, n_shingles long, sketch binary, parity array<long>, shingles binary").dropDuplicates(["vertex"])
 
 
@@ -417,23 +419,16 @@ def _unlike(sets: DataFrame, key: str, num: int, den: int) -> DataFrame:
     return sets.alias("x").join(sets.alias("y"), met).select(*vertices).distinct()
 
 
-def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Documents linked by shingle sets with a Jaccard similarity of ``num / den`` or more.
-
-    Takes doc_id and text; other columns are ignored. Returns one row for each input row: doc_id,
-    n_shingles, component_id (the smallest doc_id reachable by links, its own included).
-
-    Null and empty texts, and texts without words, have no shingles and link with nothing. Rows that
-    repeat a doc_id or a text count as linked copies. A null doc_id takes part, but names no component.
-    Sets are told apart by a 64-bit hash of their shingles, themselves 64-bit hashes of their words.
-    """
+def labelled(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Rows as `near_components` gives them, with text_hash and the label of their component, null for an empty set."""
     sets = stored(shingled(docs, words), "shingled")
     full = sets.where("n_shingles > 0")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     tasks = 1 + chars // TASK_CHARS
     groups = stored(signature_groups(docs, words, num, den, chars).distinct(), "groups", tasks)
     # a set's copies are a few rows before they are moved
-    firsts = full.groupBy("vertex").agg(F.min("doc_id").alias("doc_id"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("m")
+    firsts = full.groupBy("vertex").agg(least).select("vertex", "m.doc_id", "m.text_hash")
     chosen = firsts.join(groups.select("vertex").distinct(), "vertex")
     known = stored(_compared(docs, chosen, words), "known", tasks)
     distinct = known.count()
@@ -456,7 +451,21 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     labels = components(links, tasks=tasks)
     named = firsts.join(labels.withColumnRenamed("v", "vertex"), "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "label").select("vertex", "component_id")
+    named = named.join(smallest, "label").select("vertex", "label", "component_id")
     return sets.join(named, "vertex", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", "label", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Documents linked by shingle sets with a Jaccard similarity of ``num / den`` or more.
+
+    Takes doc_id and text; other columns are ignored. Returns one row for each input row: doc_id,
+    n_shingles, component_id (the smallest doc_id reachable by links, its own included).
+
+    Null and empty texts, and texts without words, have no shingles and link with nothing. Rows that
+    repeat a text count as linked copies; rows that repeat a doc_id only if their texts link, so a doc_id may
+    be in several components. A null doc_id takes part, but names no component: one of null doc_ids only has none.
+    Sets are told apart by a 64-bit hash of their shingles, themselves 64-bit hashes of their words.
+    """
+    return labelled(docs, words, num, den).select("doc_id", "n_shingles", "component_id")

@@ -399,6 +399,19 @@ def test_jaccard_join(spark, docs, nothing):
     assert jaccard_join.near_components(nothing).isEmpty()
 
 
+def test_jaccard_join_through_null_ids(spark):
+    """Sets that only rows without doc_id have link, and others link through them; a repeated doc_id links nothing."""
+    text = lambda *r: " ".join(f"t{i}" for i in r)
+    chain = [range(i, i + 60) for i in (0, 5, 10)]  # neighbours link, the ends do not
+    rows = [(1, text(*chain[0])), (None, text(*chain[1])), (2, text(*chain[2])), (None, text(*range(500, 560))), (None, text(*range(501, 561)))]
+    rows += [(8, text(*range(900, 960))), (8, text(*range(700, 760))), (4, text(*range(701, 761)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = Counter(tuple(r) for r in jaccard_join.near_components(docs).collect())
+    assert out == Counter([(1, 56, 1), (None, 56, 1), (2, 56, 1), (None, 56, None), (None, 56, None), (8, 56, 8), (8, 56, 4), (4, 56, 4)])
+    labels = {r.text_hash: r.label for r in jaccard_join.labelled(docs).where("component_id is null").collect()}
+    assert len(labels) == 2 and len(set(labels.values())) == 1
+
+
 @settings(max_examples=400, deadline=None)
 @given(seed=st.integers(0, 10**6), size=st.integers(2, 700), num=st.sampled_from([80, 85, 95]))
 def test_linked_sets_share_a_signature(seed, size, num):
