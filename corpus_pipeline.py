@@ -28,12 +28,23 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id; documents without
-    doc_id stay."""
-    groups = jaccard_join.near_components(docs)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    named = docs.join(first, F.col("doc_id") == F.col("kept"), "left_semi")
-    return named.union(docs.where("doc_id is null")).select(*COLUMNS)
+    """One row of each group of near copies stays: the first by doc_id, null after all others, then by the hash of its
+    text, then by the other columns. Texts decide what is a copy: rows that share a doc_id but not their text are
+    documents of their own. A text without words is only a copy of the same text with the same doc_id, or both null."""
+    docs = docs.select(*COLUMNS)
+    alone = lambda c: F.when(F.col("label").isNull(), F.col(c)).alias(f"own_{c}")
+    # copies of a row are counted before anything is moved
+    rows = jaccard_join.labelled(docs).groupBy("label", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "n")).alias("m")
+    kept = rows.groupBy("label", alone("doc_id"), alone("text_hash")).agg(first)
+    kept = stored(kept.selectExpr("m.doc_id as kept_id", "m.text_hash as kept_hash", "m.n as n"), "kept")
+    met = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
+    once = docs.join(kept.where("n = 1"), met, "left_semi")
+    repeated = kept.where("n > 1")
+    if repeated.isEmpty():
+        return once
+    again = docs.join(repeated, met).groupBy("kept_id", "kept_hash").agg(F.min(F.struct(*COLUMNS)).alias("m"))
+    return once.union(again.select("m.*"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

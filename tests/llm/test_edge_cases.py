@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from histload.llm import (
     bpe,
     jaccard_join,
@@ -412,6 +413,33 @@ def test_jaccard_join_through_null_ids(spark):
     assert len(labels) == 2 and len(set(labels.values())) == 1
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, a doc_id with two texts, and null doc_ids."""
+    text = lambda seed, n=60: " ".join(f"t{seed}n{i}" for i in range(n))
+    row = lambda i, t, source="s": (i, t, "en", source, len(t or ""))
+    near = text(1) + " more"
+    rows = [
+        *[row(1, text(1))] * 3,
+        row(1, text(1), "r"),
+        row(2, near),
+        *[row(3, text(2), "z"), row(3, text(2), "y")],
+        row(3, text(1)),  # its doc_id is kept for another text
+        row(None, near),
+        *[row(None, text(4))] * 5,
+        row(None, text(4) + " more"),
+        *[row(5, text(5)), row(5, text(6))],
+        *[row(6, "")] * 2,
+        row(7, ""),
+        *[row(None, None)] * 2,
+    ]
+    out = Counter(tuple(r) for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, DOCS).repartition(3), "").collect())
+    nameless = [r for r in out if r[0] is None and r[1]]
+    assert len(nameless) == 1 and nameless[0] in (row(None, text(4)), row(None, text(4) + " more"))
+    rest = Counter(r for r in out.elements() if r not in nameless)
+    assert rest == Counter([row(1, text(1), "r"), row(3, text(2), "y"), row(5, text(5)), row(5, text(6)), row(6, ""), row(7, ""), row(None, None)])
+    assert out[nameless[0]] == 1
+
+
 @settings(max_examples=400, deadline=None)
 @given(seed=st.integers(0, 10**6), size=st.integers(2, 700), num=st.sampled_from([80, 85, 95]))
 def test_linked_sets_share_a_signature(seed, size, num):
