@@ -4,7 +4,7 @@ Two texts link when ``den * |A & B| >= num * |A | B|`` for their sets of word sh
 and s that bounds the number of shingles which only one has by ``(r + s) * (den - num) / (den + num)``.
 
 Sets meet in instances: one for each band of sizes, and one for each edge between bands, for the sets
-near enough to the edge to link across it. Each instance has one bound k on the difference. It cuts the
+near enough to the edge to link across it, from whichever band. Each instance has one bound k on the difference. It cuts the
 domain of shingles into parts and enumerates subsets of them, so that a difference of k leaves at least
 one subset untouched; the shingles in a subset, hashed, are a signature. Linked sets share one.
 
@@ -70,13 +70,11 @@ def instances(size: int, num: int, den: int) -> list[tuple[int, int, int, int, i
     band = int(np.searchsorted(edges, size, "right"))
     low, high = (edges[band - 1] if band else 1), edges[band] - 1
     found.append((2 * band, low, *_parts(low, high, 2 * high * (den - num) // (den + num))))
-    for j in (band - 1, band):  # the edges below and above the band
-        if 0 <= j < len(edges):
-            edge = edges[j]
-            least, most = -(-num * edge // den), (edge - 1) * den // num
-            if least <= size <= most and most >= edge:
-                k = (edge - 1 + most) * (den - num) // (den + num)
-                found.append((2 * j + 1, least, *_parts(least, most, k)))
+    for j, edge in enumerate(edges):  # far edges too, as a linked pair may span whole bands
+        least, most = -(-num * edge // den), (edge - 1) * den // num
+        if least <= size <= most and most >= edge:
+            k = (edge - 1 + most) * (den - num) // (den + num)
+            found.append((2 * j + 1, least, *_parts(least, most, k)))
     return found
 
 

@@ -440,6 +440,15 @@ def test_one_row_of_each_group_stays(spark):
     assert out[nameless[0]] == 1
 
 
+@pytest.mark.parametrize("num", [30, 50, 70])
+def test_linked_sets_share_a_signature_across_bands(num):
+    """Pairs that differ as much as they may, all in the larger one; at 70 sets of 90 and 128 span a band."""
+    for size in {*range(2, 200), 90, 400}:
+        values = np.random.default_rng(size).integers(0, 2**64, 100 * size // num, dtype=np.uint64)
+        a, b = np.sort(values[:size]), np.sort(values)
+        assert set(jaccard_join.signatures(a, len(a), num, 100).tolist()) & set(jaccard_join.signatures(b, len(b), num, 100).tolist())
+
+
 @settings(max_examples=400, deadline=None)
 @given(seed=st.integers(0, 10**6), size=st.integers(2, 700), num=st.sampled_from([80, 85, 95]))
 def test_linked_sets_share_a_signature(seed, size, num):
