@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import bpe, jaccard_join, language_model, line_dedup, packing, quality, secrets, simhash, tool_calls, top_k
+from histload.llm import (
+    bpe,
+    jaccard_join,
+    language_model,
+    line_dedup,
+    merkle,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    tool_calls,
+    top_k,
+    toxicity,
+    whitening,
+)
 from histload.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -87,3 +101,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
+@query("op11_merkle")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_toxicity")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, part = table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 4
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(part != 2))
+    held_out = F.coalesce(part == 2, F.lit(False)).alias("held_out")
+    return toxicity.scores(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op13_whitening")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(whitening.scaled(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), most=32)
