@@ -58,3 +58,51 @@ SELECT b.conv_id, b.call_id, b.turn, b.name,
     '"result_turn":' || b.result_turn, '"turn":' || b.turn) || '}' AS json
 FROM both_sides b
 """
+
+ORACLES["op11_merkle"] = """
+WITH RECURSIVE crc AS (  -- CRC-32 of the decimal doc_id, byte by byte, bit by bit
+  SELECT doc_id, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, d: list_reduce(list_prepend(xor(c, d), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+), fields AS (
+  SELECT d.*, coalesce(crc % 3 = 0, false) AS tampers, concat_ws('',
+    coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id::VARCHAR, '-'), coalesce(strlen(source) || ':' || source, '-'),
+    coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-')) AS head
+  FROM documents d LEFT JOIN crc c ON c.doc_id = d.doc_id
+), hashed AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN tampers THEN sha256(head || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS tampered
+  FROM fields
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed
+), nodes AS (  -- the trees of the languages, level by level
+  SELECT lang, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM nodes WHERE n > 1 GROUP BY lang, level, i // 8, n
+), subroots AS (
+  SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, j AS i, h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY level, i // 8, n
+), runs AS (  -- nodes of a run, in order
+  SELECT lang, false AS upper, level, i // 8 AS run, list(h ORDER BY i) AS hs FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT NULL, true, level, i // 8, list(h ORDER BY i) FROM top WHERE n > 1 GROUP BY ALL
+), folds AS (  -- from each leaf up to its subroot, then from there to the root
+  SELECT row_number() OVER () AS row, doc_id, lang, leaf, coalesce(tampered, leaf) AS h, '' AS beside, false AS upper, 0 AS level, i, true AS more FROM leaves
+  UNION ALL
+  SELECT row, doc_id, f.lang, leaf,
+    CASE WHEN r.hs IS NULL THEN f.h ELSE sha256(array_to_string(r.hs[: f.i % 8], '') || f.h || array_to_string(r.hs[f.i % 8 + 2 :], '')) END,
+    CASE WHEN r.hs IS NULL THEN beside ELSE beside || array_to_string(r.hs[: f.i % 8], '') || array_to_string(r.hs[f.i % 8 + 2 :], '') END,
+    f.upper OR r.hs IS NULL, CASE WHEN r.hs IS NULL THEN 0 ELSE f.level + 1 END,
+    CASE WHEN r.hs IS NULL THEN s.j ELSE f.i // 8 END, NOT (f.upper AND r.hs IS NULL)
+  FROM folds f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang
+    LEFT JOIN runs r ON r.upper = f.upper AND (r.lang IS NOT DISTINCT FROM f.lang OR f.upper) AND r.level = f.level AND r.run = f.i // 8
+  WHERE f.more
+)
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(beside) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM folds f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang JOIN top t ON t.n = 1 WHERE NOT f.more
+"""

@@ -3,9 +3,9 @@
 Every word is the bag of its character n-grams, its edges included, so that a misspelling never seen in training
 shares most of its n-grams, and their vectors, with words that were. A text is cut into windows of like length; the
 vectors of a window's n-grams are averaged and go to a linear softmax over (clean, toxic). Vectors and softmax are
-trained jointly, in numpy, by one task, on a bounded sample of labelled documents. A document is clean if all of its windows
-are: its score is one less the product of its windows' clean probabilities, tempered by a slope and an offset
-learned along with the rest, so that long texts do not become toxic by their length.
+trained jointly, in numpy, by one task, on a bounded sample of labelled documents: a document is clean if all of its
+windows are, so of a toxic one those windows learn most that are likeliest toxic already. The score of a text is that of its most
+toxic window; were windows' chances multiplied, length alone would make a text toxic.
 
 Once trained, the vectors meet the softmax only through the difference of its two rows, so each n-gram has one number:
 scoring adds up numbers, and a whole text costs about as much as splitting it into words.
@@ -132,8 +132,8 @@ class Model:
     offset: float
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        """Of each text, the probability that it is toxic. A text without words scores as one whose windows hold
-        nothing that was learned."""
+        """Of each text, the toxic probability of its most toxic window. A text without words scores as a window that
+        holds nothing that was learned."""
         found = bags(column)
         each = np.zeros(len(found.grams))
         if len(self.grams):
@@ -141,10 +141,10 @@ class Model:
             each = np.where(self.grams[at] == found.grams, self.weights[at], 0.0)
         seen = windows(found)
         means = _sums(_sums(each, found.bounds)[seen.words], seen.bounds) / seen.sizes
-        clean, some = np.full(len(column), _clean(np.array(self.offset))), np.diff(seen.first) > 0
+        logits, some = np.full(len(column), self.offset), np.diff(seen.first) > 0
         if some.any():
-            clean[some] = np.add.reduceat(_clean(means + self.offset), seen.first[:-1][some])
-        return -np.expm1(clean)
+            logits[some] += np.maximum.reduceat(means, seen.first[:-1][some])
+        return np.exp(-np.logaddexp(0.0, -logits))
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, seed: int = 3) -> Model:

@@ -44,7 +44,7 @@ def tokenizer():
 
 def test_all_are_registered():
     known = registry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= set(known) and known["pipeline"] is corpus_pipeline.run
     assert set(ORACLES) <= set(registry.oracle_sql()) and "pipeline" not in registry.oracle_sql()
 
