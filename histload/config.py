@@ -14,6 +14,8 @@ DEDUP_MODES = ("rows", "latest")
 
 # Bytes up to which a delta may be broadcast.
 BROADCAST_BYTES = 128 << 20
+# Fixed value: bits in one bitmap of Spark, in which a load notes the buckets it touches.
+MOST_BUCKETS = 32768
 
 
 def _names(value) -> tuple[str, ...]:
@@ -158,7 +160,8 @@ class HistoryLoadConfig:
     """A load that meets a history. Of rows that share a key, the last by ``latest_order`` is loaded.
 
     Open versions are kept in ``buckets`` by key; a load reads and writes those that its delta touches. The number is
-    fixed with the first load. The history is also written to ``sink``, if there is one.
+    fixed with the first load. The history is also written to ``sink``, if there is one. ``evolve`` lets an extract have
+    columns that the history has not, and the other way round; without it such an extract is refused.
     """
 
     extract: ExtractConfig
@@ -167,6 +170,7 @@ class HistoryLoadConfig:
     mode: str = "changed_only"
     buckets: int = 64
     sink: Sink | None = None
+    evolve: bool = True
 
     def __post_init__(self):
         _all_names(self, "latest_order")
@@ -176,15 +180,19 @@ class HistoryLoadConfig:
             raise ValueError("a load runs several queries and needs one fixed as_of")
         if not self.latest_order:
             raise ValueError("latest_order must say which row of a key is the newest")
-        if self.buckets < 1:
-            raise ValueError("there is at least one bucket")
+        if not 1 <= self.buckets <= MOST_BUCKETS:
+            raise ValueError(f"there are 1 to {MOST_BUCKETS} buckets")
         if not set(self.merge.key) <= set(self.extract.required):
             raise ValueError("every key column must be required: rows without a key have no history")
 
 
 @dataclass(frozen=True)
 class DimensionLoadConfig:
-    """A load without history: the rows of the extract, stamped with an open range, replace a table."""
+    """A load without history: the rows of the extract, stamped with an open range, replace a table.
+
+    Rows left out and reports go to the folder ``aside``. Without it they are beside a parquet table, and for a connector
+    in the shared folder.
+    """
 
     extract: ExtractConfig
     stamp: StampConfig
@@ -192,6 +200,7 @@ class DimensionLoadConfig:
     dedup: str = "rows"
     latest_key: tuple[str, ...] = ()
     latest_order: tuple[str, ...] = ()
+    aside: str | None = None
 
     def __post_init__(self):
         _all_names(self, "latest_key", "latest_order")

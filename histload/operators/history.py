@@ -196,15 +196,64 @@ def _split(hist: DataFrame, config: MergeConfig) -> tuple[DataFrame, DataFrame]:
     return hist.where(meets), hist.where(~meets)
 
 
+#: Bits of the filter per key of the delta; one in BITS open versions without a match passes it.
+BITS = 16
+_BITMAP = 32768  # fixed value: bits in one of Spark's bitmaps
+
+
+def _bit(config: MergeConfig, n_bits: int) -> Column:
+    return F.pmod(F.xxhash64(*[named(c).cast("string") for c in config.key]), F.lit(n_bits))
+
+
+def key_filter(delta: DataFrame, config: MergeConfig, n_bits: int) -> DataFrame:
+    """Which of ``n_bits`` bits a key of the delta sets, as bitmaps: (bits_of, bits). Partial bitmaps are made where the rows
+    are, so a key's copies cost nothing."""
+    bit = _bit(config, n_bits)
+    of = F.floor(bit / _BITMAP)
+    rows = delta.where(~any_null(config.key)).select(of.alias("bits_of"), (bit % _BITMAP).alias("bit"))
+    return rows.groupBy("bits_of").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _filter_bits(delta: DataFrame, config: MergeConfig, delta_bytes: int | None) -> int:
+    """How many bits a filter of the delta's keys takes: 0 if the delta may be broadcast itself, if its filter may not, or if its
+    size is unknown. Keys of a floating type have several texts for a value, and no filter."""
+    if delta_bytes is None or _is_small(delta_bytes, config):
+        return 0
+    kinds = dict(delta.dtypes)
+    if any(kinds[c] in ("float", "double") for c in config.key):
+        return 0
+    most_rows = delta_bytes // 64 + 1  # text_bytes counts more for a row
+    n_bits = -(-BITS * most_rows // _BITMAP) * _BITMAP
+    return n_bits if n_bits // 8 <= config.broadcast_bytes else 0
+
+
+def _thinned(current: DataFrame, delta: DataFrame, config: MergeConfig, delta_bytes: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """Open versions that may meet the delta, and those that cannot, which need no shuffle. Between a delta that can be
+    broadcast and one whose filter cannot, the filter decides."""
+    n_bits = _filter_bits(delta, config, delta_bytes)
+    if not n_bits:
+        return current, None
+    bits = F.broadcast(key_filter(delta, config, n_bits))  # n_bits, held against broadcast_bytes
+    placed = current.withColumn("__bit", _bit(config, n_bits))
+    tested = placed.join(bits, F.floor(F.col("__bit") / _BITMAP) == F.col("bits_of"), "left")
+    byte = F.expr(f"cast(conv(hex(substring(bits, cast(__bit % {_BITMAP} div 8 as int) + 1, 1)), 16, 10) as int)")
+    may = F.coalesce(F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1, F.lit(False))
+    return tested.where(may).select(*all_named(current.columns)), tested.where(~may).select(*all_named(current.columns))
+
+
 def merge_reversion_all(
     hist: DataFrame, delta: DataFrame, config: MergeConfig, delta_bytes: int | None = None
 ) -> DataFrame:
     """Close the open version of every key in the delta, changed or not, and add the whole delta.
 
     Only the distinct keys of the delta are looked up, so the delta itself is not shuffled, and with
-    a delta measured as small (``delta_bytes``, see ``delta_size``) the history is not either.
+    a delta measured as small (``delta_bytes``, see ``delta_size``) the history is not either. Beyond that a filter of
+    the delta's keys lets most open versions that are not in it pass by.
     """
     current, beside = _split(hist, config)
+    current, passing = _thinned(current, delta, config, delta_bytes)
+    if passing is not None:
+        beside = beside.unionByName(passing)
     keys = _keys(delta.where(~any_null(config.key)), config).withColumn("__hit", F.lit(True))
     judged = current.alias("x").join(_small(keys, _is_small(delta_bytes, config)).alias("y"), _same_key(config), "left")
     end = F.when(F.col("__hit").isNotNull(), as_of_column(config.as_of)).otherwise(named(config.end, "x"))
@@ -220,7 +269,8 @@ def merge_changed_only(
     A key without an open version counts as new, so a key that had been closed comes back. Merging
     the same delta again changes nothing. History and delta meet in one full outer join. A delta measured as
     small (``delta_bytes``, see ``delta_size``) is broadcast instead, and the history is not shuffled; only its
-    keys are read once more, to tell which rows of the delta are new.
+    keys are read once more, to tell which rows of the delta are new. Beyond that a filter of the delta's keys lets most
+    open versions that are not in it pass by the join.
     """
     current, beside = _split(hist, config)
     whole = ~any_null(config.key)
@@ -230,7 +280,9 @@ def merge_changed_only(
         new = _met(keyed, known, config, "left_anti")
         met = _meet(current, keyed, config, "left", small=True).unionByName(new)
     else:
+        current, passing = _thinned(current, keyed, config, delta_bytes)
         met = _meet(current, keyed, config, "full_outer")
+        beside = beside.unionByName(passing) if passing is not None else beside
     return met.unionByName(beside).unionByName(keyless)
 
 

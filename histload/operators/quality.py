@@ -172,27 +172,53 @@ def gate_duplicates(df: DataFrame, config: GateConfig) -> Gated:
     return Gated(latest_per_key(df, keys, order_by), report)
 
 
-def gate_chain(df: DataFrame, config: GateConfig) -> Gated:
-    """Count, schema, null and duplicate gate, each on what the one before let through.
+def gate_counts(df: DataFrame, config: GateConfig) -> dict[str, Column]:
+    """Aggregates that the first three gates need, to be measured by whatever pass reads the rows."""
+    columns = _resolved(df, config.null_columns, "nulls") if config.null_check else []
+    return {"n": F.count(F.lit(1)), "n_kept": F.count_if(all_not_null(columns)) if columns else F.count(F.lit(1))}
 
-    A gate that fails stops the chain with an error: no rows, a wrong schema, no row without nulls, a
-    configured column that is not there. One pass counts rows for the first three; the report of the fourth is
-    computed when it is read.
-    """
+
+def gate_rows(df: DataFrame, config: GateConfig, n: int, n_kept: int) -> list[tuple]:
+    """The reports of count, schema and null gate, from what ``gate_counts`` measured; raises if one fails."""
     check_schema(dict(df.dtypes), config)
-    null_columns = _resolved(df, config.null_columns, "nulls") if config.null_check else []
-    kept = F.count_if(all_not_null(null_columns)) if null_columns else F.count(F.lit(1))
-    n, n_kept = df.agg(F.count(F.lit(1)), kept).first()
     if config.count_check and not n:
         raise GateFailure("count: no rows")
     if n and not n_kept:
         raise GateFailure(f"nulls: none of {n} rows has all of {', '.join(config.null_columns)}")
     schema_detail = _schema_detail(schema_differences(dict(df.dtypes), config)) if config.schema_check else "off"
-    rows = [
+    return [
         ("count", True, n, n, "on" if config.count_check else "off"),
         ("schema", True, n, n, schema_detail),
         ("nulls", True, n, n_kept, ",".join(config.null_columns) if config.null_check else "off"),
     ]
-    last = gate_duplicates(not_null_all(df, null_columns) if null_columns else df, config)
-    report = df.sparkSession.createDataFrame(rows, _REPORT).unionByName(last.report)
-    return Gated(last.data, report)
+
+
+def duplicates_row(config: GateConfig, rows_in: int, rows_out: int) -> tuple:
+    """The report of the duplicate gate."""
+    return ("duplicates", True, rows_in, rows_out, ",".join(config.duplicate_columns) if config.duplicate_check else "off")
+
+
+def gate_report(df: DataFrame, rows: list[tuple]) -> DataFrame:
+    return df.sparkSession.createDataFrame(rows, _REPORT)
+
+
+def pass_gates(df: DataFrame, config: GateConfig) -> DataFrame:
+    """The rows that null and duplicate gate let through."""
+    if config.null_check:
+        df = not_null_all(df, _resolved(df, config.null_columns, "nulls"))
+    return gate_duplicates(df, config).data
+
+
+def gate_chain(df: DataFrame, config: GateConfig) -> Gated:
+    """Count, schema, null and duplicate gate, each on what the one before let through.
+
+    A gate that fails stops the chain with an error: no rows, a wrong schema, no row without nulls, a
+    configured column that is not there. One pass counts rows for the first three; the report of the fourth is
+    computed when it is read.
+    """
+    check_schema(dict(df.dtypes), config)
+    n, n_kept = df.agg(*gate_counts(df, config).values()).first()
+    rows = gate_rows(df, config, n, n_kept)
+    passed = not_null_all(df, _resolved(df, config.null_columns, "nulls")) if config.null_check else df
+    last = gate_duplicates(passed, config)
+    return Gated(last.data, gate_report(df, rows).unionByName(last.report))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 from uuid import uuid4
 
@@ -45,8 +46,35 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
 
 
-def identity(spark: SparkSession, path: str) -> str:
-    """What tells an extract from another: its path, bytes and files."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files in a folder, in order; none if it is not there."""
     files, where = _located(spark, path)
-    size = files.getContentSummary(where)
-    return f"{path} ({size.getLength()} bytes, {size.getFileCount()} files)"
+    if not files.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(where) if s.isFile())
+
+
+def write_record(spark: SparkSession, path: str, record: dict) -> None:
+    """A small JSON file, there as a whole or not at all: written beside its place, then renamed. One that is there
+    already is replaced."""
+    files, where = _located(spark, path)
+    beside = where.suffix(f".{uuid4().hex}.tmp")
+    out = files.create(beside, True)
+    try:
+        out.write(bytearray(json.dumps(record).encode()))
+    finally:
+        out.close()
+    files.delete(where, False)
+    if not files.rename(beside, where):
+        raise OSError(f"{beside} cannot be renamed to {path}")
+
+
+def read_record(spark: SparkSession, path: str) -> dict | None:
+    files, where = _located(spark, path)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()

@@ -8,7 +8,6 @@ from datetime import datetime
 from typing import NamedTuple
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
@@ -17,7 +16,7 @@ from histload.config import MergeConfig, Sink
 from histload.functions import all_named, named
 from histload.operators.history import check_one_row_per_key
 from histload.sources.readers import read_csv_typed, read_parquet
-from histload.sources.workspace import folders, remove
+from histload.sources.workspace import folders, names, read_record, remove, write_record
 
 
 class Written(NamedTuple):
@@ -88,78 +87,96 @@ def land_csv(
     return Written(read_parquet(spark, parquet_path, extract.schema).drop(*audit), n_rows)
 
 
+# ---------------------------------------------------------------- records
+
+# A record says that what it names is whole. It is one small file with a number for a name.
+
+
+def _record(number: int) -> str:
+    return f"{number:010d}.json"
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    return [int(n.removesuffix(".json")) for n in names(spark, folder) if n.endswith(".json")]
+
+
 # ---------------------------------------------------------------- published tables
 
-# A table that is replaced as a whole: each load writes a folder of its own, and becomes visible with its mark.
+# A table that is replaced as a whole: each load writes folders of its own, and becomes visible with its record.
 
 
-def publish_table(df: DataFrame, sink: Sink) -> int:
-    """Replace a table. Parquet is written beside the old rows, which stay until the new ones are whole;
-    other formats are overwritten by their connector."""
+def publish_table(df: DataFrame, sink: Sink, beside: Mapping[str, DataFrame] | None = None) -> int:
+    """Replace a table. Parquet is written next to the old rows, which stay until the new ones are whole, and so are the
+    rows ``beside`` it, by name; other formats are overwritten by their connector."""
     if sink.fmt != "parquet":
         return write_sink(df, sink)["rows"]
     spark = df.sparkSession
-    before = _marks(spark, sink.path, _TABLE_MARK)
-    number = 1 + (before[-1].number if before else 0)
-    name = f"rows-{number}-{uuid4().hex}"
-    n = write_snapshot(df, f"{sink.path}/{name}", sink.partition_by, options=sink.options)["rows"]
-    _mark(spark, sink.path, [(number, name, n)], _TABLE_MARK)
+    marks = f"{sink.path}/published"
+    before = _numbers(spark, marks)[-1:]
+    number = 1 + max(before, default=0)
+    unique = f"{number}-{uuid4().hex}"
+    record = {"rows": f"rows-{unique}", "n_rows": write_snapshot(df, f"{sink.path}/rows-{unique}", sink.partition_by, options=sink.options)["rows"]}
+    for name, other in (beside or {}).items():
+        record[name] = f"{name}-{unique}"
+        write_snapshot(other, f"{sink.path}/{name}-{unique}")
+    write_record(spark, f"{marks}/{_record(number)}", record)
+    kept = {f"-{n}-" for n in [number, *before]}  # the rows before stay for their readers
     for old in folders(spark, sink.path):
-        if old.startswith("rows-") and old not in {name, *(m.name for m in before[-1:])}:
-            remove(spark, f"{sink.path}/{old}")  # the rows before stay for their readers
-    return n
+        if old.split("-")[0] in record and not any(k in old for k in kept):
+            remove(spark, f"{sink.path}/{old}")
+    return record["n_rows"]
 
 
-def read_table_published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    marks = _marks(spark, path, _TABLE_MARK)
+def read_table_published(spark: SparkSession, path: str, schema: StructType, name: str = "rows") -> DataFrame:
+    """The rows of a published table, or those ``name`` beside them."""
+    marks = _numbers(spark, f"{path}/published")
     if not marks:
         raise ValueError(f"nothing is published in {path}")
-    return read_snapshot(spark, f"{path}/{marks[-1].name}", schema)
-
-
-_TABLE_MARK = "number int, name string, n_rows bigint"
-
-
-def _mark(spark: SparkSession, root: str, rows: list[tuple], schema: str) -> None:
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/published")
-
-
-def _marks(spark: SparkSession, root: str, schema: str) -> list:
-    """The loads that are complete, in order; one row each."""
-    try:
-        marks = spark.read.schema(schema).parquet(f"{root}/published").collect()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return sorted(marks, key=lambda m: m[0])
+    return read_snapshot(spark, f"{path}/{read_record(spark, f'{path}/published/{_record(marks[-1])}')[name]}", schema)
 
 
 # ---------------------------------------------------------------- published histories
 
-# A published history lies in two places below its root:
-#   loads/version=N/is_open=1/bucket=B   the open versions of a bucket of keys, as of load N
-#   loads/version=N/is_open=0/bucket=-1  the versions that load N closed
-#   published/                           one row per load that is complete; it names the load that last wrote
-#                                        each bucket
+# A published history lies below its root:
+#   loads/version=N/is_open=1/bucket=B    the open versions of a bucket of keys, as of load N
+#   loads/version=N/is_open=0/bucket=-1   the versions that load N closed
+#   closed/level=L/until=N                closed versions of several loads, joined
+#   left_out/, reports/version=N          what load N did not load, and its gates' reports
+#   intents/N.json                        all folders of load N are whole
+#   published/N.json                      load N is visible; names the folders that are the history as of then
+#   done/N.json                           load N's sink is written
 # A load reads and writes the buckets that its delta touches. It writes new folders only, so readers of the
-# version before are not disturbed, and a load that breaks off leaves nothing they would see. Closed versions
-# are written once and never again. One load at a time may write.
+# version before are not disturbed, and a load that breaks off leaves nothing they would see. Closed versions are
+# joined level by level, so that each is written again once for every JOINED-fold of loads, and folders stay few. One load at a
+# time may write.
+
+#: So many folders of closed versions of a level become one of the next.
+JOINED = 8
 
 
 class Mark(NamedTuple):
-    """A complete load: the load that last wrote each bucket (-1: it is empty), the greatest start of an
-    open version, the columns, and what was loaded."""
+    """A complete load: the load that last wrote each bucket (-1: it is empty), the folders of closed versions, the greatest
+    start of an open version, the columns, and what was loaded with which settings."""
 
     version: int
     n_rows: int
     buckets: list[int]
+    closed: list[str]
     greatest_start: datetime | None
     schema: str
-    extract: str
+    extracts: list[dict] = []
+    settings: dict = {}
+
 
+def _to_record(mark: Mark) -> dict:
+    return mark._asdict() | {"greatest_start": mark.greatest_start and mark.greatest_start.isoformat()}
 
-_HISTORY_MARK = "version int, n_rows bigint, buckets array<int>, greatest_start timestamp_ntz, schema string, extract string"
+
+def _from_record(record: dict | None) -> Mark | None:
+    if record is None:
+        return None
+    start = record["greatest_start"]
+    return Mark(**(record | {"greatest_start": start and datetime.fromisoformat(start)}))
 
 
 def bucket_of(key: Iterable[str], n_buckets: int) -> Column:
@@ -167,15 +184,24 @@ def bucket_of(key: Iterable[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[named(c).cast("string") for c in key]), F.lit(n_buckets)).cast("int")
 
 
+def buckets_seen(key: Iterable[str], n_buckets: int) -> Column:
+    """The buckets of all keys as an aggregate, a bitmap; ``in_bitmap`` reads it."""
+    return F.bitmap_construct_agg(bucket_of(key, n_buckets).cast("long"))
+
+
+def in_bitmap(bits: bytes | None) -> list[int]:
+    return [8 * i + j for i, byte in enumerate(bits or b"") for j in range(8) if byte >> j & 1]
+
+
 def touched_buckets(delta: DataFrame, config: MergeConfig, n_buckets: int) -> list[int]:
-    found = delta.select(bucket_of(config.key, n_buckets).alias("b")).distinct().collect()  # n_buckets rows at most
-    return sorted(r["b"] for r in found)
+    return in_bitmap(delta.agg(buckets_seen(config.key, n_buckets)).first()[0])
 
 
 def published(spark: SparkSession, root: str, version: int | None = None) -> Mark | None:
     """The last complete load, or the one asked for; None if there is none."""
-    marks = [Mark(*m) for m in _marks(spark, root, _HISTORY_MARK) if version in (None, m.version)]
-    return marks[-1] if marks else None
+    if version is None:
+        version = max(_numbers(spark, f"{root}/published"), default=-1)
+    return _from_record(read_record(spark, f"{root}/published/{_record(version)}"))
 
 
 def published_version(spark: SparkSession, root: str) -> int | None:
@@ -183,20 +209,50 @@ def published_version(spark: SparkSession, root: str) -> int | None:
     return mark.version if mark else None
 
 
-def publish(
+def intended(spark: SparkSession, root: str, version: int) -> Mark | None:
+    """The mark of a load whose folders are whole; it may not be visible yet."""
+    return _from_record(read_record(spark, f"{root}/intents/{_record(version)}"))
+
+
+def intend(spark: SparkSession, root: str, mark: Mark) -> None:
+    write_record(spark, f"{root}/intents/{_record(mark.version)}", _to_record(mark))
+
+
+def forget_intent(spark: SparkSession, root: str, version: int) -> None:
+    """Before a load's folders are written again."""
+    remove(spark, f"{root}/intents/{_record(version)}")
+
+
+def _mark(spark: SparkSession, root: str, mark: Mark) -> None:
+    write_record(spark, f"{root}/published/{_record(mark.version)}", _to_record(mark))
+
+
+def make_visible(spark: SparkSession, root: str, mark: Mark) -> None:
+    _mark(spark, root, mark)
+
+
+def is_done(spark: SparkSession, root: str, version: int) -> bool:
+    return read_record(spark, f"{root}/done/{_record(version)}") is not None
+
+
+def set_done(spark: SparkSession, root: str, version: int) -> None:
+    write_record(spark, f"{root}/done/{_record(version)}", {"version": version})
+
+
+def write_version(
     changes: DataFrame,
     root: str,
     version: int,
     config: MergeConfig,
     n_buckets: int = 64,
     touched: list[int] | None = None,
-    extract: str = "",
+    sound: bool = False,
 ) -> Mark:
-    """Write open versions and those closed by this load, check them, then name the load complete.
+    """Write open versions and those closed by this load, check them, and return the mark that makes them visible.
 
     ``changes`` holds all open versions of the ``touched`` buckets (all buckets without it) and what this load
-    closes. One pass writes both; rows are gathered by bucket before it. If a key then has two open versions, the
-    load is not named complete, and an error tells the key.
+    closes. One pass writes both; rows are gathered by bucket before it. Unless they are known to be ``sound``, as a merge of
+    a settled delta into a sound history is, an error tells keys with two open versions.
     """
     spark, load = changes.sparkSession, f"{root}/loads/version={version}"
     before = published(spark, root)
@@ -209,17 +265,53 @@ def publish(
     start = F.max(F.when(F.col("is_open") == 1, named(config.start)))
     flagged.observe(seen, F.count(F.lit(1)).alias("rows"), start.alias("start")).write.mode("overwrite").partitionBy("is_open", "bucket").parquet(load)
 
-    written = spark.read.schema(_with(changes.schema, "is_open", "bucket")).parquet(load).where("is_open = 1")
-    check_one_row_per_key(written, config, "several open versions of a key")
-    filled = {r.bucket for r in written.select("bucket").distinct().collect()}  # n_buckets rows at most
+    if not sound:
+        written = spark.read.schema(_with(changes.schema, "is_open", "bucket")).parquet(load).where("is_open = 1")
+        check_one_row_per_key(written, config, "several open versions of a key")
+    filled = {int(f.removeprefix("bucket=")) for f in folders(spark, f"{load}/is_open=1")}
     buckets = list(before.buckets) if before else [-1] * n_buckets
-    for b in range(n_buckets) if touched is None else touched:
+    wanted = range(n_buckets) if touched is None else touched
+    for b in wanted:
         buckets[b] = version if b in filled else -1
-    if not filled <= set(range(n_buckets) if touched is None else touched):
+    if not filled <= set(wanted):
         raise ValueError("the changes hold open versions of other buckets than those named")
+    closed = list(before.closed) if before else []
+    if folders(spark, f"{load}/is_open=0"):
+        closed.append(f"loads/version={version}/is_open=0/bucket=-1")
     starts = [s for s in (seen.get["start"], before.greatest_start if before else None) if s]
-    mark = Mark(version, seen.get["rows"], buckets, max(starts, default=None), changes.schema.json(), extract)
-    _mark(spark, root, [tuple(mark)], _HISTORY_MARK)
+    return Mark(version, seen.get["rows"], buckets, _joined(spark, root, version, closed, changes.schema), max(starts, default=None), changes.schema.json())
+
+
+def _level(folder: str) -> int:
+    return int(folder.split("/")[1].removeprefix("level=")) if folder.startswith("closed/") else 0
+
+
+def _joined(spark: SparkSession, root: str, version: int, closed: list[str], schema: StructType) -> list[str]:
+    """The folders of closed versions after those of a full level have become one of the next. The old ones stay for readers
+    of the loads before, until ``drop_superseded``."""
+    level = 0
+    while any(_level(f) >= level for f in closed):
+        full = [f for f in closed if _level(f) == level]
+        if len(full) >= JOINED:
+            folder = f"closed/level={level + 1}/until={version}"
+            rows = spark.read.schema(schema).parquet(*(f"{root}/{f}" for f in full))
+            rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{folder}")
+            closed = [f for f in closed if f not in full] + [folder]
+        level += 1
+    return closed
+
+
+def publish(
+    changes: DataFrame,
+    root: str,
+    version: int,
+    config: MergeConfig,
+    n_buckets: int = 64,
+    touched: list[int] | None = None,
+) -> Mark:
+    """Write a load with ``write_version`` and make it visible."""
+    mark = write_version(changes, root, version, config, n_buckets, touched)
+    _mark(changes.sparkSession, root, mark)
     return mark
 
 
@@ -230,12 +322,20 @@ def _with(schema: StructType, *partitions: str) -> StructType:
     return fields
 
 
+def columns_of(mark: Mark) -> StructType:
+    return StructType.fromJson(json.loads(mark.schema))
+
+
+def _of_folders(spark: SparkSession, mark: Mark, paths: list[str]) -> DataFrame:
+    """Rows of folders that loads up to the mark's wrote; a column that came later is null."""
+    reader = spark.read.schema(columns_of(mark))
+    return reader.parquet(*paths) if paths else spark.createDataFrame([], columns_of(mark))
+
+
 def read_open(spark: SparkSession, root: str, mark: Mark, buckets: Iterable[int] | None = None) -> DataFrame:
     """The open versions as of one load, of some buckets or all; only their folders are opened."""
     wanted = range(len(mark.buckets)) if buckets is None else buckets
-    paths = [f"{root}/loads/version={mark.buckets[b]}/is_open=1/bucket={b}" for b in wanted if mark.buckets[b] >= 0]
-    schema = StructType.fromJson(json.loads(mark.schema))
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return _of_folders(spark, mark, [f"{root}/loads/version={mark.buckets[b]}/is_open=1/bucket={b}" for b in wanted if mark.buckets[b] >= 0])
 
 
 def read_published(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -243,19 +343,27 @@ def read_published(spark: SparkSession, root: str, version: int | None = None) -
     mark = published(spark, root, version)
     if mark is None:
         raise ValueError(f"no such load is published in {root}: {version}")
-    current = read_open(spark, root, mark)
-    stored = spark.read.schema(_with(current.schema, "version", "is_open", "bucket")).parquet(f"{root}/loads")
-    closed = stored.where((F.col("is_open") == 0) & (F.col("version") <= mark.version))
-    return current.unionByName(closed.select(*all_named(current.columns)))
+    return read_open(spark, root, mark).unionByName(_of_folders(spark, mark, [f"{root}/{f}" for f in mark.closed]))
 
 
 def drop_superseded(spark: SparkSession, root: str) -> int:
-    """Delete the open versions that only loads before the last complete one name; their readers must be done.
-    Closed versions stay. Returns how many folders went."""
+    """Delete what only loads before the last complete one name: open versions, and closed ones that are joined with others
+    since; their readers must be done. Returns how many folders went."""
     mark, n = published(spark, root), 0
+    if mark is None:
+        return 0
     for name in folders(spark, f"{root}/loads"):
         load = int(name.removeprefix("version="))
-        for bucket in folders(spark, f"{root}/loads/{name}/is_open=1") if mark and load <= mark.version else []:
+        if load > mark.version:
+            continue
+        for bucket in folders(spark, f"{root}/loads/{name}/is_open=1"):
             if mark.buckets[int(bucket.removeprefix("bucket="))] != load:
                 n += remove(spark, f"{root}/loads/{name}/is_open=1/{bucket}")
+        own = f"loads/{name}/is_open=0"
+        if f"{own}/bucket=-1" not in mark.closed and folders(spark, f"{root}/{own}"):
+            n += remove(spark, f"{root}/{own}")
+    for level in folders(spark, f"{root}/closed"):
+        for until in folders(spark, f"{root}/closed/{level}"):
+            if f"closed/{level}/{until}" not in mark.closed and int(until.removeprefix("until=")) <= mark.version:
+                n += remove(spark, f"{root}/closed/{level}/{until}")
     return n
