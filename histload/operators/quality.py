@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,8 +198,12 @@ def duplicates_row(config: GateConfig, rows_in: int, rows_out: int) -> tuple:
     return ("duplicates", True, rows_in, rows_out, ",".join(config.duplicate_columns) if config.duplicate_check else "off")
 
 
-def gate_report(df: DataFrame, rows: list[tuple]) -> DataFrame:
-    return df.sparkSession.createDataFrame(rows, _REPORT)
+def gate_report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Reports as a table, from literals: there is nothing to distribute."""
+    names = [part.split()[0] for part in _REPORT.split(", ")]
+    values = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    table = spark.range(1, numPartitions=1).select(F.inline(F.array(*values)))
+    return table.select(*[F.col(part.split()[0]).cast(part.split()[1]).alias(part.split()[0]) for part in _REPORT.split(", ")])
 
 
 def pass_gates(df: DataFrame, config: GateConfig) -> DataFrame:
@@ -221,4 +225,4 @@ def gate_chain(df: DataFrame, config: GateConfig) -> Gated:
     rows = gate_rows(df, config, n, n_kept)
     passed = not_null_all(df, _resolved(df, config.null_columns, "nulls")) if config.null_check else df
     last = gate_duplicates(passed, config)
-    return Gated(last.data, gate_report(df, rows).unionByName(last.report))
+    return Gated(last.data, gate_report(df.sparkSession, rows).unionByName(last.report))

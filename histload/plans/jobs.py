@@ -249,7 +249,7 @@ def _completed(spark: SparkSession, root: str, mark: Mark, config: HistoryLoadCo
     write_snapshot(left_out, f"{root}/left_out/version={mark.version}")
     reports = [row for p in loads for row in p.reports]
     if config.extract.gates:
-        write_snapshot(gate_report(left_out, reports).coalesce(1), f"{root}/reports/version={mark.version}")
+        write_snapshot(gate_report(spark, reports), f"{root}/reports/version={mark.version}")
     mark = mark._replace(extracts=[p.digest for p in loads], settings=settings)
     intend(spark, root, mark)
     return _finished(spark, root, mark, config, loads)
@@ -386,7 +386,7 @@ def dimension_load(spark: SparkSession, csv: str, config: DimensionLoadConfig) -
         stamped = stamp_open(prepared.rows, config.stamp)
         beside = {"left_out": prepared.left_out}
         if config.extract.gates:
-            beside["reports"] = gate_report(stamped, prepared.reports).coalesce(1)
+            beside["reports"] = gate_report(spark, prepared.reports)
         sink, aside = config.sink, config.aside
         if sink.fmt != "parquet" or aside:
             aside = aside or f"{work_folder(spark)}-kept"

@@ -164,7 +164,31 @@ second_delta AS (
          c_nationkey AS nat, {SECOND_AS_OF} AS start_date, {NO_END} AS end_date
   FROM customer)"""
 
+WITH_BOTH = f"""WITH {EXTRACTS},
+first_history AS ({changed_only('base', 'first_delta')}),
+both_loads AS ({changed_only('first_history', 'second_delta', SECOND_AS_OF)})"""
+
 ORACLES = {
+    "history_load_into_connector": f"{WITH_BOTH} SELECT * FROM both_loads",
+    "evolved_history_load": f"""{WITH_BOTH}
+SELECT k, seg, CAST(nat AS BIGINT) AS nat, start_date, end_date,
+  CASE WHEN start_date = {SECOND_AS_OF} THEN c_name END AS nm
+FROM both_loads JOIN customer ON c_custkey = k""",
+    "adopted_history_load": f"""WITH {WHOLE}, {EXTRACTS.replace("hist AS", "unused AS")}
+{changed_only('hist', 'second_delta', SECOND_AS_OF)}""",
+    "scd2_changed_only_filtered_delta": f"WITH {WHOLE},{DELTA} {changed_only('hist', 'delta')}",
+    "stamp_open_now": """SELECT c_nationkey AS nat, count(*) AS n_rows, 1 AS n_starts, true AS not_before, true AS is_now
+FROM customer GROUP BY c_nationkey""",
+    "left_out_fates": f"""WITH {DIRTY}, filled AS (
+  SELECT k, nm, seg, nullif(nat, '') AS nat, bal FROM dirty
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY {LATEST_DIRTY}) AS rn,
+    first_value(nm) OVER (PARTITION BY k ORDER BY {LATEST_DIRTY}) AS its_nm
+  FROM filled WHERE {NOT_NULL} AND nm IS NOT NULL
+)
+SELECT k, nm, seg, nat, bal, CASE WHEN nm = its_nm THEN 'copy' ELSE 'superseded' END AS fate FROM numbered WHERE rn > 1
+UNION ALL
+SELECT k, nm, seg, nat, bal, 'null' FROM filled WHERE NOT ({NOT_NULL} AND nm IS NOT NULL)""",
     "rows_scan_codes": """
 SELECT code, description, count(*) AS n_orders
 FROM orders JOIN (VALUES ('1-URGENT', 'due today'), ('2-HIGH', 'due this week'), ('3-MEDIUM', ''),

@@ -495,6 +495,78 @@ def incremental_reversion_load(spark, sf_dir):
     return _both_loads(spark, sf_dir, "reversion_all")
 
 
+def _later(config, **more):
+    return replace(config, merge=replace(MERGE, as_of=SECOND_AS_OF), **more)
+
+
+def history_load_into_connector(spark, sf_dir):
+    """Both loads write their result through a connector, the second over the first."""
+    from histload.sources import manifest_table
+
+    folder = work_folder(spark)
+    sink = Sink(f"{folder}/sink", manifest_table.register(spark))
+    config = replace(_load_config("changed_only"), sink=sink)
+    _first_load(spark, sf_dir, folder, config)
+    second = fixtures.write_extract(_second_extract(spark, sf_dir), f"{folder}/second")
+    jobs.incremental_history_load(spark, second, f"{folder}/history", _later(config), 2)
+    return readers.read_table(spark, sink.path, sink.fmt)
+
+
+def adopted_history_load(spark, sf_dir):
+    """A load that goes on from a history taken over, sentinels included."""
+    folder = work_folder(spark)
+    config = replace(_load_config("changed_only"), merge=STORED)
+    jobs.adopt_history(fixtures.whole_hist(spark, sf_dir), f"{folder}/history", config)
+    second = fixtures.write_extract(_second_extract(spark, sf_dir), f"{folder}/second")
+    later = replace(config, merge=replace(STORED, as_of=SECOND_AS_OF))
+    return history.decode_open(jobs.incremental_history_load(spark, second, f"{folder}/history", later, 1).table, STORED)
+
+
+def evolved_history_load(spark, sf_dir):
+    """The second extract has a column more, and a wider one."""
+    folder, config = work_folder(spark), _load_config("changed_only")
+    _first_load(spark, sf_dir, folder, config)
+    names = fixtures.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("nm"))
+    second = fixtures.write_extract(_second_extract(spark, sf_dir).join(names, "k"), f"{folder}/second")
+    wider = replace(config.extract, schema=f"k BIGINT, seg STRING, nat BIGINT, nm STRING, {AUDIT_SCHEMA}")
+    return jobs.incremental_history_load(spark, second, f"{folder}/history", _later(config, extract=wider), 2).table
+
+
+def left_out_fates(spark, sf_dir):
+    """What a load leaves out, and why."""
+    folder = work_folder(spark)
+    extract = fixtures.write_extract(fixtures.dirty(spark, sf_dir), f"{folder}/extract")
+    config = DimensionLoadConfig(
+        extract=ExtractConfig("k,nm,seg,nat", f"{DIRTY_SCHEMA}, {AUDIT_SCHEMA}", fixtures.AUDIT),
+        stamp=StampConfig(fixtures.AS_OF),
+        sink=Sink(f"{folder}/customer"),
+        dedup="latest",
+        latest_key="k",
+        latest_order="bal",
+    )
+    return jobs.dimension_load(spark, extract, config).left_out.drop(*fixtures.AUDIT)
+
+
+def scd2_changed_only_filtered_delta(spark, sf_dir):
+    """A delta too large to broadcast, whose keys' filter is not."""
+    delta = _delta(spark, sf_dir)
+    size = history.delta_size(delta)
+    return history.merge_changed_only(_whole_hist(spark, sf_dir), delta, replace(MERGE, broadcast_bytes=size // 2), size)
+
+
+def stamp_open_now(spark, sf_dir):
+    """Rows stamped without a load time start at the query's own."""
+    asked = F.lit(str(datetime.now())).cast("timestamp_ntz")
+    stamped = history.stamp_open(_customers(spark, sf_dir), StampConfig())
+    start = F.col("start_date")
+    return stamped.groupBy(F.col("nat")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(start).alias("n_starts"),
+        F.every(start >= asked).alias("not_before"),
+        F.every(start == F.localtimestamp()).alias("is_now"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -552,6 +624,12 @@ QUERIES = {
         first_changed_only_load,
         incremental_history_load,
         incremental_reversion_load,
+        history_load_into_connector,
+        adopted_history_load,
+        evolved_history_load,
+        left_out_fates,
+        scd2_changed_only_filtered_delta,
+        stamp_open_now,
     )
 }
 QUERIES["load_date_text"] = load_dates
