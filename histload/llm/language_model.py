@@ -4,9 +4,11 @@ Words are classes: the most frequent words of the corpus one each, all others by
 the two words before and the two after a place, not the word itself, and predicts it in two steps: its group of
 classes, then its class within the group. It is trained in numpy on every word of every document: each task trains
 on its own documents, the results are averaged by the words they have seen, and the next round goes on from
-there. Within its class a word has a share, from the counts of all words of the corpus: a table that grows with it
-and stays in Spark. Words of documents and their counts meet in buckets by hash. A document's score is the sum of the
-log-probabilities of all its words, each that of its class given the words around it times the word's share.
+there. Within its class a word has a share, from the counts of all words of the corpus. Class and share are a
+word's prior. What the corpus holds between the same two neighbours is evidence, which grows with the corpus: a word that
+came k times of n between its neighbours, its own place not counted, has the probability (k + PRIOR * prior) / (n + PRIOR). So a
+passage that is found elsewhere is likely, however rare its words. Places meet in buckets by the hash of their
+neighbours; those of neighbours that come very often are spread by the word between them, or settled where they are.
 """
 
 from __future__ import annotations
@@ -14,15 +16,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histload.llm.tables import stored
-from histload.llm.words import LOWER, hash_words, split_words, steps, text_bytes
+from histload.llm.words import LOWER, hash_words, mixed, split_words, steps, text_bytes
 
 #: Groups, and classes in a group. Half of the classes are frequent words, half endings of the others.
 SIDE = 32
@@ -33,8 +37,15 @@ REACH, WIDTH, HIDDEN = 2, 8, 24
 #: Words in a step of training.
 BATCH = 4096
 RATE = 0.15
-#: Characters of text, or counted words, for which one more bucket of words is opened.
-BUCKET_CHARS, BUCKET_WORDS = 16_000_000, 2_000_000
+#: Words beside the frequent ones that have a count of their own in each task; those beyond share what is left of their class.
+KNOWN = 200_000
+#: Occurrences that the prior counts for.
+PRIOR = 1.0
+#: Neighbours, and words between them, that are at least this part of all places are counted for all tasks; of twice that
+#: part there are none beside them, and of these at most 1 / HOT.
+HOT = 1 / 2000
+#: Characters of text for which one more bucket of places is opened.
+BUCKET_CHARS = 16_000_000
 #: Words that a task gathers before it hands them on, so that buckets get few large pieces.
 GATHERED = 2_000_000
 
@@ -53,11 +64,55 @@ Net = dict[str, np.ndarray]
 @dataclass
 class Vocabulary:
     """The words of a corpus: hashes of the frequent ones, sorted; counts (word, n) of all others, a table; and of each
-    class of others, how often its words come plus one for each and one for words that are not counted."""
+    class of others, how often its words come plus one for each and one for words that are not counted. ``known`` are
+    the hashes of the most frequent others, sorted, with ``logs`` of their counts plus one; ``tails`` the same for a word of each class that is not known.
+    ``contexts`` and ``cells`` are the hashes of neighbours, and of words between them, that are hot."""
 
     frequent: np.ndarray
     counts: DataFrame
     totals: np.ndarray
+    known: np.ndarray
+    logs: np.ndarray
+    tails: np.ndarray
+    contexts: np.ndarray
+    cells: np.ndarray
+
+    def log_shares(self, hashes: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Of each word, the log of its share of its class."""
+        out, other = np.zeros(len(target)), np.flatnonzero(target >= FREQUENT)
+        of, words = target[other] - FREQUENT, hashes[other]
+        each = self.tails[of]
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
+            each = np.where(self.known[at] == words, self.logs[at], each)
+        out[other] = each - np.log(self.totals)[of]
+        return out
+
+
+class Tallies(NamedTuple):
+    """How often the hot contexts and cells of a vocabulary come in some documents."""
+
+    contexts: np.ndarray
+    cells: np.ndarray
+
+
+def _place(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Where values are in a sorted array, -1 if they are not."""
+    if not len(sorted_):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
+    return np.where(sorted_[at] == values, at, -1)
+
+
+def neighbours(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the two words around each place, with the ends of a text as words of their own, and of all three."""
+    before, after = np.empty_like(hashes), np.empty_like(hashes)
+    before[1:], after[:-1] = hashes[:-1], hashes[1:]
+    some = np.flatnonzero(np.diff(first) > 0)
+    before[first[:-1][some]] = 1
+    after[first[1:][some] - 1] = 2
+    around = mixed(mixed(before * np.uint64(0x9E3779B97F4A7C15)) + after)
+    return around, mixed(around * np.uint64(0x2545F4914F6CDD1D) + hashes)
 
 
 def fresh(seed: int = 5) -> Net:
@@ -156,35 +211,80 @@ def contexts(target: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+_WORD, _CONTEXT, _CELL = 0, 1, 2
+
+
 def vocabulary(docs: DataFrame) -> Vocabulary:
-    """The words of all documents, each counted; of the frequent ones, ties to smaller hashes."""
+    """The words of all documents, each counted; of the frequent and the known ones, ties to smaller hashes.
+
+    Each task also hands on the neighbours, and the words between them, that are at least the part HOT of the places it has gathered
+    at once. What is HOT of all places is that of some such gathering; what comes twice as often is counted for at least the part HOT."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_n, held_class, size = [], [], [], 0
+        held, size, places = [], 0, []
         for batch in steps(batches):
-            hashes, endings, _ = word_hashes(batch.column("text"))
+            hashes, endings, first = word_hashes(batch.column("text"))
             words, at, n = np.unique(hashes, return_index=True, return_counts=True)
-            held.append(words)
-            held_n.append(n)
-            held_class.append(_ending_class(endings[at]))
-            size += len(words)
-            if size > 2_000_000:  # a task hands on what it has before it grows
-                yield _counted(held, held_n, held_class)
-                held, held_n, held_class, size = [], [], [], 0
+            held.append((words, n, _ending_class(endings[at])))
+            places.append(neighbours(hashes, first))
+            size += len(hashes)
+            if size > GATHERED:  # a task hands on what it has before it grows
+                yield from counted_places(held, places)
+                held, size, places = [], 0, []
         if held:
-            yield _counted(held, held_n, held_class)
-
-    counted = docs.select("text").mapInArrow(count, "word long, class int, n long").groupBy("word")
+            yield from counted_places(held, places)
+
+    def counted_places(held: list, places: list) -> Iterator[pa.RecordBatch]:
+        yield _counted(*([h[i] for h in held] for i in range(3)))
+        around, cells = (np.concatenate([p[i] for p in places]) for i in range(2))
+        least = max(2, HOT * len(around))
+        contexts, n = np.unique(around, return_counts=True)
+        hot = contexts[n >= least]
+        yield _tallied(hot, n[n >= least], _CONTEXT)
+        inside, n = np.unique(cells[_place(hot, around) >= 0], return_counts=True)
+        yield _tallied(inside[n >= least], n[n >= least], _CELL)
+
+    counted = docs.select("text").mapInArrow(count, "word long, class int, n long, kind int").groupBy("kind", "word")
     counted = stored(counted.agg(F.sum("n").alias("n"), F.min("class").alias("class")), "words")
-    rows = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    spark = docs.sparkSession
-    frequent = spark.createDataFrame([(r["word"],) for r in rows], "word long")
-    others = counted.join(F.broadcast(frequent), "word", "left_anti")
-    totals = np.ones(CLASSES - FREQUENT)
+    words = counted.where(f"kind = {_WORD}")
+    top = words.select("word", "n", "class").orderBy(F.desc("n"), "word").limit(FREQUENT + KNOWN).toArrow()
+    hashes, n, of_class = (top.column(c).to_numpy() for c in ("word", "n", "class"))
+    frequent = docs.sparkSession.createDataFrame([(int(w),) for w in hashes[:FREQUENT]], "word long")
+    others = words.join(F.broadcast(frequent), "word", "left_anti")  # FREQUENT rows
+    totals, tails, sizes = np.ones(CLASSES - FREQUENT), np.zeros(CLASSES - FREQUENT), np.zeros(CLASSES - FREQUENT)
     for r in others.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
         totals[r["class"]] += r["n"] + r["words"]
-    hashes = np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
-    return Vocabulary(hashes, others.select("word", "n"), totals)
+        tails[r["class"]], sizes[r["class"]] = r["n"] + r["words"], r["words"]
+    known, n, of_class = hashes[FREQUENT:].view(np.uint64), n[FREQUENT:], of_class[FREQUENT:]
+    left = sizes - np.bincount(of_class, minlength=len(sizes))
+    tails = (tails - np.bincount(of_class, n + 1, len(sizes))) / np.maximum(left, 1)
+    order = np.argsort(known)
+    total = words.agg(F.sum("n")).first()[0] or 0
+    hot = counted.where(F.col("kind") != _WORD).where(F.col("n") >= max(2, HOT * total)).collect()  # at most 1 / HOT of a kind
+    sorted_ = lambda kind: np.sort(np.array([r["word"] for r in hot if r["kind"] == kind], np.int64).view(np.uint64))
+    logs = np.log1p(n[order].astype(float))
+    return Vocabulary(
+        np.sort(hashes[:FREQUENT].view(np.uint64)), others.select("word", "n"), totals, known[order], logs, np.log(np.where(left > 0, tails, 1.0)), sorted_(_CONTEXT), sorted_(_CELL)
+    )
+
+
+def _tallied(words: np.ndarray, n: np.ndarray, kind: int) -> pa.RecordBatch:
+    kinds = pa.array(np.full(len(words), kind, np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.nulls(len(words), pa.int32()), pa.array(n.astype(np.int64)), kinds], ["word", "class", "n", "kind"])
+
+
+def _tally(known: Vocabulary, hashes: np.ndarray, first: np.ndarray, tallies: Tallies) -> None:
+    """Adds what a batch holds, in place."""
+    around, cells = neighbours(hashes, first)
+    at = _place(known.contexts, around)
+    hot = at >= 0
+    np.add.at(tallies.contexts, at[hot], 1)
+    at = _place(known.cells, cells[hot])
+    np.add.at(tallies.cells, at[at >= 0], 1)
+
+
+def _no_tallies(known: Vocabulary) -> Tallies:
+    return Tallies(np.zeros(len(known.contexts), np.int64), np.zeros(len(known.cells), np.int64))
 
 
 def _ending_class(endings: np.ndarray) -> np.ndarray:
@@ -195,108 +295,155 @@ def _counted(words: list[np.ndarray], n: list[np.ndarray], ending: list[np.ndarr
     every, at, place = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
     total = np.bincount(place, np.concatenate(n)).astype(np.int64)
     of_class = np.concatenate(ending)[at].astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(of_class), pa.array(total)], ["word", "class", "n"])
+    kind = pa.array(np.full(len(every), _WORD, np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(of_class), pa.array(total), kind], ["word", "class", "n", "kind"])
 
 
 def train(docs: DataFrame, rounds: int = 2) -> tuple[Vocabulary, Net]:
     """The vocabulary and the net, after one pass over all documents; each round takes those of its hash."""
+    known, net, _ = _taught(docs, rounds)
+    return known, net
+
+
+def _taught(docs: DataFrame, rounds: int) -> tuple[Vocabulary, Net, Tallies]:
     known, net = vocabulary(docs), fresh()
+    tallies = _no_tallies(known)
     for turn in range(rounds):
         part = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn) if rounds > 1 else docs
-        net = _averaged(_trained(part.select("text"), known.frequent, net), net)
-    return known, net
+        part = part.where("text is not null")  # null hashes to one round, and has no words
+        net, found = _averaged(_trained(part.select("text"), known, net), net, known)
+        tallies = Tallies(*(a + b for a, b in zip(tallies, found)))
+    return known, net, tallies
 
 
-def _trained(docs: DataFrame, frequent: np.ndarray, start: Net) -> DataFrame:
-    """What each task makes of the net: (net, n), n the words it has seen."""
+def _trained(docs: DataFrame, known: Vocabulary, start: Net | None) -> DataFrame:
+    """What each task makes of the net, and tallies: (net, n, tallies), n the words it has seen. Without a net it only
+    tallies."""
+    own = _Words(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, memory, n = {k: v.copy() for k, v in start.items()}, {k: np.full_like(v, 0.01) for k, v in start.items()}, 0
-        rng = np.random.default_rng(1)
+        tallies, n, rng = _no_tallies(own), 0, np.random.default_rng(1)
+        net = {k: v.copy() for k, v in (start or {}).items()}
+        memory = {k: np.full_like(v, 0.01) for k, v in net.items()}
         for batch in steps(batches):
             hashes, endings, first = word_hashes(batch.column("text"))
-            target = classes(hashes, endings, frequent)
+            _tally(own, hashes, first, tallies)
+            n += len(hashes)
+            if start is None:
+                continue
+            target = classes(hashes, endings, own.frequent)
             around = contexts(target, first).astype(np.int32)
             order = rng.permutation(len(target))
             for a in range(0, len(order), BATCH):
                 some = order[a : a + BATCH]
                 train_step(net, memory, around[some], target[some])
-            n += len(target)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([_flat(net).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["net", "n"])
+            flat = _flat(net) if net else np.zeros(0, np.float32)
+            arrays = [pa.array([flat.tobytes()], pa.binary()), pa.array([n], pa.int64()), pa.array([np.concatenate(tallies).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["net", "n", "tallies"])
+
+    return docs.mapInArrow(run, "net binary, n long, tallies binary")
 
-    return docs.mapInArrow(run, "net binary, n long")
 
+def tally(docs: DataFrame, known: Vocabulary) -> Tallies:
+    """How often what is hot in the vocabulary comes in ``docs``, exactly."""
+    return _averaged(_trained(docs.select("text"), known, None), {}, known)[1]
 
-def _averaged(nets: DataFrame, otherwise: Net) -> Net:
-    """The mean net, weighted by words: first within groups of tasks, so that the driver gets about as many nets
-    as the root of the number of tasks."""
+
+def _averaged(nets: DataFrame, otherwise: Net, known: Vocabulary) -> tuple[Net, Tallies]:
+    """The mean net, weighted by words, and the sums of the tallies: first within groups of tasks, so that the driver gets
+    about as many as the root of the number of tasks."""
     nets = stored(nets.withColumn("task", F.spark_partition_id()), "nets")
     groups = math.isqrt(nets.count()) + 1
+    size, n_hot, split = sum(math.prod(s) for s in _SHAPES.values()) if otherwise else 0, len(known.contexts) + len(known.cells), len(known.contexts)
 
     def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(len(_flat(otherwise))), 0
+        total, n, tallies = np.zeros(size), 0, np.zeros(n_hot, np.int64)
         for batch in batches:
-            for net, words in zip(batch.column("net").to_pylist(), batch.column("n").to_pylist()):
+            for net, words, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 total += np.frombuffer(net, np.float32) * float(words)
+                tallies += np.frombuffer(found, np.int64)
                 n += words
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([(total / n).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["net", "n"])
+            arrays = [pa.array([(total / n).tobytes()], pa.binary()), pa.array([n], pa.int64()), pa.array([tallies.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["net", "n", "tallies"])
 
-    rows = nets.repartition(groups, F.col("task") % groups).select("net", "n").mapInArrow(mean, "net binary, n long").collect()
+    rows = nets.repartition(groups, F.col("task") % groups).select("net", "n", "tallies").mapInArrow(mean, "net binary, n long, tallies binary").collect()
     if not rows:
-        return otherwise
+        return otherwise, _no_tallies(known)
     total = sum(r["n"] for r in rows)
-    return _shaped(sum(np.frombuffer(r["net"]) * (r["n"] / total) for r in rows))
+    tallies = sum(np.frombuffer(r["tallies"], np.int64) for r in rows)
+    net = _shaped(sum(np.frombuffer(r["net"]) * (r["n"] / total) for r in rows)) if otherwise else otherwise
+    return net, Tallies(tallies[:split], tallies[split:])
+
+
+class _Words:
+    """A vocabulary's arrays, without its table, for tasks."""
+
+    def __init__(self, known: Vocabulary):
+        for name in ("frequent", "totals", "known", "logs", "tails", "contexts", "cells"):
+            setattr(self, name, getattr(known, name))
+
+    log_shares = Vocabulary.log_shares
 
 
-_BLOB = "id long, bucket int, words binary, ids binary, lengths binary"
-_SCORED = "id long, doc_id long, n_words long, log_probability double, log_share double"
-_CLASSED = ["id", "doc_id", "n_words", "log_probability", "log_share", "bucket", "words", "ids", "lengths"]
+_BLOB = "piece long, bucket int, at binary, places binary, words binary, priors binary"
+_SCORED = "id long, doc_id long, n_words long, log_probability double, log_share double, evidence double"
 
 
-def _by_bucket(buckets: int, words: np.ndarray, other: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Words and what goes with them, by bucket, in their order."""
-    bucket = ((words >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+def _cut(buckets: int, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each bucket, in their order."""
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(ends)).tolist():
-        at = order[ends[b] : ends[b + 1]]
-        yield b, words[at], other[at]
+        yield b, order[ends[b] : ends[b + 1]]
 
 
-def _classed(frequent: np.ndarray, totals: np.ndarray, net: Net, buckets: int) -> Callable:
-    """Map side: a row with an id for each document, scored without the counts of words; and by bucket the words whose
-    counts are to be added, with the ids of their documents, each once with its number of words. The id of such a row
-    is the first of its piece: the documents gathered together."""
-    of_class = np.log(totals)
+def _log_posterior(prior: np.ndarray, k: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of places that count themselves in k and n."""
+    return np.log((k - 1 + PRIOR * np.exp(prior)) / (n - 1 + PRIOR))
 
-    def blobs(piece: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        words, ids = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        for b, some, own in _by_bucket(buckets, words, ids):
-            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            lengths = np.diff(np.append(heads, len(own)))
-            parts = [some.tobytes(), own[heads].tobytes(), lengths.tobytes()]
-            arrays = [pa.array([piece], pa.int64()), *(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            arrays += [pa.array([b], pa.int32()), *(pa.array([p], pa.binary()) for p in parts)]
-            yield pa.RecordBatch.from_arrays(arrays, _CLASSED)
+
+def _classed(words: _Words, net: Net, tallies: Tallies, buckets: int) -> Callable:
+    """Map side: a row with an id for each document, with the prior of its words and what is settled of their evidence; and
+    by bucket the places whose evidence is to be counted, with the documents they are of. The ids of a piece, the documents gathered
+    together, follow one another from its own."""
+    names = [c.split()[0] for c in (_SCORED + ", " + _BLOB).split(", ")]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+
+    def blobs(piece: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        own, around, cells, prior = (np.concatenate([h[i] for h in held]) for i in range(4))
+        # the places of hot neighbours are spread by the word between them, and marked by it
+        spread = _place(words.contexts, around) >= 0
+        place = np.where(spread, cells, around)
+        bucket = ((place >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+        for b, some in _cut(buckets, bucket):
+            parts = [own[some].astype(np.uint32), around[some], cells[some].astype(np.uint32), prior[some].astype(np.float32)]
+            arrays = [*(pa.nulls(1, k) for k in kinds[:6]), pa.array([piece], pa.int64()), pa.array([b], pa.int32()), *(pa.array([p.tobytes()], pa.binary()) for p in parts)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, size = TaskContext.get().partitionId() << 40, [], 0
         piece = at
         for batch in steps(batches):
             hashes, endings, first = word_hashes(batch.column("text"))
-            target = classes(hashes, endings, frequent)
+            target = classes(hashes, endings, words.frequent)
             each = log_probabilities(net, contexts(target, first).astype(np.int32), target).astype(float)
-            other, share = np.flatnonzero(target >= FREQUENT), np.zeros(len(target))
-            share[other] = -of_class[target[other] - FREQUENT]
-            sums, shares = (np.diff(np.concatenate([[0.0], np.cumsum(x)])[first]) for x in (each, share))
+            share = words.log_shares(hashes, target)
+            around, cells = neighbours(hashes, first)
+            prior, settled = each + share, np.zeros(len(target))
+            hot = _place(words.cells, cells)
+            done = np.flatnonzero(hot >= 0)
+            whole = tallies.contexts[_place(words.contexts, around[done])]
+            settled[done] = _log_posterior(prior[done], tallies.cells[hot[done]], whole)
+            open_ = np.flatnonzero(hot < 0)
+            sums = [np.diff(np.concatenate([[0.0], np.cumsum(x)])[first]) for x in (each, share, settled)]
             n, ids = np.diff(first), np.arange(at, at + batch.num_rows)
             at += batch.num_rows
-            none = [pa.nulls(len(n), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), pa.array(n), pa.array(sums), pa.array(shares), *none], _CLASSED)
-            held.append((hashes[other], np.repeat(ids, n)[other]))
-            size += len(other)
+            rows = [pa.array(ids), batch.column("doc_id"), pa.array(n), *map(pa.array, sums)]
+            yield pa.RecordBatch.from_arrays([*rows, *(pa.nulls(len(n), k) for k in kinds[6:])], names)
+            held.append((np.repeat(ids - piece, n)[open_], around[open_], cells[open_], prior[open_]))
+            size += len(open_)
             if size > GATHERED:
                 yield from blobs(piece, held)
                 piece, held, size = at, [], 0
@@ -306,103 +453,83 @@ def _classed(frequent: np.ndarray, totals: np.ndarray, net: Net, buckets: int) -
     return run
 
 
-def _gathered(buckets: int) -> Callable:
-    """Counts of words by bucket; null ids tell them from words of documents."""
-
-    def blobs(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        words, n = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        for b, some, own in _by_bucket(buckets, words, n):
-            arrays = [pa.nulls(1, pa.int64()), pa.array([b], pa.int32()), pa.array([some.tobytes()], pa.binary()), pa.nulls(1, pa.binary()), pa.array([own.tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "bucket", "words", "ids", "lengths"])
+def _meet(words: _Words, tallies: Tallies) -> Callable:
+    """Reduce side: of the documents of a piece, the evidence of their places in a bucket. Rows of documents pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        found: dict[int, list[tuple]] = {}
         for batch in batches:
-            held.append((batch.column("word").to_numpy().view(np.uint64), batch.column("n").to_numpy()))
-            size += batch.num_rows
-            if size > GATHERED:
-                yield from blobs(held)
-                held, size = [], 0
-        if size:
-            yield from blobs(held)
+            table = pa.Table.from_batches([batch])
+            yield from table.filter(pc.is_null(table["bucket"])).select(["id", "doc_id", "n_words", "log_probability", "log_share", "evidence"]).to_batches()
+            for row in table.filter(pc.is_valid(table["bucket"])).select(["bucket", "piece", "at", "places", "words", "priors"]).to_pylist():
+                arrays = [np.frombuffer(row[c], t) for c, t in (("at", np.uint32), ("places", np.uint64), ("words", np.uint32), ("priors", np.float32))]
+                found.setdefault(row["bucket"], []).append((row["piece"], *arrays))
+        for b in sorted(found):
+            yield from of_bucket(found.pop(b))
+
+    def of_bucket(pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
+        around, cells = (np.concatenate([p[i] for p in pieces]) for i in (2, 3))
+        order = np.lexsort((cells, around))
+        new_context = np.concatenate([[True], around[order][1:] != around[order][:-1]])
+        new_cell = new_context | np.concatenate([[True], cells[order][1:] != cells[order][:-1]])
+        n, k = np.empty(len(order)), np.empty(len(order))
+        for new, out in ((new_context, n), (new_cell, k)):
+            heads = np.flatnonzero(new)
+            sizes = np.diff(np.append(heads, len(order)))
+            out[order] = np.repeat(sizes, sizes)
+        hot = _place(words.contexts, around)
+        n = np.where(hot >= 0, tallies.contexts[hot] if len(tallies.contexts) else 0, n)
+        at = 0
+        for piece, own, *_, priors in pieces:
+            some = slice(at, at + len(own))
+            at += len(own)
+            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            sums = np.add.reduceat(_log_posterior(priors.astype(float), k[some], n[some]), heads)
+            ids, none = pa.array(piece + own[heads].astype(np.int64)), pa.nulls(len(heads), pa.float64())
+            whole = pa.nulls(len(heads), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, whole, whole, none, none, pa.array(sums)], ["id", "doc_id", "n_words", "log_probability", "log_share", "evidence"])
 
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: of each piece, what the counts of a bucket's words add to the scores of its documents."""
-    counted: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-    asked: dict[int, list[tuple[int, np.ndarray, bytes, np.ndarray]]] = {}
-    for batch in batches:
-        for piece, b, words, ids, lengths in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            words, lengths = np.frombuffer(words, np.uint64), np.frombuffer(lengths, np.int64)
-            if ids is None:
-                counted.setdefault(b, []).append((words, lengths))
-            else:
-                asked.setdefault(b, []).append((piece, words, ids, lengths))
-    for b in sorted(asked):
-        pieces = counted.pop(b, []) + [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-        known, n = (np.concatenate([p[i] for p in pieces]) for i in (0, 1))
-        order = np.argsort(known)
-        known, logs = known[order], np.log1p(n[order])
-        for piece, words, ids, lengths in asked.pop(b):
-            each = np.zeros(len(words))  # a word that is not counted counts as one more
-            if len(known):
-                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-                each = np.where(known[at] == words, logs[at], 0.0)
-            sums = np.add.reduceat(each, np.cumsum(lengths) - lengths)
-            yield pa.RecordBatch.from_arrays([pa.array([piece]), pa.array([ids], pa.binary()), pa.array([sums.tobytes()], pa.binary())], ["piece", "ids", "sums"])
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, log_share) of the documents of a piece, whose ids follow one another, over all buckets."""
-    totals: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, ids, sums in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            at = np.frombuffer(ids, np.int64) - piece
-            total = totals.get(piece, np.zeros(0))
-            if at[-1] >= len(total):
-                total = totals[piece] = np.concatenate([total, np.zeros(at[-1] + 1 - len(total))])
-            total[at] += np.frombuffer(sums)
-    for piece, total in totals.items():
-        yield pa.RecordBatch.from_arrays([pa.array(piece + np.arange(len(total))), pa.array(total)], ["id", "log_share"])
-
-
-def score(docs: DataFrame, known: Vocabulary, net: Net) -> DataFrame:
-    """The score of every whole text: (doc_id, n_words, log_probability, per_word, pseudo_log_likelihood,
-    pseudo_log_likelihood_per_word). ``log_probability`` is that of the classes of its words, given those around;
-    ``pseudo_log_likelihood`` that of the words themselves, their shares of their classes included.
+def score(docs: DataFrame, known: Vocabulary, net: Net, tallies: Tallies | None = None) -> DataFrame:
+    """The score of every whole text: (doc_id, n_words, log_probability, per_word, prior_log_likelihood, prior_log_likelihood_per_word,
+    pseudo_log_likelihood, pseudo_log_likelihood_per_word). ``log_probability`` is that of the classes of its words, given those around;
+    ``prior_log_likelihood`` that of the words themselves, their shares of their classes included; ``pseudo_log_likelihood`` that with
+    the evidence of what else stands between the same neighbours in ``docs``.
 
     Takes doc_id and text; other columns are ignored. One row for each input row, repeated ones too. A text without
-    words, null or empty, scores 0 and has null means per word.
+    words, null or empty, scores 0 and has null means per word. ``tallies`` are those of ``docs``; without them they are
+    counted.
 
     A frequent word is all of its class. Another that comes n times has the share (n + 1) / (N + V + 1) of its class, whose
-    V words come N times; words that were not counted have 1 / (N + V + 1), all those of a class together.
+    V words come N times; words that are not known have the mean share of such words, or 1 / (N + V + 1), all those of a class together, if all are known.
     """
+    tallies = tallies or tally(docs, known)
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = 1 + max(chars // BUCKET_CHARS, known.counts.count() // BUCKET_WORDS)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    # written, so that a document's id is the same for its row and its words
-    classed = stored(docs.mapInArrow(_classed(known.frequent, known.totals, net, buckets), f"{_SCORED}, {_BLOB.removeprefix('id long, ')}"), "classed")
-    blobs = classed.where("bucket is not null").select("id", "bucket", "words", "ids", "lengths")
-    blobs = blobs.union(known.counts.mapInArrow(_gathered(buckets), _BLOB))
-    shares = blobs.repartition(buckets, "bucket").mapInArrow(_meet, "piece long, ids binary, sums binary")
-    shares = shares.repartition("piece").mapInArrow(_summed, "id long, log_share double")
-    whole = classed.where("bucket is null").drop("bucket", "words", "ids", "lengths").unionByName(shares, allowMissingColumns=True)
-    # all but the shares is in one row of an id
-    whole = whole.groupBy("id").agg(*(F.max(c).alias(c) for c in ("doc_id", "n_words", "log_probability")), F.sum("log_share").alias("log_share"))
-    likelihood = F.col("log_probability") + F.col("log_share")
+    buckets = 1 + chars // BUCKET_CHARS
+    words, schema = _Words(known), f"{_SCORED}, {_BLOB}"
+    placed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_classed(words, net, tallies, buckets), schema)
+    # rows of documents are dealt by their ids, places by their bucket
+    placed = placed.repartition(buckets, F.coalesce(F.col("bucket").cast("long"), F.xxhash64("id")))
+    parts = placed.mapInArrow(_meet(words, tallies), _SCORED)
+    # all but the evidence is in one row of an id
+    whole = parts.groupBy("id").agg(*(F.max(c).alias(c) for c in ("doc_id", "n_words", "log_probability", "log_share")), F.sum("evidence").alias("evidence"))
     mean = lambda x: x / F.nullif("n_words", F.lit(0))
+    prior = F.col("log_probability") + F.col("log_share")
     return whole.select(
         "doc_id",
         "n_words",
         "log_probability",
         mean(F.col("log_probability")).alias("per_word"),
-        likelihood.alias("pseudo_log_likelihood"),
-        mean(likelihood).alias("pseudo_log_likelihood_per_word"),
+        prior.alias("prior_log_likelihood"),
+        mean(prior).alias("prior_log_likelihood_per_word"),
+        F.col("evidence").alias("pseudo_log_likelihood"),
+        mean(F.col("evidence")).alias("pseudo_log_likelihood_per_word"),
     )
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = 2) -> DataFrame:
     """Trains on ``docs`` and scores them."""
-    return score(docs, *train(docs, rounds))
+    known, net, tallies = _taught(docs, rounds)
+    return score(docs, known, net, tallies)

@@ -347,7 +347,7 @@ def test_language_model(spark, docs, nothing):
 
 def test_words_of_a_class_have_shares(spark, monkeypatch):
     """Against counts of all words, over several buckets."""
-    monkeypatch.setattr(language_model, "BUCKET_WORDS", 100)
+    monkeypatch.setattr(language_model, "BUCKET_CHARS", 1000)
     monkeypatch.setattr(language_model, "GATHERED", 500)
     # each rare word 1 to 3 times; endings come again, so that classes have several words
     rare = [f"r{i}x{i % 300}" for i in range(900) for _ in range(1 + i % 3)]
@@ -370,10 +370,10 @@ def test_words_of_a_class_have_shares(spark, monkeypatch):
     out = {r.doc_id: r for r in language_model.score(spark.createDataFrame(list(enumerate(scored)), schema).repartition(3), known, net).collect()}
     assert len(out) == len(scored)
     for i, text in enumerate(scored):
-        assert out[i].pseudo_log_likelihood - out[i].log_probability == pytest.approx(sum(map(share, text.split())), abs=1e-6)
+        assert out[i].prior_log_likelihood - out[i].log_probability == pytest.approx(sum(map(share, text.split())), abs=1e-6)
     a, b, unseen = (out[len(texts) + i] for i in range(3))
     assert a.log_probability == pytest.approx(b.log_probability) and b.log_probability == pytest.approx(unseen.log_probability)
-    assert a.pseudo_log_likelihood - unseen.pseudo_log_likelihood == pytest.approx(np.log(n["r7x7"] + 1), abs=1e-6)
+    assert a.prior_log_likelihood - unseen.prior_log_likelihood == pytest.approx(np.log(n["r7x7"] + 1), abs=1e-6)
     assert (out[len(scored) - 1].pseudo_log_likelihood, out[len(scored) - 1].pseudo_log_likelihood_per_word) == (0.0, None)
 
 

@@ -1,0 +1,107 @@
+"""Evidence of the language model against brute force, and what it tells apart."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from histload.llm import language_model as lm
+from histload.llm.queries import QUERIES
+from histload.llm.tables import table
+
+SCHEMA = "doc_id long, text string"
+
+
+def corpus(n, seed):
+    """Texts of rare and common words, repeated ones, one passage and one pair of neighbours that come very often."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(n)]
+    texts += texts[:5] + ["the same old line " * 40] * 6 + [" ".join(f"of {w} the" for w in rng.choices(words, k=40)) for _ in range(8)]
+    return [*texts, None, "", "  \n", "alone"]
+
+
+def brute_scores(texts, known, net):
+    """Of each text the sum of log((k - 1 + prior) / (n - 1 + 1)) over its words."""
+    placed, n, k = [], Counter(), Counter()
+    for text in texts:
+        words = (text or "").split()
+        padded = ["<", *words, ">"]
+        cells = [(padded[i], padded[i + 2], words[i]) for i in range(len(words))]
+        placed.append(cells)
+        n.update(c[:2] for c in cells)
+        k.update(cells)
+    hashes, endings, first = lm.word_hashes(pa.array(texts, pa.string()))
+    target = lm.classes(hashes, endings, known.frequent)
+    prior = lm.log_probabilities(net, lm.contexts(target, first).astype(np.int32), target) + known.log_shares(hashes, target)
+    prior = np.exp(prior.astype(float))
+    return [sum(np.log((k[c] - 1 + lm.PRIOR * prior[a + j]) / (n[c[:2]] - 1 + lm.PRIOR)) for j, c in enumerate(cells)) for a, cells in zip(first, placed)]
+
+
+@pytest.mark.parametrize("hot", [1 / 2000, 1 / 100, 1 / 10])
+def test_scores_are_those_of_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(lm, "HOT", hot)
+    monkeypatch.setattr(lm, "GATHERED", 700)
+    monkeypatch.setattr(lm, "BUCKET_CHARS", 5000)
+    texts = corpus(150, 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(5)
+    known, net, tallies = lm._taught(docs, 2)
+    if hot < 0.1:
+        assert len(known.contexts) and len(known.cells) and len(known.contexts) <= 1 / hot
+    whole = lm.tally(docs, known)
+    assert all((a == b).all() for a, b in zip(tallies, whole))
+    want = brute_scores(texts, known, net)
+    for out in (lm.score(docs, known, net, tallies), lm.score(docs, known, net)):
+        rows = {r.doc_id: r for r in out.collect()}
+        assert len(rows) == len(texts)
+        for i, text in enumerate(texts):
+            assert rows[i].pseudo_log_likelihood == pytest.approx(want[i], rel=1e-4, abs=1e-3)
+            assert rows[i].n_words == len((text or "").split())
+
+
+def test_hot_places_do_not_travel(spark, monkeypatch):
+    """Equal texts that make up most of a corpus are settled where they are."""
+    monkeypatch.setattr(lm, "HOT", 1 / 1000)
+    texts = ["one common line of words again " * 30] * 300 + [f"a{i} b{i} c{i}" for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(4)
+    known, net, tallies = lm._taught(docs, 1)
+    sent = docs.mapInArrow(lm._classed(lm._Words(known), net, tallies, 1), f"{lm._SCORED}, {lm._BLOB}").where("bucket is not null")
+    places = sum(len(r.priors) // 4 for r in sent.collect())
+    assert places <= 2 * 300 + 150 < sum(len(t.split()) for t in texts) / 50
+
+
+def test_words_beyond_the_known_share_the_rest_of_their_class(spark, monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN", 50)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(200)]
+    known = lm.vocabulary(spark.createDataFrame(list(enumerate(texts)), SCHEMA))
+    assert len(known.frequent) == lm.FREQUENT and len(known.known) == 50
+    hashes, endings, _ = lm.word_hashes(pa.array([" ".join(words)]))
+    target = lm.classes(hashes, endings, known.frequent)
+    share = np.exp(known.log_shares(hashes, target))
+    there = np.isin(hashes.view(np.int64), [r.word for r in known.counts.collect()])
+    for c in np.unique(target[there]):
+        whole = share[there & (target == c)].sum()
+        assert whole == pytest.approx(1 - 1 / known.totals[c - lm.FREQUENT], abs=1e-9)  # what is left is for unseen words
+
+
+def test_documents_found_elsewhere_are_told_apart(spark, sf_dir):
+    """Texts of the corpus' own rare words that come twice score far above such that come once; the whole query also beats a
+    model of words alone."""
+    rng = random.Random(8)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = sorted({w for r in docs.limit(300).collect() for w in (r.text or "").split()})
+    twice, once = ([" ".join(rng.choices(words, k=80)) for _ in range(40)] for _ in range(2))
+    planted = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate([*twice, *twice, *once])], SCHEMA)
+    out = {r.doc_id - 10**9: r.pseudo_log_likelihood_per_word for r in lm.pseudo_likelihood(docs.union(planted)).where("doc_id >= 1000000000").collect()}
+    low, high = max(out[i] for i in range(80, 120)), min(out[i] for i in range(80))
+    assert low < -5 and high > low + 3
+
+    rows = QUERIES["op9_language_model"](spark, sf_dir).collect()
+    n = Counter(w for r in docs.collect() for w in (r.text or "").lower().split())
+    total = sum(n.values())
+    alone = sum(c * np.log(c / total) for c in n.values()) / total
+    assert sum(r.pseudo_log_likelihood for r in rows) / total > alone + 0.5
