@@ -46,6 +46,8 @@ PRIOR = 1.0
 HOT = 1 / 2000
 #: Characters of text for which one more bucket of places is opened.
 BUCKET_CHARS = 16_000_000
+#: A prior's logarithm is kept in steps of this, in 16 bits.
+STEP_OF_PRIOR = 2.0**-10
 #: Words that a task gathers before it hands them on, so that buckets get few large pieces.
 GATHERED = 2_000_000
 
@@ -104,6 +106,28 @@ def _place(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(sorted_[at] == values, at, -1)
 
 
+class _Hot:
+    """Places of values in a sorted array, -1 if they are not; most are told by a small table."""
+
+    def __init__(self, sorted_: np.ndarray):
+        self.sorted, self.table = sorted_, np.zeros(1 << 16, bool)
+        self.table[(sorted_ & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        out = np.full(len(values), -1)
+        some = np.flatnonzero(self.table[(values & np.uint64(0xFFFF)).astype(np.int64)])
+        out[some] = _place(self.sorted, values[some])
+        return out
+
+
+def _often(values: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The values that come at least so often, and how often."""
+    low = (values & np.uint64(0xFFFFF)).astype(np.int64)
+    some = values[(np.bincount(low, minlength=1 << 20) >= least)[low]]
+    found, n = np.unique(some, return_counts=True)
+    return found[n >= least], n[n >= least]
+
+
 def neighbours(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the two words around each place, with the ends of a text as words of their own, and of all three."""
     before, after = np.empty_like(hashes), np.empty_like(hashes)
@@ -133,19 +157,23 @@ def _shaped(flat: np.ndarray) -> Net:
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities by row, written over ``x``, and the logs of those chosen."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[at]
+    np.exp(x, out=x)
+    total = x.sum(axis=1, keepdims=True)
+    x /= total
+    return x, chosen - np.log(total[:, 0])
 
 
 def _forward(net: Net, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
     seen = net["embedding"][context].reshape(len(context), -1)
     hidden = np.tanh(seen @ net["inner"] + net["inner_bias"])
-    group, member = target >> 5, target & 31
-    groups = _log_softmax(hidden @ net["group"] + net["group_bias"])
-    members = _log_softmax(hidden @ net["member"] + net["member_bias"][group])
-    at = np.arange(len(target))
-    return seen, hidden, groups, members, groups[at, group] + members[at, member]
+    group, member, at = target >> 5, target & 31, np.arange(len(target))
+    groups, of_group = _softmax(hidden @ net["group"] + net["group_bias"], (at, group))
+    members, of_member = _softmax(hidden @ net["member"] + net["member_bias"][group], (at, member))
+    return seen, hidden, groups, members, of_group + of_member
 
 
 def log_probabilities(net: Net, context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -157,9 +185,8 @@ def log_probabilities(net: Net, context: np.ndarray, target: np.ndarray) -> np.n
 def train_step(net: Net, memory: Net, context: np.ndarray, target: np.ndarray) -> None:
     """One step of Adagrad, in place."""
     n = len(target)
-    seen, hidden, groups, members, _ = _forward(net, context, target)
+    seen, hidden, d_groups, d_members, _ = _forward(net, context, target)
     group, member, at = target >> 5, target & 31, np.arange(n)
-    d_groups, d_members = np.exp(groups), np.exp(members)
     d_groups[at, group] -= 1
     d_members[at, member] -= 1
     d_hidden = (d_groups @ net["group"].T + d_members @ net["member"].T) * (1 - hidden**2)
@@ -238,11 +265,9 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
         yield _counted(*([h[i] for h in held] for i in range(3)))
         around, cells = (np.concatenate([p[i] for p in places]) for i in range(2))
         least = max(2, HOT * len(around))
-        contexts, n = np.unique(around, return_counts=True)
-        hot = contexts[n >= least]
-        yield _tallied(hot, n[n >= least], _CONTEXT)
-        inside, n = np.unique(cells[_place(hot, around) >= 0], return_counts=True)
-        yield _tallied(inside[n >= least], n[n >= least], _CELL)
+        hot, n = _often(around, least)
+        yield _tallied(hot, n, _CONTEXT)
+        yield _tallied(*_often(cells[_Hot(hot).places(around) >= 0], least), _CELL)
 
     counted = docs.select("text").mapInArrow(count, "word long, class int, n long, kind int").groupBy("kind", "word")
     counted = stored(counted.agg(F.sum("n").alias("n"), F.min("class").alias("class")), "words")
@@ -273,14 +298,14 @@ def _tallied(words: np.ndarray, n: np.ndarray, kind: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.nulls(len(words), pa.int32()), pa.array(n.astype(np.int64)), kinds], ["word", "class", "n", "kind"])
 
 
-def _tally(known: Vocabulary, hashes: np.ndarray, first: np.ndarray, tallies: Tallies) -> None:
+def _tally(known: _Words, hashes: np.ndarray, first: np.ndarray, tallies: Tallies) -> None:
     """Adds what a batch holds, in place."""
     around, cells = neighbours(hashes, first)
-    at = _place(known.contexts, around)
+    at = known.hot_contexts.places(around)
     hot = at >= 0
-    np.add.at(tallies.contexts, at[hot], 1)
-    at = _place(known.cells, cells[hot])
-    np.add.at(tallies.cells, at[at >= 0], 1)
+    tallies.contexts[:] += np.bincount(at[hot], minlength=len(tallies.contexts))
+    at = known.hot_cells.places(cells[hot])
+    tallies.cells[:] += np.bincount(at[at >= 0], minlength=len(tallies.cells))
 
 
 def _no_tallies(known: Vocabulary) -> Tallies:
@@ -383,25 +408,44 @@ class _Words:
     def __init__(self, known: Vocabulary):
         for name in ("frequent", "totals", "known", "logs", "tails", "contexts", "cells"):
             setattr(self, name, getattr(known, name))
+        self.hot_contexts, self.hot_cells = _Hot(self.contexts), _Hot(self.cells)
 
     log_shares = Vocabulary.log_shares
 
 
-_BLOB = "piece long, bucket int, at binary, places binary, words binary, priors binary"
+_BLOB = "piece long, bucket int, at binary, places binary, more binary, words binary, priors binary"
 _SCORED = "id long, doc_id long, n_words long, log_probability double, log_share double, evidence double"
+_SUMS = "piece long, at binary, sums binary"
 
 
 def _cut(buckets: int, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The places of each bucket, in their order."""
+    bucket = bucket.astype(np.uint16) if buckets < 1 << 16 else bucket  # 16 bits are sorted in two passes
     order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    ends = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
     for b in np.flatnonzero(np.diff(ends)).tolist():
         yield b, order[ends[b] : ends[b + 1]]
 
 
+def _steps_between(at: np.ndarray) -> bytes:
+    """Rising numbers as their differences, in as few bytes each as the largest takes."""
+    by = np.diff(at, prepend=0)
+    size = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if by.max(initial=0) <= np.iinfo(t).max)
+    return by.astype(size).tobytes()
+
+
+def _from_steps(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, f"u{len(data) // n}").astype(np.int64)) if n else np.zeros(0, np.int64)
+
+
+def _in_steps(prior: np.ndarray) -> np.ndarray:
+    """Logs of priors as whole steps below 0; one below 16 bits counts as the least there is."""
+    return np.clip(np.round(prior / -STEP_OF_PRIOR), 0, 0xFFFF).astype(np.uint16)
+
+
 def _log_posterior(prior: np.ndarray, k: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Of places that count themselves in k and n."""
-    return np.log((k - 1 + PRIOR * np.exp(prior)) / (n - 1 + PRIOR))
+    """Of places that count themselves in k and n; priors in steps."""
+    return np.log((k - 1 + PRIOR * np.exp(prior * -STEP_OF_PRIOR)) / (n - 1 + PRIOR))
 
 
 def _classed(words: _Words, net: Net, tallies: Tallies, buckets: int) -> Callable:
@@ -409,17 +453,18 @@ def _classed(words: _Words, net: Net, tallies: Tallies, buckets: int) -> Callabl
     by bucket the places whose evidence is to be counted, with the documents they are of. The ids of a piece, the documents gathered
     together, follow one another from its own."""
     names = [c.split()[0] for c in (_SCORED + ", " + _BLOB).split(", ")]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), *[pa.binary()] * 5)
 
     def blobs(piece: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        own, around, cells, prior = (np.concatenate([h[i] for h in held]) for i in range(4))
-        # the places of hot neighbours are spread by the word between them, and marked by it
-        spread = _place(words.contexts, around) >= 0
-        place = np.where(spread, cells, around)
-        bucket = ((place >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+        own, around, cells, prior, spread = (np.concatenate([h[i] for h in held]) for i in range(5))
+        # the places of hot neighbours are spread by the word between them
+        bucket = ((np.where(spread, cells, around) >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
         for b, some in _cut(buckets, bucket):
-            parts = [own[some].astype(np.uint32), around[some], cells[some].astype(np.uint32), prior[some].astype(np.float32)]
-            arrays = [*(pa.nulls(1, k) for k in kinds[:6]), pa.array([piece], pa.int64()), pa.array([b], pa.int32()), *(pa.array([p.tobytes()], pa.binary()) for p in parts)]
+            # 40 bits of the neighbours' hash tell them apart within a bucket
+            place = around[some]
+            more = ((place >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8)
+            parts = [_steps_between(own[some]), place.astype(np.uint32).tobytes(), more.tobytes(), cells[some].astype(np.uint32).tobytes(), prior[some].tobytes()]
+            arrays = [*(pa.nulls(1, k) for k in kinds[:6]), pa.array([piece], pa.int64()), pa.array([b], pa.int32()), *(pa.array([p], pa.binary()) for p in parts)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,18 +476,18 @@ def _classed(words: _Words, net: Net, tallies: Tallies, buckets: int) -> Callabl
             each = log_probabilities(net, contexts(target, first).astype(np.int32), target).astype(float)
             share = words.log_shares(hashes, target)
             around, cells = neighbours(hashes, first)
-            prior, settled = each + share, np.zeros(len(target))
-            hot = _place(words.cells, cells)
+            prior, settled = _in_steps(each + share), np.zeros(len(target))
+            within = words.hot_contexts.places(around)
+            hot = words.hot_cells.places(cells)
             done = np.flatnonzero(hot >= 0)
-            whole = tallies.contexts[_place(words.contexts, around[done])]
-            settled[done] = _log_posterior(prior[done], tallies.cells[hot[done]], whole)
+            settled[done] = _log_posterior(prior[done], tallies.cells[hot[done]], tallies.contexts[within[done]])
             open_ = np.flatnonzero(hot < 0)
             sums = [np.diff(np.concatenate([[0.0], np.cumsum(x)])[first]) for x in (each, share, settled)]
             n, ids = np.diff(first), np.arange(at, at + batch.num_rows)
             at += batch.num_rows
             rows = [pa.array(ids), batch.column("doc_id"), pa.array(n), *map(pa.array, sums)]
             yield pa.RecordBatch.from_arrays([*rows, *(pa.nulls(len(n), k) for k in kinds[6:])], names)
-            held.append((np.repeat(ids - piece, n)[open_], around[open_], cells[open_], prior[open_]))
+            held.append((np.repeat(ids - piece, n)[open_], around[open_], cells[open_], prior[open_], (within >= 0)[open_]))
             size += len(open_)
             if size > GATHERED:
                 yield from blobs(piece, held)
@@ -453,45 +498,86 @@ def _classed(words: _Words, net: Net, tallies: Tallies, buckets: int) -> Callabl
     return run
 
 
+def counts_of(around: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each place's neighbours (up to 40 bits) come, and its word between them (32 bits). A bucket has fewer than
+    2 ** 24 places, so that a value and its place are sorted as one number."""
+    shift = np.uint64(24)
+    mask = np.uint64((1 << 24) - 1)
+    whole = np.sort((around << shift) | np.arange(len(around), dtype=np.uint64))
+    order, around = (whole & mask).astype(np.int64), whole >> shift
+    heads = np.flatnonzero(np.concatenate([[True], around[1:] != around[:-1]])) if len(order) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(heads, len(order)))
+    n, k = np.empty(len(order), np.int64), np.ones(len(order), np.int64)
+    n[order] = np.repeat(sizes, sizes)
+    # only neighbours that come again can have a word again
+    group, again = np.repeat(np.arange(len(heads), dtype=np.uint64), sizes), np.repeat(sizes > 1, sizes)
+    keys = (group[again] << np.uint64(32)) | cells[order[again]]
+    known = np.sort(keys)
+    k[order[again]] = np.searchsorted(known, keys, "right") - np.searchsorted(known, keys)
+    return n, k
+
+
 def _meet(words: _Words, tallies: Tallies) -> Callable:
     """Reduce side: of the documents of a piece, the evidence of their places in a bucket. Rows of documents pass."""
+    passed, sums = (["id", "doc_id", "n_words", "log_probability", "log_share", "evidence"], ["piece", "at", "sums"])
+    parts = ("at", "places", "more", "words", "priors")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[tuple]] = {}
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            yield from table.filter(pc.is_null(table["bucket"])).select(["id", "doc_id", "n_words", "log_probability", "log_share", "evidence"]).to_batches()
-            for row in table.filter(pc.is_valid(table["bucket"])).select(["bucket", "piece", "at", "places", "words", "priors"]).to_pylist():
-                arrays = [np.frombuffer(row[c], t) for c, t in (("at", np.uint32), ("places", np.uint64), ("words", np.uint32), ("priors", np.float32))]
-                found.setdefault(row["bucket"], []).append((row["piece"], *arrays))
+            rows = table.filter(pc.is_null(table["bucket"])).select(passed)
+            for some in rows.to_batches():
+                yield pa.RecordBatch.from_arrays([*some.columns, *(pa.nulls(some.num_rows, t) for t in (pa.int64(), pa.binary(), pa.binary()))], passed + sums)
+            for row in table.filter(pc.is_valid(table["bucket"])).select(["bucket", "piece", *parts]).to_pylist():
+                places, more, cells, priors = (np.frombuffer(row[c], t) for c, t in zip(parts[1:], (np.uint32, np.uint8, np.uint32, np.uint16)))
+                around = (more.astype(np.uint64) << np.uint64(32)) | places
+                found.setdefault(row["bucket"], []).append((row["piece"], _from_steps(row["at"], len(cells)), around, cells, priors))
         for b in sorted(found):
             yield from of_bucket(found.pop(b))
 
+    # 40 bits of hot neighbours, and how often they come
+    low = words.contexts & np.uint64((1 << 40) - 1)
+    order = np.argsort(low)
+    hot, n_hot = _Hot(low[order]), tallies.contexts[order]
+
     def of_bucket(pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
         around, cells = (np.concatenate([p[i] for p in pieces]) for i in (2, 3))
-        order = np.lexsort((cells, around))
-        new_context = np.concatenate([[True], around[order][1:] != around[order][:-1]])
-        new_cell = new_context | np.concatenate([[True], cells[order][1:] != cells[order][:-1]])
-        n, k = np.empty(len(order)), np.empty(len(order))
-        for new, out in ((new_context, n), (new_cell, k)):
-            heads = np.flatnonzero(new)
-            sizes = np.diff(np.append(heads, len(order)))
-            out[order] = np.repeat(sizes, sizes)
-        hot = _place(words.contexts, around)
-        n = np.where(hot >= 0, tallies.contexts[hot] if len(tallies.contexts) else 0, n)
+        n, k = counts_of(around, cells)
+        spread = hot.places(around)
+        n[spread >= 0] = n_hot[spread[spread >= 0]]
         at = 0
-        for piece, own, *_, priors in pieces:
+        for piece, own, _, _, priors in pieces:
             some = slice(at, at + len(own))
             at += len(own)
             heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            sums = np.add.reduceat(_log_posterior(priors.astype(float), k[some], n[some]), heads)
-            ids, none = pa.array(piece + own[heads].astype(np.int64)), pa.nulls(len(heads), pa.float64())
-            whole = pa.nulls(len(heads), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, whole, whole, none, none, pa.array(sums)], ["id", "doc_id", "n_words", "log_probability", "log_share", "evidence"])
+            each = np.add.reduceat(_log_posterior(priors.astype(float), k[some], n[some]), heads)
+            blob = [pa.array([piece]), pa.array([_steps_between(own[heads])], pa.binary()), pa.array([each.astype(np.float32).tobytes()], pa.binary())]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in kinds), *blob], passed + sums)
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the documents of a piece, whose ids follow one another, the evidence of all buckets; rows of documents pass."""
+    passed, totals = ["id", "doc_id", "n_words", "log_probability", "log_share", "evidence"], {}
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        yield from table.filter(pc.is_null(table["piece"])).select(passed).to_batches()
+        for row in table.filter(pc.is_valid(table["piece"])).select(["piece", "at", "sums"]).to_pylist():
+            each = np.frombuffer(row["sums"], np.float32)
+            at = _from_steps(row["at"], len(each))
+            total = totals.get(row["piece"], np.zeros(0))
+            if at[-1] >= len(total):
+                total = totals[row["piece"]] = np.concatenate([total, np.zeros(at[-1] + 1 - len(total))])
+            total[at] += each
+    for piece, total in totals.items():
+        n = len(total)
+        nothing = (pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(piece + np.arange(n)), *nothing, pa.array(total)], passed)
+
+
 def score(docs: DataFrame, known: Vocabulary, net: Net, tallies: Tallies | None = None) -> DataFrame:
     """The score of every whole text: (doc_id, n_words, log_probability, per_word, prior_log_likelihood, prior_log_likelihood_per_word,
     pseudo_log_likelihood, pseudo_log_likelihood_per_word). ``log_probability`` is that of the classes of its words, given those around;
@@ -512,7 +598,8 @@ def score(docs: DataFrame, known: Vocabulary, net: Net, tallies: Tallies | None
     placed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_classed(words, net, tallies, buckets), schema)
     # rows of documents are dealt by their ids, places by their bucket
     placed = placed.repartition(buckets, F.coalesce(F.col("bucket").cast("long"), F.xxhash64("id")))
-    parts = placed.mapInArrow(_meet(words, tallies), _SCORED)
+    parts = placed.mapInArrow(_meet(words, tallies), f"{_SCORED}, {_SUMS}")
+    parts = parts.repartition(F.coalesce("piece", F.xxhash64("id"))).mapInArrow(_summed, _SCORED)
     # all but the evidence is in one row of an id
     whole = parts.groupBy("id").agg(*(F.max(c).alias(c) for c in ("doc_id", "n_words", "log_probability", "log_share")), F.sum("evidence").alias("evidence"))
     mean = lambda x: x / F.nullif("n_words", F.lit(0))

@@ -36,7 +36,7 @@ def brute_scores(texts, known, net):
     hashes, endings, first = lm.word_hashes(pa.array(texts, pa.string()))
     target = lm.classes(hashes, endings, known.frequent)
     prior = lm.log_probabilities(net, lm.contexts(target, first).astype(np.int32), target) + known.log_shares(hashes, target)
-    prior = np.exp(prior.astype(float))
+    prior = np.exp(lm._in_steps(prior.astype(float)) * -lm.STEP_OF_PRIOR)
     return [sum(np.log((k[c] - 1 + lm.PRIOR * prior[a + j]) / (n[c[:2]] - 1 + lm.PRIOR)) for j, c in enumerate(cells)) for a, cells in zip(first, placed)]
 
 
@@ -61,6 +61,18 @@ def test_scores_are_those_of_brute_force(spark, monkeypatch, hot):
             assert rows[i].n_words == len((text or "").split())
 
 
+def test_places_are_counted_as_by_a_counter():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 50, 3000):
+        around, cells = rng.integers(0, max(1, n // 3) + 1, n).astype(np.uint64) << np.uint64(30), rng.integers(0, 4, n).astype(np.uint32)
+        of, both = Counter(around.tolist()), Counter(zip(around.tolist(), cells.tolist()))
+        found, k = lm.counts_of(around, cells)
+        assert found.tolist() == [of[a] for a in around.tolist()]
+        assert k.tolist() == [both[x] for x in zip(around.tolist(), cells.tolist())]
+    for at in ([0], [0, 0, 3], [5, 300, 300], [70000, 70001]):
+        assert lm._from_steps(lm._steps_between(np.array(at)), len(at)).tolist() == at
+
+
 def test_hot_places_do_not_travel(spark, monkeypatch):
     """Equal texts that make up most of a corpus are settled where they are."""
     monkeypatch.setattr(lm, "HOT", 1 / 1000)
@@ -68,7 +80,7 @@ def test_hot_places_do_not_travel(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(4)
     known, net, tallies = lm._taught(docs, 1)
     sent = docs.mapInArrow(lm._classed(lm._Words(known), net, tallies, 1), f"{lm._SCORED}, {lm._BLOB}").where("bucket is not null")
-    places = sum(len(r.priors) // 4 for r in sent.collect())
+    places = sum(len(r.priors) // 2 for r in sent.collect())
     assert places <= 2 * 300 + 150 < sum(len(t.split()) for t in texts) / 50
 
 
