@@ -157,28 +157,30 @@ def _shaped(flat: np.ndarray) -> Net:
     return out
 
 
-def _softmax(x: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities by row, written over ``x``, and the logs of those chosen."""
-    x -= x.max(axis=1, keepdims=True)
+def _softmax(x: np.ndarray, at: tuple[np.ndarray, np.ndarray], whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities by row, written over ``x`` if the ``whole`` is wanted, and the logs of those chosen."""
+    if max(x.max(initial=0), -x.min(initial=0)) > 60:  # else no sum of exponentials leaves its range
+        x -= x.max(axis=1, keepdims=True)
     chosen = x[at]
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
-    x /= total
-    return x, chosen - np.log(total[:, 0])
+    total = x @ np.ones(x.shape[1], x.dtype)
+    if whole:
+        x /= total[:, None]
+    return x, chosen - np.log(total)
 
 
-def _forward(net: Net, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    seen = net["embedding"][context].reshape(len(context), -1)
+def _forward(net: Net, context: np.ndarray, target: np.ndarray, whole: bool = True) -> tuple[np.ndarray, ...]:
+    seen = net["embedding"].take(context, axis=0).reshape(len(context), -1)
     hidden = np.tanh(seen @ net["inner"] + net["inner_bias"])
     group, member, at = target >> 5, target & 31, np.arange(len(target))
-    groups, of_group = _softmax(hidden @ net["group"] + net["group_bias"], (at, group))
-    members, of_member = _softmax(hidden @ net["member"] + net["member_bias"][group], (at, member))
+    groups, of_group = _softmax(hidden @ net["group"] + net["group_bias"], (at, group), whole)
+    members, of_member = _softmax(hidden @ net["member"] + net["member_bias"].take(group, axis=0), (at, member), whole)
     return seen, hidden, groups, members, of_group + of_member
 
 
 def log_probabilities(net: Net, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Of each word, the log of its probability given the words around it."""
-    parts = [_forward(net, context[a : a + 4 * BATCH], target[a : a + 4 * BATCH])[4] for a in range(0, len(target), 4 * BATCH)]
+    parts = [_forward(net, context[a : a + BATCH], target[a : a + BATCH], False)[4] for a in range(0, len(target), BATCH)]
     return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
 
