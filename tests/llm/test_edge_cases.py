@@ -194,11 +194,11 @@ def test_tool_calls(spark):
     ]
     table = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
     out = {r.call_id: r for r in tool_calls.linked(tool_calls.calls_in(table), tool_calls.results_in(table), SCHEMAS).collect()}
-    assert {i: r.status for i, r in out.items()} == {"a": "unanswered", "b": "unanswered", "c": "answered", "d": "unanswered", "e": "unanswered", "f": "unanswered", "p": "unanswered", "q": "unanswered", "nobody": "orphan"}
+    assert {i: r.status for i, r in out.items()} == {"a": "unanswered", "b": "unanswered", "c": "answered", "d": "unanswered", "e": "unanswered", "f": "unanswered", "p": "unanswered", "q": "unanswered", "nobody": "orphan", None: "unlinked"}
     # a waits for c, which is two turns later, and f for a
     order = sorted((r["at"], r.step, i) for i, r in out.items() if r["at"] is not None and not r.cyclic)
     assert [i for _, _, i in order] == ["b", "c", "d", "e", "a", "f"]
-    assert {i for i, r in out.items() if r.cyclic} and {i for i, r in out.items() if r.cyclic} <= {"p", "q"}
+    assert {i for i, r in out.items() if r.cyclic} == {"p", "q"}
     assert out["f"].n_unresolved == 1 and out["c"].n_calls == 2
     assert out["b"].errors == "n is no integer; q is no string; unknown: z"
     assert out["d"].errors == "unknown tool" and out["e"].errors == "arguments are no JSON object"
