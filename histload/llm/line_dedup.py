@@ -27,13 +27,18 @@ def _key(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, site: str) -> DataFrame:
-    """(doc_id, row, site, h, g): the two hashes of each line that is not blank, and hashes of its row and site."""
+    """(doc_id, nameless, row, site, h, g): the two hashes of each line that is not blank, and hashes of its row and site;
+    ``nameless`` orders the texts that have no doc_id."""
     where = F.xxhash64(F.coalesce(F.col(site).cast("string"), F.lit("\0")))
     lines = F.transform(F.split("text", "\n", -1), lambda x: _key(x))
     each = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), where.alias("site"), F.explode(lines).alias("line")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.when(F.col("doc_id").isNull(), F.md5("text")).alias("nameless"),
+        _row_key().alias("row"),
+        where.alias("site"),
+        F.explode(lines).alias("line"),
     )
-    return each.where("line <> ''").select("doc_id", "row", "site", F.xxhash64("line").alias("h"), F.hash("line").alias("g"))
+    return each.where("line <> ''").select("doc_id", "nameless", "row", "site", F.xxhash64("line").alias("h"), F.hash("line").alias("g"))
 
 
 def _row_key() -> Column:
@@ -41,17 +46,17 @@ def _row_key() -> Column:
 
 
 def spread(lines: DataFrame, least: int, tasks: int | None = None) -> DataFrame:
-    """The lines on at least ``least`` sites: (h, g, first), first the smallest doc_id that has the line. ``tasks`` goes
-    to `stored`."""
+    """The lines on at least ``least`` sites: (h, g, first, first_nameless), first the smallest doc_id that has the line.
+    ``tasks`` goes to `stored`."""
     sketched = lines.groupBy("h", "g").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG))).alias("sites"), F.min("doc_id").alias("first")
+        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG))).alias("sites"), F.min("doc_id").alias("first"), F.min("nameless").alias("first_nameless")
     )
     likely = stored(sketched.where(F.col("sites") >= least * (1 - NEAR)), "likely", tasks)
     near = likely.where(F.col("sites") <= least * (1 + NEAR))
     sites = lines.join(near.select("h", "g"), ["h", "g"], "left_semi").groupBy("h", "g", "site").agg(F.lit(1).alias("one"))
     exact = sites.groupBy("h", "g").agg(F.count("*").alias("exact"))
     settled = likely.join(exact, ["h", "g"], "left").where(F.coalesce("exact", "sites") >= least)
-    return settled.select("h", "g", "first")
+    return settled.select("h", "g", "first", "first_nameless")
 
 
 def dedup(docs: DataFrame, least: int = 10, site: str = "source") -> DataFrame:
@@ -60,14 +65,14 @@ def dedup(docs: DataFrame, least: int = 10, site: str = "source") -> DataFrame:
     Lines are told apart by their text without blanks around it. A line on at least ``least`` sites stays in the
     document with the smallest doc_id that has it, as often as it is there, and goes from the others. Blank lines
     stay. A null text stays null and has no lines; an empty text has one, which is blank. A null site is a
-    site of its own. A null doc_id is after all others: its lines go if another document has them. Rows that
-    repeat a doc_id are the same document. Columns named n_lines and n_removed are replaced.
+    site of its own. A null doc_id is after all others: its lines go if a document with one has them; a line that none has stays in
+    the text with the smallest MD5. Rows that repeat a doc_id, or have none and the same text, are the same document. Columns named n_lines and n_removed are replaced.
     """
     docs = docs.drop("n_lines", "n_removed")
     lines = stored(_lines(docs, site), "lines")
     tasks = tasks_after(lines)
     boilerplate = stored(spread(lines, least, tasks), "boilerplate", tasks)
-    hit = lines.join(boilerplate, ["h", "g"]).where("doc_id is null or doc_id > first")
+    hit = lines.join(boilerplate, ["h", "g"]).where("doc_id > first or nameless > first_nameless or (doc_id is null and first is not null)")
     # of a row, its own boilerplate lines; never more than it has lines
     gone = hit.groupBy("row").agg(F.collect_set(F.struct("h", "g")).alias("gone")).withColumnRenamed("row", "gone_row")
 

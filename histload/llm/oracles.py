@@ -10,10 +10,11 @@ WITH lines AS (
 ), keyed AS (
   SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM lines
 ), boilerplate AS (
-  SELECT key, min(doc_id) AS first FROM keyed WHERE key <> ''
+  SELECT key, min(doc_id) AS first, min(md5(text)) FILTER (doc_id IS NULL) AS first_nameless FROM keyed WHERE key <> ''
   GROUP BY key HAVING count(DISTINCT coalesce(source, chr(1))) >= 10
 ), marked AS (
-  SELECT k.*, b.key IS NOT NULL AND (k.doc_id IS NULL OR k.doc_id > b.first) AS gone FROM keyed k LEFT JOIN boilerplate b USING (key)
+  SELECT k.*, b.key IS NOT NULL AND coalesce(k.doc_id > b.first,
+    k.doc_id IS NULL AND (b.first IS NOT NULL OR md5(k.text) > b.first_nameless)) AS gone FROM keyed k LEFT JOIN boilerplate b USING (key)
 )
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, lang, source, n_chars,
   count(*) AS n_lines, count(*) FILTER (gone) AS n_removed

@@ -107,21 +107,28 @@ def within(prints: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
     return pairs.where(first == own).select(F.col("x.bits").alias("a"), F.col("y.bits").alias("b"))
 
 
+#: What names a document: rows that are equal in both are copies of one.
+_KEY = ["doc_id", "digest"]
+
+
+def _key_is(row: str) -> Column:
+    return F.expr(f"doc_id = {row}_id and digest = {row}_digest")
+
+
 def _neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, next_id, before_id, before_chars): for each doc_id the one after and the one
-    before it in descending order, as a ring, with the length of the text before.
+    """(doc_id, digest, n_chars, copies, next_id, next_digest, before_id, before_digest, before_chars): for each document the one
+    after and the one before it in descending order of both, as a ring, with the length of the text before.
 
-    Ids are ordered by ranges; only the first and last of each range are compared across ranges.
+    Documents are ordered by ranges; only the first and last of each range are compared across ranges.
     """
-    ids = docs.groupBy("doc_id").agg(F.min(F.struct("digest", "n_chars")).alias("d"))
-    ids = stored(ids.select("doc_id", "d.n_chars"), "ids")
-    order = F.col("doc_id").desc()
+    ids = stored(docs.groupBy(*_KEY).agg(F.any_value("n_chars").alias("n_chars"), F.count("*").alias("copies")), "ids")
+    order = [F.col(c).desc() for c in _KEY]
     parts = 1 + ids.count() // ORDERED_ROWS
-    ranged = stored(ids.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id()), "ranges")
-    own = Window.partitionBy("part").orderBy(order)
-    row = F.struct("doc_id", "n_chars")
-    near = ranged.withColumns({"place": F.row_number().over(own), "next": F.lead(row).over(own), "before": F.lag(row).over(own)})
-    last = Window.partitionBy("part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranged = stored(ids.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ranges")
+    own = Window.partitionBy("part").orderBy(*order)
+    row = F.struct(*_KEY, "n_chars")
+    near = ranged.withColumns({"next": F.lead(row).over(own), "before": F.lag(row).over(own)})
+    last = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = (
         ranged.select("part", F.first(row).over(last).alias("head"), F.last(row).over(last).alias("tail")).distinct()
     )  # one row for each range
@@ -133,7 +140,9 @@ def _neighbours(docs: DataFrame) -> DataFrame:
         F.coalesce(F.lag("tail").over(line), F.last("tail").over(whole)).alias("before_tail"),
     )
     near = near.join(ends, "part").withColumns({"next": F.coalesce("next", "next_head"), "before": F.coalesce("before", "before_tail")})
-    return near.select("doc_id", "n_chars", F.col("next.doc_id").alias("next_id"), F.col("before.doc_id").alias("before_id"), F.col("before.n_chars").alias("before_chars"))
+    of = lambda side, c, name: F.col(f"{side}.{c}").alias(f"{side}_{name}")
+    sides = [of(side, c, name) for side in ("next", "before") for c, name in (("doc_id", "id"), ("digest", "digest"), ("n_chars", "chars"))]
+    return near.select(*_KEY, "n_chars", "copies", *sides)
 
 
 def edited_fingerprints(docs: DataFrame, radius: int = 3) -> DataFrame:
@@ -144,8 +153,8 @@ def edited_fingerprints(docs: DataFrame, radius: int = 3) -> DataFrame:
     of the next document by descending doc_id; after the last comes the first. ``n_near`` counts the other
     fingerprints of the table within the radius.
 
-    Takes doc_id and text; other columns are ignored. One row for each doc_id: of rows that repeat one, the
-    text with the smallest hash counts. A null doc_id counts as the smallest long, and is returned as null. A
+    Takes doc_id and text; other columns are ignored. One row for each input row. Rows that share a doc_id follow one another by
+    the hash of their text, equal rows one after the other, so that all but one of them are followed by a copy. A null doc_id counts as the smallest long, and is returned as null. A
     null text is empty; a text without words has the fingerprint zero.
     """
     least = F.lit(-(1 << 63)).cast("long")
@@ -153,42 +162,40 @@ def edited_fingerprints(docs: DataFrame, radius: int = 3) -> DataFrame:
     docs = docs.withColumns({"digest": F.xxhash64("text"), "n_chars": F.length("text").cast("long")})
     ring = stored(_neighbours(docs), "ring")
 
-    # texts are moved once, by doc_id; what follows by doc_id finds them in place
-    kept = ("n_chars", "next_id", "before_id", "before_chars")
-    own = docs.select("doc_id", "digest", "text").join(ring, "doc_id").groupBy("doc_id")
-    own = own.agg(F.min_by("text", "digest").alias("text"), *(F.any_value(c).alias(c) for c in kept))
-    heads = own.select("before_id", F.expr("substring(text, 1, cast(before_chars div 3 as int))").alias("head"))
-    pairs = own.join(heads.withColumnRenamed("before_id", "id"), F.expr("doc_id = id"))
-    edited = F.concat(F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"), F.col("head"))
-    pairs = pairs.select("doc_id", "n_chars", "next_id", "text", edited.alias("edited"))
-
-    both = pairs.select("doc_id", F.posexplode(F.array("text", "edited")).alias("kind", "text"))
-    prints = fingerprints(both, ["doc_id", "kind"])
-    prints = prints.groupBy("doc_id").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("bits"))).alias("bits"), F.max(F.when(F.col("kind") == 1, F.col("bits"))).alias("edited_bits")
-    )
+    # texts are moved once, by their key; what follows by the key finds them in place
+    kept = ("n_chars", "copies", "next_id", "next_digest", "before_id", "before_digest", "before_chars")
+    own = docs.select(*_KEY, "text").join(ring, _KEY).groupBy(*_KEY).agg(*(F.any_value(c).alias(c) for c in ("text", *kept)))
+    heads = own.select("before_id", "before_digest", F.expr("substring(text, 1, cast(before_chars div 3 as int))").alias("head"))
+    pairs = own.join(heads.withColumnsRenamed({"before_id": "its_id", "before_digest": "its_digest"}), _key_is("its"))
+    third = "substring(text, 1, cast(n_chars {} as int))"
+    before = F.expr(third.format("- n_chars div 3"))
+    # a text, as the next document edits it; and, of copies, as a copy does
+    texts = F.array("text", F.concat(before, "head"), F.when(F.col("copies") > 1, F.concat(before, F.expr(third.format("div 3")))))
+    pairs = pairs.select(*_KEY, "n_chars", "copies", "next_id", "next_digest", texts.alias("texts"))
+
+    both = pairs.select(*_KEY, F.posexplode("texts").alias("kind", "text")).where("text is not null")
+    prints = fingerprints(both, [*_KEY, "kind"])
+    of_kind = lambda k: F.max(F.when(F.col("kind") == k, F.col("bits")))
+    prints = prints.groupBy(*_KEY).agg(of_kind(0).alias("bits"), of_kind(1).alias("edited"), of_kind(2).alias("by_copy"))
     zero = F.lit(0).cast("long")
-    known = pairs.select("doc_id", "n_chars", "next_id", F.sha2("edited", 256).alias("edited_sha256"))
-    known = known.join(prints.withColumnRenamed("doc_id", "id"), F.expr("doc_id = id"), "left")
-    known = stored(
-        known.select("doc_id", "n_chars", "next_id", "edited_sha256", F.coalesce("bits", zero).alias("bits"), F.coalesce("edited_bits", zero).alias("edited_bits")),
-        "fingerprints",
-    )
+    digests = [F.sha2(F.col("texts")[k], 256).alias(n) for k, n in ((1, "edited_sha256"), (2, "by_copy_sha256"))]
+    known = pairs.select(*_KEY, "n_chars", "copies", "next_id", "next_digest", *digests)
+    known = known.join(prints.withColumnsRenamed({"doc_id": "its_id", "digest": "its_digest"}), _key_is("its"), "left").drop("its_id", "its_digest")
+    known = stored(known.withColumns({c: F.coalesce(c, zero) for c in ("bits", "edited", "by_copy")}), "fingerprints")
 
     near = within(known, radius)
     near = near.select(F.explode(F.array("a", "b")).alias("bits")).groupBy("bits").agg(F.count("*").alias("n_near"))
-    after = known.select(F.col("doc_id").alias("id"), F.col("bits").alias("next_bits"))
-    return (
-        known.join(after, F.expr("next_id = id"))
-        .join(near, "bits", "left")
-        .select(
-            F.nullif("doc_id", least).alias("doc_id"),
-            "n_chars",
-            "edited_sha256",
-            as_text(F.col("bits")).alias("fingerprint"),
-            as_text(F.col("edited_bits")).alias("edited_fingerprint"),
-            likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"),
-            likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
-            F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
-        )
+    after = known.select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest"), F.col("bits").alias("next_bits"))
+    placed = known.join(after, F.expr("next_id = its_id and next_digest = its_digest")).join(near, "bits", "left")
+    each = lambda times, sha, edited, following: F.array_repeat(F.struct(F.col(sha).alias("sha"), F.col(edited).alias("edited"), F.col(following).alias("following")), times)
+    rows = F.concat(each(F.lit(1), "edited_sha256", "edited", "next_bits"), each((F.col("copies") - 1).cast("int"), "by_copy_sha256", "by_copy", "bits"))
+    return placed.select("doc_id", "n_chars", "bits", "n_near", F.explode(rows).alias("row")).select(
+        F.nullif("doc_id", least).alias("doc_id"),
+        "n_chars",
+        F.col("row.sha").alias("edited_sha256"),
+        as_text(F.col("bits")).alias("fingerprint"),
+        as_text(F.col("row.edited")).alias("edited_fingerprint"),
+        likeness(F.col("bits"), F.col("row.edited")).alias("near_edited"),
+        likeness(F.col("bits"), F.col("row.following")).alias("near_next"),
+        F.coalesce("n_near", zero).alias("n_near"),
     )

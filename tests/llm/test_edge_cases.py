@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and extra columns, operator by operator."""
 
+import hashlib
 import json
 import random
 from collections import Counter
@@ -74,6 +75,10 @@ def test_line_dedup(spark, docs, nothing):
     assert out[0].text == "shared line\nown 0\n" and out[0].n_removed == 0
     assert out[13].text == "own 13\n" and (out[13].n_lines, out[13].n_removed) == (3, 1)
     assert out[None].text == "" and out[21].text == "" and (out[20].text, out[20].n_lines) == (None, 0)
+    # a line that only documents without an id have stays in one of them
+    unnamed = spark.createDataFrame([(None, f"common\nown {i}", f"s{i}") for i in range(12)] * 2, "doc_id long, text string, source string")
+    kept = Counter(r.text for r in line_dedup.dedup(unnamed, least=10).collect())
+    assert sum(n for t, n in kept.items() if "common" in t) == 2 and sum(kept.values()) == 24  # a row and its repetition
     untouched = line_dedup.dedup(table, least=9)
     assert untouched.where("n_removed > 0").isEmpty()
     out = line_dedup.dedup(docs)
@@ -247,7 +252,7 @@ def test_sparse_sites_shrink_to_the_global_share(spark):
 
 def test_simhash(spark, docs, nothing):
     out = {r.doc_id: r for r in simhash.edited_fingerprints(docs).collect()}
-    assert set(out) == {1, 2, 3, 4, 5, 6, 7, 8, 9, None}  # one row for each id
+    assert ids_of(simhash.edited_fingerprints(docs)) == EVERY  # one row for each row
     assert out[3].fingerprint == out[4].fingerprint == out[5].fingerprint == "0" * 16
     assert out[None].fingerprint == out[9].fingerprint and out[1].fingerprint == out[2].fingerprint
     assert out[8].n_chars == 70000 and out[3].n_chars == 0
@@ -256,6 +261,21 @@ def test_simhash(spark, docs, nothing):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def test_simhash_of_rows_that_share_an_id(spark):
+    """As a ring over all rows: by doc_id descending, then by text; equal rows follow one another."""
+    rows = [(1, "a b c d e f"), (1, "x y z"), (2, "long text here"), (2, "long text here"), (2, "long text here"), (None, "n o"), (None, "p q r"), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = simhash.edited_fingerprints(table).collect()
+    digest = {r.text: r.h for r in spark.createDataFrame(rows, "doc_id long, text string").na.fill("").select("text", F.xxhash64("text").alias("h")).collect()}
+    ring = sorted(((i if i is not None else -(1 << 63), digest[t or ""], t or "") for i, t in rows), reverse=True)
+    want = Counter()
+    for at, (i, _, text) in enumerate(ring):
+        after, n = ring[(at + 1) % len(ring)][2], len(text) // 3
+        edited = text[: len(text) - n] + after[:n]
+        want[None if i == -(1 << 63) else i, len(text), hashlib.sha256(edited.encode()).hexdigest(), text == after] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.near_next == 1.0) for r in out) == want
+
+
 @pytest.mark.parametrize("radius, blocks", [(0, 2), (1, 3), (3, 6), (4, 8)])
 def test_near_fingerprints(spark, radius, blocks):
     rng = random.Random(2)
