@@ -3,8 +3,9 @@
 Documents of the same length are interchangeable, so a solution is a list of bins written as (lengths,
 how often): its size depends on the capacity, not on the corpus, and the search covers all documents at once.
 A gene is such a bin. Crossover takes well-filled bins of one parent whole, drops the other parent's bins whose
-documents are placed by then (as often as they are), and puts the displaced documents where they fit best.
-Mutation empties the worst bins and some others.
+documents are placed by then (as often as they are), and puts the displaced documents where they fit best. Mutation
+empties bins that are not full and some others. What it displaces is, every other time, first packed anew into bins as tight as a
+short search finds, which best fit, that only ever adds a document to a bin, cannot. The search ends when no fewer bins are possible.
 
 Islands, one task each, evolve populations of their own; between epochs each sends its best solution to the
 next. The best of all is handed out: each document takes the place of its rank among those of its length.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import json
 import random
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -80,6 +82,61 @@ def best_fit(counts: dict[int, int], capacity: int, order: list[int], bins: Solu
     return out
 
 
+#: Documents that a search for one tight bin looks at, and lengths up to which tight bins are searched for.
+LOOKS, MOST_LENGTHS = 400, 1024
+
+
+def tightest(counts: dict[int, int], lengths: list[int], capacity: int, first: int, rng: random.Random) -> Bin:
+    """A bin with ``first`` that leaves as little room as a short search finds. ``lengths`` rise and are those left."""
+    best, looks = (first,), LOOKS
+
+    def extend(held: Bin, room: int, top: int) -> bool:
+        """Adds lengths from lengths[:top]; whether the bin is full."""
+        nonlocal best, looks
+        top = bisect_right(lengths, room, 0, top)
+        start = rng.randrange(top) if top else 0
+        for i in [*range(start, -1, -1), *range(top - 1, start, -1)] if top else ():
+            looks -= 1
+            x = lengths[i]
+            if held.count(x) >= counts[x]:
+                continue
+            grown, left = (*held, x), room - x
+            if capacity - left > sum(best):
+                best = grown
+            if not left:
+                return True
+            closing = bisect_right(lengths, left, 0, i + 1) - 1
+            if closing >= 0 and lengths[closing] == left and grown.count(left) < counts[left]:
+                best = (*grown, left)
+                return True
+            if looks < 0:
+                return False
+            if closing >= 0 and extend(grown, left, i + 1):
+                return True
+        return False
+
+    extend((first,), capacity - first, len(lengths))
+    return best
+
+
+def tight_bins(counts: dict[int, int], capacity: int, rng: random.Random) -> Solution:
+    """All documents in bins, one as tight as possible after the other, for the longest document that is left; as often as there
+    are documents for it."""
+    left, out = {x: n for x, n in counts.items() if n}, {}
+    lengths = sorted(left)
+    while lengths:
+        b = tightest(left, lengths, capacity, lengths[-1], rng)
+        held = Counter(b)
+        n = min(left[x] // k for x, k in held.items())
+        key = tuple(sorted(b, reverse=True))
+        out[key] = out.get(key, 0) + n
+        for x, k in held.items():
+            left[x] -= n * k
+            if not left[x]:
+                lengths.remove(x)
+    return out
+
+
 def quality(solution: Solution) -> tuple[int, int]:
     """Fewer bins are better, then fuller ones beside emptier ones. Smaller is better."""
     return sum(solution.values()), -sum(n * sum(b) ** 2 for b, n in solution.items())
@@ -93,9 +150,10 @@ def crossover(first: Solution, second: Solution, counts: dict[int, int], capacit
 
 
 def mutation(solution: Solution, counts: dict[int, int], capacity: int, rng: random.Random) -> Solution:
-    """Empties the worst-filled bins and some others."""
-    ranked = sorted(solution, key=lambda b: (sum(b), rng.random()))
-    lost = set(ranked[: 1 + len(ranked) // 20]) | {b for b in ranked if rng.random() < 0.05}
+    """Empties many of the bins that are not full, and some others."""
+    often = rng.choice((0.1, 0.5, 1.0))
+    lost = {b for b in solution if rng.random() < (often if sum(b) < capacity else 0.1 * often)}
+    lost |= set(sorted(solution, key=sum)[:1])
     return _completed({}, {b: n for b, n in solution.items() if b not in lost}, counts, capacity, rng)
 
 
@@ -112,17 +170,29 @@ def _completed(child: Solution, others: Solution, counts: dict[int, int], capaci
             for length in b:
                 left[length] -= n
     displaced = sorted((x for x, n in left.items() if n), reverse=True)
+    if rng.random() < 0.5 and len(displaced) <= MOST_LENGTHS:
+        for b, n in tight_bins(left, capacity, rng).items():
+            child[b] = child.get(b, 0) + n
+        return child
     return best_fit(left, capacity, displaced, child)
 
 
+def least_bins(counts: dict[int, int], capacity: int) -> int:
+    """No packing has fewer bins."""
+    return -(-sum(x * n for x, n in counts.items()) // capacity)
+
+
 def evolve(population: list[Solution], counts: dict[int, int], capacity: int, generations: int, rng: random.Random) -> list[Solution]:
     """The population after some generations; each child replaces the worst if it is better and new."""
     while len(population) < POPULATION:
         noise = 0.03 * len(population)
         order = sorted(counts, key=lambda x: -x * (1 + noise * rng.uniform(-1, 1)))
-        population.append(best_fit(counts, capacity, order))
+        tight = len(population) % 2 and len(counts) <= MOST_LENGTHS
+        population.append(tight_bins(counts, capacity, rng) if tight else best_fit(counts, capacity, order))
     population = sorted(population, key=quality)
     for _ in range(generations):
+        if quality(population[0])[0] <= least_bins(counts, capacity):
+            break
         first, second = sorted(rng.sample(range(len(population)), 2))
         if rng.random() < 0.5:
             first, second = second, first
@@ -236,7 +306,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, **ho
 
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_part.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    ranked = items.join(starts, ["part", "length"]).withColumn("rank", F.col("first") + F.col("place"))
+    # the offsets grow with the tasks that found the pieces, so they are not broadcast
+    ranked = items.join(starts.hint("merge"), ["part", "length"]).withColumn("rank", F.col("first") + F.col("place"))
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
         hand_out, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )

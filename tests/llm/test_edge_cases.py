@@ -510,3 +510,38 @@ def test_components(spark, one_task):
     found = {r.v: r.label for r in components(spark.createDataFrame(links, "a long, b long"), one_task).collect()}
     assert found == {v: find(v) for link in links for v in link if link[0] != link[1]}
     assert components(spark.createDataFrame([], "a long, b long"), one_task).isEmpty()
+
+
+def triplets(n, seed, capacity):
+    """Lengths of documents of which three each fill a bin."""
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        a = rng.randint(38 * capacity // 100, 49 * capacity // 100)
+        b = rng.randint(capacity // 4, (capacity - a) // 2)
+        out += [a, b, capacity - a - b]
+    return Counter(out)
+
+
+def test_the_search_beats_best_fit(spark):
+    """Three of a bin each: best fit needs a sixth more bins than there are, the search at most a thirtieth."""
+    for seed in range(3):
+        counts = dict(triplets(200, seed, 1000))
+        plain = packing.quality(packing.best_fit(counts, 1000, sorted(counts, reverse=True)))[0]
+        found = packing.search(spark, counts, 1000)
+        held = Counter()
+        for b, n in found.items():
+            assert sum(b) <= 1000
+            held.update({x: n * k for x, k in Counter(b).items()})
+        assert held == Counter(counts)
+        assert 200 <= packing.quality(found)[0] <= 206 < plain
+
+
+@few
+@given(counts=counts, seed=st.integers(0, 99))
+def test_tight_bins_hold_every_document_once(counts, seed):
+    found = packing.tight_bins(counts, 40, random.Random(seed))
+    held = Counter()
+    for b, n in found.items():
+        assert sum(b) <= 40 and n > 0
+        held.update({x: n * k for x, k in Counter(b).items()})
+    assert held == Counter(counts) and packing.quality(found)[0] >= packing.least_bins(counts, 40)
