@@ -74,19 +74,19 @@ def dedup(docs: DataFrame, least: int = 10, site: str = "source") -> DataFrame:
     boilerplate = stored(spread(lines, least, tasks), "boilerplate", tasks)
     hit = lines.join(boilerplate, ["h", "g"]).where("doc_id > first or nameless > first_nameless or (doc_id is null and first is not null)")
     # of a row, its own boilerplate lines; never more than it has lines
-    gone = hit.groupBy("row").agg(F.collect_set(F.struct("h", "g")).alias("gone")).withColumnRenamed("row", "gone_row")
+    gone = hit.groupBy("row").agg(F.collect_set(F.struct("h", "g")).alias("__gone")).withColumnRenamed("row", "__gone_row")
 
-    with_gone = docs.join(gone, _row_key() == F.col("gone_row"), "left")
+    with_gone = docs.join(gone, _row_key() == F.col("__gone_row"), "left")
     parts = F.split("text", "\n", -1)
     stays = F.filter(
         parts,
-        lambda x: F.col("gone").isNull()
+        lambda x: F.col("__gone").isNull()
         | (_key(x) == "")
-        | ~F.array_contains(F.col("gone"), F.struct(F.xxhash64(_key(x)).alias("h"), F.hash(_key(x)).alias("g"))),
+        | ~F.array_contains(F.col("__gone"), F.struct(F.xxhash64(_key(x)).alias("h"), F.hash(_key(x)).alias("g"))),
     )
-    kept = F.when(F.col("gone").isNull(), parts).otherwise(stays)
-    return with_gone.withColumns({"kept": kept}).select(
-        *(F.array_join("kept", "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns),
+    kept = F.when(F.col("__gone").isNull(), parts).otherwise(stays)
+    return with_gone.withColumns({"__kept": kept}).select(
+        *(F.array_join("__kept", "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns),
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(parts) - F.size("kept"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size(parts) - F.size("__kept"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -9,8 +9,10 @@ alphabet that holds all its characters. Three tests hold it against a random str
 
 Their p-values, combined by Fisher's method, must not refute randomness. The other error, ordinary text that
 looks random, is held down by the false-discovery rate: under the character frequencies of all words of the corpus,
-the chi-squared statistic of a text of the candidate's length has a known mean and spread, and the p-value is the
-chance that text gets one as small. Short candidates thus need a better fit. Within each stratum of encoding
+the chi-squared statistic of a text of the candidate's length has a known mean and spread, which gives the
+chance that text gets one as small; and text seldom goes from one kind of character (digits, lower, upper, signs) to another, which
+bounds the chance that one of the candidate's length does it as often. Fisher's method makes one p-value of both.
+Short candidates thus need a better fit. Within each stratum of encoding
 and length band the Benjamini-Hochberg step, on a grid of thresholds, finds the cut.
 """
 
@@ -56,6 +58,11 @@ _SYMBOL = np.full((len(NAMES), 256), -1, np.int64)
 for _i, _letters in enumerate(ENCODINGS.values()):
     _SYMBOL[_i, list(_letters.encode())] = np.arange(len(_letters))
 
+#: Kinds of characters: digits, lower and upper case, signs of encodings; 0 for all others.
+_KIND = np.zeros(256, np.uint8)
+for _i, _letters in enumerate((_DIGITS, _LOWER, _UPPER, "+/_=-"), 1):
+    _KIND[list(_letters.encode())] = _i
+
 #: Of random strings, the part that the three tests may refute.
 REFUTED = 0.001
 #: The false-discovery rate.
@@ -69,10 +76,12 @@ STEPS = 400
 @dataclass(frozen=True)
 class Battery:
     """What a scan needs to know of the corpus: mean and spread of the chi-squared statistic of text, as
-    (constant, by length) for each encoding, and the step of the grid from which each stratum is cut."""
+    (constant, by length) for each encoding; how often its next character is of another kind; and the step of the grid from
+    which each stratum is cut."""
 
     mean: tuple[tuple[float, float], ...]
     spread: tuple[tuple[float, float], ...]
+    change: float
     cuts: dict[tuple[int, int], int] = field(default_factory=dict)
 
 
@@ -91,9 +100,9 @@ def _upper_tail(z: np.ndarray) -> np.ndarray:
     return np.array([0.5 * math.erfc(x / math.sqrt(2)) for x in z])
 
 
-def run_tests(candidates: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each candidate: encoding, length, chi-squared statistic, and the combined p-value of the three tests
-    against randomness."""
+def run_tests(candidates: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each candidate: encoding, length, chi-squared statistic, how often its kind of character changes, and the combined
+    p-value of the three tests against randomness."""
     n = len(candidates)
     size = np.array([len(c) for c in candidates])
     data = np.frombuffer("".join(candidates).encode(), np.uint8)
@@ -132,16 +141,22 @@ def run_tests(candidates: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
     half_fisher = -np.log(np.maximum(p_chi, 1e-300)) - np.log(np.maximum(p_runs, 1e-300)) - np.log(np.maximum(p_serial, 1e-300))
     combined = np.exp(-half_fisher) * (1 + half_fisher + half_fisher**2 / 2)  # chi-squared with six degrees of freedom
-    return encoding, size, chi, combined
+    kind = _KIND[data]
+    changes = np.add.reduceat((kind != np.concatenate([[0], kind[:-1]])) & inside, begins)
+    return encoding, size, chi, changes, combined
 
 
-def text_step(battery: Battery, encoding: np.ndarray, size: np.ndarray, chi: np.ndarray) -> np.ndarray:
+def text_step(battery: Battery, encoding: np.ndarray, size: np.ndarray, chi: np.ndarray, changes: np.ndarray) -> np.ndarray:
     """The step of the grid that the p-value of "ordinary text of this length" is in; larger is less like text."""
     mean, spread = np.array(battery.mean)[encoding], np.array(battery.spread)[encoding]
     z = (mean[:, 0] + mean[:, 1] * size - chi) / np.sqrt(spread[:, 0] + spread[:, 1] * size)
     # log10 of the upper tail, also where the tail is too small for a float
     tail = np.array([math.log10(max(0.5 * math.erfc(x / math.sqrt(2)), 1e-300)) if x < 30 else -(x * x / 2 + math.log(x * 2.5066)) / math.log(10) for x in z])
-    return np.clip(np.floor(-4 * tail), 0, STEPS).astype(np.int64)
+    # Chernoff's bound of a binomial tail
+    part, rate = np.clip(changes / (size - 1), 1e-12, 1 - 1e-12), battery.change
+    apart = part * np.log(part / rate) + (1 - part) * np.log((1 - part) / (1 - rate))
+    both = -tail * math.log(10) + np.where(part > rate, (size - 1) * apart, 0.0)
+    return np.clip(np.floor(4 * (both - np.log1p(both)) / math.log(10)), 0, STEPS).astype(np.int64)
 
 
 def _bands(size: np.ndarray) -> np.ndarray:
@@ -162,25 +177,29 @@ def calibrate(docs: DataFrame) -> Battery:
     """The battery for a corpus, from all characters and all candidates of all documents. What reaches the
     driver is one count for each byte and for each stratum and step of the grid."""
 
+    measures = ["encoding", "size", "chi", "changes", "combined"]
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(256, np.int64)
+        counts = np.zeros(258, np.int64)  # of each byte; of two that an encoding may hold, and such of two kinds
         for batch in steps(batches):
             data, _ = text_bytes(batch.column("text"))
-            counts += np.bincount(data, minlength=256)
+            counts[:256] += np.bincount(data, minlength=256)
+            kind = _KIND[data]
+            pair = (kind[1:] > 0) & (kind[:-1] > 0)
+            counts[256:] += np.count_nonzero(pair), np.count_nonzero(pair & (kind[1:] != kind[:-1]))
             strings, _, _ = _candidates(batch.column("text").to_pylist())
             if strings:
-                encoding, size, chi, combined = run_tests(strings)
-                yield pa.RecordBatch.from_arrays([pa.array(encoding), pa.array(size), pa.array(chi), pa.array(combined), pa.nulls(len(size), pa.list_(pa.int64()))], ["encoding", "size", "chi", "combined", "bytes"])
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.nulls(1, pa.float64()), pa.array([counts.tolist()], pa.list_(pa.int64()))],
-            ["encoding", "size", "chi", "combined", "bytes"],
-        )
+                encoding, size, chi, changes, combined = run_tests(strings)
+                arrays = [pa.array(encoding), pa.array(size), pa.array(chi), pa.array(changes.astype(np.int64)), pa.array(combined)]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(size), pa.list_(pa.int64()))], [*measures, "bytes"])
+        nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64())]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([counts.tolist()], pa.list_(pa.int64()))], [*measures, "bytes"])
 
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    found = stored(texts.mapInArrow(measure, "encoding long, size long, chi double, combined double, bytes array<long>"), "candidates")
+    found = stored(texts.mapInArrow(measure, "encoding long, size long, chi double, changes long, combined double, bytes array<long>"), "candidates")
     per_byte = found.where("bytes is not null").select(F.posexplode("bytes").alias("byte", "n")).groupBy("byte").agg(F.sum("n").alias("n"))
-    counts = np.zeros(256)
-    for row in per_byte.collect():  # 256 rows
+    counts = np.zeros(258)
+    for row in per_byte.collect():  # 258 rows
         counts[row["byte"]] = row["n"]
 
     mean, spread = [], []
@@ -193,15 +212,15 @@ def calibrate(docs: DataFrame) -> Battery:
         square = (p**2).sum()
         mean.append((a * (1 - square), a * ((p - 1 / a) ** 2).sum()))
         spread.append((2.0 * (a - 1), 4.0 * a**2 * (p * (p - square) ** 2).sum()))
-    battery = Battery(tuple(mean), tuple(spread))
+    battery = Battery(tuple(mean), tuple(spread), float((counts[257] + 1) / (counts[256] + 2)))
 
     def grid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            encoding, size, chi, combined = (batch.column(c).to_numpy() for c in ("encoding", "size", "chi", "combined"))
-            step = np.where(combined >= REFUTED, text_step(battery, encoding, size, chi), -1)
+            encoding, size, chi, changes, combined = (batch.column(c).to_numpy() for c in measures)
+            step = np.where(combined >= REFUTED, text_step(battery, encoding, size, chi, changes), -1)
             yield pa.RecordBatch.from_arrays([pa.array(encoding), pa.array(_bands(size)), pa.array(step)], ["encoding", "band", "step"])
 
-    placed = found.where("bytes is null").select("encoding", "size", "chi", "combined").mapInArrow(grid, "encoding long, band long, step long")
+    placed = found.where("bytes is null").select(*measures).mapInArrow(grid, "encoding long, band long, step long")
     strata: dict[tuple[int, int], np.ndarray] = {}
     for row in placed.groupBy("encoding", "band", "step").count().collect():  # strata by steps
         strata.setdefault((row["encoding"], row["band"]), np.zeros(STEPS + 2))[row["step"] + 1] += row["count"]
@@ -212,7 +231,7 @@ def calibrate(docs: DataFrame) -> Battery:
         good = np.flatnonzero((reached > 0) & (n.sum() * threshold <= RATE * reached))
         if len(good):
             cuts[stratum] = int(good[0])
-    return Battery(battery.mean, battery.spread, cuts)
+    return Battery(battery.mean, battery.spread, battery.change, cuts)
 
 
 def find(texts: list[str], battery: Battery) -> list[list[tuple[int, int, int]]]:
@@ -221,8 +240,8 @@ def find(texts: list[str], battery: Battery) -> list[list[tuple[int, int, int]]]
     spans = [base_spans(t) for t in texts]
     strings, which, starts = _candidates(texts)
     if strings:
-        encoding, size, chi, combined = run_tests(strings)
-        step = text_step(battery, encoding, size, chi)
+        encoding, size, chi, changes, combined = run_tests(strings)
+        step = text_step(battery, encoding, size, chi, changes)
         bands = _bands(size)
         for j in np.flatnonzero(combined >= REFUTED).tolist():
             start, end = starts[j], starts[j] + int(size[j])
