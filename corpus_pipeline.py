@@ -17,13 +17,18 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go. It learns from the labelled documents among those given."""
+    """Documents that the quality classifier rejects go. It learns from the labelled documents among those given.
+
+    A null text is judged as an empty one, and repeated rows alike, by their id and text. Null sources are one host, null
+    languages one path. Without labels of both kinds nothing is evidence, and all stay. Without documents none stay."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.good_documents(docs, model, F.col("source"), F.col("lang")).select(*COLUMNS)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go, and documents that had nothing else; what goes stays in an earlier document."""
+    """Boilerplate lines go, and documents that had nothing else; what goes stays in an earlier document, or, where no
+    document with an id has it, in one without. Null, empty and blank texts that had no such line stay as they are. Rows
+    that repeat a doc_id are one document and are treated alike."""
     return _measured(line_dedup.dedup(docs).where("n_removed = 0 or text is null or text rlike '[^ \\t-\\r]'"))
 
 
@@ -48,12 +53,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets give way to a mark."""
+    """Secrets give way to a mark. All rows stay, repeated ones too; null and empty texts as they are."""
     return _measured(secrets.mask(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All that is left, as pieces in sequences of 1024 tokens."""
+    """All that is left, as pieces in sequences of 1024 tokens. A null or empty text is a piece with the end token alone;
+    repeated rows are packed as often as they are there. Among documents of a length, which goes where depends on the order in which they are read."""
     return packing.pack(docs, TOKENIZER)
 
 
@@ -74,7 +80,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage."""
+    """The rows of the last stage. Of columns of the same name beside those of documents nothing is kept; empty tables give no
+    rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
