@@ -47,7 +47,9 @@ def _row_key() -> Column:
 
 def spread(lines: DataFrame, least: int, tasks: int | None = None) -> DataFrame:
     """The lines on at least ``least`` sites: (h, g, first, first_nameless), first the smallest doc_id that has the line.
-    ``tasks`` goes to `stored`."""
+    Lines without ``nameless`` all have a doc_id. ``tasks`` goes to `stored`."""
+    if "nameless" not in lines.columns:
+        lines = lines.withColumn("nameless", F.lit(None).cast("string"))
     sketched = lines.groupBy("h", "g").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG))).alias("sites"), F.min("doc_id").alias("first"), F.min("nameless").alias("first_nameless")
     )
