@@ -78,6 +78,29 @@ class GateConfig:
         )
 
 
+@dataclass(frozen=True)
+class DriftConfig:
+    """How far a load's columns may be from those of the load before.
+
+    ``null_share``: by how much the share of nulls may rise or fall. ``distance``: the largest difference of the cumulative
+    shares of values (for texts, of their lengths). ``new_share``: the part of distinct values that may not have been there
+    before; 1 allows any.
+    """
+
+    columns: tuple[str, ...]
+    null_share: float = 0.1
+    distance: float = 0.2
+    new_share: float = 1.0
+
+    def __post_init__(self):
+        _all_names(self, "columns")
+        if not self.columns:
+            raise ValueError("the drift gate needs columns")
+        for name in ("null_share", "distance", "new_share"):
+            if not 0 <= getattr(self, name) <= 1:
+                raise ValueError(f"{name} is a share, from 0 to 1")
+
+
 @dataclass(frozen=True)
 class StampConfig:
     """The effective range of a version: its columns, the load time, and how an open end is written.
@@ -161,7 +184,8 @@ class HistoryLoadConfig:
 
     Open versions are kept in ``buckets`` by key; a load reads and writes those that its delta touches. The number is
     fixed with the first load. The history is also written to ``sink``, if there is one. ``evolve`` lets an extract have
-    columns that the history has not, and the other way round; without it such an extract is refused.
+    columns that the history has not, and the other way round; without it such an extract is refused. ``drift`` holds an
+    extract against the one loaded before it.
     """
 
     extract: ExtractConfig
@@ -171,6 +195,7 @@ class HistoryLoadConfig:
     buckets: int = 64
     sink: Sink | None = None
     evolve: bool = True
+    drift: DriftConfig | None = None
 
     def __post_init__(self):
         _all_names(self, "latest_order")

@@ -12,7 +12,7 @@ A merge takes a sound history and a delta with one row per key: ``settle`` makes
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from functools import reduce
 from operator import add, and_
 
@@ -142,13 +142,44 @@ def _is_small(delta_bytes: int | None, config: MergeConfig) -> bool:
 # stays in place. Without it Spark decides by its own estimates.
 
 
+#: A key is frequent if it has one in FREQUENT rows or more, and the sketch that finds it counts this many keys, so that
+#: it is wrong by less than one in 4 * FREQUENT rows.
+FREQUENT, TRACKED = 1000, 16000
+
+
+def _key_hash(config: MergeConfig) -> Column:
+    return F.xxhash64(*all_named(config.key))
+
+
+def frequent_keys(rows: DataFrame, config: MergeConfig) -> list[int]:
+    """Hashes of the keys that have one in a thousand rows or more, and of some that have nearly as many; at most 2,000.
+
+    One pass reads the key columns. A mergeable sketch of frequent items counts them in bounded memory, within each input
+    partition first, so no key is gathered. A null key is told like any other; a key that comes once is not frequent.
+    """
+    top = F.call_function("approx_top_k", _key_hash(config), F.lit(2 * FREQUENT), F.lit(TRACKED))
+    found, n = rows.agg(top, F.count(F.lit(1))).first()
+    return [item["item"] for item in found if item["count"] > 1 and item["count"] * FREQUENT >= n]
+
+
 def new_keys(
-    delta: DataFrame, hist: DataFrame, config: MergeConfig, delta_bytes: int | None = None
+    delta: DataFrame, hist: DataFrame, config: MergeConfig, delta_bytes: int | None = None, hot: Collection[int] = ()
 ) -> DataFrame:
-    """Rows of the delta whose key is in no version of the history."""
+    """Rows of the delta whose key is in no version of the history.
+
+    The history's keys are made distinct before they meet the delta, and Spark cannot split a hot key of the delta against
+    that. Rows of the keys in ``hot``, which ``frequent_keys`` found in the delta, stay where they are: which of these
+    keys the history has is broadcast. That is a key for each hash, 2,000 at most but for keys that share a hash. It
+    reads the history's key columns once more.
+    """
     if _is_small(delta_bytes, config):
         hist = _met(hist, _keys(delta, config), config, small=True)
-    return _met(delta, _keys(hist, config), config, "left_anti")
+    if not hot:
+        return _met(delta, _keys(hist, config), config, "left_anti")
+    often = _key_hash(config).isin(*hot)
+    rest = _met(delta.where(~often), _keys(hist.where(~often), config), config, "left_anti")
+    whole = hist.where(often & ~any_null(config.key))
+    return rest.unionByName(_met(delta.where(often), _keys(whole, config), config, "left_anti", small=True))
 
 
 def changed_rows(

@@ -98,7 +98,7 @@ def _all_rows(df: DataFrame, gate: str, passed: Column, detail: str) -> DataFram
     return _report(df, gate, passed, n, n, detail)
 
 
-def _resolved(df: DataFrame, columns: Iterable[str], gate: str) -> list[str]:
+def resolved(df: DataFrame, columns: Iterable[str], gate: str) -> list[str]:
     """The columns' names as the table writes them; upper and lower case are the same unless the session
     says otherwise. A name that is not there is a setting that checks nothing, so it stops the gate."""
     strict = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
@@ -153,7 +153,7 @@ def gate_nulls(df: DataFrame, config: GateConfig) -> Gated:
     """Leave out rows with a null in any configured column. Fails if no row is left of some."""
     if not config.null_check:
         return Gated(df, _all_rows(df, "nulls", F.lit(True), "off"))
-    columns = _resolved(df, config.null_columns, "nulls")
+    columns = resolved(df, config.null_columns, "nulls")
     n, kept = F.count(F.lit(1)), F.count_if(all_not_null(columns))
     report = _report(df, "nulls", (kept > 0) | (n == 0), n, kept, ",".join(config.null_columns))
     return Gated(not_null_all(df, columns), report)
@@ -163,8 +163,8 @@ def gate_duplicates(df: DataFrame, config: GateConfig) -> Gated:
     """Keep the latest row of each configured key."""
     if not config.duplicate_check:
         return Gated(df, _all_rows(df, "duplicates", F.lit(True), "off"))
-    keys = _resolved(df, config.duplicate_columns, "duplicates")
-    order_by = _resolved(df, config.duplicate_order, "duplicates")
+    keys = resolved(df, config.duplicate_columns, "duplicates")
+    order_by = resolved(df, config.duplicate_order, "duplicates")
     # One row per key with its count: both totals come from one shuffle of partial counts.
     sizes = df.groupBy(*all_named(keys)).agg(F.count(F.lit(1)).alias("__n"))
     rows_in = F.coalesce(F.sum("__n"), F.lit(0).cast("long"))
@@ -174,7 +174,7 @@ def gate_duplicates(df: DataFrame, config: GateConfig) -> Gated:
 
 def gate_counts(df: DataFrame, config: GateConfig) -> dict[str, Column]:
     """Aggregates that the first three gates need, to be measured by whatever pass reads the rows."""
-    columns = _resolved(df, config.null_columns, "nulls") if config.null_check else []
+    columns = resolved(df, config.null_columns, "nulls") if config.null_check else []
     return {"n": F.count(F.lit(1)), "n_kept": F.count_if(all_not_null(columns)) if columns else F.count(F.lit(1))}
 
 
@@ -209,7 +209,7 @@ def gate_report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def pass_gates(df: DataFrame, config: GateConfig) -> DataFrame:
     """The rows that null and duplicate gate let through."""
     if config.null_check:
-        df = not_null_all(df, _resolved(df, config.null_columns, "nulls"))
+        df = not_null_all(df, resolved(df, config.null_columns, "nulls"))
     return gate_duplicates(df, config).data
 
 
@@ -223,6 +223,6 @@ def gate_chain(df: DataFrame, config: GateConfig) -> Gated:
     check_schema(dict(df.dtypes), config)
     n, n_kept = df.agg(*gate_counts(df, config).values()).first()
     rows = gate_rows(df, config, n, n_kept)
-    passed = not_null_all(df, _resolved(df, config.null_columns, "nulls")) if config.null_check else df
+    passed = not_null_all(df, resolved(df, config.null_columns, "nulls")) if config.null_check else df
     last = gate_duplicates(passed, config)
     return Gated(last.data, gate_report(df.sparkSession, rows).unionByName(last.report))

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from histload.config import BROADCAST_BYTES, DimensionLoadConfig, ExtractConfig, HistoryLoadConfig, MergeConfig
+from histload.config import BROADCAST_BYTES, DimensionLoadConfig, DriftConfig, ExtractConfig, HistoryLoadConfig, MergeConfig
 from histload.functions import all_named, all_not_null, any_null, load_time, named
 from histload.operators.dedup import latest_per_key
+from histload.operators.drift import drift_row, profile_aggregates, profile_of
 from histload.operators.evolution import SchemaChange, conformed, reconciled
 from histload.operators.history import (
     check_one_row_per_key,
@@ -73,6 +74,7 @@ class _Prepared(NamedTuple):
     digest: dict
     reports: list[tuple]
     left_out: DataFrame
+    profile: dict
 
 
 #: Numbers landed rows, which tells equal ones apart.
@@ -120,16 +122,19 @@ def identity(spark: SparkSession, csv: str, config: ExtractConfig) -> dict:
     return _told(rows.agg(*[c.alias(n) for n, c in aggregates.items()]).first().asDict())
 
 
-def _prepare(spark: SparkSession, csv: str, folder: str, config: ExtractConfig, keep, key: Iterable[str], buckets: MergeConfig | None = None, n_buckets: int = 1, broadcast_bytes: int = BROADCAST_BYTES) -> _Prepared:
+def _prepare(spark: SparkSession, csv: str, folder: str, config: ExtractConfig, keep, key: Iterable[str], buckets: MergeConfig | None = None, n_buckets: int = 1, broadcast_bytes: int = BROADCAST_BYTES, drift: DriftConfig | None = None, before: dict | None = None) -> _Prepared:
     """Land, gate and de-duplicate an extract, and write what is left, without its audit columns.
 
     The gates see all columns; ``keep`` chooses a row for each ``key`` and may order them by the audit columns. What gates, reports,
-    the merge and later loads need to know is measured by the two passes that write: landing, and what is kept.
+    the merge and later loads need to know is measured by the two passes that write: landing, and what is kept. An extract
+    that is too far from the profile ``before`` goes no further than landing.
     """
     rows = _extract(spark, csv, config)
     gates, digest = config.gates, _digest(rows)
     counts = {f"gate_{n}": c for n, c in gate_counts(rows, gates).items()} if gates else {}
-    seen = write_snapshot(rows.withColumn(_ROW, F.monotonically_increasing_id()), f"{folder}/landed", measures=digest | counts)
+    seen = write_snapshot(rows.withColumn(_ROW, F.monotonically_increasing_id()), f"{folder}/landed", measures=digest | counts | (profile_aggregates(rows, drift.columns) if drift else {}))
+    profile = profile_of(seen, drift.columns) if drift else {}
+    drifted = [drift_row(spark, before, profile, drift, seen["rows"])] if drift else []
     landed = read_parquet(spark, f"{folder}/landed", rows.withColumn(_ROW, F.lit(0).cast("long")).schema)
     reports, passed, gated = [], landed, Observation()
     if gates:
@@ -146,11 +151,12 @@ def _prepare(spark: SparkSession, csv: str, folder: str, config: ExtractConfig,
     wrote = write_snapshot(stored, f"{folder}/prepared", measures=measures)
     if gates:
         reports.append(duplicates_row(gates, seen["gate_n_kept"], gated.get["n"] if gates.duplicate_check else seen["gate_n_kept"]))
+    reports += drifted
     prepared = read_parquet(spark, f"{folder}/prepared", stored.schema)
     null_columns = [*config.required, *(gates.null_columns if gates and gates.null_check else ())]
     small = wrote["bytes"] <= broadcast_bytes
     left_out = _left_out(landed, prepared, null_columns, list(key), content, small) if wrote["rows"] < seen["rows"] else landed.limit(0).withColumn("fate", F.lit(""))
-    return _Prepared(prepared.drop(_ROW), seen["rows"], wrote["rows"], wrote["bytes"], in_bitmap(wrote.get("buckets")), _told(seen), reports, left_out.drop(_ROW))
+    return _Prepared(prepared.drop(_ROW), seen["rows"], wrote["rows"], wrote["bytes"], in_bitmap(wrote.get("buckets")), _told(seen), reports, left_out.drop(_ROW), profile)
 
 
 def _left_out(landed: DataFrame, kept: DataFrame, null_columns: list[str], key: list[str], content: list[str], small: bool) -> DataFrame:
@@ -169,11 +175,11 @@ def _left_out(landed: DataFrame, kept: DataFrame, null_columns: list[str], key:
     return landed.where(~whole).withColumn("fate", F.lit("null")).unionByName(rows)
 
 
-def _versions(spark: SparkSession, csv: str, folder: str, config: HistoryLoadConfig, as_of: datetime, n_buckets: int = 1) -> _Prepared:
+def _versions(spark: SparkSession, csv: str, folder: str, config: HistoryLoadConfig, as_of: datetime, n_buckets: int = 1, before: dict | None = None) -> _Prepared:
     """An extract as open versions, one per key."""
     merge = _internal(config.merge)
     latest = lambda rows: latest_per_key(rows, merge.key, config.latest_order)
-    prepared = _prepare(spark, csv, folder, config.extract, latest, merge.key, merge, n_buckets, merge.broadcast_bytes)
+    prepared = _prepare(spark, csv, folder, config.extract, latest, merge.key, merge, n_buckets, merge.broadcast_bytes, config.drift, before)
     return prepared._replace(rows=stamp_open(prepared.rows, replace(merge, as_of=as_of)))
 
 
@@ -221,8 +227,8 @@ def _evolved(hist: DataFrame, delta: _Prepared, config: HistoryLoadConfig) -> tu
 
 
 def _aside(spark: SparkSession, root: str, version: int, name: str) -> DataFrame | None:
-    folder = f"{root}/{name}/version={version}"
-    return read_parquet(spark, folder) if folders(spark, f"{root}/{name}") else None
+    folder = f"version={version}"
+    return read_parquet(spark, f"{root}/{name}/{folder}") if folder in folders(spark, f"{root}/{name}") else None
 
 
 def _finished(spark: SparkSession, root: str, mark: Mark, config: HistoryLoadConfig, loads: Iterable[_Prepared] = ()) -> Loaded:
@@ -248,9 +254,9 @@ def _completed(spark: SparkSession, root: str, mark: Mark, config: HistoryLoadCo
         left_out = left_out.unionByName(other.left_out, allowMissingColumns=True)
     write_snapshot(left_out, f"{root}/left_out/version={mark.version}")
     reports = [row for p in loads for row in p.reports]
-    if config.extract.gates:
+    if reports:
         write_snapshot(gate_report(spark, reports), f"{root}/reports/version={mark.version}")
-    mark = mark._replace(extracts=[p.digest for p in loads], settings=settings)
+    mark = mark._replace(extracts=[p.digest for p in loads], settings=settings, profile=loads[-1].profile)
     intend(spark, root, mark)
     return _finished(spark, root, mark, config, loads)
 
@@ -288,7 +294,8 @@ def first_history_load(
     """Start a history from a base extract, merge the first delta into it, and publish version 1.
 
     The same extracts with the same settings again finish a load that broke off, or return what is published; others
-    raise. So does a base not before its delta.
+    raise. So does a base not before its delta. The drift gate has nothing to compare with yet, as a base is whole and a
+    delta is not; it notes the delta's profile for the next load.
     """
     base_as_of = load_time(base_as_of)
     if base_as_of >= config.merge.as_of:
@@ -319,7 +326,8 @@ def incremental_history_load(
     Only the buckets of open versions that the delta touches are read and rewritten. A load may be repeated after a failure at
     any point: what is missing is done, down to the sink, and a version that is complete is returned as it is. Rows are
     compared, not paths: the same version from other rows, or with other settings, raises. So does a load time that is not after every
-    open version's start. Columns may come, go and widen, see ``reconciled``.
+    open version's start. Columns may come, go and widen, see ``reconciled``. With ``config.drift``, an extract too far from the last one
+    raises ``GateFailure`` before anything is merged; load it without ``drift``, or with wider limits, if it is right.
     """
     settings, last = _settings(config, config.merge.as_of), published(spark, root)
     if last is None or last.version < version - 1:
@@ -333,7 +341,7 @@ def incremental_history_load(
         return resumed
     folder, merge = work_folder(spark), _internal(config.merge)
     try:
-        delta = _versions(spark, delta_csv, folder, config, merge.as_of, len(last.buckets))
+        delta = _versions(spark, delta_csv, folder, config, merge.as_of, len(last.buckets), last.profile)
         hist, delta = _evolved(read_open(spark, root, last, delta.buckets), delta, config)
         mark = write_version(_merged(hist, delta, config), root, version, merge, len(last.buckets), delta.buckets, sound=True)
         return _completed(spark, root, mark, config, [delta], settings)

@@ -142,6 +142,32 @@ def gate(name: str, passed: str, rows_in: str, rows_out: str, detail: str, relat
          '{detail}' AS detail FROM {relation}"""
 
 
+def drifted(relations: str, before: str, now: str, columns: dict[str, str]) -> str:
+    """Each column's shares of nulls and whether it passes the drift gate, from exact cumulative shares."""
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {side} AS side, CAST({value} AS DOUBLE) AS v FROM {relation}"
+        for c, value in columns.items() for side, relation in enumerate((before, now)))
+    return f"""WITH {relations}, vals AS ({values}),
+totals AS (
+  SELECT column_name, count(*) FILTER (side = 0) AS n_before, count(*) FILTER (side = 1) AS n_now,
+         count(v) FILTER (side = 0) AS v_before, count(v) FILTER (side = 1) AS v_now
+  FROM vals GROUP BY column_name),
+points AS (SELECT column_name, v, count(*) FILTER (side = 0) AS a, count(*) FILTER (side = 1) AS b
+       FROM vals WHERE v IS NOT NULL GROUP BY column_name, v),
+cumulative AS (
+  SELECT column_name, sum(a) OVER w AS a, sum(b) OVER w AS b FROM points
+  WINDOW w AS (PARTITION BY column_name ORDER BY v)),
+distances AS (
+  SELECT column_name, max(abs(a / v_before - b / v_now)) AS d FROM cumulative JOIN totals USING (column_name) GROUP BY column_name),
+shares AS (
+  SELECT *, 1 - v_before / n_before AS null_before, 1 - v_now / n_now AS null_now,
+         1 - (v_before + v_now) / (n_before + n_now) AS pooled FROM totals)
+SELECT column_name, n_before, n_now, null_before, null_now,
+       abs(null_now - null_before) <= 0.1 + 2.576 * sqrt(pooled * (1 - pooled) * (1 / n_before + 1 / n_now))
+       AND d <= 0.2 + 1.628 * sqrt(1 / v_before + 1 / v_now) AS passed
+FROM shares JOIN distances USING (column_name)"""
+
+
 def stamped(end_text: str) -> str:
     return f"""SELECT c_custkey AS k, c_mktsegment AS seg, c_nationkey AS nat, {AS_OF} AS start_date,
        {end_text} AS end_text FROM customer"""
@@ -242,6 +268,8 @@ FROM orders""",
     "current_rows": f"WITH {WHOLE} SELECT * FROM hist WHERE end_date IS NULL",
     "closed_rows": f"WITH {WHOLE} SELECT * FROM hist WHERE end_date IS NOT NULL",
     "new_keys": f"WITH {BOTH} SELECT * FROM delta d WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.k = d.k)",
+    "new_keys_hot_key": f"""WITH {ORDERS}
+SELECT * FROM delta_rows d WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.k <> '0' AND h.k = d.k)""",
     "changed_rows_strict": differing("h.seg <> d.seg OR h.nat <> d.nat"),
     "changed_rows_null_safe": differing(DIFFERS),
     "changed_rows_trimmed": differing("trim(h.seg) <> trim(d.seg)"),
@@ -277,6 +305,14 @@ SELECT k, count(*) AS n_open FROM added WHERE end_date IS NULL GROUP BY k HAVING
 {latest('kept', DIRTY_COLUMNS, 'k', LATEST_DIRTY)}""",
     "gate_chain_from_options": f"""WITH {DIRTY}, kept AS (SELECT * FROM dirty WHERE {NOT_NULL})
 {latest('kept', DIRTY_COLUMNS, 'k', LATEST_DIRTY)}""",
+    "gate_drift_differences": drifted(
+        f"""{DIRTY},
+later AS (SELECT k, nm || ' and heirs' AS nm, CASE WHEN k % 4 = 0 THEN seg END AS seg, nat, bal * 3 AS bal FROM dirty)""",
+        "dirty", "later", {"k": "k", "nm": "length(nm)", "seg": "length(seg)", "nat": "length(nat)", "bal": "bal"}),
+    "gate_drift_report": """
+SELECT 'drift' AS gate, true AS passed, count(*) AS rows_in, count(*) AS rows_out,
+       'l_quantity,l_shipdate,l_returnflag' AS detail
+FROM lineitem WHERE l_suppkey % 2 = 1""",
     "gate_chain_report": f"""WITH {DIRTY}
 {gate('count', 'true', 'count(*)', 'count(*)', 'on', 'dirty')} UNION ALL
 {gate('schema', 'true', 'count(*)', 'count(*)', 'missing: ; unexpected: ; mistyped: ', 'dirty')} UNION ALL

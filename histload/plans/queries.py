@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from histload.config import (
     DimensionLoadConfig,
+    DriftConfig,
     ExtractConfig,
     GateConfig,
     HistoryLoadConfig,
@@ -25,7 +26,7 @@ from histload.functions import (
     parse_timestamp,
     sentinel,
 )
-from histload.operators import dedup, history, ordering, quality
+from histload.operators import dedup, drift, history, ordering, quality
 from histload.plans import fixtures, jobs
 from histload.sources import readers, writers
 from histload.sources.workspace import work_folder
@@ -42,6 +43,7 @@ GATES = GateConfig(
     duplicate_columns="k",
     duplicate_order="bal",
 )
+DRIFT = DriftConfig("k,nm,seg,nat,bal")
 OPTIONS = {
     # The option names users have in their settings files.
     "count_check": "Y",
@@ -300,6 +302,28 @@ def gate_chain_from_options(spark, sf_dir):
     return quality.gate_chain(fixtures.dirty(spark, sf_dir), GateConfig.from_options(OPTIONS)).data
 
 
+def gate_drift_differences(spark, sf_dir):
+    """Customers against themselves a load later: balances grown, most segments lost, long names."""
+    before = fixtures.dirty(spark, sf_dir)
+    now = before.withColumns(
+        {
+            "bal": F.col("bal") * 3,
+            "seg": F.when(F.col("k") % 4 == 0, F.col("seg")),
+            "nm": F.concat("nm", F.lit(" and heirs")),
+        }
+    )
+    found = drift.differences(spark, drift.profile(before, DRIFT.columns), drift.profile(now, DRIFT.columns), DRIFT)
+    return drift.difference_table(spark, found).select("column_name", "n_before", "n_now", "null_before", "null_now", "passed")
+
+
+def gate_drift_report(spark, sf_dir):
+    """The order lines of one half of the suppliers against those of the other half."""
+    lines = fixtures.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_shipdate", "l_returnflag")
+    config = DriftConfig("l_quantity,l_shipdate,l_returnflag")
+    half = lambda i: lines.where(F.col("l_suppkey") % 2 == i)
+    return drift.gate_drift(half(1), drift.profile(half(0), config.columns), config).report
+
+
 # ---------------------------------------------------------------- versioned rows
 
 
@@ -335,6 +359,12 @@ def new_keys(spark, sf_dir):
     return history.new_keys(_delta(spark, sf_dir), _hist(spark, sf_dir), MERGE)
 
 
+def new_keys_hot_key(spark, sf_dir):
+    hist, delta = fixtures.order_hist(spark, sf_dir), fixtures.order_delta(spark, sf_dir)
+    # without its own past and open version, the hot key is new
+    return history.new_keys(delta, hist.where("k <> '0'"), MERGE, hot=history.frequent_keys(delta, MERGE))
+
+
 def changed_rows_strict(spark, sf_dir):
     config = replace(MERGE, null_safe=False)
     return history.changed_rows(_delta(spark, sf_dir), _hist(spark, sf_dir), config)
@@ -596,6 +626,7 @@ QUERIES = {
         current_rows,
         closed_rows,
         new_keys,
+        new_keys_hot_key,
         changed_rows_strict,
         changed_rows_null_safe,
         changed_rows_trimmed,
@@ -619,6 +650,8 @@ QUERIES = {
         gate_chain,
         gate_chain_report,
         gate_chain_from_options,
+        gate_drift_differences,
+        gate_drift_report,
         airline_style_load,
         first_history_load,
         first_changed_only_load,

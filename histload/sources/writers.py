@@ -156,7 +156,7 @@ JOINED = 8
 
 class Mark(NamedTuple):
     """A complete load: the load that last wrote each bucket (-1: it is empty), the folders of closed versions, the greatest
-    start of an open version, the columns, and what was loaded with which settings."""
+    start of an open version, the columns, what was loaded with which settings, and what its columns looked like."""
 
     version: int
     n_rows: int
@@ -166,6 +166,7 @@ class Mark(NamedTuple):
     schema: str
     extracts: list[dict] = []
     settings: dict = {}
+    profile: dict = {}
 
 
 def _to_record(mark: Mark) -> dict:

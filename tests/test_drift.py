@@ -1,0 +1,177 @@
+"""The gate that holds a load against the one before: profiles, limits, loads; and hot keys found by measure."""
+
+import json
+import random
+from collections import Counter
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from histload.config import DriftConfig, ExtractConfig, GateConfig, HistoryLoadConfig, MergeConfig
+from histload.operators import drift, history
+from histload.operators.quality import GateFailure
+from histload.plans import fixtures, jobs, queries
+
+FIRST, SECOND, THIRD, FOURTH = (datetime(2021, m, 1) for m in (1, 2, 3, 4))
+
+
+def exact_distance(a, b):
+    return max(abs(sum(x <= p for x in a) / len(a) - sum(x <= p for x in b) / len(b)) for p in [*a, *b])
+
+
+@pytest.mark.parametrize("shift", [0.0, 0.3, 2.0])
+def test_distance_is_that_of_the_exact_distributions(spark, shift):
+    draw = random.Random(7)
+    a, b = [draw.gauss(0, 1) for _ in range(1500)], [draw.gauss(shift, 1) for _ in range(900)]
+    config = DriftConfig("x")
+    sides = [drift.profile(spark.createDataFrame([(v,) for v in x], "x DOUBLE").repartition(5), ["x"]) for x in (a, b)]
+    (found,) = drift.differences(spark, *map(lambda p: json.loads(json.dumps(p)), sides), config)
+    assert found.distance == pytest.approx(exact_distance(a, b), abs=0.04)
+    assert found.passed == (shift < 0.5)
+
+
+def test_every_kind_of_column_has_a_profile(spark):
+    rows = spark.sql(
+        """SELECT id, cast(id AS decimal(9,2)) AS amount, cast(id AS float) / 0.1f AS ratio, id % 2 = 0 AS flag,
+        repeat('x', cast(id AS int)) AS `a.text`, date_add(date'2020-01-01', cast(id AS int)) AS day,
+        timestamp_ntz'2020-01-01 00:00:00' AS stamp FROM range(50)"""
+    )
+    got = drift.profile(rows, rows.columns)
+    assert [p["kind"] for p in got.values()] == ["number", "number", "number", "number", "text", "time", "time"]
+    assert all(d.passed and d.distance == 0 and d.new_share == 0 for d in drift.differences(spark, got, got, DriftConfig(rows.columns)))
+    with pytest.raises(ValueError, match="not defined"):
+        drift.profile(spark.sql("SELECT array(1) AS a"), ["a"])
+    with pytest.raises(GateFailure, match="no such column"):
+        drift.profile(rows, ["absent"])
+
+
+def test_nulls_nan_empty_tables_and_new_values(spark):
+    config, schema = DriftConfig("x", new_share=0.5), "x DOUBLE"
+    of = lambda *values: drift.profile(spark.createDataFrame([(v,) for v in values], schema), ["x"])
+    whole = of(*map(float, range(400)))
+    empty = of()
+    (d,) = drift.differences(spark, whole, of(*[float("nan"), None] * 200), config)
+    assert (d.null_before, d.null_now, d.distance, d.passed) == (0, 1, None, False)
+    (d,) = drift.differences(spark, whole, empty, config)
+    assert (d.n_now, d.null_now, d.passed) == (0, None, True)
+    assert drift.differences(spark, empty, empty, config)[0].passed
+    # half the rows each between the old ones: alike in distribution, unlike in values
+    (d,) = drift.differences(spark, whole, of(*(i + 0.5 for i in range(400))), config)
+    assert d.distance < 0.05 and d.new_share > 0.9 and not d.passed
+    assert drift.differences(spark, {}, whole, config) == []
+    assert drift.difference_table(spark, []).count() == 0
+
+
+def test_few_rows_are_not_refused_for_being_few(spark):
+    before = drift.profile(spark.range(1000).select((F.col("id") % 100).alias("x")), ["x"])
+    three = drift.profile(spark.createDataFrame([(5,), (20,), (60,)], "x LONG"), ["x"])
+    assert drift.differences(spark, before, three, DriftConfig("x"))[0].passed
+
+
+def test_text_that_became_numbers_is_not_compared_by_value(spark):
+    text = drift.profile(spark.sql("SELECT cast(id AS string) AS x FROM range(200)"), ["x"])
+    number = drift.profile(spark.range(200).select(F.col("id").alias("x")), ["x"])
+    (d,) = drift.differences(spark, text, number, DriftConfig("x"))
+    assert d.distance is None and d.passed
+
+
+def test_the_gate_lets_all_rows_through_or_none(spark):
+    rows = spark.range(500).select(F.col("id").alias("x"))
+    before = drift.profile(rows, ["x"])
+    same, moved = drift.gate_drift(rows, before, DriftConfig("x")), drift.gate_drift(rows.select(F.col("x") * 9), None, DriftConfig("(x * 9)"))
+    assert same.data.count() == 500 and same.report.first()["passed"]
+    assert moved.report.first()["detail"] == "nothing to compare with"
+    far = drift.gate_drift(rows.select((F.col("x") * 9).alias("x")), before, DriftConfig("x"))
+    report = far.report.first()
+    assert far.data.count() == 0 and (report["passed"], report["rows_in"], report["rows_out"]) == (False, 500, 0)
+    assert report["detail"].startswith("drift: x: null share 0.000 to 0.000, distance 0.8")
+
+
+def test_settings_that_make_no_sense_are_refused():
+    with pytest.raises(ValueError, match="needs columns"):
+        DriftConfig("")
+    with pytest.raises(ValueError, match="from 0 to 1"):
+        DriftConfig("x", distance=2)
+
+
+def written(path, rows):
+    path.mkdir()
+    (path / "part.csv").write_text("\n".join(["id,name,size", *(",".join(map(str, r)) for r in rows)]) + "\n")
+    return str(path)
+
+
+@pytest.mark.parametrize("gates", [None, GateConfig(columns="id,name,size", null_check=True, null_columns="id")])
+def test_a_load_unlike_the_one_before_stops_before_the_merge(spark, tmp_path, gates):
+    draw = random.Random(3)
+    sized = lambda n, factor, name="n": [(i, f"{name}{i}", int(factor * draw.gauss(1000, 100))) for i in range(n)]
+    base, first = written(tmp_path / "base", sized(50, 7)), written(tmp_path / "first", sized(300, 1))
+    like, moved = written(tmp_path / "like", sized(200, 1, "m")), written(tmp_path / "moved", sized(200, 2))
+    nulls = written(tmp_path / "nulls", [(i, f"n{i}", s if i % 3 else "") for i, _, s in sized(200, 1)])
+    root = str(tmp_path / "history")
+    config = HistoryLoadConfig(
+        ExtractConfig("id", "id INT, name STRING, size INT", gates=gates), MergeConfig("id", "name,size", SECOND), "size", buckets=2, drift=DriftConfig("name,size")
+    )
+    at = lambda as_of, **more: replace(config, merge=replace(config.merge, as_of=as_of), **more)
+    one = jobs.first_history_load(spark, base, first, root, config, FIRST)
+    told = lambda loaded: [(r["passed"], r["detail"]) for r in loaded.reports.where("gate = 'drift'").collect()]
+    assert told(one) == [(True, "nothing to compare with")] * 2
+    for extract, what in ((moved, "size: null share"), (nulls, "size: null share 0.000 to 0.335")):
+        with pytest.raises(GateFailure, match=what):
+            jobs.incremental_history_load(spark, extract, root, at(THIRD), 2)
+    two = jobs.incremental_history_load(spark, like, root, at(THIRD), 2)
+    assert told(two) == [(True, "name,size")]
+    # again: returned as it is
+    assert told(jobs.incremental_history_load(spark, like, root, at(THIRD), 2)) == [(True, "name,size")]
+    # a moved extract that is right is loaded without the gate; then there is nothing to compare the next one with
+    three = jobs.incremental_history_load(spark, moved, root, at(FOURTH, drift=None), 3)
+    assert three.table.where("end_date is null and size > 1500").count() > 190
+    if gates is None:
+        assert three.reports is None
+
+
+# ---------------------------------------------------------------- hot keys found by measure
+
+KEY = MergeConfig("k", "v")
+
+
+def test_frequent_keys_are_those_with_a_thousandth_of_the_rows(spark):
+    rows = spark.range(60000).select(F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 100 == 1, -2).when(F.col("id") % 50 == 2, None).otherwise(F.col("id")).alias("k"))
+    want = {r[0] for r in spark.sql("SELECT xxhash64(k) FROM VALUES (-1L), (-2L), (cast(null AS bigint)) AS t(k)").collect()}
+    assert set(history.frequent_keys(rows.repartition(16), KEY)) == want
+    assert history.frequent_keys(rows.limit(0), KEY) == []
+    # a thousand rows: a key that comes once is not frequent
+    assert history.frequent_keys(spark.range(100).select(F.col("id").alias("k")), KEY) == []
+
+
+def test_new_keys_is_the_same_whichever_keys_are_hot(spark):
+    draw = random.Random(1)
+    key = lambda: draw.choice([None, 0, 0, 0, 1, 1, *range(2, 40)])
+    delta = spark.createDataFrame([(key(), i % 3) for i in range(300)], "k LONG, v LONG")
+    for known in ([0, 3, 4, None], [1, 1, 2, 5], []):
+        hist = spark.createDataFrame([(k, 0) for k in known], "k LONG, v LONG")
+        want = Counter(map(tuple, history.new_keys(delta, hist, KEY).collect()))
+        for hot in (history.frequent_keys(delta, KEY), history.frequent_keys(delta.where("k is null or k < 2"), KEY)):
+            assert hot
+            assert Counter(map(tuple, history.new_keys(delta, hist, KEY, hot=hot).collect())) == want
+
+
+def test_a_hot_key_of_the_delta_is_not_gathered(spark, sf_dir, tmp_path):
+    # stored, as Spark would otherwise join below the union that the delta is made by
+    fixtures.order_delta(spark, sf_dir).repartition(16).write.parquet(str(tmp_path / "delta"))
+    hist, delta = fixtures.order_hist(spark, sf_dir).where("k <> '0'"), spark.read.parquet(str(tmp_path / "delta"))
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "false")
+        spark.conf.set(names[1], "-1")
+        # the history has no key 0, so every row of it comes out where it was compared
+        sizes = lambda rows: sorted(r["count"] for r in rows.select("k", F.spark_partition_id().alias("p")).where("k = '0'").groupBy("p").count().collect())
+        plain = sizes(history.new_keys(delta, hist, queries.MERGE))
+        split = sizes(history.new_keys(delta, hist, queries.MERGE, hot=history.frequent_keys(delta, queries.MERGE)))
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    assert len(plain) == 1 and plain[0] > 0.1 * delta.count()
+    assert sum(split) == plain[0] and len(split) >= 4 and split[-1] < 1.5 * split[len(split) // 2]
