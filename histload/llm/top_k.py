@@ -6,6 +6,11 @@ threshold on the cosine: no vector below it can be a result. If it is above 1, t
 is high, the bucket is pruned by coordinates: where the query is largest, a vector at least that close to it lies in a
 known interval. Else it is pruned by length: vectors sorted by length, the short ones cannot reach the
 floor. What is left is verified by exact integer products.
+
+Where lengths leave much, as they do if all vectors are nearly of one length, the longest of a block are scored first, which
+raises the floor to what the block itself holds, and then ever larger parts. For these the product over the leading coordinates, with the lengths of
+what remains, bounds the whole product; only pairs whose bound reaches the floor are multiplied out. How many coordinates lead,
+or all, is decided for each part by what that would cost on a sample of its pairs.
 """
 
 from __future__ import annotations
@@ -24,8 +29,14 @@ from histload.llm.tables import stored
 RATIO = 0.9
 #: Rows of a bucket that one task compares with so many queries; larger buckets are cut by a hash.
 BLOCK, GROUP = 16384, 8192
-#: Longest vectors whose scores set the floors.
-SEEDS = 2048
+#: Longest vectors whose scores set the floors: one in SEED_SHARE, no more than SEEDS.
+SEEDS, SEED_SHARE = 2048, 16
+#: Vectors of a block that are scored first, to raise its floors, and how the share grows that is scored with these floors.
+LEAD, GROWTH = 1024, 4
+#: Shares of the coordinates that may lead, and what a pair costs that is multiplied out alone, in products within a matrix.
+SHARES, PAIR = (0.125, 0.25, 0.5, 0.75, 0.875), 10
+#: Queries and vectors on which that is measured; pairs that are multiplied out at once.
+SAMPLE, PAIRS = (32, 256), 1 << 16
 #: Local thresholds from which coordinates prune more than lengths.
 CLOSE = 0.7
 #: Coordinates that prune.
@@ -75,8 +86,52 @@ def _norms(m: np.ndarray) -> np.ndarray:
     return np.sqrt((m.astype(float) ** 2).sum(axis=1))
 
 
-def search_block(query_ids: np.ndarray, q: np.ndarray, floors: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The best k of a block for each query, as far as they can be among all: (query_id, vec_id, score)."""
+def _exact_in_floats(q: np.ndarray, c: np.ndarray) -> bool:
+    return float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1]) < 2**53
+
+
+class _Leading:
+    """A block's coordinates in order of their part in its products, for products that are whole numbers as floats."""
+
+    def __init__(self, q: np.ndarray, c: np.ndarray):
+        order = np.argsort(-((q.astype(float) ** 2).mean(axis=0) * (c.astype(float) ** 2).mean(axis=0)), kind="stable")
+        self.q, self.c = q[:, order].astype(float), c[:, order].astype(float)
+        # rounding of bounds, against the lengths of the vectors
+        self.slack = 1e-9 * _norms(q) * _norms(c).max(initial=0)
+
+    def _bounds(self, rows: np.ndarray, columns: np.ndarray | slice, floors: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        q, c = self.q[rows], self.c[columns]
+        known = q[:, :size] @ c[:, :size].T
+        rest = np.outer(_norms(q[:, size:]), _norms(c[:, size:])) + self.slack[rows][:, None]
+        return known, known + rest >= floors[rows][:, None]
+
+    def best_size(self, floors: np.ndarray, start: int, end: int) -> int:
+        """How many coordinates to multiply first between two rows of the block, by cost on a sample; all, if nothing is gained."""
+        rows = np.linspace(0, len(self.q) - 1, min(SAMPLE[0], len(self.q))).astype(int)
+        columns = np.linspace(start, end - 1, min(SAMPLE[1], end - start)).astype(int)
+        width = self.c.shape[1]
+        least, best = 1.0, width
+        for size in (int(share * width) for share in SHARES):
+            left = self._bounds(rows, columns, floors, size)[1].mean()
+            cost = size / width + left * PAIR * (1 + width - size) / (1 + width)
+            if cost < least:
+                least, best = cost, size
+        return best
+
+    def scores(self, rows: np.ndarray, start: int, end: int, floors: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in rows, row of the block, product) wherever a product may reach the floor."""
+        known, reaching = self._bounds(rows, slice(start, end), floors, size)
+        left, right = np.nonzero(reaching)
+        parts = [np.zeros(0)]
+        for a in range(0, len(left), PAIRS):
+            i, j = left[a : a + PAIRS], right[a : a + PAIRS]
+            parts.append(known[i, j] + np.einsum("ij,ij->i", self.q[rows[i], size:], self.c[start + j, size:]))
+        return left, start + right, np.concatenate(parts).astype(np.int64)
+
+
+def search_block(query_ids: np.ndarray, q: np.ndarray, floors: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int, counted: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best k of a block for each query, as far as they can be among all: (query_id, vec_id, score). ``counted`` takes how
+    many pairs were bounded by their leading coordinates, and how many of these were multiplied out."""
     lengths = _norms(c)
     order = np.argsort(-lengths, kind="stable")
     ids, c, lengths = ids[order], c[order], lengths[order]
@@ -87,13 +142,19 @@ def search_block(query_ids: np.ndarray, q: np.ndarray, floors: np.ndarray, ids:
     with np.errstate(divide="ignore", invalid="ignore"):
         local = np.where(floors > 0, floors / (own_lengths * longest), -np.inf)
         shortest = np.where(floors > 0, floors / own_lengths, -np.inf)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    counted = {} if counted is None else counted
+    counted.update(bounded=0, multiplied=0)
+    kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def keep(i: int, scores: np.ndarray, at: np.ndarray) -> None:
+        """The best so far; the k-th of them is a floor for what follows."""
         other = ids[at] != query_ids[i]
-        scores, at = scores[other], at[other]
-        best = _best(scores, ids[at], k)
-        found.append((np.full(len(best), query_ids[i]), ids[at][best], scores[best]))
+        known = kept.get(i, (np.zeros(0, np.int64),) * 2)
+        at, scores = np.concatenate([known[0], ids[at][other]]), np.concatenate([known[1], scores[other]])
+        best = _best(scores, at, k)
+        kept[i] = at[best], scores[best]
+        if len(best) == k:
+            floors[i] = max(floors[i], scores[best[-1]] - 1e-9 * abs(scores[best[-1]]) - 1e-6)
 
     unit = c / np.maximum(lengths, 1e-300)[:, None]
     by_length = []
@@ -113,13 +174,34 @@ def search_block(query_ids: np.ndarray, q: np.ndarray, floors: np.ndarray, ids:
             inside = inside[(x >= low) & (x <= high)]
         if len(inside):
             keep(i, _exact(q[i : i + 1], c[inside])[0], inside)
-    for a in range(0, len(by_length), AT_ONCE):
-        some = np.array(by_length[a : a + AT_ONCE])
-        reach = int(np.searchsorted(-lengths, -shortest[some].min(), "right"))
-        scores = _exact(q[some], c[:reach])
-        at = np.arange(reach)
-        for i, row in zip(some, scores):
-            keep(i, row, at)
+    def reach(some: np.ndarray) -> int:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where(floors[some] > 0, floors[some] / own_lengths[some], -np.inf).min()
+        return int(np.searchsorted(-lengths, -least, "right"))
+
+    groups = [np.array(by_length[a : a + AT_ONCE]) for a in range(0, len(by_length), AT_ONCE)]
+    leading = _Leading(q, c) if groups and len(c) > LEAD and q.shape[1] and _exact_in_floats(q, c) else None
+    start, end = 0, min(LEAD, len(c))
+    while groups and start < end:
+        size = leading.best_size(floors, start, end) if leading and start else q.shape[1]
+        for some in groups:
+            stop = min(end, reach(some))
+            if stop <= start:
+                continue
+            if size == q.shape[1]:
+                at = np.arange(start, stop)
+                for i, row in zip(some, _exact(q[some], c[start:stop])):
+                    keep(i, row, at)
+            else:
+                rows, at, scores = leading.scores(some, start, stop, floors, size)
+                counted["bounded"] += len(some) * (stop - start)
+                counted["multiplied"] += len(rows)
+                cuts = np.searchsorted(rows, np.arange(len(some) + 1))
+                for j, i in enumerate(some):
+                    part = slice(cuts[j], cuts[j + 1])
+                    keep(i, scores[part], at[part])
+        start, end = end, min(GROWTH * end, len(c))
+    found = [(np.full(len(at), query_ids[i]), at, scores) for i, (at, scores) in kept.items()]
     if not found:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -146,7 +228,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         return asked.selectExpr("vec_id as query_id", "0 as rank", "vec_id", "0L as score").limit(0)
     width = max([r["width"] for r in stats] + [asked.agg(F.max(F.size("v"))).first()[0] or 0])
 
-    seeds = own.orderBy(F.desc("length"), "vec_id").limit(SEEDS).select("vec_id", "v").toArrow()
+    n_seeds = min(SEEDS, max(k + 1, sum(r["n"] for r in stats) // SEED_SHARE))
+    seeds = own.orderBy(F.desc("length"), "vec_id").limit(n_seeds).select("vec_id", "v").toArrow()
     seed_ids, seed_rows = seeds["vec_id"].to_numpy(), _matrix(seeds["v"], width)
 
     def floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -130,6 +130,35 @@ def test_top_k_block_pruned_by_coordinates():
     assert found == want
 
 
+@pytest.mark.parametrize("kind", ["unit", "clusters", "spread", "ties"])
+def test_top_k_block_pruned_by_leading_coordinates(kind):
+    """Few of the products that lengths leave are made whole, and no result is lost."""
+    draw = np.random.default_rng(4)
+    c = draw.normal(size=(9000, 64))
+    if kind == "clusters":
+        c = np.repeat(draw.normal(size=(30, 64)), 300, axis=0) + 0.5 * c
+    c /= np.linalg.norm(c, axis=1)[:, None]
+    if kind == "spread":
+        c *= draw.uniform(0.9, 1, size=(9000, 1))
+    if kind == "ties":
+        c = np.repeat(c[:90], 100, axis=0)
+    c = np.floor(256 * c).astype(np.int64)
+    ids, query_ids = draw.permutation(9000), draw.permutation(9000)[:200]
+    q = c[np.argsort(ids)[query_ids]]
+    counted = {}
+    found = top_k.search_block(query_ids, q, np.full(200, -np.inf), ids, c, 5, counted)
+    got = {}
+    for query, vec, score in zip(*(x.tolist() for x in found)):
+        got.setdefault(query, []).append((-score, vec))
+    scores = q @ c.T
+    for i, query in enumerate(query_ids.tolist()):
+        want = sorted((-int(s), int(v)) for s, v in zip(scores[i], ids) if v != query)[:5]
+        assert sorted(set(got[query]))[:5] == want
+    # of the copies, lengths leave out some too
+    assert counted["bounded"] == 200 * (9000 - top_k.LEAD) or kind == "ties" and counted["bounded"] > 0
+    assert counted["multiplied"] < 0.12 * counted["bounded"]
+
+
 def test_top_k_odd_vectors(spark):
     rows = [
         (0, [1.0, 2.0]),
